@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from rowtide.model import col
+from rowtide.model import q
 
 # Fixed values of the hash: multipliers and offset, and the integer that Spark's hash maps to 0.
 WORD_FACTOR = 5
@@ -83,17 +83,17 @@ def with_bucket(df: DataFrame, column: str, n: int, name: str | None = None) ->
         function = "bucket_long"
     else:
         raise TypeError(f"no bucket for a column of type {kind.simpleString()}")
-    register_functions(df.sparkSession)
-    quoted = "`" + column.replace("`", "``") + "`"
-    return df.withColumn(name or f"bucket_{column}", F.expr(f"{function}({n}, {quoted})"))
+    if not df.sparkSession.catalog.functionExists(function):
+        register_functions(df.sparkSession)
+    return df.withColumn(name or f"bucket_{column}", F.expr(f"{function}({n}, {q(column)})"))
 
 
 def with_months(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Add the months from 1970-01 to `column` (in the session's time zone); earlier months are negative."""
-    ts = col(column)
-    return df.withColumn(name or f"month_{column}", ((F.year(ts) - 1970) * 12 + F.month(ts) - 1).cast("int"))
+    months = f"(year({q(column)}) - 1970) * 12 + month({q(column)}) - 1"
+    return df.withColumn(name or f"month_{column}", F.expr(months))
 
 
 def bucket_distribution(df: DataFrame, column: str, n: int) -> DataFrame:
     """Number of rows per bucket."""
-    return with_bucket(df.select(col(column)), column, n, "bucket").groupBy("bucket").agg(F.count("*").alias("n"))
+    return with_bucket(df.select(q(column)), column, n, "bucket").groupBy("bucket").agg(F.expr("count(*) AS n"))

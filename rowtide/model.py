@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, types as T
 
 # The change types and the metadata columns of a change row.
 INSERT = "INSERT"
@@ -33,9 +35,13 @@ SNAPSHOT_SCHEMA = T.StructType(
 )
 
 
-def col(name: str) -> Column:
-    """Column by its exact name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def q(name: str) -> str:
+    """A column name as SQL text, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quoted(names: Iterable[str]) -> list[str]:
+    return [q(n) for n in names]
 
 
 def row_columns(df: DataFrame) -> list[str]:
@@ -43,13 +49,17 @@ def row_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in METADATA]
 
 
-def sign() -> Column:
-    """+1 for a row that appears, -1 for a row that disappears."""
-    return F.when(col(CHANGE_TYPE).isin(INSERT, UPDATE_AFTER), F.lit(1)).otherwise(F.lit(-1))
+# +1 for a row that appears, -1 for a row that disappears.
+SIGN = f"IF({CHANGE_TYPE} IN ('{INSERT}', '{UPDATE_AFTER}'), 1, -1)"
+
+
+def change_type_of(signed: str) -> str:
+    return f"IF({signed} > 0, '{INSERT}', '{DELETE}')"
 
 
-def change_type_of(signed: Column) -> Column:
-    return F.when(signed > 0, F.lit(INSERT)).otherwise(F.lit(DELETE))
+def differs(pairs: Iterable[tuple[str, str]]) -> str:
+    """SQL text that is true when any pair of columns differs, nulls compared as values."""
+    return " OR ".join(f"NOT ({q(a)} <=> {q(b)})" for a, b in pairs) or "FALSE"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -57,4 +67,4 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the written rows: {missing}")
-    return df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[f"CAST({q(f.name)} AS {f.dataType.simpleString()}) AS {q(f.name)}" for f in schema])

@@ -11,14 +11,23 @@ from rowtide.model import (
     CHANGE_TYPE,
     DELETE,
     INSERT,
+    SIGN,
     SNAPSHOT_ID,
     UPDATE_AFTER,
     UPDATE_BEFORE,
-    change_type_of,
-    col,
+    q,
+    quoted,
     row_columns,
 )
-from rowtide.operators.rows import net_events, repeat_rows, row_timelines
+from rowtide.operators.rows import (
+    Commits,
+    as_change_rows,
+    commit_counts,
+    commit_sums,
+    inlined,
+    last_changes_of_counts,
+    last_changes_of_sums,
+)
 
 
 def changelog(log: DataFrame, start: int | None, end: int) -> DataFrame:
@@ -29,33 +38,24 @@ def changelog(log: DataFrame, start: int | None, end: int) -> DataFrame:
     if start is not None and start > end:
         raise ValueError(f"window starts after its end: {start} > {end}")
     first = 0 if start is None else start + 1
-    inside = col(CHANGE_ORDINAL) <= end
-    if start is not None:
-        inside = inside & (col(CHANGE_ORDINAL) > start)
-    return log.where(inside).withColumn(CHANGE_ORDINAL, (col(CHANGE_ORDINAL) - first).cast("int"))
+    return log.where(f"{CHANGE_ORDINAL} >= {first} AND {CHANGE_ORDINAL} <= {end}").withColumn(
+        CHANGE_ORDINAL, F.expr(f"CAST({CHANGE_ORDINAL} - {first} AS INT)")
+    )
 
 
-def net_changes(log: DataFrame, commits: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+def net_changes(log: DataFrame, commits: Commits | None = None, at_most: int | None = None) -> DataFrame:
     """Opposite changes of the same row cancelled across commits.
 
     What is left of a row are its last |balance| changes of the balance's sign,
-    with their own commit metadata. One shuffle, on the row, of records already
-    summed per task when `commits` (ordinal, snapshot id) are given and few.
+    with their own commit metadata. When `commits`, the (ordinal, snapshot id)
+    pairs of the log, are given and few, one shuffle on the row does it, of
+    records already summed per task. `at_most` bounds the copies of a row.
     """
-    rows = row_columns(log)
-    left = net_events(row_timelines(log, commits))
-    return _unfold(left, rows, log.columns)
-
-
-def _unfold(left: DataFrame, rows: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    event = left.select(*map(col, rows), F.explode("_events").alias("_e")).select(
-        *map(col, rows),
-        change_type_of(F.col("_e.n")).alias(CHANGE_TYPE),
-        F.col("_e.ordinal").cast("int").alias(CHANGE_ORDINAL),
-        F.col("_e.snapshot_id").alias(SNAPSHOT_ID),
-        F.abs(F.col("_e.n")).alias("_copies"),
-    )
-    return repeat_rows(event, "_copies").select(*map(col, columns))
+    if inlined(commits):
+        left = last_changes_of_sums(commit_sums(log, commits), commits)
+    else:
+        left = last_changes_of_counts(commit_counts(log))
+    return as_change_rows(left, log.columns, at_most)
 
 
 def net_changes_by_key(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,26 +66,23 @@ def net_changes_by_key(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     DELETE comes before an INSERT. Only two records per key and task are shuffled.
     """
     rows = row_columns(log)
-    rank = F.when(col(CHANGE_TYPE).isin(DELETE, UPDATE_BEFORE), 0).otherwise(1).alias("_rank")
-    entry = F.struct(col(CHANGE_ORDINAL), rank, *map(col, rows), col(SNAPSHOT_ID))
-    per_key = log.groupBy(*[col(k).alias(f"_key_{k}") for k in keys]).agg(
-        F.min(entry).alias("_first"), F.max(entry).alias("_last")
+    entry = f"struct({CHANGE_ORDINAL}, {SIGN} AS _sign, {', '.join(quoted(rows))}, {SNAPSHOT_ID})"
+    per_key = log.groupBy(*[F.expr(f"{q(k)} AS {q('_key_' + k)}") for k in keys]).agg(
+        F.expr(f"min({entry}) AS _first"), F.expr(f"max({entry}) AS _last")
     )
-    had = F.col("_first._rank") == 0
-    has = F.col("_last._rank") == 1
-    image = lambda side: F.struct(*[F.col(side)[c].alias(c) for c in rows])
-    changed = ~(had & has & image("_first").eqNullSafe(image("_last")))
-
-    def out(side: str, change_type: str):
-        return F.struct(
-            *[F.col(side)[c].alias(c) for c in rows],
-            F.lit(change_type).alias(CHANGE_TYPE),
-            F.col(side)[CHANGE_ORDINAL].alias(CHANGE_ORDINAL),
-            F.col(side)[SNAPSHOT_ID].alias(SNAPSHOT_ID),
-        )
 
-    sides = F.array(F.when(had, out("_first", DELETE)), F.when(has, out("_last", INSERT)))
-    return per_key.where(changed).select(F.inline(F.array_compact(sides))).select(*map(col, log.columns))
+    def image(side: str, change_type: str) -> str:
+        texts = {CHANGE_TYPE: f"'{change_type}'"}
+        return ", ".join(f"{texts.get(c) or f'{side}.{q(c)}'} AS {q(c)}" for c in log.columns)
+
+    same = " AND ".join(f"_first.{q(c)} <=> _last.{q(c)}" for c in rows)
+    sides = [
+        f"IF(_first._sign < 0, struct({image('_first', DELETE)}), NULL)",
+        f"IF(_last._sign > 0, struct({image('_last', INSERT)}), NULL)",
+    ]
+    return per_key.where(f"NOT (_first._sign < 0 AND _last._sign > 0 AND {same})").selectExpr(
+        f"inline(array_compact(array({', '.join(sides)})))"
+    )
 
 
 def label_updates(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,46 +93,38 @@ def label_updates(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     and their rows may be spread over tasks. Null keys never pair.
     """
     at = [SNAPSHOT_ID, *keys]
-    deleted = F.sum((col(CHANGE_TYPE) == DELETE).cast("int"))
-    inserted = F.sum((col(CHANGE_TYPE) == INSERT).cast("int"))
     pairs = (
-        log.groupBy(*map(col, at))
-        .agg(deleted.alias("_deleted"), inserted.alias("_inserted"))
+        log.groupBy(*quoted(at))
+        .agg(
+            F.expr(f"count_if({CHANGE_TYPE} = '{DELETE}') AS _deleted"),
+            F.expr(f"count_if({CHANGE_TYPE} = '{INSERT}') AS _inserted"),
+        )
         .where("_deleted = 1 AND _inserted = 1")
-        .select(*map(col, at), F.lit(True).alias("_pair"))
+        .selectExpr(*quoted(at), "TRUE AS _pair")
     )
-    label = F.when(
-        col("_pair"), F.when(col(CHANGE_TYPE) == DELETE, UPDATE_BEFORE).otherwise(UPDATE_AFTER)
-    ).otherwise(col(CHANGE_TYPE))
-    return log.join(pairs, at, "left").withColumn(CHANGE_TYPE, label).select(*map(col, log.columns))
+    pair = f"IF({CHANGE_TYPE} = '{DELETE}', '{UPDATE_BEFORE}', '{UPDATE_AFTER}')"
+    label = f"IF(_pair, {pair}, {CHANGE_TYPE}) AS {CHANGE_TYPE}"
+    return log.join(pairs, at, "left").selectExpr(*[label if c == CHANGE_TYPE else q(c) for c in log.columns])
 
 
 def key_violations(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that identify no single row: those with a null part and those held by several rows."""
-    has_null = F.lit(False)
-    for k in keys:
-        has_null = has_null | col(k).isNull()
-    return (
-        rows.groupBy(*map(col, keys))
-        .agg(F.count("*").alias("n"))
-        .select(*map(col, keys), "n", has_null.alias("null_key"))
-        .where("null_key OR n > 1")
-    )
+    names = quoted(keys)
+    has_null = " OR ".join(f"{k} IS NULL" for k in names)
+    counted = rows.groupBy(*names).agg(F.expr("count(*) AS n"))
+    return counted.selectExpr(*names, "n", f"({has_null}) AS null_key").where("null_key OR n > 1")
 
 
 def ordered(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Reading order of a change log: by commit, then by key."""
-    return log.orderBy(col(SNAPSHOT_ID), col(CHANGE_ORDINAL), *map(col, keys))
+    return log.orderBy(SNAPSHOT_ID, CHANGE_ORDINAL, *quoted(keys))
 
 
 def with_metadata(changes: DataFrame, ordinal: int, snapshot_id: int) -> DataFrame:
     """Stamp one commit's change rows with its ordinal and snapshot id."""
-    rows = row_columns(changes)
-    return changes.select(
-        *map(col, rows),
-        col(CHANGE_TYPE),
-        F.lit(ordinal).cast("int").alias(CHANGE_ORDINAL),
-        F.lit(snapshot_id).cast("long").alias(SNAPSHOT_ID),
+    return changes.selectExpr(
+        *quoted(row_columns(changes)),
+        CHANGE_TYPE,
+        f"CAST({ordinal} AS INT) AS {CHANGE_ORDINAL}",
+        f"CAST({snapshot_id} AS BIGINT) AS {SNAPSHOT_ID}",
     )
-
-

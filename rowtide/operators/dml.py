@@ -11,18 +11,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowtide.model import CHANGE_TYPE, DELETE, INSERT, col, conform
+from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted
 from rowtide.operators.rows import diff_states
 
 
 def insert_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
     """INSERT INTO: every given row, cast to the table's types; keys are not checked."""
-    return conform(rows, state.schema).select(F.lit(INSERT).alias(CHANGE_TYPE), "*")
+    return conform(rows, state.schema).selectExpr(f"'{INSERT}' AS {CHANGE_TYPE}", "*")
 
 
 def delete_rows(state: DataFrame, where: str | Column) -> DataFrame:
     """DELETE FROM ... WHERE: rows for which the predicate is true (null keeps the row)."""
-    return state.where(where).select(F.lit(DELETE).alias(CHANGE_TYPE), "*")
+    return state.where(where).selectExpr(f"'{DELETE}' AS {CHANGE_TYPE}", "*")
 
 
 def update_rows(
@@ -33,14 +33,12 @@ def update_rows(
     if unknown:
         raise ValueError(f"no such columns: {unknown}")
     hit = state if where is None else state.where(where)
-    after = {
-        c: (F.expr(v) if isinstance(v, str) else v).cast(state.schema[c].dataType) for c, v in assignments.items()
-    }
-    images = hit.select("*", *[v.alias(f"_after_{c}") for c, v in after.items()])
-    changed = F.lit(False)
-    for c in after:
-        changed = changed | ~col(c).eqNullSafe(col(f"_after_{c}"))
-    return _both_images(images.where(changed), state.columns, list(after))
+    after = [
+        (F.expr(v) if isinstance(v, str) else v).cast(state.schema[c].dataType).alias(f"_after_{c}")
+        for c, v in assignments.items()
+    ]
+    changed = hit.select("*", *after).where(differs((c, f"_after_{c}") for c in assignments))
+    return _both_images(changed, state.columns, list(assignments))
 
 
 def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,27 +53,23 @@ def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     if not keys:
         raise ValueError("a merge needs key columns")
     source = conform(source, state.schema)
-    keyed = source.where(_all_set(keys))
-    per_key = keyed.groupBy(*map(col, keys)).agg(
-        F.count("*").alias("_rows"), F.first(F.struct(*map(col, source.columns))).alias("_source")
-    )
+    names, on = quoted(keys), list(keys)
+    keyed = source.where(" AND ".join(f"{k} IS NOT NULL" for k in names))
+    whole = ", ".join(quoted(source.columns))
+    per_key = keyed.groupBy(*names).agg(F.expr("count(*) AS _rows"), F.expr(f"any_value(struct({whole})) AS _source"))
     values = [c for c in state.columns if c not in keys]
-    hit = state.join(per_key, list(keys), "inner").select(
-        *map(col, state.columns), col("_rows"), *[col("_source")[c].alias(f"_after_{c}") for c in values]
-    )
-    several = F.raise_error(F.lit("MERGE source has several rows for one row of the table")).cast("boolean")
-    changed = F.lit(False)
-    for c in values:
-        changed = changed | ~col(c).eqNullSafe(col(f"_after_{c}"))
-    matched = _both_images(hit.where(F.when(col("_rows") > 1, several).otherwise(changed)), state.columns, values)
-
-    table_keys = (
-        state.select(*map(col, keys)).join(keyed.select(*map(col, keys)), list(keys), "left_semi").distinct()
+    hit = state.join(per_key, on, "inner").selectExpr(
+        *quoted(state.columns), "_rows", *[f"_source.{q(c)} AS {q('_after_' + c)}" for c in values]
     )
-    new = source.join(table_keys, list(keys), "left_anti").select(
-        F.lit(INSERT).alias(CHANGE_TYPE), *map(col, state.columns)
+    several = "CAST(raise_error('MERGE source has several rows for one row of the table') AS BOOLEAN)"
+    changed = hit.where(f"IF(_rows > 1, {several}, {differs((c, f'_after_{c}') for c in values)})")
+    matched = _both_images(changed, state.columns, values)
+
+    table_keys = state.select(*names).join(keyed.select(*names), on, "left_semi").distinct()
+    new = source.join(table_keys, on, "left_anti").selectExpr(
+        f"'{INSERT}' AS {CHANGE_TYPE}", *quoted(state.columns)
     )
-    return matched.unionByName(new)
+    return matched.unionAll(new)
 
 
 def overwrite_rows(
@@ -93,24 +87,15 @@ def overwrite_rows(
         raise ValueError(f"unknown overwrite mode: {mode!r}")
     if not partition_by:
         raise ValueError("dynamic overwrite needs partition columns")
-    touched = rows.select(*[col(c).alias(f"_new_{c}") for c in partition_by]).distinct()
-    same = F.lit(True)
-    for c in partition_by:
-        same = same & col(c).eqNullSafe(col(f"_new_{c}"))
+    touched = rows.selectExpr(*[f"{q(c)} AS {q('_new_' + c)}" for c in partition_by]).distinct()
+    same = F.expr(" AND ".join(f"{q(c)} <=> {q('_new_' + c)}" for c in partition_by))
     return diff_states(state.join(touched, same, "left_semi"), rows)
 
 
-def _all_set(keys: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for k in keys:
-        present = present & col(k).isNotNull()
-    return present
-
-
-def _both_images(images: DataFrame, columns: Sequence[str], rewritten: Sequence[str]) -> DataFrame:
-    before = F.struct(F.lit(DELETE).alias(CHANGE_TYPE), *map(col, columns))
-    after = F.struct(
-        F.lit(INSERT).alias(CHANGE_TYPE),
-        *[(col(f"_after_{c}") if c in rewritten else col(c)).alias(c) for c in columns],
-    )
-    return images.select(F.inline(F.array(before, after)))
+def _both_images(changed: DataFrame, columns: Sequence[str], rewritten: Sequence[str]) -> DataFrame:
+    after = [q(f"_after_{c}") if c in rewritten else q(c) for c in columns]
+    images = [
+        f"struct('{DELETE}' AS {CHANGE_TYPE}, {', '.join(f'{q(c)} AS {q(c)}' for c in columns)})",
+        f"struct('{INSERT}' AS {CHANGE_TYPE}, {', '.join(f'{a} AS {q(c)}' for a, c in zip(after, columns))})",
+    ]
+    return changed.selectExpr(f"inline(array({', '.join(images)}))")

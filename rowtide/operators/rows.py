@@ -10,116 +10,165 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from rowtide.model import CHANGE_ORDINAL, CHANGE_TYPE, SNAPSHOT_ID, change_type_of, col, row_columns, sign
+from pyspark.sql import DataFrame, functions as F
+
+from rowtide.model import (
+    CHANGE_ORDINAL,
+    CHANGE_TYPE,
+    SIGN,
+    SNAPSHOT_ID,
+    change_type_of,
+    quoted,
+    row_columns,
+)
 
 # One task writes at most this many copies of one row; the rest are spread over other tasks.
-COPIES_PER_TASK = 1 << 16
+COPIES_PER_TASK = 1 << 20
+
+# Up to this many commits, a row's changes are one sum per commit inside a single aggregation.
+INLINE_COMMITS = 16
 
-# Up to this many commits, a row's timeline is one sum per commit inside a single aggregation.
-INLINE_COMMITS = 32
+Commits = Sequence[tuple[int, int]]
 
 
 def row_balance(log: DataFrame, name: str = "_balance") -> DataFrame:
     """One record per distinct row with the sum of its signed changes, zero sums dropped."""
-    rows = row_columns(log)
-    return log.groupBy(*map(col, rows)).agg(F.sum(sign()).alias(name)).where(col(name) != 0)
+    rows = quoted(row_columns(log))
+    return log.groupBy(*rows).agg(F.expr(f"sum({SIGN}) AS {name}")).where(f"{name} != 0")
 
 
-def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
+def repeat_rows(df: DataFrame, copies: str, at_most: int | None = None) -> DataFrame:
     """Each record `copies` times (records with fewer than one copy vanish), without that column.
 
     Ordinary records are unfolded where they are. A record with more than
     `COPIES_PER_TASK` copies is first cut into chunks which are then shuffled, so
-    that no task has to write out a hot row alone. When there is no such record,
-    adaptive execution drops the second branch.
+    that no task has to write out a hot row alone. Adaptive execution drops that
+    branch when it is empty, and a known bound `at_most` can rule it out.
     """
-    rest = [c for c in df.columns if c != copies]
-    n = col(copies)
-    unfold = F.explode(F.array_repeat(F.lit(True), n.cast("int"))).alias("_copy")
-    few = df.where((n >= 1) & (n <= COPIES_PER_TASK)).select(*map(col, rest), unfold)
-
-    last = F.ceil(n / COPIES_PER_TASK).cast("long")
+    rest = quoted(c for c in df.columns if c != copies)
+    few = df.where(f"{copies} >= 1")
+    if at_most is None or at_most > COPIES_PER_TASK:
+        few = few.where(f"{copies} <= {COPIES_PER_TASK}")
+    few = few.selectExpr(*rest, f"explode(array_repeat(TRUE, CAST({copies} AS INT))) AS _copy").drop("_copy")
+    if at_most is not None and at_most <= COPIES_PER_TASK:
+        return few
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = f"least({COPIES_PER_TASK}, {copies} - _chunk * {COPIES_PER_TASK})"
     many = (
-        df.where(n > COPIES_PER_TASK)
-        .select(*map(col, rest), n.alias("_n"), F.explode(F.sequence(F.lit(1).cast("long"), last)).alias("_chunk"))
-        .repartition(tasks, *map(col, rest), col("_chunk"))
-        .withColumn(copies, F.least(F.lit(COPIES_PER_TASK), col("_n") - (col("_chunk") - 1) * COPIES_PER_TASK))
-        .select(*map(col, rest), unfold)
+        df.where(f"{copies} > {COPIES_PER_TASK}")
+        .selectExpr(*rest, copies, f"explode(sequence(0L, ({copies} - 1) DIV {COPIES_PER_TASK})) AS _chunk")
+        .repartition(tasks, *rest, "_chunk")
+        .selectExpr(*rest, f"explode(array_repeat(TRUE, CAST({chunk} AS INT))) AS _copy")
+        .drop("_copy")
     )
-    return few.unionAll(many).drop("_copy")
+    return few.unionAll(many)
 
 
 def diff_states(before: DataFrame, after: DataFrame) -> DataFrame:
     """Change rows that turn `before` into `after`: one shuffle for both directions."""
-    rows = before.columns
-    signed = before.select(*map(col, rows), F.lit(-1).alias("_n")).unionByName(
-        after.select(*map(col, rows), F.lit(1).alias("_n"))
-    )
-    net = signed.groupBy(*map(col, rows)).agg(F.sum("_n").alias("_n")).where("_n != 0")
-    return repeat_rows(
-        net.select(*map(col, rows), change_type_of(col("_n")).alias(CHANGE_TYPE), F.abs("_n").alias("_n")), "_n"
-    )
+    rows = quoted(before.columns)
+    signed = before.selectExpr(*rows, "-1 AS _n").unionByName(after.selectExpr(*rows, "1 AS _n"))
+    net = signed.groupBy(*rows).agg(F.expr("sum(_n) AS _n")).where("_n != 0")
+    return repeat_rows(net.selectExpr(f"{change_type_of('_n')} AS {CHANGE_TYPE}", *rows, "abs(_n) AS _n"), "_n")
 
 
-def row_timelines(log: DataFrame, commits: Sequence[tuple[int, int]] | None = None) -> DataFrame:
-    """One record per distinct row: `_events`, its signed counts by commit, oldest first.
+def inlined(commits: Commits | None) -> bool:
+    return commits is not None and 0 < len(commits) <= INLINE_COMMITS
 
-    `_events` holds at most one entry per commit however often the row was
-    written, so its length is bounded by the number of commits. `commits`, the
-    (ordinal, snapshot id) pairs of the window, lets a short window be summed in
-    one aggregation; a long or unknown one is counted per commit first.
-    """
-    rows = row_columns(log)
-    if commits is not None and len(commits) <= INLINE_COMMITS:
-        sums = [
-            F.sum(F.when(col(SNAPSHOT_ID) == snapshot_id, sign()).otherwise(0)).alias(f"_n{ordinal}")
-            for ordinal, snapshot_id in commits
-        ]
-        events = F.array(
-            *[
-                _event(F.lit(ordinal), F.lit(snapshot_id).cast("long"), col(f"_n{ordinal}"))
-                for ordinal, snapshot_id in sorted(commits)
-            ]
-        )
-        summed = log.groupBy(*map(col, rows)).agg(*sums) if sums else log.limit(0).select(*map(col, rows))
-        timelines = summed.select(*map(col, rows), F.filter(events, lambda e: e["n"] != 0).alias("_events"))
-        return timelines.where(F.size("_events") > 0)
-    return (
-        log.groupBy(*map(col, rows), col(CHANGE_ORDINAL), col(SNAPSHOT_ID))
-        .agg(F.sum(sign()).alias("_n"))
-        .where("_n != 0")
-        .groupBy(*map(col, rows))
-        .agg(F.array_sort(F.collect_list(_event(col(CHANGE_ORDINAL), col(SNAPSHOT_ID), col("_n")))).alias("_events"))
-    )
+
+def sum_names(commits: Commits) -> list[str]:
+    return [f"_n{i}" for i in range(len(commits))]
+
+
+def commit_sums(log: DataFrame, commits: Commits) -> DataFrame:
+    """One record per distinct row, its signed count in each commit as `_n0`, `_n1`, ...: one shuffle."""
+    sums = [
+        F.expr(f"coalesce(sum(IF({SNAPSHOT_ID} = {snapshot_id}, {SIGN}, 0)), 0) AS _n{i}")
+        for i, (_, snapshot_id) in enumerate(commits)
+    ]
+    return log.groupBy(*quoted(row_columns(log))).agg(*sums)
 
 
-def _event(ordinal: Column, snapshot_id: Column, n: Column) -> Column:
-    return F.struct(ordinal.alias("ordinal"), snapshot_id.alias("snapshot_id"), n.cast("long").alias("n"))
+def commit_counts(log: DataFrame) -> DataFrame:
+    """One record per distinct row and commit with its signed count `_n`: for windows of many commits."""
+    keys = [*quoted(row_columns(log)), CHANGE_ORDINAL, SNAPSHOT_ID]
+    return log.groupBy(*keys).agg(F.expr(f"sum({SIGN}) AS _n")).where("_n != 0")
 
 
-def net_events(df: DataFrame) -> DataFrame:
-    """Replace `_events` by what is left of it: the last |balance| changes of the balance's sign.
+def last_changes_of_sums(
+    sums: DataFrame, commits: Commits, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """The last |balance| changes of the balance's sign, from `commit_sums`: plain arithmetic, no shuffle.
 
-    Each step is its own column, so that Catalyst computes it once per record.
+    With `first` and `last` (SQL text), only commits with an ordinal between
+    them count, and ordinals are given from `first` on. Adds `_sign`,
+    `_ordinal`, `_snapshot_id` and `_copies`, one record per commit with
+    something left.
     """
-    rest = [c for c in df.columns if c != "_events"]
-    zero = F.lit(0).cast("long")
-    balance = F.aggregate("_events", zero, lambda acc, e: acc + e["n"])
-    same = F.filter("_events", lambda e: F.signum(e["n"]) == F.signum(col("_balance")))
-
-    def kept(e: Column, i: Column) -> Column:
-        later = F.aggregate(
-            F.slice(col("_same"), i + 2, F.size("_same")), zero, lambda acc, x: acc + F.abs(x["n"])
+    names = sum_names(commits)
+    kept = quoted(c for c in sums.columns if c not in names)
+    start = "0" if first is None else first
+    if first is not None:
+        inside = [f"IF({o} BETWEEN {first} AND {last}, {n}, 0) AS {n}" for n, (o, _) in zip(names, commits)]
+        sums = sums.selectExpr(*kept, *inside)
+    same = (
+        sums.selectExpr("*", f"{' + '.join(names)} AS _balance")
+        .where("_balance != 0")
+        .selectExpr(
+            *kept,
+            "IF(_balance > 0, 1, -1) AS _sign",
+            "abs(_balance) AS _balance",
+            *[f"greatest(IF(_balance > 0, {n}, -{n}), 0) AS {n}" for n in names],
+        )
+    )
+    changes = []
+    for i, (ordinal, snapshot_id) in enumerate(commits):
+        left = " - ".join(["_balance", *names[i + 1 :]])
+        changes.append(
+            f"struct({ordinal} - {start} AS ordinal, {snapshot_id}L AS snapshot_id, "
+            f"greatest(least({names[i]}, {left}), 0) AS copies)"
         )
-        left = F.least(F.abs(e["n"]), F.abs(col("_balance")) - later)
-        return e.withField("n", F.greatest(left, zero) * F.signum(col("_balance")).cast("long"))
+    return (
+        same.selectExpr(*kept, "_sign", f"explode(array({', '.join(changes)})) AS _change")
+        .where("_change.copies > 0")
+        .selectExpr(
+            *kept,
+            "_sign",
+            "_change.ordinal AS _ordinal",
+            "_change.snapshot_id AS _snapshot_id",
+            "_change.copies AS _copies",
+        )
+    )
 
+
+def last_changes_of_counts(counts: DataFrame, *within: str) -> DataFrame:
+    """The same from `commit_counts`. A group is one row, at most one record per commit."""
+    rows = quoted(c for c in row_columns(counts) if c != "_n")
+    group = ", ".join(quoted(dict.fromkeys([*within, *(c for c in row_columns(counts) if c != "_n")])))
     return (
-        df.withColumn("_balance", balance)
+        counts.selectExpr("*", f"sum(_n) OVER (PARTITION BY {group}) AS _balance")
         .where("_balance != 0")
-        .withColumn("_same", same)
-        .select(*map(col, rest), F.filter(F.transform("_same", kept), lambda e: e["n"] != 0).alias("_events"))
+        .selectExpr("*", "IF(signum(_n) = signum(_balance), abs(_n), 0) AS _same")
+        .selectExpr(
+            "*", f"sum(_same) OVER (PARTITION BY {group} ORDER BY {CHANGE_ORDINAL} DESC) - _same AS _later"
+        )
+        .selectExpr(
+            *rows,
+            "IF(_balance > 0, 1, -1) AS _sign",
+            f"{CHANGE_ORDINAL} AS _ordinal",
+            f"{SNAPSHOT_ID} AS _snapshot_id",
+            "least(_same, abs(_balance) - _later) AS _copies",
+        )
+        .where("_copies > 0")
     )
+
+
+def as_change_rows(left: DataFrame, columns: Sequence[str], at_most: int | None = None) -> DataFrame:
+    """Counted changes (`_sign`, `_ordinal`, `_snapshot_id`, `_copies`) as change rows with these columns."""
+    texts = {
+        CHANGE_TYPE: f"{change_type_of('_sign')} AS {CHANGE_TYPE}",
+        CHANGE_ORDINAL: f"CAST(_ordinal AS INT) AS {CHANGE_ORDINAL}",
+        SNAPSHOT_ID: f"_snapshot_id AS {SNAPSHOT_ID}",
+    }
+    counted = left.selectExpr(*[texts.get(c) or quoted([c])[0] for c in columns], "_copies")
+    return repeat_rows(counted, "_copies", at_most)

@@ -17,10 +17,19 @@ from rowtide.model import (
     CHANGE_TYPES,
     SNAPSHOT_ID,
     change_type_of,
-    col,
+    quoted,
     row_columns,
 )
-from rowtide.operators.rows import net_events, repeat_rows, row_timelines
+from rowtide.operators.rows import (
+    Commits,
+    as_change_rows,
+    commit_counts,
+    commit_sums,
+    inlined,
+    last_changes_of_counts,
+    last_changes_of_sums,
+    sum_names,
+)
 
 WINDOW_SCHEMA = "title string, start_ordinal int, end_ordinal int"
 
@@ -58,16 +67,13 @@ def all_windows(labels: DataFrame) -> DataFrame:
 
     `labels` has `label` and `ordinal`; each commit unfolds its own list of starts.
     """
-    ends = labels.select(
-        col("label").alias("_end"),
-        col("ordinal").cast("int").alias("end_ordinal"),
-        F.explode(F.sequence(F.lit(-1), col("ordinal").cast("int") - 1)).alias("_start"),
+    ends = labels.selectExpr(
+        "label AS _end", "CAST(ordinal AS INT) AS end_ordinal", "explode(sequence(-1, CAST(ordinal AS INT) - 1)) AS _start"
     )
-    starts = labels.select(col("label").alias("_from"), col("ordinal").cast("int").alias("_start"))
-    start = F.coalesce(col("_from"), F.lit("beginning"))
-    return ends.join(starts, "_start", "left").select(
-        F.concat(F.lit("("), start, F.lit(", "), col("_end"), F.lit("]")).alias("title"),
-        F.when(col("_start") >= 0, col("_start")).alias("start_ordinal"),
+    starts = labels.selectExpr("label AS _from", "CAST(ordinal AS INT) AS _start")
+    return ends.join(starts, "_start", "left").selectExpr(
+        "concat('(', coalesce(_from, 'beginning'), ', ', _end, ']') AS title",
+        "IF(_start >= 0, _start, NULL) AS start_ordinal",
         "end_ordinal",
     )
 
@@ -92,12 +98,9 @@ def case_windows(
 
 def _commits_of(windows: DataFrame) -> DataFrame:
     """One record per window and commit ordinal inside it."""
-    first = F.coalesce(col("start_ordinal") + 1, F.lit(0))
-    inside = windows.where(first <= col("end_ordinal"))
-    return inside.select(
-        col("title").alias("window"),
-        first.alias("_first"),
-        F.explode(F.sequence(first, col("end_ordinal"))).alias("_ordinal"),
+    first = "coalesce(start_ordinal + 1, 0)"
+    return windows.where(f"{first} <= end_ordinal").selectExpr(
+        "title AS window", f"{first} AS _first", f"explode(sequence({first}, end_ordinal)) AS _ordinal"
     )
 
 
@@ -106,120 +109,118 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_RECORDS + 1).count() <= BROADCAST_RECORDS else df
 
 
-def raw_windows(log: DataFrame, windows: DataFrame) -> DataFrame:
-    """RAW change rows of every window: an equi-join on the commit ordinal."""
-    inside = _small(_commits_of(windows))
-    hit = log.join(inside, log[CHANGE_ORDINAL] == inside["_ordinal"])
-    return hit.select(
-        "window",
-        F.lit("RAW").alias("mode"),
-        *map(col, row_columns(log)),
-        col(CHANGE_TYPE),
-        (col(CHANGE_ORDINAL) - col("_first")).cast("int").alias(CHANGE_ORDINAL),
-        col(SNAPSHOT_ID),
-    )
+def _literal(windows: DataFrame) -> str | None:
+    """A short window list as SQL text of an array of (title, first, last); None when it is long or empty."""
+    known = windows.limit(LITERAL_WINDOWS + 1).collect()
+    if not 0 < len(known) <= LITERAL_WINDOWS:
+        return None
+    texts = [
+        f"struct('{_escaped(w.title)}' AS title, {0 if w.start_ordinal is None else w.start_ordinal + 1} AS first, "
+        f"{w.end_ordinal} AS last)"
+        for w in known
+    ]
+    return f"array({', '.join(texts)})"
 
 
-def _events_by_window(timelines: DataFrame, windows: DataFrame) -> DataFrame:
-    """Each timeline once per window that holds some of its events, cut down to those events.
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
-    A list of up to `LITERAL_WINDOWS` windows becomes a literal and every record
-    unfolds it on the spot. A longer one is joined by commit ordinal.
-    """
-    rest = [c for c in timelines.columns if c != "_events"]
-    first = F.coalesce(col("start_ordinal") + 1, F.lit(0))
-    known = windows.select("title", first.alias("first"), "end_ordinal").limit(LITERAL_WINDOWS + 1).collect()
-    if not known:
-        return timelines.limit(0).withColumn("window", F.lit(""))
-    if len(known) <= LITERAL_WINDOWS:
-        listed = F.array(
-            *[F.struct(F.lit(t).alias("title"), F.lit(f).alias("first"), F.lit(e).alias("last")) for t, f, e in known]
-        )
-        first, last = F.col("_window.first"), F.col("_window.last")
-        inside = F.filter("_events", lambda e: (e["ordinal"] >= first) & (e["ordinal"] <= last))
-        return (
-            timelines.withColumn("_window", F.explode(listed))
-            .select(
-                *map(col, rest),
-                F.col("_window.title").alias("window"),
-                F.transform(inside, lambda e: e.withField("ordinal", e["ordinal"] - first)).alias("_events"),
-            )
-            .where(F.size("_events") > 0)
-        )
+
+def raw_windows(log: DataFrame, windows: DataFrame) -> DataFrame:
+    """RAW change rows of every window: an equi-join on the commit ordinal."""
     inside = _small(_commits_of(windows))
-    event = F.struct(
-        (F.col("_e.ordinal") - col("_first")).alias("ordinal"),
-        F.col("_e.snapshot_id").alias("snapshot_id"),
-        F.col("_e.n").alias("n"),
-    )
-    return (
-        timelines.withColumn("_timeline", col("_events"))
-        .withColumn("_e", F.explode("_events"))
-        .join(inside, F.col("_e.ordinal") == col("_ordinal"))
-        .groupBy(*map(col, rest), "_timeline", "window")
-        .agg(F.array_sort(F.collect_list(event)).alias("_events"))
-        .drop("_timeline")
+    return log.join(inside, log[CHANGE_ORDINAL] == inside["_ordinal"]).selectExpr(
+        "window",
+        "'RAW' AS mode",
+        *quoted(row_columns(log)),
+        CHANGE_TYPE,
+        f"CAST({CHANGE_ORDINAL} - _first AS INT) AS {CHANGE_ORDINAL}",
+        SNAPSHOT_ID,
     )
 
 
 def net_windows(
-    log: DataFrame, windows: DataFrame, commits: Sequence[tuple[int, int]] | None = None
+    log: DataFrame, windows: DataFrame, commits: Commits | None = None, at_most: int | None = None
 ) -> DataFrame:
-    """NET change rows of every window; the log is shuffled once, whatever the number of windows."""
+    """NET change rows of every window.
+
+    With few commits and a short list, the log is shuffled once and each row
+    works out its windows on the spot. Otherwise the rows, counted per commit,
+    are joined to the windows by ordinal and shuffled once more.
+    """
     rows = row_columns(log)
-    left = net_events(_events_by_window(row_timelines(log, commits), windows))
-    changes = left.select("window", *map(col, rows), F.explode("_events").alias("_e")).select(
-        "window",
-        F.lit("NET").alias("mode"),
-        *map(col, rows),
-        change_type_of(F.col("_e.n")).alias(CHANGE_TYPE),
-        F.col("_e.ordinal").cast("int").alias(CHANGE_ORDINAL),
-        F.col("_e.snapshot_id").alias(SNAPSHOT_ID),
-        F.abs(F.col("_e.n")).alias("_copies"),
-    )
-    return repeat_rows(changes, "_copies")
+    listed = _literal(windows) if inlined(commits) else None
+    if listed is not None:
+        each = commit_sums(log, commits).selectExpr("*", f"explode({listed}) AS _window")
+        left = last_changes_of_sums(each, commits, "_window.first", "_window.last")
+        left = left.selectExpr("*", "_window.title AS window", "'NET' AS mode")
+    else:
+        counts = commit_counts(log)
+        inside = _small(_commits_of(windows))
+        hit = counts.join(inside, counts[CHANGE_ORDINAL] == inside["_ordinal"]).selectExpr(
+            "window", *quoted(rows), f"{CHANGE_ORDINAL} - _first AS {CHANGE_ORDINAL}", SNAPSHOT_ID, "_n"
+        )
+        left = last_changes_of_counts(hit, "window").selectExpr("*", "'NET' AS mode")
+    return as_change_rows(left, ["window", "mode", *rows, CHANGE_TYPE, CHANGE_ORDINAL, SNAPSHOT_ID], at_most)
 
 
 def changelog_windows(
-    log: DataFrame, windows: DataFrame, commits: Sequence[tuple[int, int]] | None = None
+    log: DataFrame, windows: DataFrame, commits: Commits | None = None, at_most: int | None = None
 ) -> DataFrame:
     """RAW and NET change rows of every window, marked by `window` and `mode`."""
-    return raw_windows(log, windows).unionByName(net_windows(log, windows, commits))
+    return raw_windows(log, windows).unionByName(net_windows(log, windows, commits, at_most))
 
 
 def raw_window_counts(log: DataFrame, windows: DataFrame) -> DataFrame:
     """(window, mode, type, n) without touching a row twice: count per commit, then add up."""
-    per_commit = log.groupBy(col(CHANGE_ORDINAL), col(CHANGE_TYPE)).agg(F.count("*").alias("n"))
+    per_commit = log.groupBy(CHANGE_ORDINAL, CHANGE_TYPE).agg(F.expr("count(*) AS n"))
     inside = _small(_commits_of(windows))
-    return (
-        per_commit.join(inside, per_commit[CHANGE_ORDINAL] == inside["_ordinal"])
-        .groupBy("window", F.lit("RAW").alias("mode"), col(CHANGE_TYPE))
-        .agg(F.sum("n").alias("n"))
-    )
+    hit = per_commit.join(inside, per_commit[CHANGE_ORDINAL] == inside["_ordinal"])
+    return hit.groupBy("window", F.expr("'RAW' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
 
 
-def net_window_counts(
-    log: DataFrame, windows: DataFrame, commits: Sequence[tuple[int, int]] | None = None
-) -> DataFrame:
+def net_window_counts(log: DataFrame, windows: DataFrame, commits: Commits | None = None) -> DataFrame:
     """(window, mode, type, n) of the NET changes from one shuffle of the log.
 
-    Rows written by the same commits have equal timelines, so windows are worked
-    out once per distinct timeline, not once per row.
+    Rows changed by the same commits in the same way are counted together
+    before any window is looked at, so the windows cost next to nothing.
     """
-    balance = F.aggregate("_events", F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
-    timelines = row_timelines(log, commits).groupBy("_events").agg(F.count("*").alias("_rows"))
+    rows = quoted(row_columns(log))
+    listed = _literal(windows) if inlined(commits) else None
+    if listed is not None:
+        names = sum_names(commits)
+        alike = commit_sums(log, commits).groupBy(*names).agg(F.expr("count(*) AS _rows"))
+        inside = [f"IF({o} BETWEEN _window.first AND _window.last, {n}, 0)" for n, (o, _) in zip(names, commits)]
+        balances = alike.selectExpr("*", f"explode({listed}) AS _window").selectExpr(
+            "_window.title AS window", f"{' + '.join(inside)} AS _balance", "_rows"
+        )
+    else:
+        events = f"array_sort(collect_list(struct({CHANGE_ORDINAL} AS ordinal, _n AS n))) AS _events"
+        alike = (
+            commit_counts(log)
+            .groupBy(*rows)
+            .agg(F.expr(events))
+            .groupBy("_events")
+            .agg(F.expr("count(*) AS _rows"))
+        )
+        inside = _small(_commits_of(windows))
+        balances = (
+            alike.selectExpr("_events", "_rows", "explode(_events) AS _event")
+            .join(inside, F.expr("_event.ordinal = _ordinal"))
+            .groupBy("window", "_events", "_rows")
+            .agg(F.expr("sum(_event.n) AS _balance"))
+        )
+    change_type = F.expr(f"{change_type_of('_balance')} AS {CHANGE_TYPE}")
     return (
-        _events_by_window(timelines, windows)
-        .select("window", balance.alias("_balance"), "_rows")
-        .where("_balance != 0")
-        .groupBy("window", F.lit("NET").alias("mode"), change_type_of(col("_balance")).alias(CHANGE_TYPE))
-        .agg(F.sum(F.abs("_balance") * col("_rows")).alias("n"))
+        balances.where("_balance != 0")
+        .groupBy("window", F.expr("'NET' AS mode"), change_type)
+        .agg(F.expr("sum(abs(_balance) * _rows) AS n"))
     )
 
 
 def change_counts(changes: DataFrame, *labels: Column) -> DataFrame:
     """Number of change rows by label columns and type."""
-    return changes.groupBy(*labels, col(CHANGE_TYPE)).agg(F.count("*").alias("n"))
+    return changes.groupBy(*labels, CHANGE_TYPE).agg(F.expr("count(*) AS n"))
 
 
 def change_matrix(counts: DataFrame) -> DataFrame:
@@ -234,7 +235,7 @@ def change_matrix(counts: DataFrame) -> DataFrame:
 
 
 def window_matrix(
-    log: DataFrame, windows: DataFrame, commits: Sequence[tuple[int, int]] | None = None
+    log: DataFrame, windows: DataFrame, commits: Commits | None = None
 ) -> DataFrame:
     """The change matrix of many windows from two passes over the log, RAW and NET."""
     return change_matrix(raw_window_counts(log, windows).unionByName(net_window_counts(log, windows, commits)))

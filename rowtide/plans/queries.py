@@ -180,7 +180,7 @@ def case_window_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def case_window_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = orders_history(spark, sf_dir)
-    changes = w.changelog_windows(h.log(), _case_windows(h), h.commit_pairs())
+    changes = w.changelog_windows(h.log(), _case_windows(h), h.commit_pairs(), h.rows_changed())
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return changes.groupBy("window", "mode", SNAPSHOT_ID, "_change_ordinal", CHANGE_TYPE).agg(
         F.count("*").alias("n"), F.sum(cents).alias("cents")

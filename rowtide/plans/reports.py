@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rowtide.model import CHANGE_TYPE, SNAPSHOT_ID, col
+from rowtide.model import CHANGE_TYPE, SNAPSHOT_ID, q, quoted
 from rowtide.sources.history import History
 
 # The status of a partition in a snapshot.
@@ -26,27 +26,24 @@ def snapshot_listing(history: History) -> DataFrame:
 
 def snapshot_labels(history: History) -> DataFrame:
     """S0, S1, ... in commit order. The window runs over the commits only, one record each."""
-    position = F.row_number().over(Window.orderBy("committed_at", "snapshot_id")) - 1
+    position = "row_number() OVER (ORDER BY committed_at, snapshot_id) - 1 AS ordinal"
     return (
         history.snapshots()
-        .select("snapshot_id", position.alias("ordinal"))
-        .select(F.concat(F.lit("S"), col("ordinal")).alias("label"), "snapshot_id", "ordinal")
+        .selectExpr("snapshot_id", position)
+        .selectExpr("concat('S', ordinal) AS label", "snapshot_id", "ordinal")
     )
 
 
 def snapshot_summary(history: History) -> DataFrame:
     """The counters of each commit, read from its summary map."""
-    summary = F.col("summary")
+    counters = ["added-records", "deleted-records", "changed-partition-count", "total-records"]
     return (
         history.snapshots()
-        .select(
+        .selectExpr(
             "snapshot_id",
             "parent_id",
             "operation",
-            summary["added-records"].cast("long").alias("added_records"),
-            summary["deleted-records"].cast("long").alias("deleted_records"),
-            summary["changed-partition-count"].cast("long").alias("changed_partition_count"),
-            summary["total-records"].cast("long").alias("total_records"),
+            *[f"CAST(summary['{c}'] AS BIGINT) AS {c.replace('-', '_')}" for c in counters],
         )
         .orderBy("snapshot_id")
     )
@@ -59,21 +56,22 @@ def snapshot_ids(history: History) -> DataFrame:
 
 def first_and_latest(history: History) -> DataFrame:
     """First and latest snapshot id by commit time."""
-    at = F.struct("committed_at", "snapshot_id")
+    at = "struct(committed_at, snapshot_id)"
     return history.snapshots().agg(
-        F.min_by("snapshot_id", at).alias("first_snapshot_id"), F.max_by("snapshot_id", at).alias("latest_snapshot_id")
+        F.expr(f"min_by(snapshot_id, {at}) AS first_snapshot_id"),
+        F.expr(f"max_by(snapshot_id, {at}) AS latest_snapshot_id"),
     )
 
 
 def first_value(df: DataFrame, column: str, *order: str):
     """The column's value in the first record by `order` (default: by itself), None without records."""
-    row = df.orderBy(*(order or (column,))).select(col(column)).first()
+    row = df.orderBy(*(order or (column,))).select(q(column)).first()
     return None if row is None else row[0]
 
 
 def last_value(df: DataFrame, column: str):
     """The column's largest value."""
-    return df.agg(F.max(col(column))).first()[0]
+    return df.agg(F.max(q(column))).first()[0]
 
 
 def assert_commit_count(history: History, expected: int) -> None:
@@ -85,16 +83,16 @@ def assert_commit_count(history: History, expected: int) -> None:
 
 def counts_by_commit(log: DataFrame) -> DataFrame:
     """Number of changes by commit and type; on a stored log this reads directory names and footers only."""
-    return log.groupBy(col(SNAPSHOT_ID), col(CHANGE_TYPE)).agg(F.count("*").alias("n"))
+    return log.groupBy(SNAPSHOT_ID, CHANGE_TYPE).agg(F.expr("count(*) AS n"))
 
 
 def counts_by_type(log: DataFrame) -> DataFrame:
-    return log.groupBy(col(CHANGE_TYPE)).agg(F.count("*").alias("n"))
+    return log.groupBy(CHANGE_TYPE).agg(F.expr("count(*) AS n"))
 
 
 def counts_by_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of changes by key and type."""
-    return changes.groupBy(*map(col, keys), col(CHANGE_TYPE)).agg(F.count("*").alias("n"))
+    return changes.groupBy(*quoted(keys), CHANGE_TYPE).agg(F.expr("count(*) AS n"))
 
 
 def partition_entries(history: History) -> DataFrame:
@@ -104,29 +102,25 @@ def partition_entries(history: History) -> DataFrame:
     if it has rows after; an untouched one with rows is EXISTING. Computed from
     the stored per-commit counts, so the log itself is not read.
     """
-    values = history.partition_by
-    touches = history.partition_counts().withColumnRenamed(SNAPSHOT_ID, "snapshot_id")
-    in_order = Window.partitionBy(*map(col, values)).orderBy("snapshot_id")
-    after = F.sum(col("added") - col("deleted")).over(in_order)
-    until = F.lead("snapshot_id").over(in_order)
+    values = quoted(history.partition_by)
     last = history.commits[-1].snapshot_id if history.commits else 0
-    touched = touches.select(
-        *map(col, values),
-        "snapshot_id",
-        after.alias("_after"),
-        (after - col("added") + col("deleted")).alias("_before"),
-        F.coalesce(until, F.lit(last + 1)).alias("_until"),
-    )
-    status = F.array_compact(
-        F.array(F.when(col("_before") > 0, F.lit(DELETED)), F.when(col("_after") > 0, F.lit(ADDED)))
+    in_order = f"OVER ({'PARTITION BY ' + ', '.join(values) if values else ''} ORDER BY snapshot_id)"
+    touched = (
+        history.partition_counts()
+        .withColumnRenamed(SNAPSHOT_ID, "snapshot_id")
+        .selectExpr(
+            "*",
+            f"sum(added - deleted) {in_order} AS _after",
+            f"coalesce(lead(snapshot_id) {in_order}, {last + 1}) AS _until",
+        )
     )
-    changed = touched.select("snapshot_id", *map(col, values), F.explode(status).alias("status"))
-    kept = touched.where((col("_after") > 0) & (col("_until") > col("snapshot_id") + 1)).select(
-        F.explode(F.sequence(col("snapshot_id") + 1, col("_until") - 1)).alias("snapshot_id"),
-        *map(col, values),
-        F.lit(EXISTING).alias("status"),
+    had, has = "_after - added + deleted > 0", "_after > 0"
+    status = f"array_compact(array(IF({had}, '{DELETED}', NULL), IF({has}, '{ADDED}', NULL)))"
+    changed = touched.selectExpr("snapshot_id", *values, f"explode({status}) AS status")
+    kept = touched.where(f"{has} AND _until > snapshot_id + 1").selectExpr(
+        "explode(sequence(snapshot_id + 1, _until - 1)) AS snapshot_id", *values, f"'{EXISTING}' AS status"
     )
-    return changed.unionByName(kept)
+    return changed.unionAll(kept)
 
 
 def entry_counts(history: History) -> DataFrame:
@@ -134,6 +128,6 @@ def entry_counts(history: History) -> DataFrame:
     return (
         partition_entries(history)
         .groupBy("snapshot_id", "status")
-        .agg(F.count("*").alias("cnt"))
+        .agg(F.expr("count(*) AS cnt"))
         .orderBy("snapshot_id", "status")
     )

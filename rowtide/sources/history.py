@@ -30,7 +30,8 @@ from rowtide.model import (
     METADATA_FIELDS,
     SNAPSHOT_ID,
     SNAPSHOT_SCHEMA,
-    col,
+    q,
+    quoted,
 )
 from rowtide.operators import dml
 from rowtide.operators.changelog import label_updates, net_changes, net_changes_by_key
@@ -129,20 +130,19 @@ class History:
         """
         snapshot_id = self.latest() + 1 if self.commits else 1
         layout = [CHANGE_TYPE, *self.partition_by]
-        rows = changes.select(*map(col, layout), *[col(c) for c in self.schema.fieldNames() if c not in layout])
+        rows = changes.select(*quoted([*layout, *(c for c in self.schema.fieldNames() if c not in layout)]))
         if self.partition_by:
             rows = rows.where(self._distinct_directories()).hint("rebalance", *layout)
         target = f"{self.path}/changes/{SNAPSHOT_ID}={snapshot_id}"
         _replace(rows).partitionBy(*layout).parquet(target)
 
-        added = F.sum((col(CHANGE_TYPE) == INSERT).cast("long")).alias("added")
-        deleted = F.sum((col(CHANGE_TYPE) == DELETE).cast("long")).alias("deleted")
-        per_partition = self._read_changes([snapshot_id]).groupBy(*map(col, self.partition_by)).agg(added, deleted)
+        counts = [F.expr(f"count_if({CHANGE_TYPE} = '{t}') AS {n}") for t, n in ((INSERT, "added"), (DELETE, "deleted"))]
+        per_partition = self._read_changes([snapshot_id]).groupBy(*quoted(self.partition_by)).agg(*counts)
         per_partition = per_partition.where("added + deleted > 0")
         counted = f"{self.path}/partitions/{SNAPSHOT_ID}={snapshot_id}"
         _replace(per_partition).parquet(counted)
         sums = self._read_partitions([snapshot_id]).agg(
-            F.coalesce(F.sum("added"), F.lit(0)), F.coalesce(F.sum("deleted"), F.lit(0)), F.count("*")
+            F.expr("coalesce(sum(added), 0)"), F.expr("coalesce(sum(deleted), 0)"), F.expr("count(*)")
         )
         n_added, n_deleted, n_partitions = sums.first()
         if n_added + n_deleted == 0:
@@ -159,26 +159,23 @@ class History:
             "changed-partition-count": n_partitions,
             "total-records": total,
         }
-        entries = [F.lit(x) for k, v in summary.items() for x in (k, str(v))]
-        row = self.spark.range(1).select(
-            F.lit(snapshot_id).cast("long").alias("snapshot_id"),
-            F.lit(self.commits[-1].snapshot_id if self.commits else None).cast("long").alias("parent_id"),
-            (F.lit(committed_at).cast("timestamp") if committed_at else F.current_timestamp()).alias("committed_at"),
-            F.lit(operation).alias("operation"),
-            F.create_map(*entries).alias("summary"),
+        entries = ", ".join(f"'{k}', '{v}'" for k, v in summary.items())
+        row = self.spark.range(1).selectExpr(
+            f"CAST({snapshot_id} AS BIGINT) AS snapshot_id",
+            f"CAST({self.commits[-1].snapshot_id if self.commits else 'NULL'} AS BIGINT) AS parent_id",
+            f"{_timestamp(committed_at)} AS committed_at",
+            f"'{operation}' AS operation",
+            f"map({entries}) AS summary",
         )
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/snapshots")
         self.commits.append(commit)
         return snapshot_id
 
-    def _distinct_directories(self) -> Column:
+    def _distinct_directories(self) -> str:
         """Fail on an empty string in a partition column: as a directory it would come back as null."""
-        fine = F.lit(True)
-        message = F.lit("an empty string cannot be a partition value")
-        for c in self.partition_by:
-            if isinstance(self.schema[c].dataType, T.StringType):
-                fine = fine & F.when(col(c) == "", F.raise_error(message).cast("boolean")).otherwise(True)
-        return fine
+        fail = "CAST(raise_error('an empty string cannot be a partition value') AS BOOLEAN)"
+        strings = [c for c in self.partition_by if isinstance(self.schema[c].dataType, T.StringType)]
+        return " AND ".join(f"IF({q(c)} = '', {fail}, TRUE)" for c in strings) or "TRUE"
 
     def insert(self, rows: DataFrame, committed_at: datetime | None = None) -> int | None:
         return self.append_commit(dml.insert_rows(self._empty(), rows), committed_at)
@@ -224,6 +221,10 @@ class History:
         inside = self._window(start, end)
         return [(i, c.snapshot_id) for i, c in enumerate(inside)]
 
+    def rows_changed(self, start: int | None = None, end: int | None = None) -> int:
+        """Number of change rows in a window, known from the commits."""
+        return sum(c.added + c.deleted for c in self._window(start, end))
+
     def _window(self, start: int | None, end: int | None) -> list[Commit]:
         known = {c.snapshot_id for c in self.commits}
         unknown = [i for i in (start, end) if i is not None and i not in known]
@@ -242,11 +243,11 @@ class History:
         inside = self._window(start, end)
         rows = self._read_changes([c.snapshot_id for c in inside])
         first = inside[0].snapshot_id if inside else 1
-        return rows.select(
-            *map(col, self.schema.fieldNames()),
-            col(CHANGE_TYPE),
-            (col(SNAPSHOT_ID) - first).cast("int").alias(CHANGE_ORDINAL),
-            col(SNAPSHOT_ID),
+        return rows.selectExpr(
+            *quoted(self.schema.fieldNames()),
+            CHANGE_TYPE,
+            f"CAST({SNAPSHOT_ID} - {first} AS INT) AS {CHANGE_ORDINAL}",
+            SNAPSHOT_ID,
         )
 
     def changelog(
@@ -266,7 +267,7 @@ class History:
         if net:
             if keys:
                 return net_changes_by_key(log, keys)
-            return net_changes(log, self.commit_pairs(start, end))
+            return net_changes(log, self.commit_pairs(start, end), self.rows_changed(start, end))
         return label_updates(log, keys or self.keys) if updates else log
 
     def state_at(self, snapshot_id: int | None = None) -> DataFrame:
@@ -282,25 +283,26 @@ class History:
         through = self._window(None, snapshot_id)
         base = max((i for i in self._stored_states() if i <= snapshot_id), default=None)
         todo = [c for c in through if base is None or c.snapshot_id > base]
-        names = [*map(col, self.schema.fieldNames())]
-        changes = self._read_changes([c.snapshot_id for c in todo]).select(col(CHANGE_TYPE), *names)
-        inserts = changes.where(col(CHANGE_TYPE) == INSERT)
+        names = quoted(self.schema.fieldNames())
+        changes = self._read_changes([c.snapshot_id for c in todo]).select(CHANGE_TYPE, *names)
+        inserts = changes.where(f"{CHANGE_TYPE} = '{INSERT}'")
+        deletes = changes.where(f"{CHANGE_TYPE} = '{DELETE}'")
         if base is not None:
             stored = self.spark.read.schema(self.schema).parquet(self._state_path(base))
-            inserts = stored.select(F.lit(INSERT).alias(CHANGE_TYPE), *names).unionAll(inserts)
-        deletes = changes.where(col(CHANGE_TYPE) == DELETE)
+            inserts = stored.selectExpr(f"'{INSERT}' AS {CHANGE_TYPE}", *names).unionAll(inserts)
 
         n_deleted = sum(c.deleted for c in todo)
-        n_inserted = sum(c.added for c in through) - sum(c.deleted for c in through) + n_deleted
+        n_inserted = sum(c.added - c.deleted for c in through) + n_deleted
         if n_deleted == 0:
             return inserts.select(*names)
         if n_deleted <= BROADCAST_DELETES and n_deleted * 10 <= n_inserted:
-            gone = F.broadcast(deletes.select(F.xxhash64(*names).alias("_hash")))
-            matches = F.xxhash64(*names) == col("_hash")
+            row_hash = f"xxhash64({', '.join(names)})"
+            gone = F.broadcast(deletes.selectExpr(f"{row_hash} AS _hash"))
+            matches = F.expr(f"{row_hash} = _hash")
             untouched = inserts.join(gone, matches, "left_anti").select(*names)
             touched = inserts.join(gone, matches, "left_semi").unionAll(deletes)
-            return untouched.unionAll(repeat_rows(row_balance(touched), "_balance"))
-        return repeat_rows(row_balance(inserts.unionAll(deletes)), "_balance")
+            return untouched.unionAll(repeat_rows(row_balance(touched), "_balance", n_inserted))
+        return repeat_rows(row_balance(inserts.unionAll(deletes)), "_balance", n_inserted)
 
     def current(self) -> DataFrame:
         return self.state_at()
@@ -377,6 +379,11 @@ def create_changelog_view(
     return changes
 
 
+def _timestamp(at: datetime | None) -> str:
+    """Without an offset, a time is meant in the session's time zone."""
+    return "current_timestamp()" if at is None else f"TIMESTAMP '{at.isoformat(sep=' ')}'"
+
+
 def _has_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.MapType):
         return True
