@@ -1,0 +1,173 @@
+"""Stored histories: layout, pruning, safety of commits, versions."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from rowtide import History
+from rowtide.operators import rows as row_ops
+from rowtide.plans import reports
+from scripts import bag, new_history, rows, seven_commits
+
+SCHEMA = "k BIGINT, p STRING, v INT"
+
+
+def put(spark, *values):
+    return spark.createDataFrame(list(values), SCHEMA)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_open_again(spark, tmp_path):
+    h = seven_commits(spark, tmp_path / "h")
+    again = History.open(spark, h.path)
+    assert (again.schema, again.keys, again.partition_by, again.commits) == (h.schema, h.keys, h.partition_by, h.commits)
+    assert bag(again.current()) == bag(h.current())
+    assert bag(reports.snapshot_ids(again)) == {(i,): 1 for i in range(1, 8)}
+
+
+def test_bounds_of_windows(spark, tmp_path):
+    h = seven_commits(spark, tmp_path / "h")
+    assert h.changelog(3, 3).count() == 0
+    assert h.changelog(3, 3, net=True).count() == 0
+    with pytest.raises(ValueError, match="after its end"):
+        h.changelog(4, 3)
+    with pytest.raises(ValueError, match="unknown snapshot ids"):
+        h.changelog(None, 99)
+    with pytest.raises(ValueError, match="unknown snapshot ids"):
+        h.state_at(0)
+
+
+def test_scan_is_pruned(spark, tmp_path):
+    h = seven_commits(spark, tmp_path / "h")
+    plan = plan_of(h.changelog(2, 4, net=True).where("company_id = 10"))
+    assert "Location: InMemoryFileIndex(2 paths)" in plan
+    assert "PartitionFilters: [isnotnull(company_id" in plan
+    assert "ReadSchema: struct<>" in plan_of(reports.counts_by_commit(h.log()))
+
+
+def test_net_needs_one_exchange(spark, tmp_path):
+    h = seven_commits(spark, tmp_path / "h")
+    assert plan_of(h.changelog(net=True)).count("Exchange") == 1
+    assert plan_of(h.current()).count("Exchange") == 1
+
+
+def test_nothing_changed_is_no_commit(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    assert h.insert(put(spark)) is None
+    assert h.insert(put(spark, (1, "x", 1))) == 1
+    assert h.delete("k = 2") is None
+    assert h.update({"v": "v"}) is None
+    assert h.insert(put(spark, (2, "y", 2))) == 2
+    assert bag(h.current()) == {(1, "x", 1): 1, (2, "y", 2): 1}
+    assert h.snapshots().count() == 2
+
+
+def test_unfinished_commit_is_not_seen_and_is_replaced(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)))
+    left_over = put(spark, (7, "x", 7)).selectExpr("k", "v", "p")
+    left_over.write.parquet(f"{h.path}/changes/_commit_snapshot_id=2/_change_type=INSERT/p=z")
+    assert bag(History.open(spark, h.path).current()) == {(1, "x", 1): 1}
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert h.insert(put(spark, (2, "x", 2))) == 2
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert bag(h.current()) == {(1, "x", 1): 1, (2, "x", 2): 1}
+
+
+def test_second_writer_is_noticed(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)))
+    other = History.open(spark, h.path)
+    h.insert(put(spark, (2, "x", 2)))
+    with pytest.raises(RuntimeError, match="another writer"):
+        other.insert(put(spark, (3, "x", 3)))
+
+
+def test_partition_values_survive(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, None, 1), (2, "007", 2), (3, "a/b=c d", 3), (4, "1.0", 4)))
+    assert bag(h.current()) == {(1, None, 1): 1, (2, "007", 2): 1, (3, "a/b=c d", 3): 1, (4, "1.0", 4): 1}
+    with pytest.raises(Exception, match="empty string"):
+        h.insert(put(spark, (5, "", 5)))
+
+
+def test_declarations_are_checked(spark, tmp_path):
+    for schema, keys, parts, message in [
+        ("m MAP<STRING, INT>", [], [], "map columns"),
+        ("s STRUCT<m: ARRAY<MAP<INT, INT>>>", [], [], "map columns"),
+        ("d DOUBLE", [], ["d"], "cannot partition"),
+        ("k INT", ["x"], [], "no such columns"),
+        ("_k INT", [], [], "reserved"),
+    ]:
+        with pytest.raises(ValueError, match=message):
+            History.create(spark, str(tmp_path / "bad"), schema, keys, parts)
+    new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    with pytest.raises(Exception, match="already exists"):
+        new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+
+
+def test_versions_with_few_deletes_and_stored_versions(spark, tmp_path):
+    """The broadcast path, the stored version and the plain sum give the same rows."""
+    h = new_history(spark, tmp_path / "h", SCHEMA, [], ["p"])
+    many = spark.range(200).selectExpr("id % 90 AS k", "CAST(id % 3 AS STRING) AS p", "CAST(id % 2 AS INT) AS v")
+    h.insert(many)
+    h.delete("k = 5 AND p = '2'")
+    h.insert(many.where("k = 5"))
+    h.update({"v": "v + 10"}, "k = 7")
+    expected = bag(many.where("NOT (k = 5 AND p = '2') AND k <> 7")) + bag(many.where("k = 5"))
+    expected += bag(many.where("k = 7").selectExpr("k", "p", "v + 10"))
+    assert "LeftAnti" in plan_of(h.current())
+    assert bag(h.current()) == expected
+    h.materialize(2)
+    assert len(h._stored_states()) == 1
+    assert bag(h.current()) == expected
+    h.materialize()
+    assert plan_of(h.current()).count("Exchange") == 0
+    assert bag(h.current()) == expected
+    assert bag(h.state_at(1)) == bag(many)
+
+
+def test_commit_times(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    at = datetime(2025, 8, 1, 12, 30, 15, 250000)
+    h.insert(put(spark, (1, "x", 1)), at)
+    h.insert(put(spark, (2, "x", 1)))
+    times = [r[0] for r in h.snapshots().orderBy("snapshot_id").selectExpr("CAST(committed_at AS STRING)").collect()]
+    assert times[0] == "2025-08-01 12:30:15.25"
+    assert times[1] > times[0]
+
+
+def test_hot_row_is_spread_over_tasks(spark, tmp_path, monkeypatch):
+    """Copies of one row beyond the limit of a task are written by several tasks, all of them."""
+    monkeypatch.setattr(row_ops, "COPIES_PER_TASK", 10)
+    h = new_history(spark, tmp_path / "h", SCHEMA, [], ["p"])
+    h.insert(spark.range(1500).selectExpr("IF(id < 995, 1, id) AS k", "'x' AS p", "0 AS v"))
+    h.delete("k > 1000")
+    net = h.changelog(net=True)
+    for rows in (h.current(), net):
+        assert rows.count() == 1001
+        hot = rows.where("k = 1")
+        assert hot.count() == 995
+        assert hot.selectExpr("spark_partition_id() AS t").distinct().count() > 4
+    assert bag(net, "k", "_change_type")[(1, "INSERT")] == 995
+
+
+def test_unpartitioned_history(spark, tmp_path):
+    h = History.create(spark, str(tmp_path / "h"), SCHEMA)
+    h.insert(put(spark, (1, "", 1), (2, None, 2)))
+    h.delete("k = 1")
+    assert bag(h.current()) == {(2, None, 2): 1}
+    assert bag(reports.entry_counts(h)) == {(1, "ADDED", 1): 1, (2, "DELETED", 1): 1, (2, "ADDED", 1): 1}
+
+
+def test_timestamps_and_rows_of_the_script(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h")
+    h.insert(rows(spark, (1, 10, "2025-08-01T10:00:00", 2, "a")))
+    assert h.current().first()["created_at"] == datetime(2025, 8, 1, 10)
