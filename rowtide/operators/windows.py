@@ -104,31 +104,37 @@ def _commits_of(windows: DataFrame) -> DataFrame:
     )
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast after counting; a longer list takes part in an ordinary shuffle join."""
-    return F.broadcast(df) if df.limit(BROADCAST_RECORDS + 1).count() <= BROADCAST_RECORDS else df
-
-
-def _literal(windows: DataFrame) -> str | None:
-    """A short window list as SQL text of an array of (title, first, last); None when it is long or empty."""
+def _listed(windows: DataFrame) -> list[tuple[str, int, int]] | None:
+    """A short window list as (title, first, last) ordinals; None when it is long."""
     known = windows.limit(LITERAL_WINDOWS + 1).collect()
-    if not 0 < len(known) <= LITERAL_WINDOWS:
+    if len(known) > LITERAL_WINDOWS:
         return None
-    texts = [
-        f"struct('{_escaped(w.title)}' AS title, {0 if w.start_ordinal is None else w.start_ordinal + 1} AS first, "
-        f"{w.end_ordinal} AS last)"
-        for w in known
-    ]
+    return [(w.title, 0 if w.start_ordinal is None else w.start_ordinal + 1, w.end_ordinal) for w in known]
+
+
+def _literal(listed: list[tuple[str, int, int]]) -> str:
+    """SQL text of an array of (title, first, last)."""
+    texts = [f"struct({_text(title)} AS title, {first} AS first, {last} AS last)" for title, first, last in listed]
     return f"array({', '.join(texts)})"
 
 
-def _escaped(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _small(pairs: DataFrame, listed: list[tuple[str, int, int]] | None) -> DataFrame:
+    """Broadcast the commits of windows where their number is known; otherwise an ordinary shuffle join follows."""
+    if listed is not None:
+        n = sum(max(0, last - first + 1) for _, first, last in listed)
+    else:
+        n = pairs.limit(BROADCAST_RECORDS + 1).count()
+    return F.broadcast(pairs) if n <= BROADCAST_RECORDS else pairs
 
 
 def raw_windows(log: DataFrame, windows: DataFrame) -> DataFrame:
     """RAW change rows of every window: an equi-join on the commit ordinal."""
-    inside = _small(_commits_of(windows))
+    inside = _small(_commits_of(windows), _listed(windows))
     return log.join(inside, log[CHANGE_ORDINAL] == inside["_ordinal"]).selectExpr(
         "window",
         "'RAW' AS mode",
@@ -149,14 +155,14 @@ def net_windows(
     are joined to the windows by ordinal and shuffled once more.
     """
     rows = row_columns(log)
-    listed = _literal(windows) if inlined(commits) else None
-    if listed is not None:
-        each = commit_sums(log, commits).selectExpr("*", f"explode({listed}) AS _window")
+    listed = _listed(windows)
+    if listed and inlined(commits):
+        each = commit_sums(log, commits).selectExpr("*", f"explode({_literal(listed)}) AS _window")
         left = last_changes_of_sums(each, commits, "_window.first", "_window.last")
         left = left.selectExpr("*", "_window.title AS window", "'NET' AS mode")
     else:
         counts = commit_counts(log)
-        inside = _small(_commits_of(windows))
+        inside = _small(_commits_of(windows), listed)
         hit = counts.join(inside, counts[CHANGE_ORDINAL] == inside["_ordinal"]).selectExpr(
             "window", *quoted(rows), f"{CHANGE_ORDINAL} - _first AS {CHANGE_ORDINAL}", SNAPSHOT_ID, "_n"
         )
@@ -174,8 +180,16 @@ def changelog_windows(
 def raw_window_counts(log: DataFrame, windows: DataFrame) -> DataFrame:
     """(window, mode, type, n) without touching a row twice: count per commit, then add up."""
     per_commit = log.groupBy(CHANGE_ORDINAL, CHANGE_TYPE).agg(F.expr("count(*) AS n"))
-    inside = _small(_commits_of(windows))
-    hit = per_commit.join(inside, per_commit[CHANGE_ORDINAL] == inside["_ordinal"])
+    listed = _listed(windows)
+    if listed:
+        hit = (
+            per_commit.selectExpr("*", f"explode({_literal(listed)}) AS _window")
+            .where(f"{CHANGE_ORDINAL} BETWEEN _window.first AND _window.last")
+            .selectExpr("*", "_window.title AS window")
+        )
+    else:
+        inside = _small(_commits_of(windows), listed)
+        hit = per_commit.join(inside, per_commit[CHANGE_ORDINAL] == inside["_ordinal"])
     return hit.groupBy("window", F.expr("'RAW' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
 
 
@@ -185,36 +199,35 @@ def net_window_counts(log: DataFrame, windows: DataFrame, commits: Commits | Non
     Rows changed by the same commits in the same way are counted together
     before any window is looked at, so the windows cost next to nothing.
     """
-    rows = quoted(row_columns(log))
-    listed = _literal(windows) if inlined(commits) else None
-    if listed is not None:
+    listed = _listed(windows)
+    if listed and inlined(commits):
         names = sum_names(commits)
         alike = commit_sums(log, commits).groupBy(*names).agg(F.expr("count(*) AS _rows"))
         inside = [f"IF({o} BETWEEN _window.first AND _window.last, {n}, 0)" for n, (o, _) in zip(names, commits)]
-        balances = alike.selectExpr("*", f"explode({listed}) AS _window").selectExpr(
-            "_window.title AS window", f"{' + '.join(inside)} AS _balance", "_rows"
+        balances = alike.selectExpr("*", f"explode({_literal(listed)}) AS _window").selectExpr(
+            "_window.title AS window", f"({' + '.join(inside)}) * _rows AS _balance"
         )
     else:
         events = f"array_sort(collect_list(struct({CHANGE_ORDINAL} AS ordinal, _n AS n))) AS _events"
         alike = (
             commit_counts(log)
-            .groupBy(*rows)
+            .groupBy(*quoted(row_columns(log)))
             .agg(F.expr(events))
             .groupBy("_events")
             .agg(F.expr("count(*) AS _rows"))
         )
-        inside = _small(_commits_of(windows))
+        inside = _small(_commits_of(windows), listed)
         balances = (
             alike.selectExpr("_events", "_rows", "explode(_events) AS _event")
             .join(inside, F.expr("_event.ordinal = _ordinal"))
             .groupBy("window", "_events", "_rows")
-            .agg(F.expr("sum(_event.n) AS _balance"))
+            .agg(F.expr("sum(_event.n) * _rows AS _balance"))
         )
     change_type = F.expr(f"{change_type_of('_balance')} AS {CHANGE_TYPE}")
     return (
         balances.where("_balance != 0")
         .groupBy("window", F.expr("'NET' AS mode"), change_type)
-        .agg(F.expr("sum(abs(_balance) * _rows) AS n"))
+        .agg(F.expr("sum(abs(_balance)) AS n"))
     )
 
 
@@ -234,8 +247,18 @@ def change_matrix(counts: DataFrame) -> DataFrame:
     )
 
 
-def window_matrix(
-    log: DataFrame, windows: DataFrame, commits: Commits | None = None
-) -> DataFrame:
+def window_matrix(log: DataFrame, windows: DataFrame, commits: Commits | None = None) -> DataFrame:
     """The change matrix of many windows from two passes over the log, RAW and NET."""
+    listed = _listed(windows)
+    if listed is not None:
+        windows = fixed_windows(log.sparkSession, listed)
     return change_matrix(raw_window_counts(log, windows).unionByName(net_window_counts(log, windows, commits)))
+
+
+def fixed_windows(spark: SparkSession, listed: Sequence[tuple[str, int, int]]) -> DataFrame:
+    """Windows given as (title, first, last) commit ordinals, without a file behind them."""
+    if not listed:
+        return spark.createDataFrame([], WINDOW_SCHEMA)
+    return spark.range(1).selectExpr(f"inline({_literal(list(listed))})").selectExpr(
+        "title", "IF(first > 0, first - 1, NULL) AS start_ordinal", "last AS end_ordinal"
+    )
