@@ -27,6 +27,7 @@ from rowtide.operators.rows import (
     inlined,
     last_changes_of_counts,
     last_changes_of_sums,
+    split_untouched,
 )
 
 
@@ -43,14 +44,20 @@ def changelog(log: DataFrame, start: int | None, end: int) -> DataFrame:
     )
 
 
-def net_changes(log: DataFrame, commits: Commits | None = None, at_most: int | None = None) -> DataFrame:
+def net_changes(
+    log: DataFrame, commits: Commits | None = None, at_most: int | None = None, rare: str | None = None
+) -> DataFrame:
     """Opposite changes of the same row cancelled across commits.
 
     What is left of a row are its last |balance| changes of the balance's sign,
     with their own commit metadata. When `commits`, the (ordinal, snapshot id)
     pairs of the log, are given and few, one shuffle on the row does it, of
     records already summed per task. `at_most` bounds the copies of a row.
+    `rare` names a change type with few rows: only rows it met are shuffled.
     """
+    if rare is not None:
+        untouched, touched = split_untouched(log, rare)
+        return untouched.unionAll(net_changes(touched, commits, at_most))
     if inlined(commits):
         left = last_changes_of_sums(commit_sums(log, commits), commits)
     else:

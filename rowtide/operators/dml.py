@@ -7,12 +7,12 @@ A row that is rewritten with equal values is not a change.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted
-from rowtide.operators.rows import diff_states
+from rowtide.operators.rows import BROADCAST_HASHES, diff_states
 
 
 def insert_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
@@ -41,20 +41,27 @@ def update_rows(
     return _both_images(changed, state.columns, list(assignments))
 
 
-def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+Narrowing = Callable[[DataFrame], DataFrame]
+
+
+def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str], narrow: bool = True) -> DataFrame:
     """MERGE ... ON keys WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *.
 
     The source is reduced to one record per key before it meets the table, so
     the join never multiplies rows and both of its sides may be split where a
-    key is hot. No side is forced to be broadcast: Catalyst does so from the
-    sizes it knows. Null keys match nothing, so their source rows are inserted.
-    A key with several source rows fails the write when the table has that key.
+    key is hot. When the source is counted to be small, the table is first cut
+    down to rows with one of its key hashes, before any shuffle of the table.
+    Null keys match nothing, so their source rows are inserted. A key with
+    several source rows fails the write when the table has that key. `narrow`
+    is false when the caller has cut the table down itself.
     """
     if not keys:
         raise ValueError("a merge needs key columns")
     source = conform(source, state.schema)
     names, on = quoted(keys), list(keys)
     keyed = source.where(" AND ".join(f"{k} IS NOT NULL" for k in names))
+    if narrow:
+        state = rows_with_keys_of(source, keys)(state)
     whole = ", ".join(quoted(source.columns))
     per_key = keyed.groupBy(*names).agg(F.expr("count(*) AS _rows"), F.expr(f"any_value(struct({whole})) AS _source"))
     values = [c for c in state.columns if c not in keys]
@@ -72,6 +79,26 @@ def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     return matched.unionAll(new)
 
 
+def rows_with_keys_of(source: DataFrame, keys: Sequence[str]) -> Narrowing:
+    """Cut rows down to those with a key hash of the source; leaves them whole when the source is large.
+
+    It only looks at key columns, so it may be applied to a version's rows or
+    to the changes that they are summed from.
+    """
+    key_hash = f"xxhash64({', '.join(quoted(keys))})"
+    hashes = source.selectExpr(f"{key_hash} AS _hash")
+    if hashes.limit(BROADCAST_HASHES + 1).count() > BROADCAST_HASHES:
+        return lambda rows: rows
+    return lambda rows: rows.join(F.broadcast(hashes), F.expr(f"{key_hash} = _hash"), "left_semi")
+
+
+def rows_in_partitions_of(source: DataFrame, partition_by: Sequence[str]) -> Narrowing:
+    """Cut rows down to those whose partition occurs in the source."""
+    touched = source.selectExpr(*[f"{q(c)} AS {q('_new_' + c)}" for c in partition_by]).distinct()
+    same = F.expr(" AND ".join(f"{q(c)} <=> {q('_new_' + c)}" for c in partition_by))
+    return lambda rows: rows.join(touched, same, "left_semi")
+
+
 def overwrite_rows(
     state: DataFrame, rows: DataFrame, mode: str = "static", partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -87,9 +114,7 @@ def overwrite_rows(
         raise ValueError(f"unknown overwrite mode: {mode!r}")
     if not partition_by:
         raise ValueError("dynamic overwrite needs partition columns")
-    touched = rows.selectExpr(*[f"{q(c)} AS {q('_new_' + c)}" for c in partition_by]).distinct()
-    same = F.expr(" AND ".join(f"{q(c)} <=> {q('_new_' + c)}" for c in partition_by))
-    return diff_states(state.join(touched, same, "left_semi"), rows)
+    return diff_states(rows_in_partitions_of(rows, partition_by)(state), rows)
 
 
 def _both_images(changed: DataFrame, columns: Sequence[str], rewritten: Sequence[str]) -> DataFrame:

@@ -25,6 +25,9 @@ from rowtide.model import (
 # One task writes at most this many copies of one row; the rest are spread over other tasks.
 COPIES_PER_TASK = 1 << 20
 
+# At most this many 8-byte hashes of rows or keys are broadcast.
+BROADCAST_HASHES = 1_000_000
+
 # Up to this many commits, a row's changes are one sum per commit inside a single aggregation.
 INLINE_COMMITS = 16
 
@@ -64,6 +67,20 @@ def repeat_rows(df: DataFrame, copies: str, at_most: int | None = None) -> DataF
     return few.unionAll(many)
 
 
+def split_untouched(log: DataFrame, rare: str) -> tuple[DataFrame, DataFrame]:
+    """Split a log by a change type that few rows have: changes nothing can cancel, and the others.
+
+    8-byte hashes of the rare changes' rows are broadcast, so the caller must
+    know their number. A hash met by chance only sends a row the longer way.
+    """
+    row_hash = f"xxhash64({', '.join(quoted(row_columns(log)))})"
+    few = log.where(f"{CHANGE_TYPE} = '{rare}'")
+    many = log.where(f"{CHANGE_TYPE} <> '{rare}'")
+    hashes = F.broadcast(few.selectExpr(f"{row_hash} AS _hash"))
+    met = F.expr(f"{row_hash} = _hash")
+    return many.join(hashes, met, "left_anti"), many.join(hashes, met, "left_semi").unionAll(few)
+
+
 def diff_states(before: DataFrame, after: DataFrame) -> DataFrame:
     """Change rows that turn `before` into `after`: one shuffle for both directions."""
     rows = quoted(before.columns)

@@ -28,6 +28,7 @@ from rowtide.operators.rows import (
     inlined,
     last_changes_of_counts,
     last_changes_of_sums,
+    split_untouched,
     sum_names,
 )
 
@@ -146,14 +147,22 @@ def raw_windows(log: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def net_windows(
-    log: DataFrame, windows: DataFrame, commits: Commits | None = None, at_most: int | None = None
+    log: DataFrame,
+    windows: DataFrame,
+    commits: Commits | None = None,
+    at_most: int | None = None,
+    rare: str | None = None,
 ) -> DataFrame:
-    """NET change rows of every window.
+    """NET change rows of every window; see `net_changes` for the arguments.
 
     With few commits and a short list, the log is shuffled once and each row
     works out its windows on the spot. Otherwise the rows, counted per commit,
     are joined to the windows by ordinal and shuffled once more.
     """
+    if rare is not None:
+        untouched, touched = split_untouched(log, rare)
+        unchanged = raw_windows(untouched, windows).withColumn("mode", F.lit("NET"))
+        return unchanged.unionByName(net_windows(touched, windows, commits, at_most))
     rows = row_columns(log)
     listed = _listed(windows)
     if listed and inlined(commits):
@@ -171,10 +180,14 @@ def net_windows(
 
 
 def changelog_windows(
-    log: DataFrame, windows: DataFrame, commits: Commits | None = None, at_most: int | None = None
+    log: DataFrame,
+    windows: DataFrame,
+    commits: Commits | None = None,
+    at_most: int | None = None,
+    rare: str | None = None,
 ) -> DataFrame:
     """RAW and NET change rows of every window, marked by `window` and `mode`."""
-    return raw_windows(log, windows).unionByName(net_windows(log, windows, commits, at_most))
+    return raw_windows(log, windows).unionByName(net_windows(log, windows, commits, at_most, rare))
 
 
 def raw_window_counts(log: DataFrame, windows: DataFrame) -> DataFrame:
@@ -193,12 +206,20 @@ def raw_window_counts(log: DataFrame, windows: DataFrame) -> DataFrame:
     return hit.groupBy("window", F.expr("'RAW' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
 
 
-def net_window_counts(log: DataFrame, windows: DataFrame, commits: Commits | None = None) -> DataFrame:
+def net_window_counts(
+    log: DataFrame, windows: DataFrame, commits: Commits | None = None, rare: str | None = None
+) -> DataFrame:
     """(window, mode, type, n) of the NET changes from one shuffle of the log.
 
     Rows changed by the same commits in the same way are counted together
-    before any window is looked at, so the windows cost next to nothing.
+    before any window is looked at, so the windows cost next to nothing. With a
+    `rare` change type, rows it never met are counted like RAW changes.
     """
+    if rare is not None:
+        untouched, touched = split_untouched(log, rare)
+        unchanged = raw_window_counts(untouched, windows).withColumn("mode", F.lit("NET"))
+        parts = unchanged.unionByName(net_window_counts(touched, windows, commits))
+        return parts.groupBy("window", "mode", CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
     listed = _listed(windows)
     if listed and inlined(commits):
         names = sum_names(commits)
@@ -247,12 +268,15 @@ def change_matrix(counts: DataFrame) -> DataFrame:
     )
 
 
-def window_matrix(log: DataFrame, windows: DataFrame, commits: Commits | None = None) -> DataFrame:
+def window_matrix(
+    log: DataFrame, windows: DataFrame, commits: Commits | None = None, rare: str | None = None
+) -> DataFrame:
     """The change matrix of many windows from two passes over the log, RAW and NET."""
     listed = _listed(windows)
     if listed is not None:
         windows = fixed_windows(log.sparkSession, listed)
-    return change_matrix(raw_window_counts(log, windows).unionByName(net_window_counts(log, windows, commits)))
+    net = net_window_counts(log, windows, commits, rare)
+    return change_matrix(raw_window_counts(log, windows).unionByName(net))
 
 
 def fixed_windows(spark: SparkSession, listed: Sequence[tuple[str, int, int]]) -> DataFrame:

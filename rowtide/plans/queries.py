@@ -165,7 +165,7 @@ def all_windows_net_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def change_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = orders_history(spark, sf_dir)
-    return w.window_matrix(h.log(), _all_windows(h), h.commit_pairs())
+    return h.matrix(_all_windows(h))
 
 
 def change_matrix_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,12 +175,12 @@ def change_matrix_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def case_window_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = orders_history(spark, sf_dir)
-    return w.window_matrix(h.log(), _case_windows(h), h.commit_pairs())
+    return h.matrix(_case_windows(h))
 
 
 def case_window_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = orders_history(spark, sf_dir)
-    changes = w.changelog_windows(h.log(), _case_windows(h), h.commit_pairs(), h.rows_changed())
+    changes = h.window_changes(_case_windows(h))
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return changes.groupBy("window", "mode", SNAPSHOT_ID, "_change_ordinal", CHANGE_TYPE).agg(
         F.count("*").alias("n"), F.sum(cents).alias("cents")

@@ -30,19 +30,18 @@ from rowtide.model import (
     METADATA_FIELDS,
     SNAPSHOT_ID,
     SNAPSHOT_SCHEMA,
+    conform,
     q,
     quoted,
 )
 from rowtide.operators import dml
 from rowtide.operators.changelog import label_updates, net_changes, net_changes_by_key
-from rowtide.operators.rows import repeat_rows, row_balance
+from rowtide.operators.rows import BROADCAST_HASHES, diff_states, repeat_rows, row_balance, split_untouched
+from rowtide.operators.windows import changelog_windows, window_matrix
 
 # Partition values are kept as directory names; these types survive that unchanged.
 PARTITION_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.BooleanType)
 
-# With few deletes, 8-byte hashes of the deleted rows are broadcast: at most this many.
-BROADCAST_DELETES = 1_000_000
-
 
 @dataclass(frozen=True)
 class Commit:
@@ -194,11 +193,16 @@ class History:
     def merge(
         self, source: DataFrame, keys: Sequence[str] | None = None, committed_at: datetime | None = None
     ) -> int | None:
-        return self.append_commit(dml.merge_rows(self.current(), source, keys or self.keys), committed_at)
+        source, keys = conform(source, self.schema), keys or self.keys
+        state = self.state_at(keep=dml.rows_with_keys_of(source, keys)) if keys else self.current()
+        return self.append_commit(dml.merge_rows(state, source, keys, narrow=False), committed_at)
 
     def overwrite(self, rows: DataFrame, mode: str = "static", committed_at: datetime | None = None) -> int | None:
-        changes = dml.overwrite_rows(self.current(), rows, mode, self.partition_by)
-        return self.append_commit(changes, committed_at)
+        rows = conform(rows, self.schema)
+        if mode == "dynamic" and self.partition_by:
+            state = self.state_at(keep=dml.rows_in_partitions_of(rows, self.partition_by))
+            return self.append_commit(diff_states(state, rows), committed_at)
+        return self.append_commit(dml.overwrite_rows(self.current(), rows, mode, self.partition_by), committed_at)
 
     # -- reading -----------------------------------------------------------
 
@@ -225,6 +229,27 @@ class History:
         """Number of change rows in a window, known from the commits."""
         return sum(c.added + c.deleted for c in self._window(start, end))
 
+    def one_sided(self, start: int | None = None, end: int | None = None) -> bool:
+        """Whether a window has only INSERTs or only DELETEs, so that nothing can cancel."""
+        inside = self._window(start, end)
+        return not any(c.added for c in inside) or not any(c.deleted for c in inside)
+
+    def rare_change(self, start: int | None = None, end: int | None = None) -> str | None:
+        """The change type so rare in a window that its rows' hashes can be broadcast, if there is one."""
+        inside = self._window(start, end)
+        added, deleted = sum(c.added for c in inside), sum(c.deleted for c in inside)
+        if _is_rare(deleted, added):
+            return DELETE
+        return INSERT if _is_rare(added, deleted) else None
+
+    def matrix(self, windows: DataFrame) -> DataFrame:
+        """RAW and NET counts of many windows by change type."""
+        return window_matrix(self.log(), windows, self.commit_pairs(), self.rare_change())
+
+    def window_changes(self, windows: DataFrame) -> DataFrame:
+        """RAW and NET change rows of many windows."""
+        return changelog_windows(self.log(), windows, self.commit_pairs(), self.rows_changed(), self.rare_change())
+
     def _window(self, start: int | None, end: int | None) -> list[Commit]:
         known = {c.snapshot_id for c in self.commits}
         unknown = [i for i in (start, end) if i is not None and i not in known]
@@ -267,15 +292,28 @@ class History:
         if net:
             if keys:
                 return net_changes_by_key(log, keys)
-            return net_changes(log, self.commit_pairs(start, end), self.rows_changed(start, end))
-        return label_updates(log, keys or self.keys) if updates else log
-
-    def state_at(self, snapshot_id: int | None = None) -> DataFrame:
+            if self.one_sided(start, end):
+                return log
+            pairs, at_most = self.commit_pairs(start, end), self.rows_changed(start, end)
+            return net_changes(log, pairs, at_most, self.rare_change(start, end))
+        return self._labelled(log, start, end, keys or self.keys) if updates else log
+
+    def _labelled(self, log: DataFrame, start: int | None, end: int | None, keys: Sequence[str]) -> DataFrame:
+        """Only commits with both changes can hold pairs; the others are not shuffled."""
+        mixed = [c.snapshot_id for c in self._window(start, end) if c.added and c.deleted]
+        if not mixed:
+            return log
+        among = f"{SNAPSHOT_ID} IN ({', '.join(map(str, mixed))})"
+        return log.where(f"NOT {among}").unionAll(label_updates(log.where(among), keys))
+
+    def state_at(self, snapshot_id: int | None = None, keep: dml.Narrowing | None = None) -> DataFrame:
         """The table's rows at a version (default: the latest).
 
         Starts from the last stored version before it, if any. Without deletes
         the inserted rows are the answer. With few deletes, only rows whose hash
         is among the deleted ones are shuffled; otherwise all changes are, once.
+        Predicates on the result reach the scan by themselves; `keep` is for
+        joins, which do not: it is applied to the changes before they are summed.
         """
         if not self.commits:
             return self._empty()
@@ -290,18 +328,16 @@ class History:
         if base is not None:
             stored = self.spark.read.schema(self.schema).parquet(self._state_path(base))
             inserts = stored.selectExpr(f"'{INSERT}' AS {CHANGE_TYPE}", *names).unionAll(inserts)
+        if keep is not None:
+            inserts, deletes = keep(inserts), keep(deletes)
 
         n_deleted = sum(c.deleted for c in todo)
         n_inserted = sum(c.added - c.deleted for c in through) + n_deleted
         if n_deleted == 0:
             return inserts.select(*names)
-        if n_deleted <= BROADCAST_DELETES and n_deleted * 10 <= n_inserted:
-            row_hash = f"xxhash64({', '.join(names)})"
-            gone = F.broadcast(deletes.selectExpr(f"{row_hash} AS _hash"))
-            matches = F.expr(f"{row_hash} = _hash")
-            untouched = inserts.join(gone, matches, "left_anti").select(*names)
-            touched = inserts.join(gone, matches, "left_semi").unionAll(deletes)
-            return untouched.unionAll(repeat_rows(row_balance(touched), "_balance", n_inserted))
+        if _is_rare(n_deleted, n_inserted):
+            untouched, touched = split_untouched(inserts.unionAll(deletes), DELETE)
+            return untouched.select(*names).unionAll(repeat_rows(row_balance(touched), "_balance", n_inserted))
         return repeat_rows(row_balance(inserts.unionAll(deletes)), "_balance", n_inserted)
 
     def current(self) -> DataFrame:
@@ -359,6 +395,10 @@ class History:
         return self.spark.read.option("basePath", root).schema(schema).parquet(*paths)
 
 
+def _is_rare(few: int, many: int) -> bool:
+    return few <= BROADCAST_HASHES and few * 10 <= many
+
+
 def _replace(rows: DataFrame) -> DataFrameWriter:
     """Replace the whole target directory, whatever overwrite mode the session has."""
     return rows.write.mode("overwrite").option("partitionOverwriteMode", "static")

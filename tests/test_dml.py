@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from rowtide import delete_rows, diff_states, insert_rows, key_violations, merge_rows, overwrite_rows, update_rows
+from rowtide.operators import dml
 from scripts import bag
 
 SCHEMA = "k BIGINT, p INT, v STRING"
@@ -63,6 +64,14 @@ def test_merge_resolves_columns_by_name(spark):
     assert bag(merge_rows(state, source, ["k"])) == {("DELETE", 1, 1, "a"): 1, ("INSERT", 1, 1, "b"): 1}
 
 
+def test_merge_of_a_large_source_gives_the_same(spark, monkeypatch):
+    state = df(spark, (1, 1, "a"), (2, 1, "b"), (None, 1, "n"))
+    source = df(spark, (1, 1, "z"), (3, 1, "c"), (None, 1, "n"))
+    small = bag(merge_rows(state, source, ["k"]))
+    monkeypatch.setattr(dml, "BROADCAST_HASHES", 1)
+    assert bag(merge_rows(state, source, ["k"])) == small
+
+
 def test_merge_with_two_source_rows_for_one_row_fails(spark):
     state = df(spark, (1, 1, "a"))
     source = df(spark, (1, 1, "b"), (1, 1, "c"))

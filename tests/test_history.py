@@ -6,8 +6,8 @@ from datetime import datetime
 
 import pytest
 
-from rowtide import History
-from rowtide.operators import rows as row_ops
+from rowtide import History, all_windows, net_changes, window_matrix
+from rowtide.operators import dml, rows as row_ops
 from rowtide.plans import reports
 from scripts import bag, new_history, rows, seven_commits
 
@@ -134,6 +134,39 @@ def test_versions_with_few_deletes_and_stored_versions(spark, tmp_path):
     assert bag(h.state_at(1)) == bag(many)
 
 
+def test_net_with_few_deletes(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, [], ["p"])
+    many = spark.range(200).selectExpr("id % 90 AS k", "CAST(id % 3 AS STRING) AS p", "CAST(id % 2 AS INT) AS v")
+    h.insert(many)
+    assert bag(h.changelog(net=True)) == bag(h.changelog())
+    h.delete("k = 5")
+    h.insert(many.where("k = 5 AND p <> '2'"))
+    assert h.rare_change() == "DELETE"
+    assert "LeftAnti" in plan_of(h.changelog(net=True))
+    assert bag(h.changelog(net=True)) == bag(net_changes(h.log()))
+    assert bag(h.matrix(all_windows(reports.snapshot_labels(h)))) == bag(
+        window_matrix(h.log(), all_windows(reports.snapshot_labels(h)))
+    )
+
+
+def test_merge_reads_only_matching_rows(spark, tmp_path):
+    """The key hashes of a small source reach the scan, below the sum of the changes."""
+    h = seven_commits(spark, tmp_path / "h")
+    source = rows(spark, (2, 10, "2025-09-01", 1, "x"))
+    state = h.state_at(keep=dml.rows_with_keys_of(source, h.keys))
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join LeftSemi") < plan.index("Relation")
+    assert bag(state, "id", "payload") == {(2, '{"k":"B2"}'): 1}
+
+
+def test_predicates_reach_the_scan(spark, tmp_path):
+    h = seven_commits(spark, tmp_path / "h")
+    plan = plan_of(h.current().where("company_id = 10 AND id = 1"))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert all("EqualTo(id,1)" in s and "company_id" in s[s.index("PartitionFilters") : s.index("PushedFilters")] for s in scans)
+
+
 def test_commit_times(spark, tmp_path):
     h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
     at = datetime(2025, 8, 1, 12, 30, 15, 250000)

@@ -93,15 +93,15 @@ def test_all_windows_agree_with_the_model(spark, scripts):
                 for kind, row in commits[o]:
                     raw[(title, s, *row, kind, o - start - 1, o + 1)] += 1
     columns = ["window", "script", "k", "v", "_change_type", "_change_ordinal", "_commit_snapshot_id"]
-    for commits in (COMMITS, None):
-        changes = changelog_windows(log, windows, commits)
+    for commits, rare in ((COMMITS, None), (None, None), (COMMITS, "DELETE"), (COMMITS, "INSERT")):
+        changes = changelog_windows(log, windows, commits, rare=rare)
         assert bag(changes.where("mode = 'NET'"), *columns) == net
         assert bag(changes.where("mode = 'RAW'"), *columns) == raw
         counts = Counter()
         for mode, found in (("NET", net), ("RAW", raw)):
             for key, n in found.items():
                 counts[(key[0], mode, key[4])] += n
-        matrix = window_matrix(log, windows, commits).collect()
+        matrix = window_matrix(log, windows, commits, rare).collect()
         assert {(r["window"], r["mode"], t): r[t] for r in matrix for t in ("INSERT", "DELETE") if r[t]} == counts
     log.unpersist()
 
@@ -116,6 +116,8 @@ def test_versions_and_net_agree(spark, scripts):
         pairs = [(o - start - 1, i) for o, i in COMMITS if start < o <= end]
         by_sums, by_counts = net_changes(inside, pairs), net_changes(inside)
         assert bag(by_sums) == bag(by_counts)
+        for rare in ("DELETE", "INSERT"):
+            assert bag(net_changes(inside, pairs, rare=rare)) == bag(by_sums)
         assert bag(net_changes(by_sums, pairs)) == bag(by_sums)
         states = [
             repeat_rows(row_balance(log.where(f"_change_ordinal <= {o}").drop(*meta)), "_balance") for o in (start, end)
