@@ -32,8 +32,6 @@ from rowtide.operators.rows import (
     sum_names,
 )
 
-WINDOW_SCHEMA = "title string, start_ordinal int, end_ordinal int"
-
 # A metadata table is broadcast when it was counted to have at most this many records.
 BROADCAST_RECORDS = 200_000
 
@@ -93,8 +91,8 @@ def case_windows(
         whole = start in ("0", end)
         if not whole and ordinals[start] > ordinals[end]:
             raise ValueError(f"window {name} starts after its end")
-        rows.append((f"{name} {start}..{end}", None if whole else ordinals[start], ordinals[end]))
-    return spark.createDataFrame(rows, WINDOW_SCHEMA)
+        rows.append((f"{name} {start}..{end}", 0 if whole else ordinals[start] + 1, ordinals[end]))
+    return fixed_windows(spark, rows)
 
 
 def _commits_of(windows: DataFrame) -> DataFrame:
@@ -282,7 +280,7 @@ def window_matrix(
 def fixed_windows(spark: SparkSession, listed: Sequence[tuple[str, int, int]]) -> DataFrame:
     """Windows given as (title, first, last) commit ordinals, without a file behind them."""
     if not listed:
-        return spark.createDataFrame([], WINDOW_SCHEMA)
+        return spark.range(0).selectExpr("'' AS title", "1 AS start_ordinal", "1 AS end_ordinal")
     return spark.range(1).selectExpr(f"inline({_literal(list(listed))})").selectExpr(
         "title", "IF(first > 0, first - 1, NULL) AS start_ordinal", "last AS end_ordinal"
     )

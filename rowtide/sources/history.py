@@ -213,7 +213,7 @@ class History:
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            return self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
+            return _no_rows(self.spark, SNAPSHOT_SCHEMA)
 
     def latest(self) -> int:
         if not self.commits:
@@ -372,7 +372,7 @@ class History:
             return []
 
     def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
+        return _no_rows(self.spark, self.schema)
 
     def _read_changes(self, snapshot_ids: Sequence[int]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, *[f for f in METADATA_FIELDS if f.name != CHANGE_ORDINAL]])
@@ -389,7 +389,7 @@ class History:
 
     def _read(self, table: str, snapshot_ids: Sequence[int], schema: T.StructType) -> DataFrame:
         if not snapshot_ids:
-            return self.spark.createDataFrame([], schema)
+            return _no_rows(self.spark, schema)
         root = f"{self.path}/{table}"
         paths = [f"{root}/{SNAPSHOT_ID}={i}" for i in snapshot_ids]
         return self.spark.read.option("basePath", root).schema(schema).parquet(*paths)
@@ -399,6 +399,11 @@ def _is_rare(few: int, many: int) -> bool:
     return few <= BROADCAST_HASHES and few * 10 <= many
 
 
+def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {q(f.name)}" for f in schema]
+    return spark.range(0).selectExpr(*nulls)
+
+
 def _replace(rows: DataFrame) -> DataFrameWriter:
     """Replace the whole target directory, whatever overwrite mode the session has."""
     return rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
