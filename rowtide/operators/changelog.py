@@ -28,6 +28,7 @@ from rowtide.operators.rows import (
     last_changes_of_counts,
     last_changes_of_sums,
     split_untouched,
+    splittable_join,
 )
 
 
@@ -111,7 +112,7 @@ def label_updates(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     pair = f"IF({CHANGE_TYPE} = '{DELETE}', '{UPDATE_BEFORE}', '{UPDATE_AFTER}')"
     label = f"IF(_pair, {pair}, {CHANGE_TYPE}) AS {CHANGE_TYPE}"
-    return log.join(pairs, at, "left").selectExpr(*[label if c == CHANGE_TYPE else q(c) for c in log.columns])
+    return splittable_join(log, pairs, at, "left").selectExpr(*[label if c == CHANGE_TYPE else q(c) for c in log.columns])
 
 
 def key_violations(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted
-from rowtide.operators.rows import BROADCAST_HASHES, diff_states
+from rowtide.operators.rows import BROADCAST_HASHES, diff_states, splittable_join
 
 
 def insert_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
@@ -65,15 +65,14 @@ def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str], narrow:
     whole = ", ".join(quoted(source.columns))
     per_key = keyed.groupBy(*names).agg(F.expr("count(*) AS _rows"), F.expr(f"any_value(struct({whole})) AS _source"))
     values = [c for c in state.columns if c not in keys]
-    hit = state.join(per_key, on, "inner").selectExpr(
+    hit = splittable_join(state, per_key, on, "inner").selectExpr(
         *quoted(state.columns), "_rows", *[f"_source.{q(c)} AS {q('_after_' + c)}" for c in values]
     )
-    several = "CAST(raise_error('MERGE source has several rows for one row of the table') AS BOOLEAN)"
-    changed = hit.where(f"IF(_rows > 1, {several}, {differs((c, f'_after_{c}') for c in values)})")
-    matched = _both_images(changed, state.columns, values)
+    changed = hit.where(f"_rows > 1 OR {differs((c, f'_after_{c}') for c in values)}")
+    matched = _both_images(changed, state.columns, values, unless="_rows > 1")
 
     table_keys = state.select(*names).join(keyed.select(*names), on, "left_semi").distinct()
-    new = source.join(table_keys, on, "left_anti").selectExpr(
+    new = splittable_join(source, table_keys, on, "left_anti").selectExpr(
         f"'{INSERT}' AS {CHANGE_TYPE}", *quoted(state.columns)
     )
     return matched.unionAll(new)
@@ -117,10 +116,19 @@ def overwrite_rows(
     return diff_states(rows_in_partitions_of(rows, partition_by)(state), rows)
 
 
-def _both_images(changed: DataFrame, columns: Sequence[str], rewritten: Sequence[str]) -> DataFrame:
+def _both_images(
+    changed: DataFrame, columns: Sequence[str], rewritten: Sequence[str], unless: str | None = None
+) -> DataFrame:
+    """Two change rows from each record. A record for which `unless` is true fails the query.
+
+    That check is part of the generator: as a filter it could be moved below
+    the join that made the record, to rows that have no partner there.
+    """
     after = [q(f"_after_{c}") if c in rewritten else q(c) for c in columns]
-    images = [
-        f"struct('{DELETE}' AS {CHANGE_TYPE}, {', '.join(f'{q(c)} AS {q(c)}' for c in columns)})",
-        f"struct('{INSERT}' AS {CHANGE_TYPE}, {', '.join(f'{a} AS {q(c)}' for a, c in zip(after, columns))})",
-    ]
-    return changed.selectExpr(f"inline(array({', '.join(images)}))")
+    images = (
+        f"array(struct('{DELETE}' AS {CHANGE_TYPE}, {', '.join(f'{q(c)} AS {q(c)}' for c in columns)}), "
+        f"struct('{INSERT}' AS {CHANGE_TYPE}, {', '.join(f'{a} AS {q(c)}' for a, c in zip(after, columns))}))"
+    )
+    if unless is not None:
+        images = f"IF({unless}, raise_error('MERGE source has several rows for one row of the table'), {images})"
+    return changed.selectExpr(f"inline({images})")

@@ -81,6 +81,18 @@ def split_untouched(log: DataFrame, rare: str) -> tuple[DataFrame, DataFrame]:
     return many.join(hashes, met, "left_anti"), many.join(hashes, met, "left_semi").unionAll(few)
 
 
+def splittable_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join whose shuffled sides adaptive execution may split where a key is hot.
+
+    It only splits a join that shuffles both sides itself. A side that was just
+    grouped by the keys would be taken as it is, so a hash of the keys joins
+    the condition; the grouped side, which is thin, is then shuffled once more.
+    """
+    key_hash = f"xxhash64({', '.join(quoted(on))}) AS _key_hash"
+    joined = left.selectExpr("*", key_hash).join(right.selectExpr("*", key_hash), [*on, "_key_hash"], how)
+    return joined.drop("_key_hash")
+
+
 def diff_states(before: DataFrame, after: DataFrame) -> DataFrame:
     """Change rows that turn `before` into `after`: one shuffle for both directions."""
     rows = quoted(before.columns)

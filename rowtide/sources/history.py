@@ -129,9 +129,10 @@ class History:
         """
         snapshot_id = self.latest() + 1 if self.commits else 1
         layout = [CHANGE_TYPE, *self.partition_by]
-        rows = changes.select(*quoted([*layout, *(c for c in self.schema.fieldNames() if c not in layout)]))
+        names = [*layout, *(c for c in self.schema.fieldNames() if c not in layout)]
+        rows = changes.selectExpr(*[self._written(c) for c in names])
         if self.partition_by:
-            rows = rows.where(self._distinct_directories()).hint("rebalance", *layout)
+            rows = rows.hint("rebalance", *quoted(layout))
         target = f"{self.path}/changes/{SNAPSHOT_ID}={snapshot_id}"
         _replace(rows).partitionBy(*layout).parquet(target)
 
@@ -170,11 +171,11 @@ class History:
         self.commits.append(commit)
         return snapshot_id
 
-    def _distinct_directories(self) -> str:
-        """Fail on an empty string in a partition column: as a directory it would come back as null."""
-        fail = "CAST(raise_error('an empty string cannot be a partition value') AS BOOLEAN)"
-        strings = [c for c in self.partition_by if isinstance(self.schema[c].dataType, T.StringType)]
-        return " AND ".join(f"IF({q(c)} = '', {fail}, TRUE)" for c in strings) or "TRUE"
+    def _written(self, name: str) -> str:
+        """A column as it is stored; as a directory, an empty string would come back as null, so it fails."""
+        if name not in self.partition_by or not isinstance(self.schema[name].dataType, T.StringType):
+            return q(name)
+        return f"IF({q(name)} = '', raise_error('an empty string cannot be a partition value'), {q(name)}) AS {q(name)}"
 
     def insert(self, rows: DataFrame, committed_at: datetime | None = None) -> int | None:
         return self.append_commit(dml.insert_rows(self._empty(), rows), committed_at)

@@ -79,6 +79,16 @@ def test_merge_with_two_source_rows_for_one_row_fails(spark):
         merge_rows(state, source, ["k"]).collect()
 
 
+def test_merge_only_checks_source_rows_that_match(spark):
+    """Several new rows of one key are fine, also where nothing but keys is compared."""
+    new = df(spark, (7, 1, "a"), (7, 1, "a"))
+    state = spark.range(3).selectExpr("id AS k", "1 AS p", "'old' AS v")
+    assert bag(merge_rows(state, new, ["k"])) == {("INSERT", 7, 1, "a"): 2}
+    assert bag(merge_rows(state, new, ["k", "p", "v"])) == {("INSERT", 7, 1, "a"): 2}
+    with pytest.raises(Exception, match="several rows"):
+        merge_rows(state, df(spark, (1, 1, "old"), (1, 1, "old")), ["k", "p", "v"]).collect()
+
+
 def test_overwrite_modes(spark):
     state = df(spark, (1, 1, "a"), (1, 1, "a"), (2, 2, "b"), (3, None, "n"))
     rows = df(spark, (1, 1, "a"), (9, None, "n"))
