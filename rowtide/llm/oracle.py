@@ -73,4 +73,17 @@ SELECT page_id, host, path, rule,
 FROM b JOIN lo USING (host)
 """
 
-ORACLE: dict[str, str] = {"op4_source_mix": OP4, "op6_url_reputation": OP6, "op10_exact_dedup": OP10}
+OP1 = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS hex FROM p),
+w AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS winner FROM d),
+bits AS (SELECT *, list_transform(range(0, 32), lambda i: (('0x' || substr(hex, (1 + 5 * (i // 4))::INT, 5))::BIGINT
+  >> (15 - 5 * (i % 4))) & 31) AS v FROM w)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(v, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> winner THEN winner END AS refers_to
+FROM bits
+"""
+
+ORACLE: dict[str, str] = {"op1_warc_round_trip": OP1, "op4_source_mix": OP4, "op6_url_reputation": OP6, "op10_exact_dedup": OP10}

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from rowtide.llm.common import table
 from rowtide.llm.exact_dedup import exact_dedup
 from rowtide.llm.mixing import mix
+from rowtide.llm.packing import pack, public_codec
+from rowtide.llm.quality import fit_quality, score_quality
 from rowtide.llm.url_filter import judge_urls
+from rowtide.llm.warc import page_columns, round_trip
 
 # Rules of the url query: verdict, host, path.
 RULES = [
@@ -21,6 +24,14 @@ RULES = [
 ]
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_columns(round_trip(table(spark, sf_dir, "pages"))).drop("archive", "offset")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_codec(), with_ids=False)
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,12 +41,24 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = "crc32(CAST(doc_id AS STRING)) % 4"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), learn=f"{fold} <> 2")
+    return score_quality(docs, model).selectExpr(
+        "doc_id", f"coalesce({fold} = 2, FALSE) AS held_out", "score", "IF(score >= 0.7D, 1, 0) AS predicted"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_round_trip": op1_warc_round_trip,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_source_mix": op4_source_mix,
     "op6_url_reputation": op6_url_reputation,
+    "op8_compression_quality": op8_compression_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
