@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowtide.llm.common import table
 from rowtide.llm.exact_dedup import exact_dedup
 from rowtide.llm.mixing import mix
+from rowtide.llm.near_dedup import near_groups
 from rowtide.llm.packing import pack, public_codec
 from rowtide.llm.quality import fit_quality, score_quality
 from rowtide.llm.url_filter import judge_urls
@@ -50,6 +51,10 @@ def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), words=2)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -60,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mix": op4_source_mix,
     "op6_url_reputation": op6_url_reputation,
     "op8_compression_quality": op8_compression_quality,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
