@@ -86,4 +86,19 @@ SELECT page_id, payload_bytes,
 FROM bits
 """
 
-ORACLE: dict[str, str] = {"op1_warc_round_trip": OP1, "op4_source_mix": OP4, "op6_url_reputation": OP6, "op10_exact_dedup": OP10}
+OP5 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS valid FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.valid AND b.valid AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(c.c, v.vec_id)) AS component_id,
+  v.vec_id = least(v.vec_id, coalesce(c.c, v.vec_id)) AS kept
+FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a
+"""
+
+ORACLE: dict[str, str] = {"op5_metric_join": OP5, "op1_warc_round_trip": OP1, "op4_source_mix": OP4, "op6_url_reputation": OP6, "op10_exact_dedup": OP10}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.llm.common import table
 from rowtide.llm.exact_dedup import exact_dedup
+from rowtide.llm.metric_join import near_vectors
 from rowtide.llm.mixing import mix
 from rowtide.llm.near_dedup import near_groups
 from rowtide.llm.packing import pack, public_codec
@@ -37,6 +38,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_source_mix": op4_source_mix,
+    "op5_metric_join": op5_metric_join,
     "op6_url_reputation": op6_url_reputation,
     "op8_compression_quality": op8_compression_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
