@@ -14,11 +14,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowtide.llm.common import keep
+from rowtide.llm.common import join_small, keep
 from rowtide.operators.rows import splittable_join
 
-# Slices of the keys of a source; the slice where the budget ends is sorted by one task.
-SLICES = 1 << 16
+# Rows for each slice of the keys, and most slices. The slice of a source where its budget ends is sorted by one task,
+# and so are the sums of its slices.
+SLICE_ROWS = 1024
+MOST_SLICES = 1 << 16
 
 WORDS = r"regexp_count(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -91,7 +93,9 @@ def mix(
             f"CAST({WORDS} AS BIGINT) AS size",
             f"-ln({uniform('doc_id', seed)}) / ({weight}) AS key",
         )
-    ).selectExpr("*", f"CAST((1D - exp(-key)) * {SLICES} AS INT) AS _slice")
+    )
+    slices = max(16, min(MOST_SLICES, thin.count() // SLICE_ROWS))
+    thin = thin.selectExpr("*", f"CAST((1D - exp(-key)) * {slices} AS INT) AS _slice")
     sizes = thin.groupBy("_source").agg(F.expr("any_value(source) AS source"), F.expr("sum(size) AS source_size"))
     shares = targets(sizes, weights, total_share, most).selectExpr(
         "*", "IF(source_size = 0, 0L, CAST(floor(target / source_size) AS BIGINT)) AS epochs"
@@ -109,11 +113,11 @@ def mix(
     plan = keep(
         shares.join(ends, "_source", "left").selectExpr(
             # without an end: all slices when something is left to fill, none otherwise
-            "_source", "source_size", "target", "epochs", "_rest", f"coalesce(_end, IF(_rest > 0, {SLICES + 1}, -1)) AS _end", "_before"
+            "_source", "source_size", "target", "epochs", "_rest", f"coalesce(_end, IF(_rest > 0, {slices + 1}, -1)) AS _end", "_before"
         )
     )
-    each = splittable_join(thin, plan, ["_source"], "inner")
-    order = Window.partitionBy("_source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    each = join_small(thin, plan, ["_source"], "inner")
+    order = Window.partitionBy("_source", "_slice").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     at_end = (
         each.where("_slice = _end")
         .withColumn("_upto", F.sum("size").over(order))
