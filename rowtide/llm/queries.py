@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.llm.common import table
 from rowtide.llm.exact_dedup import exact_dedup
+from rowtide.llm.main_text import extract_text
 from rowtide.llm.metric_join import near_vectors
 from rowtide.llm.mixing import mix
 from rowtide.llm.near_dedup import near_groups
 from rowtide.llm.packing import pack, public_codec
 from rowtide.llm.quality import fit_quality, score_quality
+from rowtide.llm.toxicity import fit_toxicity, score_toxicity
 from rowtide.llm.url_filter import judge_urls
 from rowtide.llm.warc import page_columns, round_trip
 
@@ -34,6 +36,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_codec(), with_ids=False)
 
 
+def op3_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = "crc32(CAST(doc_id AS STRING)) % 5"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fitted = fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=f"{fold} <> 0")
+    return score_toxicity(docs, *fitted).selectExpr(
+        "doc_id", f"coalesce({fold} = 0, FALSE) AS held_out", "score", "IF(score >= 0.5D, 1, 0) AS predicted"
+    )
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,6 +58,10 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = "crc32(CAST(doc_id AS STRING)) % 4"
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,9 +82,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_deobfuscated_toxicity": op3_deobfuscated_toxicity,
     "op4_source_mix": op4_source_mix,
     "op5_metric_join": op5_metric_join,
     "op6_url_reputation": op6_url_reputation,
+    "op7_main_text": op7_main_text,
     "op8_compression_quality": op8_compression_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
