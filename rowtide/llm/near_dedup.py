@@ -5,7 +5,7 @@ bins; an empty bin borrows from the first filled bin of its own random order. Ba
 bins are bucket keys. Of a bucket only hubs are compared with the other
 members: a star. Links are confirmed on the full sets of shingles. As only the components
 of the links matter, members that are already connected aren't compared again; while a
-bucket holds several components, its next hubs, four times as many in each
+bucket holds several components, its next hubs, more in each
 round, meet the members of other components. So no link between two components of a
 bucket is missed, and pairs are few where texts are alike.
 """
@@ -128,52 +128,67 @@ def _may_link(percent: int) -> str:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """`pairs` (`a`, `b`) with `linked`, by the full sets."""
+    """`pairs` (`a`, `b`) with `linked` and their `distance`, one less the similarity, by the full sets."""
     asked = keep(pairs.selectExpr("a AS id").unionAll(pairs.selectExpr("b AS id")).distinct())
     few = join_small(sets, asked, ["id"], "left_semi")
     first = splittable_join(pairs, few.selectExpr("id AS b", "shingles AS _b"), ["b"], "inner")
     both = splittable_join(first, few.selectExpr("id AS a", "shingles AS _a"), ["a"], "inner")
     shared = both.selectExpr("a", "b", "size(_a) + size(_b) AS _sum", "size(array_intersect(_a, _b)) AS _shared")
-    linked = f"100 * _shared >= {percent} * (_sum - _shared)"
-    return shared.selectExpr("a", "b", f"{linked} AS linked")
+    return shared.selectExpr(
+        "a", "b", f"100 * _shared >= {percent} * (_sum - _shared) AS linked", "1D - _shared / (_sum - _shared) AS distance"
+    )
+
 
+def _links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links that connect all that is connected within buckets.
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links that connect what is connected, from `members` (`bucket`, `id`, `n`, `outline`) of buckets with several."""
+    `members` are `bucket`, `id`; `sizes` give `id`, `n`, `outline`; `sets` the full sets of these ids.
+    One less the similarity is a metric: with the distances of two sets to the same pivot, their first hub,
+    the triangle inequality rules pairs out, so those around a hub don't all meet.
+    """
     links, tested, groups = None, None, None
+    pivots = sizes.selectExpr("id", "id AS p", "0D AS d")
     hubs_each = 1
     while True:
-        named = members if groups is None else join_small(members, groups, ["id"], "left")
-        live = named.selectExpr("bucket", "id", "n", "outline", "id AS c" if groups is None else "coalesce(component, id) AS c")
+        facts = splittable_join(sizes, pivots, ["id"], "inner")
+        if groups is not None:
+            facts = join_small(facts, groups, ["id"], "left")
+        facts = keep(facts.selectExpr("id", "n", "outline", "p", "d", "id AS c" if groups is None else "coalesce(component, id) AS c"))
+        live = join_small(members, facts.select("id", "c"), ["id"], "inner")
         if groups is not None:
             several = live.groupBy("bucket").agg(F.expr("min(c) AS low"), F.expr("max(c) AS high")).where("low <> high")
             live = keep(join_small(live, keep(several.select("bucket")), ["bucket"], "left_semi"))
         if live.isEmpty():
             return links
-        by_id = Window.partitionBy("bucket").orderBy("id", "n")
-        hubs = live.withColumn("_rank", F.row_number().over(by_id)).where(f"_rank <= {hubs_each}").drop("_rank")
-        hubs = keep(hubs)
+        by_id = Window.partitionBy("bucket").orderBy("id")
+        first = live.select("bucket", "id").withColumn("_rank", F.row_number().over(by_id)).where(f"_rank <= {hubs_each}")
+        hubs = keep(first.select("bucket", "id"))
+        whole = join_small(live.select("bucket", "id"), facts, ["id"], "inner")
         star = splittable_join(
-            live.selectExpr("bucket", "struct(id, n, outline, c) AS y"),
-            hubs.selectExpr("bucket", "struct(id, n, outline, c) AS x"),
+            whole.selectExpr("bucket", "struct(id, n, outline, p, d, c) AS y"),
+            join_small(hubs, facts, ["id"], "inner").selectExpr("bucket", "struct(id, n, outline, p, d, c) AS x"),
             ["bucket"],
             "inner",
-        ).where(f"x.id < y.id AND x.c <> y.c AND {_may_link(percent)}")
+        ).where(
+            f"x.id < y.id AND x.c <> y.c AND NOT (x.p = y.p AND 100 * abs(x.d - y.d) > {100 - percent} + 1e-6) AND {_may_link(percent)}"
+        )
         pairs = star.selectExpr("x.id AS a", "y.id AS b").distinct()
         if tested is not None:
             pairs = join_small(pairs, tested, ["a", "b"], "left_anti")
         met = keep(_confirmed(keep(pairs), sets, percent))
-        tested = met.where("NOT linked").select("a", "b") if tested is None else tested.unionAll(met.where("NOT linked").select("a", "b"))
+        if tested is None:
+            near = met.groupBy("b").agg(F.expr("min(struct(a, distance)) AS _p")).selectExpr("b AS id", "_p.a AS p", "_p.distance AS d")
+            pivots = keep(pivots.join(near.select("id"), "id", "left_anti").unionByName(near))
+        missed = met.where("NOT linked").select("a", "b")
+        tested = missed if tested is None else tested.unionAll(missed)
         new = met.where("linked").select("a", "b")
         links = new if links is None else links.unionAll(new)
         groups = keep(components(links))
         links = groups.selectExpr("id AS a", "component AS b")
         # The hubs have met all they could link with: they leave their buckets.
-        last = hubs.groupBy("bucket").agg(F.expr("max(id) AS _last"))
-        members = keep(
-            join_small(live, keep(last), ["bucket"], "inner").where("id > _last").select("bucket", "id", "n", "outline")
-        )
-        hubs_each *= 4
+        last = keep(hubs.groupBy("bucket").agg(F.expr("max(id) AS _last")))
+        members = keep(join_small(live, last, ["bucket"], "inner").where("id > _last").select("bucket", "id"))
+        hubs_each *= 16
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -197,13 +212,14 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         .groupBy("set_key")
         .agg(F.expr("min(doc_id) AS id"), *[F.expr(f"any_value({c}) AS {c}") for c in ("n", "bands", "outline")])
     )
-    banded = sets.where("id IS NOT NULL").selectExpr("id", "n", "outline", "explode(bands) AS bucket")
-    shared = keep(banded.groupBy("bucket").agg(F.expr("count(*) AS _n")).where("_n > 1").select("bucket"))
-    members = keep(join_small(banded, shared, ["bucket"], "left_semi").select("bucket", "id", "n", "outline"))
+    banded = sets.where("id IS NOT NULL").selectExpr("explode(bands) AS bucket", "id")
+    shared = banded.groupBy("bucket").agg(F.expr("count(*) AS _n")).where("_n > 1").select("bucket")
+    members = keep(splittable_join(banded, shared, ["bucket"], "left_semi").select("bucket", "id"))
     asked = keep(members.select("id").distinct())
     texts = join_small(docs.selectExpr("CAST(doc_id AS BIGINT) AS id", "text"), asked, ["id"], "left_semi")
     full = keep(texts.select("id", _sets(words)("text").alias("shingles")))
-    links = _links(members, full, percent)
+    sizes = keep(join_small(sets.select("id", "n", "outline"), asked, ["id"], "left_semi"))
+    links = _links(members, sizes, full, percent)
     several = keep(
         rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.expr("min(set_key) AS low"), F.expr("max(set_key) AS high"))
         .where("low <> high").select("doc_id")
