@@ -57,6 +57,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until the table has no such columns."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def parts_for(rows: int, each: int) -> int:
     """A power of two of parts with about `each` rows."""
     parts = 1

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.common import join_small, keep, parts_for
+from rowtide.llm.common import fresh, join_small, keep, parts_for
 from rowtide.operators.rows import splittable_join
 
 # Digests in a part of the index: a part is a row of about 1.5 MB.
@@ -185,12 +185,13 @@ def exact_dedup(docs: DataFrame, history: str | None = None) -> DataFrame:
 def drop_copies(docs: DataFrame, history: str | None = None) -> DataFrame:
     """The rows of `docs` that stay, whole; of rows that repeat an id with an equal text, any one."""
     marks = keep(exact_dedup(docs, history))
-    key = ["_id", "_digest"]
-    keyed = docs.selectExpr("*", "coalesce(CAST(doc_id AS STRING), '') AS _id", f"{text_digest()} AS _digest")
-    marked = marks.selectExpr("coalesce(CAST(doc_id AS STRING), '') AS _id", "unhex(text_sha256) AS _digest", "kept")
+    key = fresh(docs, "_id", "_digest")
+    named = "coalesce(CAST(doc_id AS STRING), '') AS {}".format(key[0])
+    keyed = docs.selectExpr("*", named, f"{text_digest()} AS {key[1]}")
+    marked = marks.selectExpr(named, f"unhex(text_sha256) AS {key[1]}", "kept")
     left = join_small(keyed, marked.where("NOT kept").drop("kept").distinct(), key, "left_anti")
     twins = keep(marked.where("kept").groupBy(*key).agg(F.expr("count(*) AS n")).where("n > 1").drop("n"))
     if twins.isEmpty():
-        return left.drop(*key)
+        return left.select(*docs.columns)
     once = join_small(left, twins, key, "left_semi").dropDuplicates(key)
-    return join_small(left, twins, key, "left_anti").unionByName(once).drop(*key)
+    return join_small(left, twins, key, "left_anti").unionByName(once).select(*docs.columns)

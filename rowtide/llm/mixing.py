@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowtide.llm.common import join_small, keep
+from rowtide.llm.common import fresh, join_small, keep
 from rowtide.operators.rows import splittable_join
 
 # Rows for each slice of the keys, and most slices. The slice of a source where its budget ends is sorted by one task,
@@ -135,12 +135,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Rows that share an id are taken as often as the mix takes that id and size.
     """
-    plan = keep(mix(docs, **options).selectExpr("coalesce(CAST(doc_id AS STRING), '') AS _id", "size AS _size", "epochs AS _epochs"))
-    plan = plan.groupBy("_id", "_size").agg(F.expr("min(_epochs) AS _epochs"))
-    keyed = docs.selectExpr("*", "coalesce(CAST(doc_id AS STRING), '') AS _id", f"CAST({WORDS} AS BIGINT) AS _size")
+    name, size, epochs, copy = fresh(docs, "_id", "_size", "_epochs", "_copy")
+    named = f"coalesce(CAST(doc_id AS STRING), '') AS {name}"
+    plan = keep(mix(docs, **options).selectExpr(named, f"size AS {size}", f"epochs AS {epochs}"))
+    plan = plan.groupBy(name, size).agg(F.expr(f"min({epochs}) AS {epochs}"))
+    keyed = docs.selectExpr("*", named, f"CAST({WORDS} AS BIGINT) AS {size}")
     return (
-        splittable_join(keyed, plan, ["_id", "_size"], "inner")
-        .where("_epochs > 0")
-        .withColumn("_copy", F.expr("explode(sequence(1L, _epochs))"))
+        splittable_join(keyed, plan, [name, size], "inner")
+        .where(f"{epochs} > 0")
+        .withColumn(copy, F.expr(f"explode(sequence(1L, {epochs}))"))
         .select(*docs.columns)
     )
