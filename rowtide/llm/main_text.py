@@ -56,6 +56,8 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies r
 LAYOUT_WORDS = frozenset("has with no without".split())
 KEPT = frozenset("html body main article".split())
 
+# Parts of tables, lists and text; a container is what holds them.
+PARTS = frozenset("tr tbody thead tfoot td th table ul ol li dl dt dd p blockquote pre".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd figcaption div section article main body".split())
 LEAST_PARAGRAPH = 25
 
@@ -257,6 +259,8 @@ def main_text(page: str) -> str:
     best = max(range(n), key=lambda i: (score[i], -i))
     if not score[best]:  # no paragraph of any length: the article, or all
         best = next((i for i in range(n) if tags[i] in ("article", "main") and not dropped[i]), 0)
+    while tags[best] in PARTS and best:
+        best = parents[best]
     up = best
     while up > 0:
         if tags[up] in ("article", "main"):
@@ -265,7 +269,7 @@ def main_text(page: str) -> str:
         up = parents[up]
     chosen = {best}
     if best:
-        enough = max(10.0, 0.2 * score[best])
+        enough = max(3.0, 0.2 * score[best])
         for i in range(1, n):
             if parents[i] == parents[best] and not dropped[i]:
                 text, dense = own[i], linked[i] / max(total[i], 1)
