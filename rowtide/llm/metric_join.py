@@ -177,7 +177,6 @@ def near_vectors(table: DataFrame, cosine: float = 0.93, cell_vectors: int = CEL
         "label", "embedding", "coalesce(n, 0) + copies - 1 AS n_links", "coalesce(component, rep) AS component"
     )
     joined = splittable_join(rows.select("vec_id", "label", "embedding"), marks, ["label", "embedding"], "left")
-    component = "coalesce(component, vec_id)"
-    return joined.selectExpr(
-        "vec_id", "coalesce(n_links, 0L) AS n_links", f"{component} AS component_id", f"vec_id <=> {component} AS kept"
-    )
+    component = "IF(vec_id IS NULL, NULL, coalesce(component, vec_id))"
+    links = "IF(vec_id IS NULL, 0L, coalesce(n_links, 0L))"
+    return joined.selectExpr("vec_id", f"{links} AS n_links", f"{component} AS component_id", f"vec_id <=> {component} AS kept")
