@@ -11,7 +11,6 @@ small one turns the words' scores into the document's.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ LEET = {
 WILD = "*#"
 
 # Log probabilities of the channel.
-SUBSTITUTED, DROPPED_SYMBOL, DROPPED_DIGIT, DROPPED_MARK, WILDCARD = -1.5, -2.5, -4.0, -1.0, -4.5
+SUBSTITUTED, DROPPED_SYMBOL, DROPPED_DIGIT, DROPPED_MARK, WILDCARD = -1.5, -4.5, -7.0, -1.0, -4.5
 DOUBLED_ONCE, LONG_ONCE, LONG_TWICE, SPACE_DROPPED, SPACE_KEPT = -3.0, -0.5, -1.5, -0.5, -2.0
 
 # The linear model: n-grams of words with their ends marked, hashed into so many weights.
@@ -45,10 +44,10 @@ STEPS = 80
 # The sample that the model is fitted on: so many rows of each label, by hash of the id, in all so many characters.
 TOXIC_ROWS, OTHER_ROWS, SAMPLE_CHARS = 1600, 3200, 24_000_000
 
-_PLAIN = re.compile(r"[^\W\d_]+")
 _LONG_RUN = re.compile(r"(.)\1\1")
 _RUNS = re.compile(r"(.)\1*", re.S)
-_ENDS = re.compile(r"^[\"'“”«»()\[\]{}¿¡]+|[\"'“”«»()\[\]{}.,;:?!…]+$")
+_MARKS_ONLY = "\"'“”«»()[]{}.,;:?…¿¡"
+_MARKS = _MARKS_ONLY + "!"
 _ORNAMENT = re.compile(r"([^\w\s])\1+$")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 
@@ -56,33 +55,46 @@ _CACHE = 200_000
 
 
 def _table() -> np.ndarray:
-    """The symbol of every code point up to the last letter, in either case."""
-    table = np.zeros(0x250, dtype=np.uint8)
-    for code in range(0x250):
-        c = chr(code)
-        if c.isalpha():
-            table[code] = OTHER
+    """The symbol of every code point of the basic plane, in either case; the last entry is for all others."""
+    table = np.array([OTHER if chr(code).isalpha() else 0 for code in range(0x10000)] + [OTHER], dtype=np.uint8)
     for i, c in enumerate(LETTERS, 1):
         for form in (c, c.upper()):
-            if len(form) == 1 and ord(form) < len(table):
+            if len(form) == 1:
                 table[ord(form)] = i
     return table
 
 
+# Texts are counted together, about so many characters at a time.
+COUNTED_CHARS = 1 << 20
+_BETWEEN = "\0\0"
+
+
 def corpus_trigrams(docs: DataFrame) -> np.ndarray:
     """Counts of symbol trigrams over all texts; what reaches the driver is as large as the model, not the corpus."""
     table = _table()
 
+    def count_in(text: str, counts: np.ndarray) -> None:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        s = table[np.minimum(codes, len(table) - 1)]
+        kept = s > 0
+        kept[1:] |= s[:-1] > 0  # one symbol between words
+        kept |= codes == 0  # and two between texts, so that the counts don't depend on who is next to whom
+        s = s[kept].astype(np.int32)
+        counts += np.bincount((s[:-2] << 12) | (s[1:-1] << 6) | s[2:], minlength=SYMBOLS**3)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SYMBOLS**3, dtype=np.int64)
+        held, size = [], 0
         for batch in batches:
             for text in batch.column(0):
                 if text.is_valid:
-                    codes = np.frombuffer(f"  {text.as_py()}  ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-                    known = np.minimum(codes, len(table) - 1)
-                    s = np.where(codes < len(table), table[known], OTHER).astype(np.int64)
-                    s = s[(s > 0) | (np.roll(s, 1) > 0) | (np.arange(len(s)) < 2)]  # one symbol between words
-                    counts += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3)
+                    held.append(text.as_py())
+                    size += len(held[-1])
+                    if size >= COUNTED_CHARS:
+                        count_in(_BETWEEN + _BETWEEN.join(held) + _BETWEEN, counts)
+                        held, size = [], 0
+        if held:
+            count_in(_BETWEEN + _BETWEEN.join(held) + _BETWEEN, counts)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(counts[found], pa.int64())], ["trigram", "n"])
 
@@ -109,7 +121,6 @@ class Restorer:
     def __init__(self, model: list[float]):
         self.model = model
         self.number = {c: i for i, c in enumerate(LETTERS, 1)}
-        self.cache: dict[str, tuple[str, ...]] = {}
 
     def _options(self, run: str) -> list[tuple[str, float]]:
         """What a run of one character may stand for, with the channel's log probability. A blank ends a word."""
@@ -157,48 +168,61 @@ class Restorer:
 
     def words(self, token: str) -> tuple[str, ...]:
         """The words that a token stands for."""
-        found = self.cache.get(token)
-        if found is None:
-            if len(self.cache) > _CACHE:
-                self.cache.clear()
-            self.cache[token] = found = self._words(token)
-        return found
-
-    def _words(self, token: str) -> tuple[str, ...]:
+        if token.isalpha() and not _LONG_RUN.search(token):
+            return (token.lower(),)
         text = token.lower()
-        bare = _ORNAMENT.sub("", text)
-        if len(bare) >= 3 or not bare:
-            text = bare
-        bare = _ENDS.sub("", text)
-        if _PLAIN.fullmatch(bare) and not _LONG_RUN.search(bare):
+        bare = text.strip(_MARKS)
+        if bare.isalpha() and not _LONG_RUN.search(bare):
             return (bare,)
+        plain = _ORNAMENT.sub("", text)
+        if len(plain) >= 3 or not plain:
+            text = plain
+            bare = text.strip(_MARKS)
+            if bare.isalpha() and not _LONG_RUN.search(bare):
+                return (bare,)
         if not any(c.isalpha() for c in text):
             return ()
-        return tuple(self.decode(text if _ENDS.sub("", text) == text else self._keep_leet(text)).split())
+        # Marks at the ends go, but not those that may be letters.
+        return tuple(self.decode(text.strip(_MARKS_ONLY)).split())
 
-    @staticmethod
-    def _keep_leet(text: str) -> str:
-        """Without the marks around it, but with those that may be letters."""
-        return text.strip("\"'“”«»()[]{}.,;:?…¿¡")
+    def tokens(self, text: str) -> Counter:
+        """Tokens of a whole text with their counts; rows of spaced letters are decoded to words already."""
+        spaced = _SPACED.findall(text)
+        if not spaced:
+            return Counter(text.split())
+        counts = Counter(_SPACED.sub(" ", text).split())
+        for run in spaced:
+            counts.update(self.decode(run.lower().replace("\t", " ")).split())
+        return counts
 
     def read(self, text: str) -> Counter:
         """Restored words of a whole text with their counts."""
         counts: Counter = Counter()
-        spaced = _SPACED.findall(text)
-        if spaced:
-            for run in spaced:
-                counts.update(self.decode(run.lower().replace("\t", " ")).split())
-            text = _SPACED.sub(" ", text)
-        for token, n in Counter(text.split()).items():
+        for token, n in self.tokens(text).items():
             for word in self.words(token):
                 counts[word] += n
         return counts
 
 
-def grams(word: str) -> list[int]:
-    marked = f"^{word}$".encode()
-    found = [zlib.crc32(marked[i : i + n]) % WEIGHTS for n in GRAMS for i in range(len(marked) - n + 1)]
-    return found or [zlib.crc32(marked) % WEIGHTS]
+def gram_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of all words, as places in the weights, and the word that each is of."""
+    marked = [f"^{w}$".encode("utf-8", "surrogatepass").ljust(4, b"$") for w in words]
+    sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+    text = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(marked)), sizes)
+    found, owners = [], []
+    with np.errstate(over="ignore"):
+        for n in GRAMS:
+            if len(text) >= n:
+                packed = text[: len(text) - n + 1].copy()
+                for k in range(1, n):
+                    packed |= text[k : len(text) - n + 1 + k] << np.uint64(8 * k)
+                inside = owner[: len(packed)] == owner[n - 1 :]
+                found.append((((packed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(WEIGHTS))[inside])
+                owners.append(owner[: len(packed)][inside])
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(found).astype(np.int64), np.concatenate(owners)
 
 
 class Scorer:
@@ -207,31 +231,55 @@ class Scorer:
     def __init__(self, weights: np.ndarray, levels: list[float], final: list[float], prior: float):
         self.weights, self.levels, self.final, self.prior = weights, levels, final, prior
         self.cache: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        found = self.cache.get(word)
-        if found is None:
-            if len(self.cache) > _CACHE:
-                self.cache.clear()
-            found = float(self.weights[grams(word)].sum())
-            self.cache[word] = found
-        return found
-
-    def features(self, counts: Counter) -> np.ndarray:
-        if not counts:
+        self.several: dict[str, np.ndarray] = {}
+
+    def words(self, words: list[str]) -> np.ndarray:
+        at, owner = gram_ids(words)
+        return np.bincount(owner, weights=self.weights[at], minlength=len(words))
+
+    def read(self, tokens: Counter, restorer: Restorer) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the restored words and their counts. Scores of tokens are kept for the texts that follow."""
+        if len(self.cache) > _CACHE:
+            self.cache.clear()
+            self.several.clear()
+        cache = self.cache
+        new = [t for t in tokens if t not in cache]
+        if new:
+            stand_for = [restorer.words(t) for t in new]
+            scores = self.words([w for words in stand_for for w in words])
+            at = 0
+            for token, words in zip(new, stand_for):
+                if len(words) == 1:
+                    cache[token] = scores[at]
+                else:  # none or several words
+                    cache[token] = np.nan
+                    self.several[token] = scores[at : at + len(words)]
+                at += len(words)
+        s = np.fromiter(map(cache.__getitem__, tokens), dtype=float, count=len(tokens))
+        n = np.fromiter(tokens.values(), dtype=float, count=len(tokens))
+        odd = np.isnan(s)
+        if odd.any():
+            parts = [(self.several[t], m) for t, m in tokens.items() if t in self.several]
+            s = np.concatenate([s[~odd], *(p for p, _ in parts)])
+            n = np.concatenate([n[~odd], *(np.full(len(p), float(m)) for p, m in parts)])
+        return s, n
+
+    def features(self, s: np.ndarray, n: np.ndarray) -> np.ndarray:
+        if not len(s):
             return np.zeros(5 + 2 * len(self.levels))
-        s = np.array([self.word(w) for w in counts])
-        n = np.array(list(counts.values()), dtype=float)
         total = n.sum()
         above = [(n * (s > level)).sum() for level in self.levels]
         shares = [np.sqrt(a / total) * 4 for a in above]
         return np.array([(n * s).sum() / total, (n * np.maximum(s, 0)).sum() / total, s.max() / 10, 5 / (5 + total), np.log1p(total) / 5]
                         + shares + [np.log1p(a) for a in above])
 
-    def score(self, counts: Counter) -> float:
-        if not counts or not self.final:
+    def score(self, text: str, restorer: Restorer) -> float:
+        if not self.final:
+            return self.prior
+        s, n = self.read(restorer.tokens(text), restorer)
+        if not len(s):
             return self.prior
-        z = self.final[0] + float(np.dot(self.final[1:], self.features(counts)))
+        z = self.final[0] + float(np.dot(self.final[1:], self.features(s, n)))
         return 1 / (1 + float(np.exp(-np.clip(z, -30, 30))))
 
 
@@ -249,15 +297,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
 
 def _word_weights(docs: list[Counter], y: np.ndarray) -> np.ndarray:
     """Logistic regression on the density of n-grams, by adaptive gradient steps."""
-    known: dict[str, np.ndarray] = {}
     index, value, sizes = [], [], []
     for counts in docs:
-        ids = [known.setdefault(w, np.array(grams(w), dtype=np.int32)) if w not in known else known[w] for w in counts]
-        n = np.repeat(np.fromiter(counts.values(), dtype=float), [len(i) for i in ids]) if ids else np.zeros(0)
-        u, inverse = np.unique(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32), return_inverse=True)
-        total = sum(counts.values())
-        value.append(np.minimum(np.bincount(inverse, weights=n) / max(total, 1) * 20, 1).astype(np.float32))
-        index.append(u)
+        ids, owner = gram_ids(list(counts))
+        n = np.fromiter(counts.values(), dtype=float, count=len(counts))[owner]
+        u, inverse = np.unique(ids, return_inverse=True)
+        value.append(np.minimum(np.bincount(inverse, weights=n) / max(sum(counts.values()), 1) * 20, 1).astype(np.float32))
+        index.append(u.astype(np.int32))
         sizes.append(len(u))
     at, v, row = np.concatenate(index), np.concatenate(value), np.repeat(np.arange(len(docs)), sizes)
     w, b, squares, square = np.zeros(WEIGHTS), 0.0, np.full(WEIGHTS, 1e-8), 1e-8
@@ -302,10 +348,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         return model, Scorer(np.zeros(WEIGHTS), [], [], prior)
     weights = _word_weights([r for r, f in zip(read, first) if f], y[first])
     scorer = Scorer(weights, [], [], prior)
-    seen = np.sort([scorer.word(w) for r, f in zip(read, first) if not f for w in r])
+    held, held_y = [scorer.read(r, restorer) for r, f in zip(read, first) if not f], y[~first]
+    seen = np.concatenate([s for s, _ in held])
     scorer.levels = [float(np.quantile(seen, q)) for q in (0.9, 0.97, 0.99, 0.997)]
-    held, held_y = [r for r, f in zip(read, first) if not f], y[~first]
-    final = _logistic(np.array([scorer.features(r) for r in held]), held_y)
+    final = _logistic(np.array([scorer.features(s, n) for s, n in held]), held_y)
     share = held_y.mean()
     final[0] += np.log(prior / (1 - prior)) - np.log(share / (1 - share))  # the sample has more of label 1
     scorer.final = final.tolist()
@@ -324,7 +370,7 @@ def score_toxicity(docs: DataFrame, model: list[float], scorer: Scorer) -> DataF
         lm, *rest = shared.value
         restorer, of = Restorer(lm), Scorer(*rest)
         for batch in texts:
-            yield pa.array([of.score(restorer.read(t.as_py())) if t.is_valid else of.prior for t in batch], pa.float64())
+            yield pa.array([of.score(t.as_py(), restorer) if t.is_valid else of.prior for t in batch], pa.float64())
 
     return without(docs, "score").withColumn("score", F.arrow_udf(score, "double")("text"))
 
