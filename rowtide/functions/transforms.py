@@ -54,22 +54,64 @@ FUNCTIONS = [
         RETURN rt_finish(octet_length(s) ^ rt_right13(rt_times(
             ((rt_unfinish(rt_hash_padded(s)) ^ rt_padded(octet_length(s))) - {WORD_OFFSET}) & {MASK},
             {_inverse(WORD_FACTOR)})))""",
-    f"""murmur3_string(s STRING) RETURNS BIGINT
+    f"""rt_murmur3_string(s STRING) RETURNS BIGINT
         RETURN CASE WHEN s IS NULL THEN NULL
                     WHEN octet_length(s) % 4 = 0 THEN hash({SEED_ZERO}, s) & {MASK}
                     ELSE rt_hash_odd(s) END""",
-    f"""murmur3_long(v BIGINT) RETURNS BIGINT
+    f"""rt_murmur3_long(v BIGINT) RETURNS BIGINT
         RETURN CASE WHEN v IS NOT NULL THEN hash({SEED_ZERO}, v) & {MASK} END""",
-    f"bucket_string(n INT, s STRING) RETURNS INT RETURN CAST((murmur3_string(s) & {SIGN_MASK}) % n AS INT)",
-    f"bucket_long(n INT, v BIGINT) RETURNS INT RETURN CAST((murmur3_long(v) & {SIGN_MASK}) % n AS INT)",
-    "months(ts TIMESTAMP_NTZ) RETURNS INT RETURN (year(ts) - 1970) * 12 + month(ts) - 1",
+    f"rt_bucket_string(n INT, s STRING) RETURNS INT RETURN CAST((rt_murmur3_string(s) & {SIGN_MASK}) % n AS INT)",
+    f"rt_bucket_long(n INT, v BIGINT) RETURNS INT RETURN CAST((rt_murmur3_long(v) & {SIGN_MASK}) % n AS INT)",
 ]
 
+# What SQL text may call; the library itself only uses names that start with `rt_`.
+PUBLIC_FUNCTIONS = {
+    "murmur3_string": "(s STRING) RETURNS BIGINT RETURN rt_murmur3_string(s)",
+    "murmur3_long": "(v BIGINT) RETURNS BIGINT RETURN rt_murmur3_long(v)",
+    "bucket_string": "(n INT, s STRING) RETURNS INT RETURN rt_bucket_string(n, s)",
+    "bucket_long": "(n INT, v BIGINT) RETURNS INT RETURN rt_bucket_long(n, v)",
+    "months": "(ts TIMESTAMP_NTZ) RETURNS INT RETURN (year(ts) - 1970) * 12 + month(ts) - 1",
+    "months_utc": "(ts TIMESTAMP) RETURNS INT RETURN {utc}",
+}
 
-def register_functions(spark: SparkSession) -> None:
-    """Make `bucket_string(n, s)`, `bucket_long(n, v)` and `months(ts)` available to SQL text."""
-    for definition in FUNCTIONS:
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {definition}")
+_MICROS_PER_DAY = 86_400_000_000
+
+# Sessions that hold the functions of this module, by session id.
+_private: set[str] = set()
+_public: set[str] = set()
+
+
+def _session_id(spark: SparkSession) -> str:
+    return spark._jsparkSession.sessionUUID()
+
+
+def _utc_months(column: str) -> str:
+    """Months of an instant in UTC, whatever the session's time zone."""
+    micros = f"unix_micros({column})"
+    day = f"date_from_unix_date(CAST(({micros} - pmod({micros}, {_MICROS_PER_DAY})) DIV {_MICROS_PER_DAY} AS INT))"
+    return f"(year({day}) - 1970) * 12 + month({day}) - 1"
+
+
+def _register_private(spark: SparkSession) -> None:
+    if _session_id(spark) not in _private:
+        for definition in FUNCTIONS:
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {definition}")
+        _private.add(_session_id(spark))
+
+
+def register_functions(spark: SparkSession, replace: bool = False) -> None:
+    """Make `bucket_string(n, s)`, `bucket_long(n, v)`, `months(ts)` and `months_utc(ts)` available to SQL text.
+
+    `months` takes timestamps without a time zone (and dates); `months_utc` takes instants. Functions
+    of these names that the session has from elsewhere are only replaced when asked for.
+    """
+    _register_private(spark)
+    foreign = [n for n in PUBLIC_FUNCTIONS if spark.catalog.functionExists(n)] if _session_id(spark) not in _public else []
+    if foreign and not replace:
+        raise ValueError(f"the session has other functions of these names: {foreign}")
+    for name, definition in PUBLIC_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{definition.format(utc=_utc_months('ts'))}")
+    _public.add(_session_id(spark))
 
 
 def with_bucket(df: DataFrame, column: str, n: int, name: str | None = None) -> DataFrame:
@@ -78,19 +120,20 @@ def with_bucket(df: DataFrame, column: str, n: int, name: str | None = None) ->
         raise ValueError("the number of buckets must be positive")
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
-        function = "bucket_string"
+        function = "rt_bucket_string"
     elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        function = "bucket_long"
+        function = "rt_bucket_long"
     else:
         raise TypeError(f"no bucket for a column of type {kind.simpleString()}")
-    if not df.sparkSession.catalog.functionExists(function):
-        register_functions(df.sparkSession)
+    _register_private(df.sparkSession)
     return df.withColumn(name or f"bucket_{column}", F.expr(f"{function}({n}, {q(column)})"))
 
 
 def with_months(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Add the months from 1970-01 to `column` (in the session's time zone); earlier months are negative."""
+    """Add the months from 1970-01 to `column`; earlier months are negative. Instants are taken in UTC."""
     months = f"(year({q(column)}) - 1970) * 12 + month({q(column)}) - 1"
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        months = _utc_months(q(column))
     return df.withColumn(name or f"month_{column}", F.expr(months))
 
 

@@ -62,9 +62,52 @@ def differs(pairs: Iterable[tuple[str, str]]) -> str:
     return " OR ".join(f"NOT ({q(a)} <=> {q(b)})" for a, b in pairs) or "FALSE"
 
 
+def resolve(df: DataFrame, names: Iterable[str], among: Iterable[str]) -> dict[str, str]:
+    """The column of `among` that each name means, by the session's rule on upper and lower case."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    key = (lambda n: n) if exact else str.lower
+    known: dict[str, list[str]] = {}
+    for name in among:
+        known.setdefault(key(name), []).append(name)
+    found = {}
+    for name in names:
+        columns = known.get(key(name), [])
+        if len(columns) > 1:
+            raise ValueError(f"column {name!r} is ambiguous: {columns}")
+        if columns:
+            found[name] = columns[0]
+    return found
+
+
+def assignable(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether a value may be stored in a column of another type: what INSERT INTO accepts under ANSI rules."""
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if given == wanted or isinstance(given, T.NullType):
+        return True
+    if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return assignable(given.elementType, wanted.elementType)
+    if isinstance(given, T.StructType) and isinstance(wanted, T.StructType):
+        return len(given) == len(wanted) and all(assignable(a.dataType, b.dataType) for a, b in zip(given, wanted))
+    if isinstance(given, (T.ArrayType, T.StructType, T.MapType)) or isinstance(wanted, (T.ArrayType, T.StructType, T.MapType)):
+        return False
+    if isinstance(wanted, T.StringType):
+        return not isinstance(given, T.BinaryType)
+    if isinstance(given, T.NumericType) and isinstance(wanted, T.NumericType):
+        return True
+    return isinstance(given, times) and isinstance(wanted, times)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select `schema`'s columns by name, cast to its types."""
-    missing = [f.name for f in schema if f.name not in df.columns]
+    """Select `schema`'s columns by name, as its types; types that can't be stored so are refused."""
+    found = resolve(df, schema.fieldNames(), df.columns)
+    missing = [f.name for f in schema if f.name not in found]
     if missing:
         raise ValueError(f"columns missing from the written rows: {missing}")
-    return df.selectExpr(*[f"CAST({q(f.name)} AS {f.dataType.simpleString()}) AS {q(f.name)}" for f in schema])
+    wrong = [
+        f"{f.name}: {df.schema[found[f.name]].dataType.simpleString()} into {f.dataType.simpleString()}"
+        for f in schema
+        if not assignable(df.schema[found[f.name]].dataType, f.dataType)
+    ]
+    if wrong:
+        raise ValueError(f"types that cannot be stored, cast them first: {wrong}")
+    return df.selectExpr(*[f"CAST({q(found[f.name])} AS {f.dataType.simpleString()}) AS {q(f.name)}" for f in schema])

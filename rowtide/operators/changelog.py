@@ -72,7 +72,45 @@ def net_changes_by_key(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     A key whose first change is an INSERT had no image before; one whose last
     change is a DELETE has none after; equal images cancel. Within a commit a
     DELETE comes before an INSERT. Only two records per key and task are shuffled.
+
+    That holds for keys that stand for one row at a time. Rows with a null in the key, and
+    those of a key that holds several rows at once in the window, are netted by whole rows
+    (`net_changes`), so nothing is lost: signs add up to those of the log.
+    """
+    if not keys:
+        raise ValueError("net changes by key need key columns")
+    has_null = " OR ".join(f"{k} IS NULL" for k in quoted(keys))
+    keyed = log.where(f"NOT ({has_null})")
+    several = keys_of_several_rows(keyed, keys)
+    single = splittable_join(keyed, several, list(keys), "left_anti").select(*quoted(log.columns))
+    others = splittable_join(keyed, several, list(keys), "left_semi").select(*quoted(log.columns))
+    by_row = net_changes(log.where(has_null).unionAll(others))
+    return _images_by_key(single, keys).unionAll(by_row.select(*quoted(log.columns)))
+
+
+def keys_of_several_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that do not stand for one row at a time: their changes don't alternate between INSERT and DELETE.
+
+    Changes are counted per key and commit first; what is sorted then is at most one record per commit.
+    The running balance of a single row takes two neighbouring values only, also between the
+    DELETE and the INSERT of one commit.
     """
+    names = ", ".join(quoted(keys))
+    per_commit = log.groupBy(*quoted(keys), CHANGE_ORDINAL).agg(
+        F.expr(f"count_if({SIGN} < 0) AS _deleted"), F.expr(f"count_if({SIGN} > 0) AS _inserted")
+    )
+    running = per_commit.selectExpr(
+        "*", f"sum(_inserted - _deleted) OVER (PARTITION BY {names} ORDER BY {CHANGE_ORDINAL}) AS _after"
+    ).selectExpr("*", "_after - _inserted AS _between", "_after - _inserted + _deleted AS _before")
+    span = running.groupBy(*quoted(keys)).agg(
+        F.expr("max(greatest(_before, _after)) AS _high"),
+        F.expr("min(least(_between, _after)) AS _low"),
+        F.expr("max(greatest(_deleted, _inserted)) AS _most"),
+    )
+    return span.where("_most > 1 OR _high - _low > 1").select(*quoted(keys))
+
+
+def _images_by_key(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows = row_columns(log)
     entry = f"struct({CHANGE_ORDINAL}, {SIGN} AS _sign, {', '.join(quoted(rows))}, {SNAPSHOT_ID})"
     per_key = log.groupBy(*[F.expr(f"{q(k)} AS {q('_key_' + k)}") for k in keys]).agg(
@@ -100,6 +138,8 @@ def label_updates(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     joined back; keys with many changes are no pairs, so they find no partner
     and their rows may be spread over tasks. Null keys never pair.
     """
+    if not keys:
+        raise ValueError("update labels need key columns")
     at = [SNAPSHOT_ID, *keys]
     pairs = (
         log.groupBy(*quoted(at))
@@ -121,18 +161,3 @@ def key_violations(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     has_null = " OR ".join(f"{k} IS NULL" for k in names)
     counted = rows.groupBy(*names).agg(F.expr("count(*) AS n"))
     return counted.selectExpr(*names, "n", f"({has_null}) AS null_key").where("null_key OR n > 1")
-
-
-def ordered(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Reading order of a change log: by commit, then by key."""
-    return log.orderBy(SNAPSHOT_ID, CHANGE_ORDINAL, *quoted(keys))
-
-
-def with_metadata(changes: DataFrame, ordinal: int, snapshot_id: int) -> DataFrame:
-    """Stamp one commit's change rows with its ordinal and snapshot id."""
-    return changes.selectExpr(
-        *quoted(row_columns(changes)),
-        CHANGE_TYPE,
-        f"CAST({ordinal} AS INT) AS {CHANGE_ORDINAL}",
-        f"CAST({snapshot_id} AS BIGINT) AS {SNAPSHOT_ID}",
-    )

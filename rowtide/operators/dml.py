@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted
+from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted, resolve
 from rowtide.operators.rows import BROADCAST_HASHES, diff_states, splittable_join
 
 
@@ -29,9 +29,13 @@ def update_rows(
     state: DataFrame, assignments: Mapping[str, str | Column], where: str | Column | None = None
 ) -> DataFrame:
     """UPDATE ... SET ... WHERE: one scan, both images of a row from one record."""
-    unknown = [c for c in assignments if c not in state.columns]
+    found = resolve(state, assignments, state.columns)
+    unknown = [c for c in assignments if c not in found]
     if unknown:
         raise ValueError(f"no such columns: {unknown}")
+    if len(set(found.values())) < len(found):
+        raise ValueError(f"a column is set twice: {list(assignments)}")
+    assignments = {found[c]: v for c, v in assignments.items()}
     hit = state if where is None else state.where(where)
     after = [
         (F.expr(v) if isinstance(v, str) else v).cast(state.schema[c].dataType).alias(f"_after_{c}")
@@ -41,6 +45,9 @@ def update_rows(
     return _both_images(changed, state.columns, list(assignments))
 
 
+# At most this many partitions of a dynamic overwrite become literals of the plan.
+LITERAL_PARTITIONS = 500
+
 Narrowing = Callable[[DataFrame], DataFrame]
 
 
@@ -92,8 +99,29 @@ def rows_with_keys_of(source: DataFrame, keys: Sequence[str]) -> Narrowing:
 
 
 def rows_in_partitions_of(source: DataFrame, partition_by: Sequence[str]) -> Narrowing:
-    """Cut rows down to those whose partition occurs in the source."""
+    """Cut rows down to those whose partition occurs in the source.
+
+    Up to `LITERAL_PARTITIONS` partitions are written into the plan as literals, so that the other
+    directories are not opened; more are joined.
+    """
     touched = source.selectExpr(*[f"{q(c)} AS {q('_new_' + c)}" for c in partition_by]).distinct()
+    known = touched.limit(LITERAL_PARTITIONS + 1).collect()
+    if len(known) <= LITERAL_PARTITIONS:
+        one = len(partition_by) == 1
+        values = [v for (v,) in known if v is not None] if one else []
+        inside = F.lit(False)
+        if one:
+            column = F.col(q(partition_by[0]))
+            inside = column.isin(values) if values else inside
+            if len(values) < len(known):
+                inside = column.isNull() | inside
+        else:
+            for row in known:
+                here = F.lit(True)
+                for c, v in zip(partition_by, row):
+                    here = here & (F.col(q(c)).isNull() if v is None else F.col(q(c)) == F.lit(v))
+                inside = inside | here
+        return lambda rows: rows.where(inside)
     same = F.expr(" AND ".join(f"{q(c)} <=> {q('_new_' + c)}" for c in partition_by))
     return lambda rows: rows.join(touched, same, "left_semi")
 

@@ -101,6 +101,13 @@ def diff_states(before: DataFrame, after: DataFrame) -> DataFrame:
     return repeat_rows(net.selectExpr(f"{change_type_of('_n')} AS {CHANGE_TYPE}", *rows, "abs(_n) AS _n"), "_n")
 
 
+def cancelled(changes: DataFrame) -> DataFrame:
+    """Change rows of one commit without those that undo each other."""
+    rows = quoted(row_columns(changes))
+    net = row_balance(changes, "_n").selectExpr(f"{change_type_of('_n')} AS {CHANGE_TYPE}", *rows, "abs(_n) AS _n")
+    return repeat_rows(net, "_n")
+
+
 def inlined(commits: Commits | None) -> bool:
     return commits is not None and 0 < len(commits) <= INLINE_COMMITS
 

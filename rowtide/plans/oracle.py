@@ -46,6 +46,45 @@ log AS (
   UNION ALL SELECT 3, 'INSERT', * FROM (SELECT * FROM third EXCEPT ALL SELECT * FROM before)
 )"""
 
+LONG = "c_custkey, c_nationkey, c_mktsegment"
+
+# Commit k inserts class k - 1 of the customers twice and deletes one copy of class k - 8.
+LONG_LOG = f"""
+WITH classed AS (SELECT {LONG}, coalesce(((c_custkey % 24) + 24) % 24, 0) AS class FROM customer),
+log AS (
+  SELECT class + 1 AS k, 'INSERT' AS t, {LONG} FROM classed, (SELECT unnest([1, 2])) copies
+  UNION ALL SELECT class + 8, 'DELETE', {LONG} FROM classed WHERE class + 8 <= 24
+)"""
+
+LONG_WINDOWS = """,
+windows AS (
+  SELECT '(' || CASE WHEN s = 0 THEN 'beginning' ELSE 'S' || (s - 1) END || ', S' || (e.k - 1) || ']' AS "window", s, e.k AS e
+  FROM (SELECT unnest(range(1, 25)) AS k) e, LATERAL (SELECT unnest(range(0, e.k)) AS s)
+),
+counted AS (SELECT k, t, c_custkey, c_nationkey, c_mktsegment, count(*) AS n FROM log GROUP BY ALL),
+inside AS (SELECT "window", t, c_custkey, c_nationkey, c_mktsegment, n FROM counted JOIN windows ON k > s AND k <= e),
+balances AS (
+  SELECT "window", sum(CASE WHEN t = 'INSERT' THEN n ELSE -n END) AS b FROM inside
+  GROUP BY "window", c_custkey, c_nationkey, c_mktsegment
+),
+sums AS (
+  SELECT "window", 'RAW' AS mode, coalesce(sum(n) FILTER (t = 'INSERT'), 0) AS i, coalesce(sum(n) FILTER (t = 'DELETE'), 0) AS d
+  FROM inside GROUP BY "window"
+  UNION ALL
+  SELECT "window", 'NET', coalesce(sum(b) FILTER (b > 0), 0), coalesce(-sum(b) FILTER (b < 0), 0) FROM balances WHERE b <> 0 GROUP BY "window"
+)"""
+
+# Many rows for each key of `lineitem`, so these go by whole rows; a key of `orders` is inserted, deleted, inserted.
+KEYED_LOG = """
+WITH given AS (
+  SELECT nullif(l_orderkey % 50, 0) AS key, l_linenumber AS line, l_returnflag AS flag, l_orderkey % 3 AS part FROM lineitem
+),
+log AS (
+  SELECT CAST(part + 1 AS BIGINT) AS k,
+         CASE WHEN flag = 'N' OR part = 0 THEN 'INSERT' ELSE 'DELETE' END AS t, key, line, flag
+  FROM given
+)"""
+
 SIGN = "CASE WHEN t = 'INSERT' THEN 1 ELSE -1 END"
 
 
@@ -348,6 +387,23 @@ ORACLE: dict[str, str] = {
         SELECT CAST(k AS BIGINT) AS _commit_snapshot_id, t AS _change_type, count(*) AS n FROM log
         WHERE k IN (SELECT min(k) FROM log UNION ALL SELECT max(k) FROM log) GROUP BY ALL""",
     "partition_entries": ORDER_LOG + ENTRIES + " SELECT * FROM entries",
+    "net_by_key_with_duplicates": KEYED_LOG
+    + _net_tail("key, line, flag", 0, 3, "SELECT key AS k, * EXCLUDE (key) FROM net")
+    + """
+        UNION ALL SELECT o_orderkey + 1000000, 0, 'x', 'INSERT', 2, 3 FROM orders""",
+    "long_history_net": LONG_LOG + _net_tail(LONG, 3, 22, "SELECT * FROM net"),
+    "long_history_matrix": LONG_LOG
+    + LONG_WINDOWS
+    + """
+        SELECT "window", mode, CAST(i AS BIGINT) AS "INSERT", CAST(d AS BIGINT) AS "DELETE",
+               CAST(0 AS BIGINT) AS "UPDATE_BEFORE", CAST(0 AS BIGINT) AS "UPDATE_AFTER" FROM sums""",
+    "long_history_entry_counts": LONG_LOG
+    + ENTRIES.replace("o_orderstatus", "c_nationkey")
+    + " SELECT snapshot_id, status, count(*) AS cnt FROM entries GROUP BY ALL",
+    "months_instants": """SELECT o_orderkey, CAST((year(t) - 1970) * 12 + month(t) - 1 AS INTEGER) AS month
+        FROM (SELECT o_orderkey, TIMESTAMP '1970-01-01' + to_seconds(CAST(o_orderkey AS BIGINT) * 86399 - 40000000) AS t FROM orders)""",
+    "bucket_lineitem_text": f"""{_murmur_string("(SELECT DISTINCT l_returnflag || '-' || l_partkey AS tag FROM lineitem)", 'tag', 'tag')}
+        SELECT {B512} AS bucket, count(*) AS n FROM lineitem JOIN hashed ON l_returnflag || '-' || l_partkey = key GROUP BY ALL""",
     "entry_counts": ORDER_LOG + ENTRIES + " SELECT snapshot_id, status, count(*) AS cnt FROM entries GROUP BY ALL",
     "history_complete": f"{ORDER_LOG} SELECT count(DISTINCT k) AS n_commits, count(*) AS n_changes FROM log",
     "key_violations_lineitem": """SELECT l_orderkey, l_linenumber, count(*) AS n,

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowtide.functions.transforms import bucket_distribution, register_functions, with_bucket, with_months
 from rowtide.model import CHANGE_TYPE, SNAPSHOT_ID
 from rowtide.operators import windows as w
-from rowtide.operators.changelog import key_violations
+from rowtide.operators.changelog import key_violations, net_changes_by_key
 from rowtide.operators.dml import delete_rows, insert_rows, merge_rows, overwrite_rows, update_rows
 from rowtide.operators.rows import diff_states
 from rowtide.plans import reports
-from rowtide.plans.samples import lineitem_history, merge_source, orders_history, table
+from rowtide.plans.samples import lineitem_history, long_history, merge_source, orders_history, table
 from rowtide.sources.history import create_changelog_view
 
 BUCKETS = 512
@@ -133,6 +133,33 @@ def update_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_history(spark, sf_dir).changelog(updates=True)
 
 
+def net_by_key_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that hold many rows at once, and null keys, lose nothing."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "nullif(l_orderkey % 50, 0) AS k", "l_linenumber AS line", "l_returnflag AS flag", "l_orderkey % 3 AS part"
+    )
+    change = "IF(flag = 'N', 'INSERT', IF(part = 0, 'INSERT', 'DELETE'))"
+    single = table(spark, sf_dir, "orders").selectExpr("o_orderkey + 1000000 AS k", "0 AS line", "o_orderstatus AS flag", "explode(array(0, 1, 2)) AS part")
+    log = rows.unionByName(single).selectExpr(
+        "k", "line", "IF(k > 999999 AND part = 2, 'x', flag) AS flag", f"IF(k > 999999, IF(part = 1, 'DELETE', 'INSERT'), {change}) AS _change_type",
+        "CAST(part AS INT) AS _change_ordinal", "CAST(part + 1 AS BIGINT) AS _commit_snapshot_id",
+    )
+    return net_changes_by_key(log, ["k"])
+
+
+def long_history_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return long_history(spark, sf_dir).changelog(start=3, end=22, net=True)
+
+
+def long_history_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = long_history(spark, sf_dir)
+    return h.matrix(_all_windows(h))
+
+
+def long_history_entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.entry_counts(long_history(spark, sf_dir))
+
+
 def changelog_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = orders_history(spark, sf_dir)
     create_changelog_view(h, "order_changes", start=1, end=7)
@@ -263,6 +290,21 @@ def months_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_months(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "month")
 
 
+def months_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instants near the ends of months, taken in UTC whatever the session's time zone."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "timestamp_seconds(CAST(o_orderkey AS BIGINT) * 86399 - 40000000) AS at"
+    )
+    return with_months(orders, "at", "month").select("o_orderkey", "month")
+
+
+def bucket_lineitem_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "concat(l_returnflag, '-', CAST(l_partkey AS STRING)) AS tag"
+    )
+    return with_bucket(lines, "tag", BUCKETS, "bucket").groupBy("bucket").agg(F.count("*").alias("n"))
+
+
 def partition_functions_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_functions(spark)
     table(spark, sf_dir, "events").createOrReplaceTempView("event_rows")
@@ -310,6 +352,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         snapshot_summary,
         first_last_snapshot,
         partition_entries,
+        net_by_key_with_duplicates,
+        long_history_net,
+        long_history_matrix,
+        long_history_entry_counts,
+        months_instants,
+        bucket_lineitem_text,
         entry_counts,
         history_complete,
         key_violations_lineitem,

@@ -86,22 +86,13 @@ def counts_by_commit(log: DataFrame) -> DataFrame:
     return log.groupBy(SNAPSHOT_ID, CHANGE_TYPE).agg(F.expr("count(*) AS n"))
 
 
-def counts_by_type(log: DataFrame) -> DataFrame:
-    return log.groupBy(CHANGE_TYPE).agg(F.expr("count(*) AS n"))
-
-
 def counts_by_key(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of changes by key and type."""
     return changes.groupBy(*quoted(keys), CHANGE_TYPE).agg(F.expr("count(*) AS n"))
 
 
-def partition_entries(history: History) -> DataFrame:
-    """One record per snapshot, partition value and status.
-
-    A partition touched by a commit is DELETED if it had rows before and ADDED
-    if it has rows after; an untouched one with rows is EXISTING. Computed from
-    the stored per-commit counts, so the log itself is not read.
-    """
+def _touched(history: History) -> tuple[DataFrame, list[str]]:
+    """Partitions touched by each commit, with their rows after it and the next commit that touches them."""
     values = quoted(history.partition_by)
     last = history.commits[-1].snapshot_id if history.commits else 0
     in_order = f"OVER ({'PARTITION BY ' + ', '.join(values) if values else ''} ORDER BY snapshot_id)"
@@ -114,20 +105,42 @@ def partition_entries(history: History) -> DataFrame:
             f"coalesce(lead(snapshot_id) {in_order}, {last + 1}) AS _until",
         )
     )
-    had, has = "_after - added + deleted > 0", "_after > 0"
-    status = f"array_compact(array(IF({had}, '{DELETED}', NULL), IF({has}, '{ADDED}', NULL)))"
+    return touched, values
+
+
+_HAD, _HAS = "_after - added + deleted > 0", "_after > 0"
+
+
+def partition_entries(history: History) -> DataFrame:
+    """One record per snapshot, partition value and status.
+
+    A partition touched by a commit is DELETED if it had rows before and ADDED
+    if it has rows after; an untouched one with rows is EXISTING. Computed from
+    the stored per-commit counts, so the log itself is not read.
+    """
+    touched, values = _touched(history)
+    status = f"array_compact(array(IF({_HAD}, '{DELETED}', NULL), IF({_HAS}, '{ADDED}', NULL)))"
     changed = touched.selectExpr("snapshot_id", *values, f"explode({status}) AS status")
-    kept = touched.where(f"{has} AND _until > snapshot_id + 1").selectExpr(
+    kept = touched.where(f"{_HAS} AND _until > snapshot_id + 1").selectExpr(
         "explode(sequence(snapshot_id + 1, _until - 1)) AS snapshot_id", *values, f"'{EXISTING}' AS status"
     )
     return changed.unionAll(kept)
 
 
 def entry_counts(history: History) -> DataFrame:
-    """Number of partition entries by snapshot and status."""
+    """Number of partition entries by snapshot and status.
+
+    Untouched partitions are counted, not listed: those with rows before a commit less those it touched.
+    The window runs over one record per commit.
+    """
+    touched, _ = _touched(history)
+    per_commit = touched.groupBy("snapshot_id").agg(F.expr(f"count_if({_HAD}) AS had"), F.expr(f"count_if({_HAS}) AS has"))
+    before = "coalesce(sum(has - had) OVER (ORDER BY snapshot_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    pairs = [(DELETED, "had"), (ADDED, "has"), (EXISTING, "_live - had")]
+    counts = f"array({', '.join(f"struct('{s}' AS status, {n} AS cnt)" for s, n in pairs)})"
     return (
-        partition_entries(history)
-        .groupBy("snapshot_id", "status")
-        .agg(F.expr("count(*) AS cnt"))
+        per_commit.selectExpr("*", f"{before} AS _live")
+        .selectExpr("snapshot_id", f"inline({counts})")
+        .where("cnt > 0")
         .orderBy("snapshot_id", "status")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime, timedelta
 
@@ -20,12 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under the session's checkpoint folder, which all executors share."""
+    """A fresh folder under the session's checkpoint folder or its warehouse, which all executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="rowtide-")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/history-{uuid.uuid4().hex}"
 
 
@@ -69,6 +65,33 @@ def build_orders_history(spark: SparkSession, sf_dir: str, path: str) -> History
     return h
 
 
+# Commits of the long history, classes of keys, and how many commits a class lives.
+LONG_COMMITS, LONG_LIFE = 24, 7
+
+
+def long_history(spark: SparkSession, sf_dir: str) -> History:
+    """24 commits over `customer`, built once per application."""
+    return _cached(spark, sf_dir, "long", build_long_history)
+
+
+def build_long_history(spark: SparkSession, sf_dir: str, path: str) -> History:
+    """Each commit inserts a class of customers twice and deletes one copy of an earlier class.
+
+    Customers without a key are in class 0.
+    """
+    columns = ["c_custkey", "c_nationkey", "c_mktsegment"]
+    customer = table(spark, sf_dir, "customer").select(*columns)
+    of_class = lambda k: customer.where(f"coalesce(pmod(c_custkey, {LONG_COMMITS}), 0) = {k}")
+    h = History.create(spark, path, customer.schema, keys=["c_custkey"], partition_by=["c_nationkey"])
+    for k in range(LONG_COMMITS):
+        new = of_class(k).withColumn("_copy", F.expr("explode(array(1, 2))")).drop("_copy")
+        changes = new.selectExpr("'INSERT' AS _change_type", "*")
+        if k >= LONG_LIFE:
+            changes = changes.unionAll(of_class(k - LONG_LIFE).selectExpr("'DELETE' AS _change_type", "*"))
+        h.append_commit(changes, BASE_TIME + timedelta(minutes=k))
+    return h
+
+
 LINEITEM_COLUMNS = ["l_suppkey", "l_returnflag", "l_linestatus"]
 
 

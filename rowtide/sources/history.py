@@ -1,21 +1,24 @@
 """A stored history: append-only change rows in Parquet, and small tables about the commits.
 
     <path>/table/                                         schema, keys, partition columns
-    <path>/changes/_commit_snapshot_id=K/_change_type=T/<partition>=v/   change rows
-    <path>/partitions/_commit_snapshot_id=K/              rows added and deleted per partition value
+    <path>/changes/_commit_snapshot_id=K/_attempt=A/_change_type=T/<partition>=v/   change rows
+    <path>/partitions/_commit_snapshot_id=K/_attempt=A/   rows added and deleted per partition value
     <path>/snapshots/                                     one row per commit
     <path>/states/_commit_snapshot_id=K/                  full rows of a version, optional
     <path>/states_written/                                which versions are stored
 
-Snapshot ids are consecutive, so a commit's ordinal is its id minus one. The row
-in `snapshots` is written last and is what makes a commit visible: readers open
-only the directories of listed commits, and a commit that was cut short is
-overwritten by the next one. There is one writer at a time.
+Snapshot ids are consecutive, so a commit's ordinal is its id minus one. Every try to
+commit writes into directories of its own. The row in `snapshots` is written last, names
+the try, and is what makes a commit visible: readers open only the directories
+that it names, and nothing is ever written there again. There is one writer at a time; a
+handle that does not know of the latest commit is refused before it writes, and when two
+writers list the same snapshot id all the same, every later read says so.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -33,22 +36,34 @@ from rowtide.model import (
     conform,
     q,
     quoted,
+    resolve,
 )
 from rowtide.operators import dml
 from rowtide.operators.changelog import label_updates, net_changes, net_changes_by_key
-from rowtide.operators.rows import BROADCAST_HASHES, diff_states, repeat_rows, row_balance, split_untouched
+from rowtide.operators.rows import BROADCAST_HASHES, cancelled, diff_states, repeat_rows, row_balance, split_untouched
 from rowtide.operators.windows import changelog_windows, window_matrix
 
 # Partition values are kept as directory names; these types survive that unchanged.
 PARTITION_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.BooleanType)
 
 
+# The directory level of one try to commit.
+ATTEMPT = "_attempt"
+
+# Fixed value: the directory name that stands for null. Longer names than that fail in most file systems, escaped or not.
+NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+MOST_VALUE_BYTES = 70
+
+STATES_SCHEMA = T.StructType([T.StructField("snapshot_id", T.LongType())])
+
+
 @dataclass(frozen=True)
 class Commit:
     snapshot_id: int
     ordinal: int
     added: int
     deleted: int
+    attempt: str
 
 
 @dataclass
@@ -93,6 +108,8 @@ class History:
             F.lit(json.dumps(list(partition_by))).alias("partition_by"),
         )
         table.coalesce(1).write.mode("errorifexists").parquet(f"{path}/table")
+        _no_rows(spark, SNAPSHOT_SCHEMA).write.mode("append").parquet(f"{path}/snapshots")
+        _no_rows(spark, STATES_SCHEMA).write.mode("append").parquet(f"{path}/states_written")
         return History(spark, path, schema, list(keys), list(partition_by))
 
     @staticmethod
@@ -114,43 +131,60 @@ class History:
 
     def _stored_commits(self) -> list[Commit]:
         found = self.snapshots().select(
-            "snapshot_id", F.col("summary")["added-records"].cast("long"), F.col("summary")["deleted-records"].cast("long")
+            "snapshot_id",
+            F.col("summary")["added-records"].cast("long"),
+            F.col("summary")["deleted-records"].cast("long"),
+            F.col("summary")["attempt"],
         )
-        return [Commit(i, i - 1, a, d) for i, a, d in sorted(found.collect())]
+        commits = [Commit(i, i - 1, a, d, t) for i, a, d, t in sorted(found.collect())]
+        if len({c.snapshot_id for c in commits}) < len(commits):
+            raise RuntimeError("two writers have committed the same snapshot id to this history")
+        return commits
 
     # -- commits -----------------------------------------------------------
 
     def append_commit(self, changes: DataFrame, committed_at: datetime | None = None) -> int | None:
+        """Store the change rows (`_change_type` and the table's columns) of one commit; its snapshot id, or None.
+
+        A row that is deleted and inserted with equal values is no change, so it is left out.
+        """
+        changes = changes.selectExpr(CHANGE_TYPE, *quoted(self.schema.fieldNames()))
+        return self._commit(cancelled(changes), committed_at)
+
+    def _refuse_stale(self) -> None:
+        if self._stored_commits() != self.commits:
+            raise RuntimeError("another writer has committed to this history")
+
+    def _commit(self, changes: DataFrame, committed_at: datetime | None = None) -> int | None:
         """Store one commit's change rows; its snapshot id, or None when nothing changed.
 
         Rows are rebalanced by partition column, so that the number of files
         follows the amount of data and a hot partition is split over tasks. The
         per-partition counts are read from file footers.
         """
-        snapshot_id = self.latest() + 1 if self.commits else 1
+        self._refuse_stale()
+        snapshot_id, attempt = self.latest() + 1 if self.commits else 1, uuid.uuid4().hex
         layout = [CHANGE_TYPE, *self.partition_by]
         names = [*layout, *(c for c in self.schema.fieldNames() if c not in layout)]
         rows = changes.selectExpr(*[self._written(c) for c in names])
         if self.partition_by:
             rows = rows.hint("rebalance", *quoted(layout))
-        target = f"{self.path}/changes/{SNAPSHOT_ID}={snapshot_id}"
-        _replace(rows).partitionBy(*layout).parquet(target)
+        own = f"{SNAPSHOT_ID}={snapshot_id}/{ATTEMPT}={attempt}"
+        rows.write.mode("errorifexists").partitionBy(*layout).parquet(f"{self.path}/changes/{own}")
 
         counts = [F.expr(f"count_if({CHANGE_TYPE} = '{t}') AS {n}") for t, n in ((INSERT, "added"), (DELETE, "deleted"))]
-        per_partition = self._read_changes([snapshot_id]).groupBy(*quoted(self.partition_by)).agg(*counts)
+        per_partition = self._read_changes([own]).groupBy(*quoted(self.partition_by)).agg(*counts)
         per_partition = per_partition.where("added + deleted > 0")
-        counted = f"{self.path}/partitions/{SNAPSHOT_ID}={snapshot_id}"
-        _replace(per_partition).parquet(counted)
-        sums = self._read_partitions([snapshot_id]).agg(
+        per_partition.write.mode("errorifexists").parquet(f"{self.path}/partitions/{own}")
+        sums = self._read_partitions([own]).agg(
             F.expr("coalesce(sum(added), 0)"), F.expr("coalesce(sum(deleted), 0)"), F.expr("count(*)")
         )
         n_added, n_deleted, n_partitions = sums.first()
         if n_added + n_deleted == 0:
             return None
 
-        if self._stored_commits() != self.commits:
-            raise RuntimeError("another writer has committed to this history")
-        commit = Commit(snapshot_id, snapshot_id - 1, n_added, n_deleted)
+        self._refuse_stale()
+        commit = Commit(snapshot_id, snapshot_id - 1, n_added, n_deleted, attempt)
         total = sum(c.added - c.deleted for c in [*self.commits, commit])
         operation = "append" if n_deleted == 0 else "delete" if n_added == 0 else "overwrite"
         summary = {
@@ -158,6 +192,7 @@ class History:
             "deleted-records": n_deleted,
             "changed-partition-count": n_partitions,
             "total-records": total,
+            "attempt": attempt,
         }
         entries = ", ".join(f"'{k}', '{v}'" for k, v in summary.items())
         row = self.spark.range(1).selectExpr(
@@ -172,16 +207,19 @@ class History:
         return snapshot_id
 
     def _written(self, name: str) -> str:
-        """A column as it is stored; as a directory, an empty string would come back as null, so it fails."""
+        """A column as it is stored; as a directory, some strings would come back as null or not at all, so they fail."""
         if name not in self.partition_by or not isinstance(self.schema[name].dataType, T.StringType):
             return q(name)
-        return f"IF({q(name)} = '', raise_error('an empty string cannot be a partition value'), {q(name)}) AS {q(name)}"
+        checks = f"WHEN {q(name)} = '' THEN raise_error('an empty string cannot be a partition value')"
+        checks += f" WHEN {q(name)} = '{NULL_DIRECTORY}' THEN raise_error('this string stands for null as a partition value')"
+        checks += f" WHEN octet_length({q(name)}) > {MOST_VALUE_BYTES} THEN raise_error('a partition value is too long for a directory')"
+        return f"CASE {checks} ELSE {q(name)} END AS {q(name)}"
 
     def insert(self, rows: DataFrame, committed_at: datetime | None = None) -> int | None:
-        return self.append_commit(dml.insert_rows(self._empty(), rows), committed_at)
+        return self._commit(dml.insert_rows(self._empty(), rows), committed_at)
 
     def delete(self, where: str | Column, committed_at: datetime | None = None) -> int | None:
-        return self.append_commit(dml.delete_rows(self.current(), where), committed_at)
+        return self._commit(dml.delete_rows(self.current(), where), committed_at)
 
     def update(
         self,
@@ -189,32 +227,27 @@ class History:
         where: str | Column | None = None,
         committed_at: datetime | None = None,
     ) -> int | None:
-        return self.append_commit(dml.update_rows(self.current(), assignments, where), committed_at)
+        return self._commit(dml.update_rows(self.current(), assignments, where), committed_at)
 
     def merge(
         self, source: DataFrame, keys: Sequence[str] | None = None, committed_at: datetime | None = None
     ) -> int | None:
-        source, keys = conform(source, self.schema), keys or self.keys
+        source, keys = conform(source, self.schema), self._columns(keys or self.keys)
         state = self.state_at(keep=dml.rows_with_keys_of(source, keys)) if keys else self.current()
-        return self.append_commit(dml.merge_rows(state, source, keys, narrow=False), committed_at)
+        return self._commit(dml.merge_rows(state, source, keys, narrow=False), committed_at)
 
     def overwrite(self, rows: DataFrame, mode: str = "static", committed_at: datetime | None = None) -> int | None:
         rows = conform(rows, self.schema)
         if mode == "dynamic" and self.partition_by:
             state = self.state_at(keep=dml.rows_in_partitions_of(rows, self.partition_by))
-            return self.append_commit(diff_states(state, rows), committed_at)
-        return self.append_commit(dml.overwrite_rows(self.current(), rows, mode, self.partition_by), committed_at)
+            return self._commit(diff_states(state, rows), committed_at)
+        return self._commit(dml.overwrite_rows(self.current(), rows, mode, self.partition_by), committed_at)
 
     # -- reading -----------------------------------------------------------
 
     def snapshots(self) -> DataFrame:
         """snapshot_id, parent_id, committed_at, operation, summary: one row per commit."""
-        try:
-            return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.path}/snapshots")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return _no_rows(self.spark, SNAPSHOT_SCHEMA)
+        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{self.path}/snapshots")
 
     def latest(self) -> int:
         if not self.commits:
@@ -267,7 +300,7 @@ class History:
     def log(self, start: int | None = None, end: int | None = None) -> DataFrame:
         """Change rows of the commits after snapshot `start` up to and with `end`; other commits are not opened."""
         inside = self._window(start, end)
-        rows = self._read_changes([c.snapshot_id for c in inside])
+        rows = self._read_changes(_directories(inside))
         first = inside[0].snapshot_id if inside else 1
         return rows.selectExpr(
             *quoted(self.schema.fieldNames()),
@@ -287,8 +320,16 @@ class History:
         """Changes in (start, end], with ordinals from 0 within the window.
 
         `net` cancels opposite changes of equal rows, or per key when `keys` are
-        given. `updates` labels the update pairs of the key.
+        given. `updates` labels the update pairs of the key (default: the table's). Keys without
+        either, labels of net changes and labels without keys are refused.
         """
+        if net and updates:
+            raise ValueError("net changes have no update labels: ask for one of both")
+        if keys and not (net or updates):
+            raise ValueError("keys only serve net changes or update labels")
+        keys = self._columns(keys or [])
+        if updates and not (keys or self.keys):
+            raise ValueError("update labels need key columns")
         log = self.log(start, end)
         if net:
             if keys:
@@ -323,7 +364,7 @@ class History:
         base = max((i for i in self._stored_states() if i <= snapshot_id), default=None)
         todo = [c for c in through if base is None or c.snapshot_id > base]
         names = quoted(self.schema.fieldNames())
-        changes = self._read_changes([c.snapshot_id for c in todo]).select(CHANGE_TYPE, *names)
+        changes = self._read_changes(_directories(todo)).select(CHANGE_TYPE, *names)
         inserts = changes.where(f"{CHANGE_TYPE} = '{INSERT}'")
         deletes = changes.where(f"{CHANGE_TYPE} = '{DELETE}'")
         if base is not None:
@@ -352,7 +393,7 @@ class History:
             return target
         rows = self.state_at(snapshot_id)
         if self.partition_by:
-            rows = rows.hint("rebalance", *self.partition_by)
+            rows = rows.hint("rebalance", *quoted(self.partition_by))
         _replace(rows).partitionBy(*self.partition_by).parquet(target)
         mark = self.spark.range(1).select(F.lit(snapshot_id).cast("long").alias("snapshot_id"))
         mark.coalesce(1).write.mode("append").parquet(f"{self.path}/states_written")
@@ -362,38 +403,42 @@ class History:
         return f"{self.path}/states/{SNAPSHOT_ID}={snapshot_id}"
 
     def _stored_states(self) -> list[int]:
-        return [r[0] for r in self._read_or_none(f"{self.path}/states_written", "snapshot_id long")]
+        return [r[0] for r in self.spark.read.schema(STATES_SCHEMA).parquet(f"{self.path}/states_written").collect()]
 
-    def _read_or_none(self, path: str, schema: str) -> list:
-        try:
-            return self.spark.read.schema(schema).parquet(path).collect()
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return []
+    def _columns(self, names: Sequence[str]) -> list[str]:
+        """The table's columns of these names, by the session's rule on upper and lower case."""
+        found = resolve(self._empty(), names, self.schema.fieldNames())
+        unknown = [n for n in names if n not in found]
+        if unknown:
+            raise ValueError(f"no such columns: {unknown}")
+        return [found[n] for n in names]
 
     def _empty(self) -> DataFrame:
         return _no_rows(self.spark, self.schema)
 
-    def _read_changes(self, snapshot_ids: Sequence[int]) -> DataFrame:
+    def _read_changes(self, directories: Sequence[str]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, *[f for f in METADATA_FIELDS if f.name != CHANGE_ORDINAL]])
-        return self._read("changes", snapshot_ids, schema)
+        return self._read("changes", directories, schema)
 
     def partition_counts(self) -> DataFrame:
         """Rows added and deleted by commit and partition value."""
-        return self._read_partitions([c.snapshot_id for c in self.commits])
+        return self._read_partitions(_directories(self.commits))
 
-    def _read_partitions(self, snapshot_ids: Sequence[int]) -> DataFrame:
+    def _read_partitions(self, directories: Sequence[str]) -> DataFrame:
         values = [self.schema[c] for c in self.partition_by]
         counts = [T.StructField(c, T.LongType()) for c in ("added", "deleted", SNAPSHOT_ID)]
-        return self._read("partitions", snapshot_ids, T.StructType([*values, *counts]))
+        return self._read("partitions", directories, T.StructType([*values, *counts]))
 
-    def _read(self, table: str, snapshot_ids: Sequence[int], schema: T.StructType) -> DataFrame:
-        if not snapshot_ids:
+    def _read(self, table: str, directories: Sequence[str], schema: T.StructType) -> DataFrame:
+        if not directories:
             return _no_rows(self.spark, schema)
         root = f"{self.path}/{table}"
-        paths = [f"{root}/{SNAPSHOT_ID}={i}" for i in snapshot_ids]
-        return self.spark.read.option("basePath", root).schema(schema).parquet(*paths)
+        schema = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
+        return self.spark.read.option("basePath", root).schema(schema).parquet(*[f"{root}/{d}" for d in directories]).drop(ATTEMPT)
+
+
+def _directories(commits: Sequence[Commit]) -> list[str]:
+    return [f"{SNAPSHOT_ID}={c.snapshot_id}/{ATTEMPT}={c.attempt}" for c in commits]
 
 
 def _is_rare(few: int, many: int) -> bool:
@@ -419,7 +464,10 @@ def create_changelog_view(
     compute_updates: bool = False,
     identifier_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Register a changelog as a temporary view for SQL text; it replaces a view of the same name."""
+    """Register a changelog as a temporary view for SQL text; it replaces a view of the same name.
+
+    Options that do nothing together are refused, as `History.changelog` does.
+    """
     changes = history.changelog(start, end, net_changes, compute_updates, identifier_columns)
     changes.createOrReplaceTempView(view)
     return changes

@@ -93,3 +93,30 @@ def test_arguments_are_checked(spark):
         with_bucket(spark.sql("SELECT 1.0D AS x"), "x", 8)
     with pytest.raises(ValueError, match="positive"):
         with_bucket(spark.sql("SELECT 'a' AS x"), "x", 0)
+
+
+def test_functions_of_the_session_do_not_matter(spark):
+    """A foreign function of the same name is neither used nor replaced unasked."""
+    other = spark.newSession()
+    other.sql("CREATE TEMPORARY FUNCTION bucket_string(n INT, s STRING) RETURNS INT RETURN 7")
+    other.sql("CREATE TEMPORARY FUNCTION months(x INT) RETURNS INT RETURN x + 1")
+    df = other.sql("SELECT 'acme' AS name")
+    assert with_bucket(df, "name", 512, "b").first().b == with_bucket(spark.sql("SELECT 'acme' AS name"), "name", 512, "b").first().b != 7
+    with pytest.raises(ValueError, match="other functions"):
+        register_functions(other)
+    assert other.sql("SELECT months(1) AS m").first().m == 2
+    register_functions(other, replace=True)
+    register_functions(other)
+    assert other.sql("SELECT months(TIMESTAMP_NTZ '1971-02-03 00:00:00') AS m").first().m == 13
+
+
+def test_months_of_instants_are_in_utc(spark):
+    other = spark.newSession()
+    register_functions(other)
+    found = set()
+    for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+        other.conf.set("spark.sql.session.timeZone", zone)
+        instants = other.sql("SELECT explode(array(1754013600, -1, 0, -2678400, -2678401)) AS s").selectExpr("s", "timestamp_seconds(s) AS at")
+        rows = with_months(instants, "at", "m").selectExpr("s", "m", "months_utc(at) AS n").collect()
+        found |= {(r.s, r.m) for r in rows} | {(r.s, r.n) for r in rows}
+    assert found == {(1754013600, 667), (-1, -1), (0, 0), (-2678400, -1), (-2678401, -2)}

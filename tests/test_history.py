@@ -6,7 +6,7 @@ from datetime import datetime
 
 import pytest
 
-from rowtide import History, all_windows, net_changes, window_matrix
+from rowtide import History, all_windows, create_changelog_view, label_updates, net_changes, window_matrix
 from rowtide.operators import dml, rows as row_ops
 from rowtide.plans import reports
 from scripts import bag, new_history, rows, seven_commits
@@ -90,12 +90,123 @@ def test_second_writer_is_noticed(spark, tmp_path):
         other.insert(put(spark, (3, "x", 3)))
 
 
+@pytest.mark.parametrize("write", ["insert", "empty delete", "merge", "append"])
+def test_stale_handle_changes_nothing(spark, tmp_path, write):
+    """A handle that doesn't know of the latest commit is refused, also with an empty change set."""
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)))
+    other = History.open(spark, h.path)
+    h.insert(put(spark, (2, "x", 2)))
+    log, listing = bag(h.log()), h.snapshots().selectExpr("snapshot_id", "summary['total-records']", "summary['attempt']").collect()
+    with pytest.raises(RuntimeError, match="another writer"):
+        if write == "insert":
+            other.insert(put(spark, (3, "x", 3)))
+        elif write == "merge":
+            other.merge(put(spark, (2, "x", 9)))
+        elif write == "append":
+            other.append_commit(put(spark, (3, "x", 3)).selectExpr("'INSERT' AS _change_type", "*"))
+        else:
+            other.delete("k = 99")
+    for again in (h, History.open(spark, h.path)):
+        assert bag(again.current()) == {(1, "x", 1): 1, (2, "x", 2): 1}
+        assert bag(again.log()) == log
+        assert again.snapshots().selectExpr("snapshot_id", "summary['total-records']", "summary['attempt']").collect() == listing
+    assert other.refresh().insert(put(spark, (3, "x", 3))) == 3
+
+
+def test_a_lost_race_leaves_the_listed_commit(spark, tmp_path, monkeypatch):
+    """Even when the other commit comes between the check and the writing, its files stay as they are."""
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)))
+    other = History.open(spark, h.path)
+    first = other._refuse_stale
+    monkeypatch.setattr(other, "_refuse_stale", lambda: (first(), h.insert(put(spark, (2, "x", 2))), monkeypatch.undo()))
+    with pytest.raises(RuntimeError, match="another writer"):
+        other.insert(put(spark, (3, "x", 3)))
+    assert bag(History.open(spark, h.path).current()) == {(1, "x", 1): 1, (2, "x", 2): 1}
+
+
+def test_options_that_do_nothing_are_refused(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)))
+    for options in (dict(net=True, updates=True), dict(keys=["k"])):
+        with pytest.raises(ValueError):
+            h.changelog(**options)
+    with pytest.raises(ValueError, match="keys only serve"):
+        create_changelog_view(h, "v", identifier_columns=["k"])
+    with pytest.raises(ValueError, match="no such columns"):
+        h.changelog(net=True, keys=["nope"])
+    assert h.changelog(net=True, keys=["K"]).count() == 1
+    without_keys = History.create(spark, str(tmp_path / "g"), SCHEMA)
+    without_keys.insert(put(spark, (1, "x", 1)))
+    with pytest.raises(ValueError, match="need key columns"):
+        without_keys.changelog(updates=True)
+    with pytest.raises(ValueError, match="need key columns"):
+        label_updates(h.log(), [])
+
+
+def test_carry_overs_are_no_changes(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)))
+    same = put(spark, (1, "x", 1))
+    both = same.selectExpr("'DELETE' AS _change_type", "*").unionAll(same.selectExpr("'INSERT' AS _change_type", "*"))
+    assert h.append_commit(both) is None
+    assert h.append_commit(both.unionAll(put(spark, (2, "y", 2)).selectExpr("'INSERT' AS _change_type", "*"))) == 2
+    assert bag(h.changelog(1, 2), "k", "_change_type") == {(2, "INSERT"): 1}
+
+
+def test_names_and_types_of_written_rows(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1)).withColumnsRenamed({"k": "K", "v": "V"}))
+    h.update({"V": "v + 1"}, "K = 1")
+    h.merge(put(spark, (1, "x", 5)).withColumnRenamed("p", "P"), keys=["K"])
+    assert bag(h.current()) == {(1, "x", 5): 1}
+    with pytest.raises(ValueError, match="cannot be stored"):
+        h.insert(put(spark, (2, "x", 1)).selectExpr("CAST(k AS STRING) AS k", "p", "v"))
+    with pytest.raises(ValueError, match="set twice"):
+        h.update({"v": "1", "V": "2"})
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="no such columns"):
+            h.update({"V": "1"})
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_dynamic_overwrite_opens_only_its_partitions(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    h.insert(put(spark, (1, "x", 1), (2, "y", 2), (3, None, 3), (4, "z", 4)))
+    fresh = put(spark, (5, "x", 5), (6, None, 6))
+    plan = plan_of(h.state_at(keep=dml.rows_in_partitions_of(fresh, ["p"])))
+    filters = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "isnull(p" in filters and "(p#" in filters and "= x" in filters
+    h.overwrite(fresh, mode="dynamic")
+    assert bag(h.current()) == {(2, "y", 2): 1, (4, "z", 4): 1, (5, "x", 5): 1, (6, None, 6): 1}
+    few = dml.LITERAL_PARTITIONS
+    dml.LITERAL_PARTITIONS = 0
+    try:
+        h.overwrite(put(spark, (7, "x", 7), (8, None, 8)), mode="dynamic")
+    finally:
+        dml.LITERAL_PARTITIONS = few
+    assert bag(h.current()) == {(2, "y", 2): 1, (4, "z", 4): 1, (7, "x", 7): 1, (8, None, 8): 1}
+    h.overwrite(put(spark), mode="dynamic")
+    assert h.current().count() == 4
+
+
+def test_columns_with_dots(spark, tmp_path):
+    h = History.create(spark, str(tmp_path / "h"), "k INT, `a.b` STRING", ["k"], ["a.b"])
+    h.insert(spark.sql("SELECT 1 AS k, 'x' AS `a.b`"))
+    h.materialize()
+    assert bag(h.current()) == {(1, "x"): 1}
+
+
 def test_partition_values_survive(spark, tmp_path):
     h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
     h.insert(put(spark, (1, None, 1), (2, "007", 2), (3, "a/b=c d", 3), (4, "1.0", 4)))
     assert bag(h.current()) == {(1, None, 1): 1, (2, "007", 2): 1, (3, "a/b=c d", 3): 1, (4, "1.0", 4): 1}
-    with pytest.raises(Exception, match="empty string"):
-        h.insert(put(spark, (5, "", 5)))
+    for value, message in (("", "empty string"), ("__HIVE_DEFAULT_PARTITION__", "stands for null"), ("w" * 300, "too long")):
+        with pytest.raises(Exception, match=message):
+            h.insert(put(spark, (5, value, 5)))
 
 
 def test_declarations_are_checked(spark, tmp_path):

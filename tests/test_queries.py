@@ -29,4 +29,5 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == 56
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
