@@ -26,7 +26,6 @@ from rowtide.operators.rows import (
     commit_counts,
     commit_sums,
     inlined,
-    last_changes_of_counts,
     last_changes_of_sums,
     split_untouched,
     sum_names,
@@ -154,8 +153,9 @@ def net_windows(
     """NET change rows of every window; see `net_changes` for the arguments.
 
     With few commits and a short list, the log is shuffled once and each row
-    works out its windows on the spot. Otherwise the rows, counted per commit,
-    are joined to the windows by ordinal and shuffled once more.
+    works out its windows on the spot. Otherwise it does so from its list of
+    events, at most one per commit; windows in which nothing is left of a row
+    are dropped where they are, before anything is shuffled or written.
     """
     if rare is not None:
         untouched, touched = split_untouched(log, rare)
@@ -168,15 +168,44 @@ def net_windows(
         left = last_changes_of_sums(each, commits, "_window.first", "_window.last")
         left = left.selectExpr("*", "_window.title AS window", "'NET' AS mode")
     else:
-        counts = commit_counts(log)
-        inside = _small(_commits_of(windows), listed)
-        hit = counts.join(inside, counts[CHANGE_ORDINAL] == inside["_ordinal"]).selectExpr(
-            "window", *quoted(rows), f"{CHANGE_ORDINAL} - _first AS {CHANGE_ORDINAL}", SNAPSHOT_ID, "_n"
-        )
-        left = last_changes_of_counts(hit, "window").selectExpr("*", "'NET' AS mode")
+        left = _left_of_events(log, windows).selectExpr("*", "'NET' AS mode")
     return as_change_rows(left, ["window", "mode", *rows, CHANGE_TYPE, CHANGE_ORDINAL, SNAPSHOT_ID], at_most)
 
 
+_EVENT = "struct<ordinal: int, snapshot_id: bigint, copies: bigint>"
+
+
+def _left_of_events(log: DataFrame, windows: DataFrame) -> DataFrame:
+    """The last |balance| changes of the balance's sign of every row and window: `window`, the row,
+    `_sign`, `_ordinal`, `_snapshot_id`, `_copies`."""
+    rows = quoted(row_columns(log))
+    event = f"struct({CHANGE_ORDINAL} AS ordinal, {SNAPSHOT_ID} AS snapshot_id, _n AS n)"
+    events = commit_counts(log).groupBy(*rows).agg(F.expr(f"array_sort(collect_list({event})) AS _events"))
+    bounds = windows.selectExpr("title", "coalesce(start_ordinal + 1, 0) AS first", "end_ordinal AS last")
+    listed = F.broadcast(bounds.agg(F.expr("collect_list(struct(title, first, last)) AS _windows")))
+    inside = "filter(_events, e -> e.ordinal BETWEEN _window.first AND _window.last)"
+    step = (
+        "struct(greatest(a.left - abs(e.n), 0L) AS left, IF(a.left > 0, array_append(a.out, "
+        "struct(CAST(e.ordinal AS INT) AS ordinal, e.snapshot_id AS snapshot_id, least(abs(e.n), a.left) AS copies)), a.out) AS out)"
+    )
+    last = (
+        "aggregate(reverse(filter(_inside, e -> signum(e.n) = signum(_balance))), "
+        f"struct(abs(_balance) AS left, CAST(array() AS array<{_EVENT}>) AS out), (a, e) -> {step}).out"
+    )
+    return (
+        events.crossJoin(listed)  # one record with the windows
+        .selectExpr(*rows, "_events", "explode(_windows) AS _window")
+        .selectExpr(*rows, "_window", f"{inside} AS _inside")
+        .selectExpr("*", "aggregate(_inside, 0L, (a, e) -> a + e.n) AS _balance")
+        .where("_balance != 0")
+        .selectExpr("_window", *rows, "IF(_balance > 0, 1, -1) AS _sign", f"explode({last}) AS _left")
+        .selectExpr(
+            "_window.title AS window", *rows, "_sign", "_left.ordinal - _window.first AS _ordinal",
+            "_left.snapshot_id AS _snapshot_id", "_left.copies AS _copies",
+        )
+    )
+
+
 def changelog_windows(
     log: DataFrame,
     windows: DataFrame,

@@ -397,6 +397,12 @@ ORACLE: dict[str, str] = {
     + """
         SELECT "window", mode, CAST(i AS BIGINT) AS "INSERT", CAST(d AS BIGINT) AS "DELETE",
                CAST(0 AS BIGINT) AS "UPDATE_BEFORE", CAST(0 AS BIGINT) AS "UPDATE_AFTER" FROM sums""",
+    "long_history_changes": LONG_LOG
+    + LONG_WINDOWS[: LONG_WINDOWS.index("),\ncounted") + 1]
+    + WINDOWED.replace(ORDER, LONG)
+    + """
+        SELECT "window", mode, CAST(k AS BIGINT) AS _commit_snapshot_id, CAST(k - s - 1 AS INTEGER) AS _change_ordinal,
+               t AS _change_type, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM changes GROUP BY ALL""",
     "long_history_entry_counts": LONG_LOG
     + ENTRIES.replace("o_orderstatus", "c_nationkey")
     + " SELECT snapshot_id, status, count(*) AS cnt FROM entries GROUP BY ALL",

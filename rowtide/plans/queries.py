@@ -156,6 +156,14 @@ def long_history_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.matrix(_all_windows(h))
 
 
+def long_history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = long_history(spark, sf_dir)
+    changes = h.window_changes(_all_windows(h))
+    return changes.groupBy("window", "mode", SNAPSHOT_ID, "_change_ordinal", CHANGE_TYPE).agg(
+        F.count("*").alias("n"), F.sum("c_custkey").alias("keys")
+    )
+
+
 def long_history_entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.entry_counts(long_history(spark, sf_dir))
 
@@ -355,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         net_by_key_with_duplicates,
         long_history_net,
         long_history_matrix,
+        long_history_changes,
         long_history_entry_counts,
         months_instants,
         bucket_lineitem_text,
