@@ -87,18 +87,25 @@ def tokenise(docs: DataFrame, codec: Codec, capacity: int = 1024, end_id: int =
 
     def cut(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _encoder(*key)
-        kind = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids", pa.binary())]))
         for batch in texts:
-            rows = []
+            ids, piece, start, length, ends = [], [], [], [], [0]
             for text in batch:
-                ids = np.array([*encode(text.as_py() or ""), end_id], dtype="<u4")
-                first = len(ids) % capacity or capacity
-                starts = [0, *range(first, len(ids), capacity)]
-                ends = [*starts[1:], len(ids)]
-                rows.append(
-                    [{"piece": i, "start": a, "length": b - a, "ids": ids[a:b].tobytes()} for i, (a, b) in enumerate(zip(starts, ends))]
-                )
-            yield pa.array(rows, kind)
+                one = np.array(encode(text.as_py() or "") + [end_id], dtype="<u4")
+                first = len(one) % capacity or capacity
+                starts = [0, *range(first, len(one), capacity)]
+                ids.append(one)
+                piece += range(len(starts))
+                start += starts
+                length += [first] + [capacity] * (len(starts) - 1)
+                ends.append(len(piece))
+            flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
+            places = np.concatenate([[0], np.cumsum(length)]).astype(np.int64) * 4
+            if places[-1] >= 1 << 31:
+                raise ValueError("the ids of one Arrow batch exceed 2 GB: lower spark.sql.execution.arrow.maxRecordsPerBatch")
+            binary = pa.Array.from_buffers(pa.binary(), len(piece), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(flat)])
+            columns = [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()), binary]
+            pieces = pa.StructArray.from_arrays(columns, ["piece", "start", "length", "ids"])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces)
 
     pieces = F.arrow_udf(cut, PIECES)
     own = without(docs, "piece", "start", "length", "ids", "_piece")

@@ -295,17 +295,28 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     return w
 
 
-def _word_weights(docs: list[Counter], y: np.ndarray) -> np.ndarray:
-    """Logistic regression on the density of n-grams, by adaptive gradient steps."""
-    index, value, sizes = [], [], []
-    for counts in docs:
+class _Sampled:
+    """A document of the sample: its n-grams, the word that each is of, and how often the words occur."""
+
+    def __init__(self, counts: Counter):
         ids, owner = gram_ids(list(counts))
-        n = np.fromiter(counts.values(), dtype=float, count=len(counts))[owner]
-        u, inverse = np.unique(ids, return_inverse=True)
-        value.append(np.minimum(np.bincount(inverse, weights=n) / max(sum(counts.values()), 1) * 20, 1).astype(np.float32))
-        index.append(u.astype(np.int32))
-        sizes.append(len(u))
-    at, v, row = np.concatenate(index), np.concatenate(value), np.repeat(np.arange(len(docs)), sizes)
+        self.ids, self.owner = ids.astype(np.int32), owner.astype(np.int32)
+        self.n = np.fromiter(counts.values(), dtype=np.float32, count=len(counts))
+
+    def densities(self) -> tuple[np.ndarray, np.ndarray]:
+        u, inverse = np.unique(self.ids, return_inverse=True)
+        total = np.bincount(inverse, weights=self.n[self.owner], minlength=len(u))
+        return u, np.minimum(total / max(self.n.sum(), 1) * 20, 1).astype(np.float32)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, weights=weights[self.ids], minlength=len(self.n))
+
+
+def _word_weights(docs: list[_Sampled], y: np.ndarray) -> np.ndarray:
+    """Logistic regression on the density of n-grams, by adaptive gradient steps."""
+    index, value = zip(*(d.densities() for d in docs))
+    row = np.repeat(np.arange(len(docs), dtype=np.int32), [len(i) for i in index])
+    at, v = np.concatenate(index), np.concatenate(value)
     w, b, squares, square = np.zeros(WEIGHTS), 0.0, np.full(WEIGHTS, 1e-8), 1e-8
     for _ in range(STEPS):
         z = np.bincount(row, weights=v * w[at], minlength=len(docs)) + b
@@ -340,7 +351,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
     for r in rows:
         room -= len(r.text or "")
         if r.text and room >= 0:
-            read.append(restorer.read(r.text))
+            read.append(_Sampled(restorer.read(r.text)))
             y.append(float(r._y))
     y = np.array(y)
     first = np.arange(len(y)) % 3 != 2
@@ -348,7 +359,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         return model, Scorer(np.zeros(WEIGHTS), [], [], prior)
     weights = _word_weights([r for r, f in zip(read, first) if f], y[first])
     scorer = Scorer(weights, [], [], prior)
-    held, held_y = [scorer.read(r, restorer) for r, f in zip(read, first) if not f], y[~first]
+    held, held_y = [(d.scores(weights), d.n) for d, f in zip(read, first) if not f], y[~first]
     seen = np.concatenate([s for s, _ in held])
     scorer.levels = [float(np.quantile(seen, q)) for q in (0.9, 0.97, 0.99, 0.997)]
     final = _logistic(np.array([scorer.features(s, n) for s, n in held]), held_y)
