@@ -399,6 +399,19 @@ class History:
         mark.coalesce(1).write.mode("append").parquet(f"{self.path}/states_written")
         return target
 
+    def materialize_if_due(self, factor: float = 1.0) -> str | None:
+        """Write the latest version out once the changes since the last stored one outnumber its rows by `factor`.
+
+        Called after each commit, a write then reads no more than a few times the table's rows, however long the
+        history is, and the versions written take no more than the changes that led to them.
+        """
+        if not self.commits:
+            return None
+        base = max(self._stored_states(), default=0)
+        changed = sum(c.added + c.deleted for c in self.commits if c.snapshot_id > base)
+        live = sum(c.added - c.deleted for c in self.commits)
+        return self.materialize() if changed > factor * live else None
+
     def _state_path(self, snapshot_id: int) -> str:
         return f"{self.path}/states/{SNAPSHOT_ID}={snapshot_id}"
 

@@ -193,6 +193,19 @@ def test_dynamic_overwrite_opens_only_its_partitions(spark, tmp_path):
     assert h.current().count() == 4
 
 
+def test_versions_are_written_when_changes_pile_up(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
+    assert h.materialize_if_due() is None
+    h.insert(put(spark, *[(i, "x", 0) for i in range(10)]))
+    assert h.materialize_if_due() is None and h.materialize_if_due(0.5) is not None
+    h.update({"v": "v + 1"}, "k < 5")
+    assert h.materialize_if_due() is None  # ten changes, ten rows
+    h.update({"v": "v + 1"}, "k < 1")
+    assert h.materialize_if_due() is not None and h.materialize_if_due() is None
+    assert h._stored_states() and max(h._stored_states()) == 3
+    assert bag(h.current()) == {(0, "x", 2): 1, **{(i, "x", int(i < 5)): 1 for i in range(1, 10)}}
+
+
 def test_columns_with_dots(spark, tmp_path):
     h = History.create(spark, str(tmp_path / "h"), "k INT, `a.b` STRING", ["k"], ["a.b"])
     h.insert(spark.sql("SELECT 1 AS k, 'x' AS `a.b`"))

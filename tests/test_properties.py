@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from rowtide import (
     all_windows,
@@ -141,6 +142,21 @@ def test_net_by_key_is_net_by_row_when_keys_are_unique(spark, scripts):
     assert bag(net_changes_by_key(log, ["script", "k"]), *columns) == bag(net_changes(log), *columns)
 
 
+@SETTINGS
+@given(scripts=st.lists(script(), min_size=15, max_size=25))
+def test_net_by_key_loses_nothing(spark, scripts):
+    """With null keys and keys of several rows, signs add up as in the log, and whole rows do so for those keys."""
+    log = log_of(spark, scripts).cache()
+    net = net_changes_by_key(log, ["script", "k"])
+    signs = lambda df: bag(
+        df.groupBy("script", "k").agg(F.expr("sum(IF(_change_type = 'INSERT', 1, -1)) AS n")).where("n <> 0"), "script", "k", "n"
+    )
+    assert signs(net) == signs(log)
+    null = "k IS NULL"
+    assert bag(net.where(null)) == bag(net_changes(log.where(null)).select(*net.columns))
+    log.unpersist()
+
+
 @SETTINGS
 @given(st.lists(script(), min_size=20, max_size=40))
 def test_labels_mark_single_pairs(spark, scripts):
