@@ -306,15 +306,15 @@ class _Sampled:
     def densities(self) -> tuple[np.ndarray, np.ndarray]:
         u, inverse = np.unique(self.ids, return_inverse=True)
         total = np.bincount(inverse, weights=self.n[self.owner], minlength=len(u))
-        return u, np.minimum(total / max(self.n.sum(), 1) * 20, 1).astype(np.float32)
+        return u.astype(np.int32), np.minimum(total / max(self.n.sum(), 1) * 20, 1).astype(np.float32)
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.owner, weights=weights[self.ids], minlength=len(self.n))
 
 
-def _word_weights(docs: list[_Sampled], y: np.ndarray) -> np.ndarray:
+def _word_weights(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
     """Logistic regression on the density of n-grams, by adaptive gradient steps."""
-    index, value = zip(*(d.densities() for d in docs))
+    index, value = zip(*docs)
     row = np.repeat(np.arange(len(docs), dtype=np.int32), [len(i) for i in index])
     at, v = np.concatenate(index), np.concatenate(value)
     w, b, squares, square = np.zeros(WEIGHTS), 0.0, np.full(WEIGHTS, 1e-8), 1e-8
@@ -347,19 +347,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
     sample = keep(chosen[0].unionByName(chosen[1]))
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("_y", "_h", "text").collect()
     rows.sort(key=lambda r: (r._h, r.text or ""))
-    restorer, read, y, room = Restorer(model), [], [], SAMPLE_CHARS
+    restorer, room, taken = Restorer(model), SAMPLE_CHARS, 0
+    first: list[tuple[np.ndarray, np.ndarray]] = []
+    third: list[_Sampled] = []
+    first_y, held_y = [], []
     for r in rows:
         room -= len(r.text or "")
         if r.text and room >= 0:
-            read.append(_Sampled(restorer.read(r.text)))
-            y.append(float(r._y))
-    y = np.array(y)
-    first = np.arange(len(y)) % 3 != 2
-    if any(len(set(part)) < 2 for part in (y[first], y[~first])):
+            sampled = _Sampled(restorer.read(r.text))
+            if taken % 3 != 2:
+                first.append(sampled.densities())
+                first_y.append(float(r._y))
+            else:
+                third.append(sampled)
+                held_y.append(float(r._y))
+            taken += 1
+    if len(set(first_y)) < 2 or len(set(held_y)) < 2:
         return model, Scorer(np.zeros(WEIGHTS), [], [], prior)
-    weights = _word_weights([r for r, f in zip(read, first) if f], y[first])
+    held_y = np.array(held_y)
+    weights = _word_weights(first, np.array(first_y))
     scorer = Scorer(weights, [], [], prior)
-    held, held_y = [(d.scores(weights), d.n) for d, f in zip(read, first) if not f], y[~first]
+    held = [(d.scores(weights), d.n) for d in third]
     seen = np.concatenate([s for s, _ in held])
     scorer.levels = [float(np.quantile(seen, q)) for q in (0.9, 0.97, 0.99, 0.997)]
     final = _logistic(np.array([scorer.features(s, n) for s, n in held]), held_y)
