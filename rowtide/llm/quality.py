@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowtide.llm.common import keep, without
 
-# The sample that the model is fitted on: of each label, so many rows with so many characters together at most,
-# half of them for the dictionaries and half for the calibration.
+# The sample that the model is fitted on: of each label, so many rows, of at most so many characters each and together,
+# half of them for the dictionaries and half for the calibration. Longer texts are scored like any other.
 SAMPLE_ROWS = 1500
+TEXT_CHARS = 60_000
 SAMPLE_CHARS = 12_000_000
 
 DICTIONARY_BYTES = 64 << 10
@@ -97,7 +98,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         for y in (0, 1)
     ]
     sample = keep(chosen[0].unionByName(chosen[1]))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").selectExpr("_y", "_h", "coalesce(text, '') AS text").collect()
+    short = docs.select("doc_id", "text").where(f"length(text) <= {TEXT_CHARS}")
+    rows = short.join(F.broadcast(sample), "doc_id").selectExpr("_y", "_h", "coalesce(text, '') AS text").collect()
     texts: dict[int, list[bytes]] = {0: [], 1: []}
     room = {0: SAMPLE_CHARS, 1: SAMPLE_CHARS}
     for r in sorted(rows, key=lambda r: (r._y, r._h, r.text)):

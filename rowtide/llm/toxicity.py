@@ -41,8 +41,9 @@ GRAMS = (4, 5)
 WEIGHTS = 1 << 18
 STEPS = 80
 
-# The sample that the model is fitted on: so many rows of each label, by hash of the id, in all so many characters.
-TOXIC_ROWS, OTHER_ROWS, SAMPLE_CHARS = 1600, 3200, 24_000_000
+# The sample that the model is fitted on: so many rows of each label, by hash of the id, of at most so many characters
+# each and in all. Longer texts are scored like any other.
+TOXIC_ROWS, OTHER_ROWS, TEXT_CHARS, SAMPLE_CHARS = 1600, 3200, 60_000, 24_000_000
 
 _LONG_RUN = re.compile(r"(.)\1\1")
 _RUNS = re.compile(r"(.)\1*", re.S)
@@ -333,7 +334,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
     """The language model of all documents, and a scorer from a bounded sample of the labelled ones.
 
     `learn` is SQL on `doc_id` for the labels that may be used. Of each label, the rows with the smallest
-    hash of the id are taken, `TOXIC_ROWS` and `OTHER_ROWS` at most. Two thirds fit the words' weights, a
+    hash of the id are taken, `TOXIC_ROWS` and `OTHER_ROWS` at most, those of over `TEXT_CHARS` left out. Two thirds fit the words' weights, a
     third the final model. Without rows of both labels every score is the share of label 1.
     """
     model = language_model(corpus_trigrams(docs))
@@ -345,7 +346,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         for y, most in ((0, OTHER_ROWS), (1, TOXIC_ROWS))
     ]
     sample = keep(chosen[0].unionByName(chosen[1]))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("_y", "_h", "text").collect()
+    short = docs.select("doc_id", "text").where(f"length(text) <= {TEXT_CHARS}")
+    rows = short.join(F.broadcast(sample), "doc_id").select("_y", "_h", "text").collect()
     rows.sort(key=lambda r: (r._h, r.text or ""))
     restorer, room, taken = Restorer(model), SAMPLE_CHARS, 0
     first: list[tuple[np.ndarray, np.ndarray]] = []
