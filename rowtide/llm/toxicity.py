@@ -1,9 +1,10 @@
 """Toxicity of obfuscated text: a noisy channel restores it, then restored words are scored.
 
 A character trigram model is counted over the whole corpus. A token that isn't plain
-letters is a lattice: digits and symbols may stand for letters or for nothing, long runs of
+letters is a lattice: digits and symbols may stand for letters or for nothing, runs of
 a letter for one or two, and a row of spaced single letters for a word; Viterbi decoding finds the
-most likely reading under the model and the channel. A linear model over the character
+most likely reading under the model and the channel. Only tokens of a single reading are not
+decoded. A token without letters may also be a number or an ornament, which stands for no word. A linear model over the character
 n-grams of restored words, fitted on labelled documents, gives each word a score, and a second
 small one turns the words' scores into the document's.
 """
@@ -35,6 +36,8 @@ WILD = "*#"
 # Log probabilities of the channel.
 SUBSTITUTED, DROPPED_SYMBOL, DROPPED_DIGIT, DROPPED_MARK, WILDCARD = -1.5, -4.5, -7.0, -1.0, -4.5
 DOUBLED_ONCE, LONG_ONCE, LONG_TWICE, SPACE_DROPPED, SPACE_KEPT = -3.0, -0.5, -1.5, -0.5, -2.0
+# Of what stands for no word: each run of a digit in a number, each run of a symbol, and one of three or more at the end of a word.
+DIGIT_ALONE, SYMBOLS_ALONE, ORNAMENT = -2.3, -6.0, -1.5
 
 # The linear model: n-grams of words with their ends marked, hashed into so many weights.
 GRAMS = (4, 5)
@@ -45,14 +48,15 @@ STEPS = 80
 # each and in all. Longer texts are scored like any other.
 TOXIC_ROWS, OTHER_ROWS, TEXT_CHARS, SAMPLE_CHARS = 1600, 3200, 60_000, 24_000_000
 
-_LONG_RUN = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1", re.S)
 _RUNS = re.compile(r"(.)\1*", re.S)
-_MARKS_ONLY = "\"'“”«»()[]{}.,;:?…¿¡"
-_MARKS = _MARKS_ONLY + "!"
-_ORNAMENT = re.compile(r"([^\w\s])\1+$")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
+# Marks that stand for no letter, and those that may.
+_MARKS_ONLY = "\"'“”«»)[]{}.,;:?…¿¡"
+_MARKS = _MARKS_ONLY + "(!"
+_SPACED = re.compile(rf"(?<!\S)[{re.escape(_MARKS_ONLY)}]*\S(?:\s+\S)+[{re.escape(_MARKS)}]*(?!\S)")
+_BLANKS = re.compile(r"\s+")
 
-_CACHE = 200_000
+_CACHE, _KNOWN = 200_000, 50_000
 
 
 def _table() -> np.ndarray:
@@ -122,6 +126,7 @@ class Restorer:
     def __init__(self, model: list[float]):
         self.model = model
         self.number = {c: i for i, c in enumerate(LETTERS, 1)}
+        self.known: dict[str, tuple[str, ...]] = {}
 
     def _options(self, run: str) -> list[tuple[str, float]]:
         """What a run of one character may stand for, with the channel's log probability. A blank ends a word."""
@@ -142,13 +147,34 @@ class Restorer:
             return options + [(x + x, SUBSTITUTED - 1) for x in LEET[c]] if many > 1 else options
         return [("", DROPPED_MARK if not c.isdigit() else DROPPED_DIGIT)]
 
+    def _at_ends(self, run: str, first: bool, options: list[tuple[str, float]]) -> list[tuple[str, float]]:
+        """The options of a run before or after all letters, where it's more likely to be a mark or an ornament."""
+        if run[0] == "(" or run[0] == "!" and not first:
+            return [("", DROPPED_MARK), *options[1:]]
+        if run == "!":  # no mark stands so before a word
+            return [("", DROPPED_DIGIT), *options[1:]]
+        if len(run) > 2 and not first and not run[0].isalnum() and options[0][1] < ORNAMENT:
+            return [("", ORNAMENT), *options[1:]]
+        return options
+
     def decode(self, token: str) -> str:
-        """The most likely reading of a token: Viterbi over states of the last two symbols."""
+        """The most likely reading of a token: Viterbi over states of the last two symbols.
+
+        Without a letter it is read as words only when that is likelier than a number or symbols.
+        """
         model, number = self.model, self.number
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for m in _RUNS.finditer(token):
+        runs = [m[0] for m in _RUNS.finditer(token)]
+        # Ends are what stands before and after all letters and digits; a token without any has an end only.
+        word = [i for i, run in enumerate(runs) if run[0].isalnum()] or [0, -1]
+        spaced = any(run[0].isspace() for run in runs)
+        for i, run in enumerate(runs):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            options = self._options(m[0])
+            options = self._options(run)
+            if i < word[0] or i > word[-1]:
+                options = self._at_ends(run, i < word[0], options)
+            if spaced and not run[0].isalpha() and not run[0].isspace():  # what stands on its own may be no letter
+                options = [("", max(DIGIT_ALONE, options[0][1])), *options[1:]]
             for (a, b), (score, path) in states.items():
                 for text, weight in options:
                     x, y, total = a, b, score + weight
@@ -161,30 +187,30 @@ class Restorer:
                         after[(x, y)] = (total, (path, text) if text else path)
             states = after
         end = max(((score + model[(a * SYMBOLS + b) * SYMBOLS], path) for (a, b), (score, path) in states.items()), key=lambda t: t[0])
+        if not any(run[0].isalpha() for run in runs) and end[0] <= sum(map(self._alone, runs)):
+            return ""
         parts, path = [], end[1]
         while path is not None:
             path, text = path
             parts.append(text)
         return "".join(reversed(parts))
 
+    @staticmethod
+    def _alone(run: str) -> float:
+        """The log probability of a run in a token that stands for no word."""
+        if run[0].isspace():
+            return SPACE_KEPT
+        if run[0].isdigit():
+            return DIGIT_ALONE
+        return SYMBOLS_ALONE if (run[0] in LEET or run[0] in WILD) and run[0] not in _MARKS else DROPPED_MARK
+
     def words(self, token: str) -> tuple[str, ...]:
         """The words that a token stands for."""
-        if token.isalpha() and not _LONG_RUN.search(token):
-            return (token.lower(),)
-        text = token.lower()
-        bare = text.strip(_MARKS)
-        if bare.isalpha() and not _LONG_RUN.search(bare):
-            return (bare,)
-        plain = _ORNAMENT.sub("", text)
-        if len(plain) >= 3 or not plain:
-            text = plain
-            bare = text.strip(_MARKS)
-            if bare.isalpha() and not _LONG_RUN.search(bare):
-                return (bare,)
-        if not any(c.isalpha() for c in text):
-            return ()
         # Marks at the ends go, but not those that may be letters.
-        return tuple(self.decode(text.strip(_MARKS_ONLY)).split())
+        text = token.lower().strip(_MARKS_ONLY)
+        if text.isalpha() and not _DOUBLED.search(text):
+            return (text,)  # nothing in it may be read in another way
+        return tuple(self.decode(text).split()) if text else ()
 
     def tokens(self, text: str) -> Counter:
         """Tokens of a whole text with their counts; rows of spaced letters are decoded to words already."""
@@ -193,14 +219,19 @@ class Restorer:
             return Counter(text.split())
         counts = Counter(_SPACED.sub(" ", text).split())
         for run in spaced:
-            counts.update(self.decode(run.lower().replace("\t", " ")).split())
+            counts.update(self.decode(_BLANKS.sub(" ", run.lower())).split())
         return counts
 
     def read(self, text: str) -> Counter:
         """Restored words of a whole text with their counts."""
         counts: Counter = Counter()
+        if len(self.known) > _KNOWN:
+            self.known.clear()
         for token, n in self.tokens(text).items():
-            for word in self.words(token):
+            words = self.known.get(token)
+            if words is None:
+                words = self.known[token] = self.words(token)
+            for word in words:
                 counts[word] += n
         return counts
 

@@ -48,6 +48,32 @@ def test_restores(fitted):
     assert read("") == set()
 
 
+def test_restores_what_looks_plain(fitted):
+    restorer = Restorer(fitted[2][0])
+    read = lambda text: set(restorer.read(text))
+    assert read("iiddiioott moorroonn stuPiIid") == {"idiot", "moron", "stupid"}
+    assert read("!diot") == {"idiot"} and read("(uing") == {"cuing"} and read("(scum)!") == {"scum"}
+    assert read("7!$+") == {"tist"} and read("100% $5 3.14 555-3334 1000000 (377) & ***") == set()
+    assert read("i d i o t!") == read("i\nd  i\to t.") == {"idiot"} and "st" in read("the s t the")
+
+
+def test_symbols_at_the_end_may_be_letters(spark):
+    words = documents(spark, [(i, "a jackass passes class as lass; mass and grass pass", "s") for i in range(50)])
+    restorer = Restorer(language_model(corpus_trigrams(words)))
+    assert set(restorer.read("jacka$$ cla$$! gra$$.")) == {"jackass", "class", "grass"}
+    assert set(restorer.read("pass### grass%%% mass***")) == {"pass", "grass", "mass"}
+
+
+def test_held_out_in_plain_looking_forms(spark, fitted):
+    docs, labels, (model, scorer) = fitted
+    forms = [lambda w: "".join(c + c for c in w), lambda w: " ".join(w) + "!", lambda w: "\n".join(w), lambda w: w[0] + w[0].upper() + w[1:]]
+    toxic = [r for r in docs.collect() if r.doc_id % 20 == 0]
+    for k, form in enumerate(forms):
+        texts = [(r.doc_id, " ".join(form(w) if w in BAD else w for w in r.text.split()), "s") for r in toxic]
+        scores = [r.score for r in score_toxicity(documents(spark, texts), model, scorer).collect()]
+        assert sum(s >= 0.5 for s in scores) >= 0.9 * len(scores), k
+
+
 def test_held_out(spark, fitted):
     docs, labels, (model, scorer) = fitted
     of = {r.doc_id: r.score for r in score_toxicity(docs, model, scorer).collect()}
