@@ -1,7 +1,7 @@
 """Near-duplicate vectors by an exact range join in metric space.
 
 Unit vectors at a cosine of c lie sqrt(2 - 2 c) apart, so a cosine bound is a radius. Pivots
-of each label part its vectors into cells, every vector being at home in the cell of its nearest
+of each label and length part its vectors into cells, every vector being at home in the cell of its nearest
 pivot. If two vectors are within the radius, the triangle inequality (here that of the distance
 to the plane between two pivots, which is never more than that of the vectors) lets the
 one be outside the other's cell by the radius at most; so vectors near a boundary
@@ -40,27 +40,30 @@ def _unit(rows: list) -> np.ndarray:
 
 
 def _pivots(vectors: DataFrame, cell_vectors: int) -> dict:
-    """Pivots of each label with several cells: one for every `cell_vectors` vectors, those with the smallest hashes."""
-    counts = vectors.groupBy("label").agg(F.expr("count(*) AS n"))
-    wanted = keep(counts.selectExpr("label", f"CAST(ceil(n / {cell_vectors}) AS INT) AS k", "n").where("k > 1"))
+    """Pivots of each label and length with several cells: one for every `cell_vectors` vectors, those with the smallest hashes."""
+    counts = vectors.groupBy("label", "width").agg(F.expr("count(*) AS n"))
+    wanted = keep(counts.selectExpr("label", "width", f"CAST(ceil(n / {cell_vectors}) AS INT) AS k", "n").where("k > 1"))
     # An expected four times the number is drawn before the smallest hashes are taken.
-    drawn = join_small(vectors, wanted, ["label"], "inner").selectExpr("label", "rep", "embedding", "k", "n", "xxhash64(rep) AS h")
+    drawn = join_small(vectors, wanted, ["label", "width"], "inner").selectExpr("label", "width", "rep", "embedding", "k", "n", "xxhash64(rep) AS h")
     near = drawn.where("pmod(h, n) < 4 * k + 8")
-    ranked = near.selectExpr("*", "row_number() OVER (PARTITION BY label ORDER BY pmod(h, n), h, rep) AS r").where("r <= k")
+    ranked = near.selectExpr("*", "row_number() OVER (PARTITION BY label, width ORDER BY pmod(h, n), h, rep) AS r").where("r <= k")
     found: dict = {}
-    for row in ranked.select("label", "r", "embedding").collect():
-        found.setdefault(row.label, []).append((row.r, row.embedding))
-    return {label: _unit([e for _, e in sorted(held)]) for label, held in found.items()}
+    for row in ranked.select("label", "width", "r", "embedding").collect():
+        found.setdefault((row.label, row.width), []).append((row.r, row.embedding))
+    return {key: _unit([e for _, e in sorted(held)]) for key, held in found.items()}
 
 
 def _deal(pivots, radius: float):
     """For each vector its home cell, and the cells that it is replicated to."""
 
     def deal(labels: pa.Array, embeddings: pa.Array) -> pa.Array:
-        label, rows = labels.to_pylist(), embeddings.to_pylist()
+        rows = embeddings.to_pylist()
+        keys = list(zip(labels.to_pylist(), map(len, rows)))
         cells: list = [None] * len(rows)
-        for one in set(label):
-            mine = [i for i, x in enumerate(label) if x == one]
+        members: dict = {}
+        for i, key in enumerate(keys):
+            members.setdefault(key, []).append(i)
+        for one, mine in members.items():
             held = pivots.value.get(one)
             if held is None:
                 for i in mine:
@@ -119,9 +122,9 @@ def _join(cosine: float):
 def near_vectors(table: DataFrame, cosine: float = 0.93, cell_vectors: int = CELL_VECTORS) -> DataFrame:
     """One row per row of `table` (`vec_id`, `embedding`, `label`): `vec_id`, `n_links`, `component_id`, `kept`.
 
-    Vectors of one label are linked when their cosine in double precision is `cosine` or more. Null, empty and
-    zero vectors, those with null, infinite or NaN components, those without a label or an id, and
-    those whose length is not the most frequent one of their label link with nothing. Equal vectors of a label
+    Vectors of one label and one length are linked when their cosine in double precision is `cosine` or more. Null,
+    empty and zero vectors, those with null, infinite or NaN components and those without a label or an id
+    link with nothing. Equal vectors of a label
     are one vector with copies, linked with each other, and move once. Rows that share an id count as copies, too;
     a link of a row with one of its own id counts. Without any link a vector is its own component.
     """
@@ -134,28 +137,24 @@ def near_vectors(table: DataFrame, cosine: float = 0.93, cell_vectors: int = CEL
         "embedding",
     )
     valid = rows.where("_valid")
-    width = keep(
-        valid.groupBy("label", F.expr("size(embedding) AS width")).agg(F.expr("count(*) AS n"))
-        .groupBy("label").agg(F.expr("max_by(width, struct(n, width)) AS width"))
-    )
-    same = join_small(valid, width, ["label"], "inner").where("size(embedding) = width")
     # Equal vectors are one, with its smallest id and the number of its copies.
-    vectors = keep(same.groupBy("label", "embedding").agg(F.expr("min(vec_id) AS rep"), F.expr("count(*) AS copies")))
+    grouped = valid.groupBy("label", "embedding").agg(F.expr("min(vec_id) AS rep"), F.expr("count(*) AS copies"))
+    vectors = keep(grouped.selectExpr("label", "size(embedding) AS width", "embedding", "rep", "copies"))
     n = vectors.count()
     radius = float(np.sqrt(2 - 2 * cosine))
     pivots = table.sparkSession.sparkContext.broadcast(_pivots(vectors, max(cell_vectors, n // MOST_PIVOTS)))
     dealt = keep(vectors.withColumn("cells", _deal(pivots, radius)("label", "embedding")))
     sizes = keep(
-        dealt.selectExpr("label", "posexplode(cells) AS (_at, cell)")
-        .groupBy("label", "cell")
+        dealt.selectExpr("label", "width", "posexplode(cells) AS (_at, cell)")
+        .groupBy("label", "width", "cell")
         .agg(F.expr(f"ceil(count_if(_at = 0) / {BLOCK_VECTORS}) AS homes"), F.expr(f"ceil(count(*) / {BLOCK_VECTORS}) AS others"))
     )
     placed = join_small(
-        dealt.selectExpr("label", "rep", "copies", "embedding", "posexplode(cells) AS (_at, cell)"), sizes, ["label", "cell"], "inner"
+        dealt.selectExpr("label", "width", "rep", "copies", "embedding", "posexplode(cells) AS (_at, cell)"), sizes, ["label", "width", "cell"], "inner"
     ).where("homes > 0")
     # A home vector meets every member block of its cell, a member every home block.
     block = "CAST(pmod(xxhash64(rep, {}), {}) AS INT)"
-    whole = ["label", "cell", "rep", "copies", "embedding"]
+    whole = ["label", "width", "cell", "rep", "copies", "embedding"]
     home = placed.where("_at = 0").selectExpr(
         *whole, "TRUE AS is_home", f"{block.format(1, 'homes')} AS i", "explode(sequence(0, CAST(others AS INT) - 1)) AS j"
     )
@@ -165,8 +164,8 @@ def near_vectors(table: DataFrame, cosine: float = 0.93, cell_vectors: int = CEL
     tasks = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // BLOCK_VECTORS)
     met = keep(
         home.unionByName(other)
-        .repartition(tasks, "label", "cell", "i", "j")
-        .groupBy("label", "cell", "i", "j")
+        .repartition(tasks, "label", "width", "cell", "i", "j")
+        .groupBy("label", "width", "cell", "i", "j")
         .applyInPandas(_join(cosine), STARS)
     )
     counted = met.groupBy("rep").agg(F.expr("sum(n) AS n"))

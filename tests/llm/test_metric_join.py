@@ -48,6 +48,29 @@ def test_against_all_pairs(spark, monkeypatch, cell, block):
     assert none.n_links == 0 and none.component_id is None
 
 
+@pytest.mark.parametrize("cell, block", [(1024, 2048), (10, 16)])
+def test_every_length_is_joined_with_its_own(spark, monkeypatch, cell, block):
+    monkeypatch.setattr(metric_join, "BLOCK_VECTORS", block)
+    rows = table()
+    draw = np.random.default_rng(7)
+    other = [(5000 + i, (np.eye(5)[i % 5] + draw.normal(size=5) * 0.15).tolist(), int(i % 2)) for i in range(120)]
+    other += [(6000, [1.0, 2.0], 0), (6001, [1.0, 2.0], 0), (6002, [1.0, 2.1], 0), (6003, [1.0, 2.0], None), (6004, [2.0], 0), (6005, [3.0], 0)]
+    want = expected(rows)
+    n, links = {}, []
+    for k, (a, x, l) in enumerate(other):
+        for b, y, m in other[:k]:
+            if l is not None and l == m and len(x) == len(y) and np.dot(x, y) / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.93:
+                links.append((a, b))
+                n[a], n[b] = n.get(a, 0) + 1, n.get(b, 0) + 1
+    top = find_groups([i for i, _, _ in other], links)
+    want |= {i: (n.get(i, 0), top[i], top[i] == i) for i, _, _ in other}
+    assert len(links) > 200 and want[6000] == (2, 6000, True)
+    df = spark.createDataFrame(rows + other, "vec_id long, embedding array<float>, label int").repartition(4)
+    got = near_vectors(df, cell_vectors=cell).collect()
+    assert len(got) == len(rows) + len(other)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got if r.vec_id is not None} == want
+
+
 def test_huge_and_tiny_numbers(spark):
     rows = [(1, [1e300, 1e300], 0), (2, [1e-300, 1e-300], 0), (3, [1.0, -1.0], 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
