@@ -107,7 +107,7 @@ def mix(
     )
     ends = (
         running.join(shares.select("_source", "_rest"), "_source")
-        .where("_before < _rest AND _rest < _before + _size")
+        .where("_before < _rest AND _rest <= _before + _size")
         .selectExpr("_source", "_slice AS _end", "_before")
     )
     plan = keep(

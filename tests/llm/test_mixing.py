@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import re
 
+import duckdb
 import pytest
 from helpers import documents
 
 from rowtide.llm.mixing import mix, mixed_documents
+from rowtide.llm.oracle import ORACLE
 
 
 def shares(sizes, weights=(5, 2, 1), total_share=1.5, most=2):
@@ -69,6 +71,19 @@ def test_reruns_agree(spark):
     assert other != a
 
 
+def test_budget_that_ends_on_a_slice(spark):
+    cursor = duckdb.connect()
+    for n, words, share in ((2, 10, 1.5), (8, 3, 1.25), (40, 5, 1.5)):  # the budget is that of so many equal documents
+        docs = documents(spark, [(i, "w " * words, "s") for i in range(n)])
+        got = mix(docs, weights=(1,), total_share=share).collect()
+        assert sum(r.taken for r in got) == share * n * words
+        if share == 1.5:
+            frame = docs.toArrow()
+            cursor.register("documents", frame)
+            want = cursor.execute(ORACLE["op4_source_mix"]).fetchall()
+            assert sorted((r.doc_id, r.size, r.source_size, r.target, r.taken) for r in got) == sorted(want)
+
+
 def test_quality_weighs(spark):
     docs = documents(spark, [(i, "w w w w", "s") for i in range(4000)] + [(5000, "x " * 16000, "t")])
     got = mix(docs, weights=(1,), total_share=0.6, quality="IF(doc_id < 2000, 9.0D, 1.0D)").where("size = 4").collect()
