@@ -14,8 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowtide.llm.common import fresh, join_small, keep
-from rowtide.operators.rows import splittable_join
+from rowtide.llm.common import join_small, keep
 
 # Rows for each slice of the keys, and most slices. The slice of a source where its budget ends is sorted by one task,
 # and so are the sums of its slices.
@@ -84,18 +83,30 @@ def mix(
     the target. Equal keys (repeated rows) are ordered by id and size. Sources
     without words have the target 0. The result depends on rows and seed only.
     """
-    weight = quality or f"(({WORDS} + 1D) / ({WORDS} + {SYMBOLS} + 1D))"
-    thin = keep(
-        docs.selectExpr(
-            "CAST(doc_id AS BIGINT) AS doc_id",
-            "source",
-            "coalesce(concat('s', source), 'n') AS _source",
-            f"CAST({WORDS} AS BIGINT) AS size",
-            f"-ln({uniform('doc_id', seed)}) / ({weight}) AS key",
-        )
+    marks = _marks("doc_id", quality, seed)
+    names = ["_source", "size", "key"]
+    thin = keep(docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "source", *(f"{m} AS {n}" for m, n in zip(marks, names))))
+    slices, plan = _plan(thin, weights, total_share, most)
+    each = join_small(thin.selectExpr("*", f"{_slice_of('key', slices)} AS _slice"), plan, ["_source"], "inner")
+    return _chosen(each, ["key", "doc_id", "size"]).selectExpr(
+        "doc_id", "size", "source_size", "target", "size * (epochs + IF(_chosen, 1, 0)) AS taken", "epochs + IF(_chosen, 1, 0) AS epochs", "key"
     )
+
+
+def _marks(drawn_by: str, quality: str | None, seed: int) -> tuple[str, str, str]:
+    """SQL of a document's source, size and key."""
+    weight = quality or f"(({WORDS} + 1D) / ({WORDS} + {SYMBOLS} + 1D))"
+    return "coalesce(concat('s', source), 'n')", f"CAST({WORDS} AS BIGINT)", f"-ln({uniform(drawn_by, seed)}) / ({weight})"
+
+
+def _slice_of(key: str, slices: int) -> str:
+    return f"CAST((1D - exp(-{key})) * {slices} AS INT)"
+
+
+def _plan(thin: DataFrame, weights: Sequence[int], total_share: float, most: float) -> tuple[int, DataFrame]:
+    """The number of slices, and for each source its epochs and the slice in which its budget ends."""
     slices = max(16, min(MOST_SLICES, thin.count() // SLICE_ROWS))
-    thin = thin.selectExpr("*", f"CAST((1D - exp(-key)) * {slices} AS INT) AS _slice")
+    thin = thin.selectExpr("*", f"{_slice_of('key', slices)} AS _slice")
     sizes = thin.groupBy("_source").agg(F.expr("any_value(source) AS source"), F.expr("sum(size) AS source_size"))
     shares = targets(sizes, weights, total_share, most).selectExpr(
         "*", "IF(source_size = 0, 0L, CAST(floor(target / source_size) AS BIGINT)) AS epochs"
@@ -116,33 +127,44 @@ def mix(
             "_source", "source_size", "target", "epochs", "_rest", f"coalesce(_end, IF(_rest > 0, {slices + 1}, -1)) AS _end", "_before"
         )
     )
-    each = join_small(thin, plan, ["_source"], "inner")
-    order = Window.partitionBy("_source", "_slice").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    return slices, plan
+
+
+def _chosen(each: DataFrame, order: list[str]) -> DataFrame:
+    """`each` with `_chosen`: whether a row is taken once more than the whole epochs; only the slices of the ends are sorted."""
+    upto = Window.partitionBy("_source", "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     at_end = (
         each.where("_slice = _end")
-        .withColumn("_upto", F.sum("size").over(order))
+        .withColumn("_upto", F.sum("size").over(upto))
         .selectExpr("*", "_before + _upto - size / 2D <= _rest AS _chosen")
         .drop("_upto")
     )
-    others = each.where("_slice <> _end").selectExpr("*", "_slice < _end AS _chosen")
-    return others.unionByName(at_end).selectExpr(
-        "doc_id", "size", "source_size", "target", "size * (epochs + IF(_chosen, 1, 0)) AS taken", "epochs + IF(_chosen, 1, 0) AS epochs", "key"
-    )
+    return each.where("_slice <> _end").selectExpr("*", "_slice < _end AS _chosen").unionByName(at_end)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it.
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[int] = (5, 2, 1),
+    total_share: float = 1.5,
+    most: float = 2.0,
+    quality: str | None = None,
+    seed: int = 0,
+) -> DataFrame:
+    """The rows of `docs`, each as often as a mix takes it.
 
-    Rows that share an id are taken as often as the mix takes that id and size.
+    The mix is that of `mix`, but every row is counted and taken by itself, whatever others share its id. Rows without
+    an id draw by source and text, so they don't fall into one slice; equal keys of an id are ordered by text.
     """
-    name, size, epochs, copy = fresh(docs, "_id", "_size", "_epochs", "_copy")
-    named = f"coalesce(CAST(doc_id AS STRING), '') AS {name}"
-    plan = keep(mix(docs, **options).selectExpr(named, f"size AS {size}", f"epochs AS {epochs}"))
-    plan = plan.groupBy(name, size).agg(F.expr(f"min({epochs}) AS {epochs}"))
-    keyed = docs.selectExpr("*", named, f"CAST({WORDS} AS BIGINT) AS {size}")
+    drawn_by = "coalesce(CAST(doc_id AS STRING), concat_ws(':', 'null', md5(coalesce(concat('s', source), 'n')), coalesce(md5(text), 'null')))"
+    marks = _marks(drawn_by, quality, seed)
+    keyed = docs.selectExpr("struct(*) AS _row", *(f"{m} AS {n}" for m, n in zip(marks, ["_source", "size", "key"])))
+    thin = keep(keyed.selectExpr("_row.source AS source", "_source", "size", "key"))
+    slices, plan = _plan(thin, weights, total_share, most)
+    each = join_small(keyed.selectExpr("*", f"{_slice_of('key', slices)} AS _slice", "md5(_row.text) AS _tie"), plan, ["_source"], "inner")
     return (
-        splittable_join(keyed, plan, [name, size], "inner")
-        .where(f"{epochs} > 0")
-        .withColumn(copy, F.expr(f"explode(sequence(1L, {epochs}))"))
-        .select(*docs.columns)
+        _chosen(each, ["key", "_row.doc_id", "size", "_tie"])
+        .selectExpr("_row", "epochs + IF(_chosen, 1, 0) AS _epochs")
+        .where("_epochs > 0")
+        .selectExpr("_row", "explode(sequence(1L, _epochs)) AS _copy")
+        .select("_row.*")
     )

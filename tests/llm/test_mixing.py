@@ -104,6 +104,21 @@ def test_documents_as_often_as_taken(spark):
     assert got == {i: n for i, n in want.items() if n}
 
 
+def test_rows_without_or_with_repeated_ids_are_taken_by_themselves(spark):
+    # nulls and repeats of equal size on all sides; the third source takes least
+    rows = [(None if i % 2 else i % 5, f"{s} {i} " + "w " * 8, s) for s in ("a", "b", "c") for i in range(300)]
+    sizes = {s: 300 * 10 for s in "abc"}
+    want = shares(sizes)
+    got = mixed_documents(documents(spark, rows)).collect()
+    copies = {}
+    for r in got:
+        copies.setdefault(r.source, {}).setdefault(r.text, 0)
+        copies[r.source][r.text] += 1
+    for s in "abc":
+        assert abs(sum(copies[s].values()) * 10 - want[s]) <= 5
+        assert set(copies[s].values()) <= {1, 2} and (want[s] < sizes[s] or len(copies[s]) == 300)
+
+
 def test_empty_table(spark):
     assert mix(documents(spark, [])).collect() == []
     assert mixed_documents(documents(spark, [])).collect() == []
