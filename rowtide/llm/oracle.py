@@ -101,4 +101,30 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(c.c, v.ve
 FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a
 """
 
-ORACLE: dict[str, str] = {"op5_metric_join": OP5, "op1_warc_round_trip": OP1, "op4_source_mix": OP4, "op6_url_reputation": OP6, "op10_exact_dedup": OP10}
+OP13 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+n AS (SELECT doc_id, x, len(x) // 2 AS n FROM d),
+s AS (SELECT doc_id, unnest(range(n - 99)) AS i, x FROM n WHERE n >= 100),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS w FROM s),
+f AS (SELECT w, min(struct_pack(doc_id := doc_id, i := i)) AS f FROM w GROUP BY w HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM w JOIN f USING (w) WHERE f <> struct_pack(doc_id := doc_id, i := i)),
+g AS (SELECT *, coalesce(i > lag(i) OVER o + 100, TRUE) AS new FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+c AS (SELECT doc_id, k, min(i) AS b, max(i) + 100 AS e FROM k GROUP BY doc_id, k),
+t AS (SELECT c.*, lag(e, 1, 0) OVER (PARTITION BY c.doc_id ORDER BY b) AS before FROM c),
+u AS (SELECT t.doc_id, sum(e - b) AS n_removed, count(*) AS n_spans, max(e) AS last,
+    string_agg(substr(x, 2 * before + 1, 2 * (b - before)), '' ORDER BY b) AS kept
+  FROM t JOIN n ON t.doc_id = n.doc_id GROUP BY t.doc_id)
+SELECT n.doc_id, n.n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(x, 2 * last + 1), x))) AS kept_sha256
+FROM n LEFT JOIN u ON n.doc_id = u.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_warc_round_trip": OP1,
+    "op4_source_mix": OP4,
+    "op5_metric_join": OP5,
+    "op6_url_reputation": OP6,
+    "op10_exact_dedup": OP10,
+    "op13_repeated_passages": OP13,
+}

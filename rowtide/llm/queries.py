@@ -14,6 +14,7 @@ from rowtide.llm.mixing import mix
 from rowtide.llm.near_dedup import near_groups
 from rowtide.llm.packing import pack, public_codec
 from rowtide.llm.quality import fit_quality, score_quality
+from rowtide.llm.repeats import remove_repeats
 from rowtide.llm.toxicity import fit_toxicity, score_toxicity
 from rowtide.llm.url_filter import judge_urls
 from rowtide.llm.warc import page_columns, round_trip
@@ -79,6 +80,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "n_bytes", "aggregate(removed, 0L, (n, x) -> n + x.end - x.start) AS n_removed",
+        "CAST(size(removed) AS BIGINT) AS n_spans", "sha2(kept, 256) AS kept_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -90,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_quality": op8_compression_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_repeated_passages": op13_repeated_passages,
 }
