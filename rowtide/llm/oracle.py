@@ -101,6 +101,42 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(c.c, v.ve
 FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a
 """
 
+# The unsigned CRC-32 of a decimal `doc_id`, bit by bit.
+CRC32 = """xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))))"""
+
+OP12 = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, n_chars::VARCHAR AS c, source AS s, doc_id::VARCHAR AS i, text AS t,
+    CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS u
+  FROM (SELECT *, """ + CRC32 + r""" AS crc FROM documents)),
+p AS (SELECT doc_id, lang, coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(s) || ':' || s, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(c) || ':' || c, '-') AS head, t, u FROM f),
+l AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(t) || ':' || t, '-')) AS leaf, sha256(head || coalesce(strlen(u) || ':' || u, '-')) AS claim FROM p),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM l),
+lv(h, tree, pos, d, n) AS (SELECT 0, tree, pos, leaf, n FROM o
+  UNION ALL SELECT h + 1, tree, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (n + 7) // 8 FROM lv WHERE n > 1 GROUP BY h, tree, pos // 8, n),
+roots AS (SELECT tree, d AS subroot, h AS height FROM lv WHERE n = 1),
+tp(h, pos, d, n) AS (SELECT 0, tree, subroot, (SELECT count(*) FROM roots) FROM roots
+  UNION ALL SELECT h + 1, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (n + 7) // 8 FROM tp WHERE n > 1 GROUP BY h, pos // 8, n),
+nodes AS (SELECT h, tree, pos, d FROM lv WHERE n > 1
+  UNION ALL SELECT height + tp.h, tree, tp.pos, tp.d FROM roots, tp WHERE tp.n > 1),
+sib AS (SELECT h, tree, pos, d, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WINDOW w AS (PARTITION BY h, tree, pos // 8 ORDER BY pos)),
+walk(doc_id, leaf, tree, h, pos, height, proof, d) AS (
+  SELECT doc_id, leaf, o.tree, 0, pos, height, '', claim FROM o JOIN roots ON o.tree = roots.tree
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.tree, w.h + 1, CASE WHEN w.h = w.height THEN w.tree // 8 ELSE w.pos // 8 END, w.height, w.proof || s.before || s.after, sha256(s.before || w.d || s.after)
+  FROM walk w JOIN sib s ON s.h = w.h AND s.tree = w.tree AND s.pos = CASE WHEN w.h = w.height THEN w.tree ELSE w.pos END),
+top AS (SELECT d AS root FROM tp WHERE n = 1),
+steps AS (SELECT max(h) AS steps FROM tp)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, d AS folded_root, d = root AS verified
+FROM walk JOIN roots USING (tree), top, steps WHERE walk.h = walk.height + steps
+"""
+
 OP13 = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 n AS (SELECT doc_id, x, len(x) // 2 AS n FROM d),
@@ -126,5 +162,6 @@ ORACLE: dict[str, str] = {
     "op5_metric_join": OP5,
     "op6_url_reputation": OP6,
     "op10_exact_dedup": OP10,
+    "op12_merkle_manifest": OP12,
     "op13_repeated_passages": OP13,
 }

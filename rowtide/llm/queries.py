@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowtide.llm.common import table
 from rowtide.llm.exact_dedup import exact_dedup
 from rowtide.llm.main_text import extract_text
+from rowtide.llm.manifest import siblings_digest, verify_rows
 from rowtide.llm.metric_join import near_vectors
 from rowtide.llm.mixing import mix
 from rowtide.llm.near_dedup import near_groups
@@ -80,6 +81,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    tampered = {"text": f"IF(coalesce(crc32(CAST(doc_id AS STRING)) % 3 = 0, FALSE), {lower}, text)"}
+    rows = verify_rows(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], tampered)
+    return rows.selectExpr(
+        "doc_id", "leaf", "subroot", "root", f"{siblings_digest()} AS proof_sha256", "folded_root", "verified"
+    )
+
+
 def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).selectExpr(
         "doc_id", "n_bytes", "aggregate(removed, 0L, (n, x) -> n + x.end - x.start) AS n_removed",
@@ -98,5 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_quality": op8_compression_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_repeated_passages": op13_repeated_passages,
 }
