@@ -106,6 +106,26 @@ CRC32 = """xor(4294967295::BIGINT, list_reduce(
     list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
     lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))))"""
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, """ + CRC32 + r""" AS h FROM documents),
+e AS (SELECT *, len(ws)::BIGINT AS n, h // 10 AS g FROM d),
+q AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM e),
+w AS (SELECT doc_id, unnest(range(n)) AS i, unnest(ws) AS own, ws, a, 1 + (n - a) // (3 + g % 8) AS p, n FROM q),
+t AS (SELECT doc_id, i, n, CASE WHEN a IS NOT NULL AND i >= a THEN ws[(a + (i - a) % p + 1)::BIGINT] ELSE own END AS w FROM w),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS p FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND y.i - x.i <= x.n // 2),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS k FROM m),
+s AS (SELECT doc_id, p, min(i) AS start, count(*) AS c FROM g GROUP BY doc_id, p, k HAVING count(*) >= greatest(p, 12 - p)),
+r AS (SELECT doc_id, start, c + p AS length, min(p) AS period FROM s GROUP BY ALL),
+o AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+    min(struct_pack(a := -length, b := start, c := period)) AS top FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+c AS (SELECT t.doc_id, string_agg(t.w, ' ' ORDER BY t.i) AS kept FROM t LEFT JOIN gone ON t.doc_id = gone.doc_id AND t.i = gone.i
+  WHERE gone.i IS NULL GROUP BY t.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.b::BIGINT AS start, (-top.a)::BIGINT AS length, top.c::BIGINT AS period,
+  ((-1000 * top.a) // top.c)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN o ON d.doc_id = o.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
+"""
+
 OP12 = r"""
 WITH RECURSIVE f AS (
   SELECT doc_id, lang, n_chars::VARCHAR AS c, source AS s, doc_id::VARCHAR AS i, text AS t,
@@ -162,6 +182,7 @@ ORACLE: dict[str, str] = {
     "op5_metric_join": OP5,
     "op6_url_reputation": OP6,
     "op10_exact_dedup": OP10,
+    "op11_periodic_runs": OP11,
     "op12_merkle_manifest": OP12,
     "op13_repeated_passages": OP13,
 }

@@ -16,6 +16,7 @@ from rowtide.llm.near_dedup import near_groups
 from rowtide.llm.packing import pack, public_codec
 from rowtide.llm.quality import fit_quality, score_quality
 from rowtide.llm.repeats import remove_repeats
+from rowtide.llm.runs import periodic_runs
 from rowtide.llm.toxicity import fit_toxicity, score_toxicity
 from rowtide.llm.url_filter import judge_urls
 from rowtide.llm.warc import page_columns, round_trip
@@ -81,6 +82,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0)"
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "crc32(CAST(doc_id AS STRING)) AS h")
+    docs = docs.selectExpr("*", f"IF(h % 10 = 0, {split}, NULL) AS words").selectExpr("*", "size(words) AS n")
+    docs = docs.selectExpr("*", "CAST((h DIV 10) % n AS INT) AS a").selectExpr("*", "CAST(1 + (n - a) DIV (3 + (h DIV 10) % 8) AS INT) AS p")
+    planted = "IF(n > 0, array_join(transform(words, (w, i) -> IF(i < a, w, words[a + (i - a) % p])), ' '), text)"
+    longest = "array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))"
+    return (
+        periodic_runs(docs, planted)
+        .selectExpr("*", f"{longest} AS top")
+        .selectExpr(
+            "doc_id", "CAST(size(runs) AS BIGINT) AS n_runs", "-top.start AS start", "top.length AS length", "-top.period AS period",
+            "1000 * top.length DIV -top.period AS exponent_milli",
+            "sha2(array_join(transform(runs, r -> concat_ws(',', r.start, r.length, concat(r.period, '\n'))), ''), 256) AS runs_sha256",
+            "sha2(collapsed, 256) AS collapsed_sha256",
+        )
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     tampered = {"text": f"IF(coalesce(crc32(CAST(doc_id AS STRING)) % 3 = 0, FALSE), {lower}, text)"}
@@ -108,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_quality": op8_compression_quality,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_repeated_passages": op13_repeated_passages,
 }
