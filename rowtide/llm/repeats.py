@@ -1,7 +1,7 @@
 """Repeated passages by distributed prefix doubling over sampled positions.
 
 A position is settled once the string that starts there is known to be unique, or has been
-followed past the threshold. Each round names strings of twice the length (32, 64, then the
+followed past the threshold. Each round names longer strings (32 bytes, four fifths of the threshold, the
 threshold) by the pair of ranks of their halves, taken at growing offsets, and Spark sorts the
 positions by these pairs; equal neighbours share a rank, the first of them is the earliest
 position. Ranks of halves are fingerprints, so that those at an offset need no join.
@@ -22,17 +22,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.common import counted, fresh, join_small, keep
+from rowtide.llm.common import join_small, keep
 from rowtide.llm.ranks import part_count, ranked
 from rowtide.operators.rows import splittable_join
 
 # Bytes that are hashed at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 # Runs or removed stretches of all documents that are broadcast at most, eight bytes each.
 BROADCAST_RANGES = 2_000_000
 
-ROWS = "doc long, lo int, hi int, pair long, span long"
+# `place` is the first start of a span in its high half and the last one in its low half.
+ROWS = "doc long, place long, pair long, span long"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -78,9 +79,9 @@ def spans(data: np.ndarray, lengths: np.ndarray, seed: int, length: int) -> tupl
         return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.uint64, np.uint64))
     high = np.uint64(0xFFFFFFFF00000000)
     sums = _Sums(data, 11)
-    half = _mixed(sums.fixed(seed // 2))
+    half = _mixed(sums.fixed(seed - seed // 2))
     n = len(data) - seed + 1
-    pair = (half[:n] & high) | (half[seed - seed // 2 :][:n] >> np.uint64(32))
+    pair = (half[:n] & high) | (half[seed // 2 :][:n] >> np.uint64(32))
     starts = len(data) - length + 1
     at = np.arange(starts)
     if seed < length:
@@ -105,12 +106,13 @@ def spans(data: np.ndarray, lengths: np.ndarray, seed: int, length: int) -> tupl
     return first, last, pair[place], whole
 
 
-def _pieces(texts: pa.Array, ranges: list | None, length: int) -> Iterator[tuple[int, int, np.ndarray]]:
+def _pieces(texts: pa.Array, ranges: list[list[int]] | None, length: int) -> Iterator[tuple[int, int, np.ndarray]]:
     """Row number, offset and bytes of what is to be sampled, at most `PIECE` strings at a time."""
     for i, text in enumerate(texts):
         data = np.frombuffer(text.as_buffer() or b"", dtype=np.uint8) if text.is_valid else np.zeros(0, np.uint8)
-        for lo, hi in [(0, len(data) - length)] if ranges is None else ranges[i]:
-            for begin in range(lo, hi + 1, PIECE):
+        for place in [len(data) - length] if ranges is None else ranges[i]:
+            hi = place & 0xFFFFFFFF if place >= 0 else -1
+            for begin in range(place >> 32, hi + 1, PIECE):
                 yield i, begin, data[begin : min(hi + 1, begin + PIECE) + length - 1]
 
 
@@ -123,14 +125,12 @@ def _sample(seed: int, length: int):
             moved = np.array([b for _, b, _ in group]) - (np.cumsum(sizes) - sizes)
             doc = docs[np.array([i for i, _, _ in group])[piece]]
             lo, hi = first + moved[piece], last + moved[piece]
-            columns = [doc, lo.astype(np.int32), hi.astype(np.int32), pair.view(np.int64), whole.view(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "lo", "hi", "pair", "span"])
+            columns = [doc, lo << 32 | hi, pair.view(np.int64), whole.view(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "place", "pair", "span"])
 
         for batch in batches:
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
-            ranges = None
-            if "ranges" in batch.schema.names:
-                ranges = [[(x["lo"], x["hi"]) for x in each] for each in batch.column("ranges").to_pylist()]
+            ranges = batch.column("ranges").to_pylist() if "ranges" in batch.schema.names else None
             group, size = [], 0
             for piece in _pieces(batch.column("data"), ranges, length):
                 group.append(piece)
@@ -145,8 +145,8 @@ def _sample(seed: int, length: int):
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a sorted part: rows that are not alone with their pair, and those at either end, where the
-    neighbours are in another part. `again`: an equal span lies before; `edge`: its pair reaches an end."""
+    """Of a sorted part: spans that occurred before (`again`), first ones of several with their pair, and those whose
+    pair reaches an end of the part, where neighbours may lie in another one: only these keep their ranks."""
     found = list(batches)
     if not sum(b.num_rows for b in found):
         return
@@ -158,33 +158,52 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     different = np.bincount(group, weights=new_span)[group] > 1
     edge = (group == 0) | (group == group[-1])
     kept = np.flatnonzero(~new_span | different | edge)
-    out = rows.take(pa.array(kept)).append_column("again", pa.array(~new_span[kept]))
-    yield from out.append_column("edge", pa.array(edge[kept])).to_batches(max_chunksize=100_000)
+    doc, place = (rows.column(c).to_numpy()[kept] for c in ("doc", "place"))
+    inside = ~edge[kept]  # these are settled, without their ranks
+    columns = [pa.array(doc), pa.array(place), *(pa.array(x[kept], mask=inside) for x in (pair, span)), pa.array(~new_span[kept])]
+    yield from pa.Table.from_arrays(columns, names=["doc", "place", "pair", "span", "again"]).to_batches(max_chunksize=100_000)
 
 
 def _round(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Spans that occurred before, and the first ones of spans that share their pair with a different one."""
-    order = ["pair", "span", "doc", "lo"]
+    order = ["pair", "span", "doc", "place"]
     parts = part_count(rows, rows.count())
-    judged = keep(
-        rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, f"{ROWS}, again boolean, edge boolean")
-    )
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    judged = keep(dealt.mapInArrow(_neighbours, f"{ROWS}, again boolean"))
     # Of the pairs that reach the ends of parts, there are two for each part at most.
-    edges = judged.where("edge AND NOT again")
-    first = edges.groupBy("pair", "span").agg(F.expr("min(struct(doc, lo)) AS first"), F.expr("count(*) AS n"))
+    edges = judged.where("pair IS NOT NULL AND NOT again")
+    first = edges.groupBy("pair", "span").agg(F.expr("min(struct(doc, place)) AS first"), F.expr("count(*) AS n"))
     several = keep(first.where("n > 1").drop("n"))  # spans cut by an end: one for each part at most
-    pairs = keep(
-        edges.groupBy("pair").agg(F.expr("min(span) AS low"), F.expr("max(span) AS high")).selectExpr("pair", "low <> high AS contested")
-    )
+    pairs = keep(edges.groupBy("pair").agg(F.expr("min(span) <> max(span) AS contested")))
     known = join_small(join_small(judged, pairs, ["pair"], "left"), several, ["pair", "span"], "left")
     known = known.selectExpr(
-        "doc", "lo", "hi", "again OR coalesce(struct(doc, lo) <> first, FALSE) AS again", "NOT edge OR contested AS contested"
+        "doc", "place", "again OR coalesce(struct(doc, place) <> first, FALSE) AS again", "pair IS NULL OR contested AS contested"
     )
-    return known.where("again").select("doc", "lo", "hi"), known.where("NOT again AND contested").select("doc", "lo", "hi")
+    return known.where("again").select("doc", "place"), known.where("NOT again AND contested").select("doc", "place")
+
+
+def _joined(gap: int):
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("places")
+            flat = lists.flatten().to_numpy()
+            doc = np.repeat(batch.column("doc").to_numpy(), lists.value_lengths().to_numpy())
+            lo, hi = flat >> 32, flat & 0xFFFFFFFF
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1] + gap)]
+            begin = np.flatnonzero(new)
+            end = np.r_[begin[1:], len(flat)] - 1
+            docs = np.flatnonzero(np.r_[True, doc[begin][1:] != doc[begin][:-1]])
+            offsets = np.r_[docs, len(begin)].astype(np.int32)
+            ranges = pa.ListArray.from_arrays(pa.array(offsets), pa.array(lo[begin] << 32 | hi[end]))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[begin][docs]), ranges], names=["doc", "ranges"])
+
+    return joined
 
 
-def _lists(ranges: DataFrame) -> DataFrame:
-    return keep(ranges.groupBy("doc").agg(F.expr("collect_list(struct(lo, hi)) AS ranges")))
+def _lists(places: DataFrame, gap: int) -> DataFrame:
+    """The places of each text (bounded by its length) in order, those at most `gap` apart as one. Spans don't overlap."""
+    lists = places.groupBy("doc").agg(F.expr("sort_array(collect_list(place)) AS places"))
+    return keep(lists.mapInArrow(_joined(gap), "doc long, ranges array<long>"))
 
 
 def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -214,15 +233,11 @@ def _cut(length: int):
         for batch in batches:
             spans_out, kept = [], []
             for data, ranges in zip(batch.column("data"), batch.column("ranges").to_pylist()):
-                data, merged = data.as_py(), []
-                for lo, hi in sorted((x["lo"], x["hi"] + length) for x in ranges or ()):
-                    if merged and lo <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(hi, merged[-1]["end"])
-                    else:
-                        merged.append({"start": lo, "end": hi})
-                spans_out.append(merged)
-                ends = [0, *(x["end"] for x in merged)]
-                kept.append(b"".join(data[b:e] for b, e in zip(ends, [*(x["start"] for x in merged), len(data)])))
+                data = data.as_py()
+                removed = [{"start": x >> 32, "end": (x & 0xFFFFFFFF) + length} for x in ranges or ()]
+                spans_out.append(removed)
+                ends = [0, *(x["end"] for x in removed)]
+                kept.append(b"".join(data[b:e] for b, e in zip(ends, [*(x["start"] for x in removed), len(data)])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(d.as_buffer()) for d in batch.column("data")], pa.int64()),
                  pa.array(spans_out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())],
@@ -248,10 +263,10 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         raise ValueError("strings of at least 64 bytes are compared")
     texts, whole = _numbered(docs)
     repeated, live = [], None
-    for seed in [s for s in (32, 64) if s < length] + [length]:
+    for seed in (32, length * 4 // 5, length):
         asked = texts
         if live is not None:
-            lists = _lists(live)
+            lists = _lists(live, 1)
             if lists.isEmpty():
                 break
             asked = _with_lists(texts, lists, "inner").select("doc", "data", "ranges")
@@ -260,5 +275,5 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     ranges = repeated[0]
     for more in repeated[1:]:
         ranges = ranges.unionAll(more)
-    marked = _with_lists(whole, _lists(ranges), "left").select("doc_id", "data", "ranges")
+    marked = _with_lists(whole, _lists(ranges, length), "left").select("doc_id", "data", "ranges")
     return marked.mapInArrow(_cut(length), "doc_id long, n_bytes long, removed array<struct<start: int, end: int>>, kept binary")
