@@ -28,6 +28,7 @@ from rowtide.operators.rows import (
     inlined,
     last_changes_of_sums,
     split_untouched,
+    splittable_join,
     sum_names,
 )
 
@@ -153,9 +154,9 @@ def net_windows(
     """NET change rows of every window; see `net_changes` for the arguments.
 
     With few commits and a short list, the log is shuffled once and each row
-    works out its windows on the spot. Otherwise it does so from its list of
-    events, at most one per commit; windows in which nothing is left of a row
-    are dropped where they are, before anything is shuffled or written.
+    works out its windows on the spot. Otherwise it works out its distinct outcomes, from its list of
+    events, at most one per commit, and windows are joined to these; those in which nothing is left of a row
+    never meet it.
     """
     if rare is not None:
         untouched, touched = split_untouched(log, rare)
@@ -174,38 +175,103 @@ def net_windows(
 
 _EVENT = "struct<ordinal: int, snapshot_id: bigint, copies: bigint>"
 
+# Windows with the same start that are one record of a join at most.
+CHUNK_WINDOWS = 256
+
+
+def _outcomes(last: int) -> str:
+    """SQL of the outcomes of a row's sorted `_events` (`ordinal`, `n`), for windows up to commit `last`.
+
+    What a window leaves of a row depends on the first and the last event inside it alone. With e events there are
+    e (e + 1) / 2 such pairs (`a`, `b`: their places); each holds for a range of starts and a range of ends.
+    """
+    sums = "aggregate(_events, array(0L), (x, e) -> array_append(x, element_at(x, -1) + e.n))"
+    pair = (
+        "struct(a AS a, b AS b, coalesce(get(_events, a - 1).ordinal + 1, 0) AS s_lo, _events[a].ordinal AS s_hi, "
+        f"_events[b].ordinal AS e_lo, coalesce(get(_events, b + 1).ordinal - 1, {last}) AS e_hi, x[b + 1] - x[a] AS balance)"
+    )
+    places = "size(_events) - 1"
+    pairs = f"flatten(transform(sequence(0, {places}), a -> transform(sequence(a, {places}), b -> {pair})))"
+    return f"transform(array({sums}), x -> filter({pairs}, o -> o.balance <> 0))[0]"
+
+
+def _last_end(windows: DataFrame) -> int | None:
+    return windows.selectExpr("max(end_ordinal)").first()[0]
+
 
 def _left_of_events(log: DataFrame, windows: DataFrame) -> DataFrame:
     """The last |balance| changes of the balance's sign of every row and window: `window`, the row,
-    `_sign`, `_ordinal`, `_snapshot_id`, `_copies`."""
-    rows = quoted(row_columns(log))
+    `_sign`, `_ordinal`, `_snapshot_id`, `_copies`.
+
+    Each distinct outcome of a row is worked out once, and then joined to the windows that it holds for: by
+    start, with lists of ends of bounded length.
+    """
+    rows, last = quoted(row_columns(log)), _last_end(windows)
     event = f"struct({CHANGE_ORDINAL} AS ordinal, {SNAPSHOT_ID} AS snapshot_id, _n AS n)"
     events = commit_counts(log).groupBy(*rows).agg(F.expr(f"array_sort(collect_list({event})) AS _events"))
-    bounds = windows.selectExpr("title", "coalesce(start_ordinal + 1, 0) AS first", "end_ordinal AS last")
-    listed = F.broadcast(bounds.agg(F.expr("collect_list(struct(title, first, last)) AS _windows")))
-    inside = "filter(_events, e -> e.ordinal BETWEEN _window.first AND _window.last)"
     step = (
         "struct(greatest(a.left - abs(e.n), 0L) AS left, IF(a.left > 0, array_append(a.out, "
         "struct(CAST(e.ordinal AS INT) AS ordinal, e.snapshot_id AS snapshot_id, least(abs(e.n), a.left) AS copies)), a.out) AS out)"
     )
-    last = (
-        "aggregate(reverse(filter(_inside, e -> signum(e.n) = signum(_balance))), "
-        f"struct(abs(_balance) AS left, CAST(array() AS array<{_EVENT}>) AS out), (a, e) -> {step}).out"
-    )
+    same = "filter(slice(_events, _o.a + 1, _o.b - _o.a + 1), e -> signum(e.n) = signum(_o.balance))"
+    left = f"aggregate(reverse({same}), struct(abs(_o.balance) AS left, CAST(array() AS array<{_EVENT}>) AS out), (a, e) -> {step}).out"
+    outcomes = (
+        events.selectExpr(*rows, "_events", f"explode({_outcomes(-1 if last is None else last)}) AS _o")
+        .where(f"_o.e_lo <= {-1 if last is None else last}")
+        .selectExpr(*rows, "_o", f"{left} AS _left")
+        .selectExpr(*rows, "_o.e_lo AS _e_lo", "_o.e_hi AS _e_hi", "IF(_o.balance > 0, 1, -1) AS _sign", "_left", "explode(sequence(_o.s_lo, _o.s_hi)) AS _first")
+    )
+    bounds = windows.selectExpr("title", "coalesce(start_ordinal + 1, 0) AS _first", "end_ordinal AS _end")
+    placed = bounds.selectExpr("*", f"(row_number() OVER (PARTITION BY _first ORDER BY _end, title) - 1) DIV {CHUNK_WINDOWS} AS _chunk")
+    chunks = placed.groupBy("_first", "_chunk").agg(F.expr("collect_list(struct(title, _end)) AS _ends")).drop("_chunk")
+    if windows.limit(BROADCAST_RECORDS + 1).count() <= BROADCAST_RECORDS:
+        met = outcomes.join(F.broadcast(chunks), "_first")
+    else:
+        met = splittable_join(outcomes, chunks, ["_first"], "inner")
     return (
-        events.crossJoin(listed)  # one record with the windows
-        .selectExpr(*rows, "_events", "explode(_windows) AS _window")
-        .selectExpr(*rows, "_window", f"{inside} AS _inside")
-        .selectExpr("*", "aggregate(_inside, 0L, (a, e) -> a + e.n) AS _balance")
-        .where("_balance != 0")
-        .selectExpr("_window", *rows, "IF(_balance > 0, 1, -1) AS _sign", f"explode({last}) AS _left")
+        met.selectExpr("*", "explode(filter(_ends, w -> w._end BETWEEN _e_lo AND _e_hi)) AS _window")
+        .selectExpr(*rows, "_first", "_window.title AS window", "_sign", "explode(_left) AS _change")
         .selectExpr(
-            "_window.title AS window", *rows, "_sign", "_left.ordinal - _window.first AS _ordinal",
-            "_left.snapshot_id AS _snapshot_id", "_left.copies AS _copies",
+            "window", *rows, "_sign", "_change.ordinal - _first AS _ordinal", "_change.snapshot_id AS _snapshot_id", "_change.copies AS _copies"
         )
     )
 
 
+def _signatures(log: DataFrame) -> DataFrame:
+    """Distinct lists of events, with the number of rows (`_rows`) that have them."""
+    events = f"array_sort(collect_list(struct({CHANGE_ORDINAL} AS ordinal, _n AS n))) AS _events"
+    per_row = commit_counts(log).groupBy(*quoted(row_columns(log))).agg(F.expr(events))
+    return per_row.groupBy("_events").agg(F.expr("count(*) AS _rows"))
+
+
+def _swept_counts(alike: DataFrame, windows: DataFrame) -> DataFrame:
+    """(window, mode, type, n) of many windows from signatures: a sweep over a summed-area table.
+
+    An outcome holds for a rectangle of starts and ends. Its count is added at the rectangle's four corners,
+    and prefix sums over starts, then over ends, give the counts of all windows: commits squared,
+    but neither rows nor signatures times windows.
+    """
+    last = _last_end(windows)
+    last = -1 if last is None else last
+    each = alike.selectExpr("_rows", f"explode({_outcomes(last)}) AS o").where(f"o.e_lo <= {last}")
+    n = "abs(o.balance) * _rows"
+    corners = [
+        f"struct(o.s_lo AS s, o.e_lo AS e, {n} AS n)", f"struct(o.s_hi + 1 AS s, o.e_lo AS e, -{n} AS n)",
+        f"struct(o.s_lo AS s, o.e_hi + 1 AS e, -{n} AS n)", f"struct(o.s_hi + 1 AS s, o.e_hi + 1 AS e, {n} AS n)",
+    ]
+    added = each.selectExpr(f"{change_type_of('o.balance')} AS {CHANGE_TYPE}", f"inline(array({', '.join(corners)}))")
+    added = added.groupBy(CHANGE_TYPE, "s", "e").agg(F.expr("sum(n) AS n"))
+    types = f"explode(array({', '.join(repr(t) for t in CHANGE_TYPES[:2])})) AS {CHANGE_TYPE}"
+    grid = alike.sparkSession.range(last + 1).selectExpr("CAST(id AS INT) AS s", f"explode(sequence(0, {last})) AS e")
+    cells = added.unionByName(grid.selectExpr(types, "s", "e", "0L AS n")).groupBy(CHANGE_TYPE, "s", "e").agg(F.expr("sum(n) AS n"))
+    swept = cells.selectExpr("*", f"sum(n) OVER (PARTITION BY {CHANGE_TYPE}, e ORDER BY s) AS _by_start").selectExpr(
+        CHANGE_TYPE, "s", "e", f"sum(_by_start) OVER (PARTITION BY {CHANGE_TYPE}, s ORDER BY e) AS n"
+    )
+    asked = windows.selectExpr("title AS window", "coalesce(start_ordinal + 1, 0) AS s", "end_ordinal AS e")
+    found = asked.join(swept.where("n > 0"), ["s", "e"])
+    return found.groupBy("window", F.expr("'NET' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
+
+
 def changelog_windows(
     log: DataFrame,
     windows: DataFrame,
@@ -228,18 +294,31 @@ def raw_window_counts(log: DataFrame, windows: DataFrame) -> DataFrame:
             .selectExpr("*", "_window.title AS window")
         )
     else:
-        inside = _small(_commits_of(windows), listed)
-        hit = per_commit.join(inside, per_commit[CHANGE_ORDINAL] == inside["_ordinal"])
+        hit = _prefix_counts(per_commit, windows)
     return hit.groupBy("window", F.expr("'RAW' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
 
 
+def _prefix_counts(per_commit: DataFrame, windows: DataFrame) -> DataFrame:
+    """(window, type, n) as differences of running sums over the commits: two equi-joins of the window list."""
+    last = _last_end(windows)
+    types = f"explode(array({', '.join(repr(t) for t in CHANGE_TYPES)})) AS {CHANGE_TYPE}"
+    grid = per_commit.sparkSession.range(0 if last is None else last + 1).selectExpr(f"CAST(id AS INT) AS {CHANGE_ORDINAL}", types, "0L AS n")
+    whole = grid.unionByName(per_commit).groupBy(CHANGE_TYPE, CHANGE_ORDINAL).agg(F.expr("sum(n) AS n"))
+    running = whole.selectExpr(CHANGE_TYPE, CHANGE_ORDINAL, f"sum(n) OVER (PARTITION BY {CHANGE_TYPE} ORDER BY {CHANGE_ORDINAL}) AS n")
+    asked = windows.selectExpr("title AS window", "coalesce(start_ordinal, -1) AS _before", "end_ordinal AS _end")
+    upto = asked.join(running.selectExpr(f"{CHANGE_ORDINAL} AS _end", CHANGE_TYPE, "n AS _upto"), "_end")
+    both = upto.join(running.selectExpr(f"{CHANGE_ORDINAL} AS _before", CHANGE_TYPE, "n AS _less"), ["_before", CHANGE_TYPE], "left")
+    return both.selectExpr("window", CHANGE_TYPE, "_upto - coalesce(_less, 0) AS n").where("n > 0")
+
+
 def net_window_counts(
     log: DataFrame, windows: DataFrame, commits: Commits | None = None, rare: str | None = None
 ) -> DataFrame:
     """(window, mode, type, n) of the NET changes from one shuffle of the log.
 
     Rows changed by the same commits in the same way are counted together
-    before any window is looked at, so the windows cost next to nothing. With a
+    before any window is looked at, so the windows cost next to nothing; many windows, or windows of many commits, come
+    from a summed-area table. With a
     `rare` change type, rows it never met are counted like RAW changes.
     """
     if rare is not None:
@@ -248,29 +327,14 @@ def net_window_counts(
         parts = unchanged.unionByName(net_window_counts(touched, windows, commits))
         return parts.groupBy("window", "mode", CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
     listed = _listed(windows)
-    if listed and inlined(commits):
-        names = sum_names(commits)
-        alike = commit_sums(log, commits).groupBy(*names).agg(F.expr("count(*) AS _rows"))
-        inside = [f"IF({o} BETWEEN _window.first AND _window.last, {n}, 0)" for n, (o, _) in zip(names, commits)]
-        balances = alike.selectExpr("*", f"explode({_literal(listed)}) AS _window").selectExpr(
-            "_window.title AS window", f"({' + '.join(inside)}) * _rows AS _balance"
-        )
-    else:
-        events = f"array_sort(collect_list(struct({CHANGE_ORDINAL} AS ordinal, _n AS n))) AS _events"
-        alike = (
-            commit_counts(log)
-            .groupBy(*quoted(row_columns(log)))
-            .agg(F.expr(events))
-            .groupBy("_events")
-            .agg(F.expr("count(*) AS _rows"))
-        )
-        inside = _small(_commits_of(windows), listed)
-        balances = (
-            alike.selectExpr("_events", "_rows", "explode(_events) AS _event")
-            .join(inside, F.expr("_event.ordinal = _ordinal"))
-            .groupBy("window", "_events", "_rows")
-            .agg(F.expr("sum(_event.n) * _rows AS _balance"))
-        )
+    if not (listed and inlined(commits)):
+        return _swept_counts(_signatures(log), windows)
+    names = sum_names(commits)
+    alike = commit_sums(log, commits).groupBy(*names).agg(F.expr("count(*) AS _rows"))
+    inside = [f"IF({o} BETWEEN _window.first AND _window.last, {n}, 0)" for n, (o, _) in zip(names, commits)]
+    balances = alike.selectExpr("*", f"explode({_literal(listed)}) AS _window").selectExpr(
+        "_window.title AS window", f"({' + '.join(inside)}) * _rows AS _balance"
+    )
     change_type = F.expr(f"{change_type_of('_balance')} AS {CHANGE_TYPE}")
     return (
         balances.where("_balance != 0")

@@ -332,11 +332,11 @@ class History:
             raise ValueError("update labels need key columns")
         log = self.log(start, end)
         if net:
+            pairs, at_most = self.commit_pairs(start, end), self.rows_changed(start, end)
             if keys:
-                return net_changes_by_key(log, keys)
+                return net_changes_by_key(log, keys, pairs, at_most)
             if self.one_sided(start, end):
                 return log
-            pairs, at_most = self.commit_pairs(start, end), self.rows_changed(start, end)
             return net_changes(log, pairs, at_most, self.rare_change(start, end))
         return self._labelled(log, start, end, keys or self.keys) if updates else log
 

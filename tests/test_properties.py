@@ -6,7 +6,9 @@ one Spark job checks them all.
 
 from __future__ import annotations
 
+import random
 from collections import Counter
+from itertools import accumulate
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -139,7 +141,8 @@ def test_versions_and_net_agree(spark, scripts):
 def test_net_by_key_is_net_by_row_when_keys_are_unique(spark, scripts):
     log = log_of(spark, scripts)
     columns = ["script", "k", "v", "_change_type"]
-    assert bag(net_changes_by_key(log, ["script", "k"]), *columns) == bag(net_changes(log), *columns)
+    for commits in (None, COMMITS):
+        assert bag(net_changes_by_key(log, ["script", "k"], commits), *columns) == bag(net_changes(log), *columns)
 
 
 @SETTINGS
@@ -147,7 +150,8 @@ def test_net_by_key_is_net_by_row_when_keys_are_unique(spark, scripts):
 def test_net_by_key_loses_nothing(spark, scripts):
     """With null keys and keys of several rows, signs add up as in the log, and whole rows do so for those keys."""
     log = log_of(spark, scripts).cache()
-    net = net_changes_by_key(log, ["script", "k"])
+    net = net_changes_by_key(log, ["script", "k"], COMMITS)
+    assert bag(net) == bag(net_changes_by_key(log, ["script", "k"]))
     signs = lambda df: bag(
         df.groupBy("script", "k").agg(F.expr("sum(IF(_change_type = 'INSERT', 1, -1)) AS n")).where("n <> 0"), "script", "k", "n"
     )
@@ -210,3 +214,34 @@ def test_long_window_lists_take_the_join(spark, monkeypatch):
     monkeypatch.setattr(window_ops, "BROADCAST_RECORDS", 3)
     assert bag(window_matrix(log, windows, COMMITS)) == expected
     assert bag(changelog_windows(log, windows, COMMITS)) == rows
+
+
+def test_many_commits_against_sums(spark):
+    """200 commits: RAW and NET counts of all 20,100 windows, from plain sums per row."""
+    draw, commits = random.Random(4), 200
+    events = [{o: draw.choice([-2, -1, 1, 1, 2]) for o in draw.sample(range(commits), draw.randrange(1, 12))} for _ in range(40)]
+    rows = [
+        (1, k % 30, "x", "INSERT" if n > 0 else "DELETE", o, o + 1)
+        for k, by_commit in enumerate(events) for o, n in by_commit.items() for _ in range(abs(n))
+    ]
+    log = spark.createDataFrame(rows, LOG_SCHEMA)
+    windows = all_windows(spark.range(commits).selectExpr("concat('S', id) AS label", "CAST(id AS INT) AS ordinal"))
+    kinds = ("INSERT", "DELETE")
+    per_row, raw = {}, {k: [0] * (commits + 1) for k in kinds}
+    for _, k, _, kind, o, _ in rows:
+        per_row.setdefault(k, [0] * (commits + 1))[o + 1] += 1 if kind == "INSERT" else -1
+        raw[kind][o + 1] += 1
+    totals = [list(accumulate(x)) for x in per_row.values()]
+    raw = {k: list(accumulate(x)) for k, x in raw.items()}
+    expected = {}
+    for end in range(commits):
+        for start in range(-1, end):
+            left = [t[end + 1] - t[start + 1] for t in totals]
+            title = f"({'beginning' if start < 0 else f'S{start}'}, S{end}]"
+            expected[title, "NET"] = (sum(n for n in left if n > 0), -sum(n for n in left if n < 0))
+            expected[title, "RAW"] = tuple(raw[k][end + 1] - raw[k][start + 1] for k in kinds)
+    found = {(r.window, r["mode"]): (r["INSERT"], r["DELETE"]) for r in window_matrix(log, windows).collect()}
+    assert found == {k: v for k, v in expected.items() if v != (0, 0)}
+    net = changelog_windows(log, windows).where("mode = 'NET'").groupBy("window", "_change_type").count().collect()
+    counted = Counter({(r["window"], r["_change_type"]): r["count"] for r in net})
+    assert counted == Counter({(t, k): n for (t, m), both in expected.items() if m == "NET" for k, n in zip(kinds, both) if n})
