@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted, resolve
-from rowtide.operators.rows import BROADCAST_HASHES, diff_states, splittable_join
+from rowtide.operators.rows import BROADCAST_HASHES, cancelled, diff_states, repeat_rows
 
 
 def insert_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
@@ -28,7 +28,10 @@ def delete_rows(state: DataFrame, where: str | Column) -> DataFrame:
 def update_rows(
     state: DataFrame, assignments: Mapping[str, str | Column], where: str | Column | None = None
 ) -> DataFrame:
-    """UPDATE ... SET ... WHERE: one scan, both images of a row from one record."""
+    """UPDATE ... SET ... WHERE: one scan, both images of a row from one record.
+
+    Where rows take each other's values, their images cancel, so no row is deleted and inserted by one update.
+    """
     found = resolve(state, assignments, state.columns)
     unknown = [c for c in assignments if c not in found]
     if unknown:
@@ -42,47 +45,69 @@ def update_rows(
         for c, v in assignments.items()
     ]
     changed = hit.select("*", *after).where(differs((c, f"_after_{c}") for c in assignments))
-    return _both_images(changed, state.columns, list(assignments))
+    return cancelled(_both_images(changed, state.columns, list(assignments)))
 
 
 # At most this many partitions of a dynamic overwrite become literals of the plan.
 LITERAL_PARTITIONS = 500
 
+# Places that a record of a merge's source is dealt to.
+MERGE_SALTS = 8
+
+# Marks a record of a merge's source that met no row at one of its places.
+_MISSED = "MISSED"
+
 Narrowing = Callable[[DataFrame], DataFrame]
 
 
 def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str], narrow: bool = True) -> DataFrame:
     """MERGE ... ON keys WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *.
 
-    The source is reduced to one record per key before it meets the table, so
-    the join never multiplies rows and both of its sides may be split where a
-    key is hot. When the source is counted to be small, the table is first cut
+    One outer join gives both outcomes, so the table is read once. The source is reduced to one record per key before it
+    meets the table, so the join never multiplies rows. A key that many rows of the table have is
+    split: each record of the source is dealt to `MERGE_SALTS` places, the table's rows to one of them; a key is
+    new when none of its places had a row. When the source is counted to be small, the table is first cut
     down to rows with one of its key hashes, before any shuffle of the table.
+
     Null keys match nothing, so their source rows are inserted. A key with
-    several source rows fails the write when the table has that key. `narrow`
+    several source rows fails the write when the table has that key; else all of them are inserted. Rows of one key that are
+    deleted differ from the one that is inserted, so nothing in a merge cancels. `narrow`
     is false when the caller has cut the table down itself.
     """
     if not keys:
         raise ValueError("a merge needs key columns")
     source = conform(source, state.schema)
-    names, on = quoted(keys), list(keys)
-    keyed = source.where(" AND ".join(f"{k} IS NOT NULL" for k in names))
+    columns, names = state.columns, quoted(keys)
+    null_key = " OR ".join(f"{k} IS NULL" for k in names)
+    keyed = source.where(f"NOT ({null_key})")
     if narrow:
         state = rows_with_keys_of(source, keys)(state)
-    whole = ", ".join(quoted(source.columns))
-    per_key = keyed.groupBy(*names).agg(F.expr("count(*) AS _rows"), F.expr(f"any_value(struct({whole})) AS _source"))
-    values = [c for c in state.columns if c not in keys]
-    hit = splittable_join(state, per_key, on, "inner").selectExpr(
-        *quoted(state.columns), "_rows", *[f"_source.{q(c)} AS {q('_after_' + c)}" for c in values]
-    )
-    changed = hit.where(f"_rows > 1 OR {differs((c, f'_after_{c}') for c in values)}")
-    matched = _both_images(changed, state.columns, values, unless="_rows > 1")
-
-    table_keys = state.select(*names).join(keyed.select(*names), on, "left_semi").distinct()
-    new = splittable_join(source, table_keys, on, "left_anti").selectExpr(
-        f"'{INSERT}' AS {CHANGE_TYPE}", *quoted(state.columns)
-    )
-    return matched.unionAll(new)
+    row = f"struct({', '.join(quoted(columns))})"
+    per_key = keyed.groupBy(*names).agg(F.expr("count(*) AS _rows"), F.expr(f"min({row}) AS _source"))
+    dealt = per_key.selectExpr("_rows", "_source", f"explode(sequence(0, {MERGE_SALTS - 1})) AS _salt", *[f"{k} AS {q('_key_' + c)}" for k, c in zip(names, keys)])
+    # By the row, and for equal rows by where they lie; a task that is run again deals them alike.
+    place = f"CAST(pmod(xxhash64({', '.join(quoted(columns))}) + spark_partition_id(), {MERGE_SALTS}) AS INT)"
+    table = state.selectExpr(f"{row} AS _row", f"{place} AS _place", *[f"{k} AS {q('_own_' + c)}" for k, c in zip(names, keys)])
+    on = " AND ".join([*[f"{q('_key_' + c)} = {q('_own_' + c)}" for c in keys], "_salt = _place"])
+    met = dealt.join(table, F.expr(on), "left")
+
+    values = [c for c in columns if c not in keys]
+    fields = lambda side: ", ".join(f"{side}.{q(c)} AS {q(c)}" for c in columns)
+    # The table's row keeps its own form of the key, which may differ from an equal one of the source.
+    after = ", ".join(f"{'_source' if c in values else '_row'}.{q(c)} AS {q(c)}" for c in columns)
+    changed = " OR ".join(f"NOT (_row.{q(c)} <=> _source.{q(c)})" for c in values) or "FALSE"
+    images = f"array(struct('{DELETE}' AS {CHANGE_TYPE}, {fields('_row')}), struct('{INSERT}' AS {CHANGE_TYPE}, {after}))"
+    missed = f"array(struct('{_MISSED}' AS {CHANGE_TYPE}, {fields('_source')}))"
+    # The check is part of the generator: as a filter it could be moved below the join, to rows without partner.
+    several = "raise_error('MERGE source has several rows for one row of the table')"
+    out = met.selectExpr(f"inline(CASE WHEN _row IS NULL THEN {missed} WHEN _rows > 1 THEN {several} WHEN {changed} THEN {images} END)")
+    matched = out.where(f"{CHANGE_TYPE} <> '{_MISSED}'")
+    new = out.where(f"{CHANGE_TYPE} = '{_MISSED}'").groupBy(*quoted(columns)).agg(F.expr("count(*) AS _n")).where(f"_n = {MERGE_SALTS}")
+    # What a key has besides its first row: nothing, as a rule. If the table has the key, the merge fails anyway.
+    others = keyed.selectExpr(*quoted(columns), "1L AS _n").unionAll(per_key.selectExpr("_source.*", "-1L AS _n"))
+    others = repeat_rows(others.groupBy(*quoted(columns)).agg(F.expr("sum(_n) AS _n")).where("_n > 0"), "_n")
+    inserted = new.drop("_n").unionAll(others).unionAll(source.where(null_key))
+    return matched.unionAll(inserted.selectExpr(f"'{INSERT}' AS {CHANGE_TYPE}", *quoted(columns)))
 
 
 def rows_with_keys_of(source: DataFrame, keys: Sequence[str]) -> Narrowing:
@@ -144,19 +169,10 @@ def overwrite_rows(
     return diff_states(rows_in_partitions_of(rows, partition_by)(state), rows)
 
 
-def _both_images(
-    changed: DataFrame, columns: Sequence[str], rewritten: Sequence[str], unless: str | None = None
-) -> DataFrame:
-    """Two change rows from each record. A record for which `unless` is true fails the query.
-
-    That check is part of the generator: as a filter it could be moved below
-    the join that made the record, to rows that have no partner there.
-    """
+def _both_images(changed: DataFrame, columns: Sequence[str], rewritten: Sequence[str]) -> DataFrame:
+    """Two change rows from each record."""
     after = [q(f"_after_{c}") if c in rewritten else q(c) for c in columns]
-    images = (
-        f"array(struct('{DELETE}' AS {CHANGE_TYPE}, {', '.join(f'{q(c)} AS {q(c)}' for c in columns)}), "
-        f"struct('{INSERT}' AS {CHANGE_TYPE}, {', '.join(f'{a} AS {q(c)}' for a, c in zip(after, columns))}))"
+    return changed.selectExpr(
+        f"inline(array(struct('{DELETE}' AS {CHANGE_TYPE}, {', '.join(f'{q(c)} AS {q(c)}' for c in columns)}), "
+        f"struct('{INSERT}' AS {CHANGE_TYPE}, {', '.join(f'{a} AS {q(c)}' for a, c in zip(after, columns))})))"
     )
-    if unless is not None:
-        images = f"IF({unless}, raise_error('MERGE source has several rows for one row of the table'), {images})"
-    return changed.selectExpr(f"inline({images})")

@@ -15,7 +15,8 @@ RAISED = ORDER.replace("o_totalprice", "o_totalprice + 2 AS o_totalprice")
 
 ORDER_LOG = f"""
 WITH log AS (
-  SELECT 1 AS k, 'INSERT' AS t, {ORDER} FROM orders WHERE o_orderpriority = '5-LOW'
+  SELECT 1 AS k, 'INSERT' AS t, {ORDER} FROM orders
+    WHERE coalesce(o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'), TRUE)
   UNION ALL SELECT 2, 'INSERT', {ORDER} FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
   UNION ALL SELECT 3, 'DELETE', {ORDER} FROM orders WHERE {HIGH}
   UNION ALL SELECT 3, 'INSERT', {ONCE} FROM orders WHERE {HIGH}
@@ -310,6 +311,11 @@ ORACLE: dict[str, str] = {
     "update_changes": f"""SELECT 'DELETE' AS _change_type, {ORDER} FROM orders WHERE {CHANGED}
         UNION ALL SELECT 'INSERT', o_orderkey, o_custkey, o_orderstatus, greatest(o_totalprice, 100000), o_orderdate, '1-URGENT'
         FROM orders WHERE {CHANGED}""",
+    "update_swap_changes": f"""
+        WITH old AS (SELECT {LINE} FROM lineitem),
+        new AS (SELECT l_suppkey, CASE l_returnflag WHEN 'A' THEN 'R' WHEN 'R' THEN 'A' ELSE l_returnflag END AS l_returnflag, l_linestatus FROM lineitem)
+        SELECT 'DELETE' AS _change_type, * FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)
+        UNION ALL SELECT 'INSERT', * FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)""",
     "merge_changes": f"""SELECT 'DELETE' AS _change_type, {ORDER} FROM orders WHERE o_orderpriority = '3-MEDIUM'
         UNION ALL SELECT 'INSERT', {RAISED} FROM orders WHERE o_orderpriority = '3-MEDIUM'
         UNION ALL SELECT 'INSERT', {ORDER} FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'""",

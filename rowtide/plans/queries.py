@@ -13,7 +13,7 @@ from rowtide.operators.changelog import key_violations, net_changes_by_key
 from rowtide.operators.dml import delete_rows, insert_rows, merge_rows, overwrite_rows, update_rows
 from rowtide.operators.rows import diff_states
 from rowtide.plans import reports
-from rowtide.plans.samples import lineitem_history, long_history, merge_source, orders_history, table
+from rowtide.plans.samples import LINEITEM_COLUMNS, lineitem_history, long_history, merge_source, orders_history, table
 from rowtide.sources.history import create_changelog_view
 
 BUCKETS = 512
@@ -46,6 +46,12 @@ def update_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def update_swap_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two flags take each other's: only what the flags differ by in number is a change."""
+    swap = "CASE l_returnflag WHEN 'A' THEN 'R' WHEN 'R' THEN 'A' ELSE l_returnflag END"
+    return update_rows(table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS), {"l_returnflag": swap})
+
+
 def merge_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return merge_rows(orders.where("o_orderpriority <> '4-NOT SPECIFIED'"), merge_source(orders), ["o_orderkey"])
@@ -329,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         insert_changes,
         delete_changes,
         update_changes,
+        update_swap_changes,
         merge_changes,
         merge_null_keys,
         overwrite_static_changes,

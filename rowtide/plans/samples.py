@@ -55,7 +55,9 @@ def build_orders_history(spark: SparkSession, sf_dir: str, path: str) -> History
     at = lambda k: BASE_TIME + timedelta(minutes=k)
     h = History.create(spark, path, orders.schema, keys=["o_orderkey"], partition_by=["o_orderstatus"])
     high = "o_orderpriority = '2-HIGH'"
-    h.insert(orders.where("o_orderpriority = '5-LOW'"), at(0))
+    # The first batch also takes rows of no known priority, so that no row is left out.
+    known = "o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"
+    h.insert(orders.where(f"coalesce(NOT {known}, TRUE)"), at(0))
     h.insert(orders.where("o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"), at(1))
     h.update({"o_totalprice": "o_totalprice + 1", "o_orderstatus": "'P'"}, high, at(2))
     h.update({"o_totalprice": "o_totalprice + 1"}, high, at(3))

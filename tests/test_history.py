@@ -155,6 +155,14 @@ def test_carry_overs_are_no_changes(spark, tmp_path):
     assert bag(h.changelog(1, 2), "k", "_change_type") == {(2, "INSERT"): 1}
 
 
+def test_rows_that_swap_values_are_no_changes(spark, tmp_path):
+    h = new_history(spark, tmp_path / "h", SCHEMA, [], ["p"])
+    h.insert(put(spark, (1, "x", 0), (1, "x", 1), (2, "x", 1)))
+    assert h.update({"v": "1 - v"}, "k = 1") is None
+    assert h.update({"v": "1 - v"}) == 2
+    assert bag(h.changelog(1, 2), "k", "v", "_change_type") == {(2, 1, "DELETE"): 1, (2, 0, "INSERT"): 1}
+
+
 def test_names_and_types_of_written_rows(spark, tmp_path):
     h = new_history(spark, tmp_path / "h", SCHEMA, ["k"], ["p"])
     h.insert(put(spark, (1, "x", 1)).withColumnsRenamed({"k": "K", "v": "V"}))

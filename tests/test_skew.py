@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide import label_updates, merge_rows, net_changes
+from rowtide import label_updates, merge_rows, net_changes, net_changes_by_key
 from rowtide.operators import dml
 from scripts import bag
 
@@ -35,6 +35,17 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
+def scans_of(plan: str, path) -> int:
+    """How often a final plan reads a table; exchanges that are used again are one reading."""
+    return sum("FileScan" in line and str(path)[:60] in line for line in plan.splitlines())
+
+
+def most_in_a_task(df) -> float:
+    """The largest task's share of the rows."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
 def hot(spark, n=60_000):
     """A third of the rows have key 0."""
     return spark.range(n).selectExpr("IF(id % 3 = 0, 0, id) AS k", "uuid() AS v").repartition(8)
@@ -64,7 +75,8 @@ def test_merge_into_a_table_with_a_hot_key(spark, small_limits, tmp_path, monkey
     state = spark.read.parquet(str(tmp_path / "t"))
     source = spark.range(0, 61_000).selectExpr("id AS k", "'new' AS v")
     changes = merge_rows(state, source, ["k"])
-    assert "skew=true" in final_plan(changes)
+    assert most_in_a_task(changes.where("k = 0")) < 0.5
+    assert scans_of(final_plan(changes), tmp_path / "t") == 1
     # Key 0 has 20,000 rows; multiples of three and the last thousand are new.
     assert bag(changes.groupBy("_change_type").count()) == {("DELETE", 60_000): 1, ("INSERT", 60_000 + 61_000 - 40_001): 1}
 
@@ -75,7 +87,7 @@ def test_merge_of_a_source_with_a_hot_new_key(spark, small_limits, tmp_path, mon
     source = spark.read.parquet(str(tmp_path / "s"))
     state = spark.range(1, 30_000).selectExpr("id AS k", "'old' AS v")
     changes = merge_rows(state, source, ["k"])
-    assert "skew=true" in final_plan(changes)
+    assert most_in_a_task(changes.where("k = 0")) < 0.5
     # Of the keys 1..29999, 9999 are multiples of three and not in the source; every source row is written.
     assert bag(changes.groupBy("_change_type").count()) == {("DELETE", 29_999 - 9_999): 1, ("INSERT", 60_000): 1}
 
@@ -88,3 +100,18 @@ def test_copies_are_added_up_before_the_shuffle(spark):
     assert bag(df.groupBy("k").agg(F.count("*").alias("n"))) == {(-1, 100_000): 1}
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange hashpartitioning") < plan.index("partial_sum")
+
+
+def test_net_by_key_reads_the_log_once(spark, small_limits, tmp_path):
+    """A hot key of one row at a time, a hot null key and a hot key of several rows, from one scan."""
+    rows = spark.range(90_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 3 = 1 THEN NULL ELSE id END AS k", "CAST(id DIV 2 AS STRING) AS v",
+        "IF(id % 2 = 0, 'INSERT', 'DELETE') AS _change_type", "CAST(id % 2 AS INT) AS _change_ordinal", "id % 2 + 1 AS _commit_snapshot_id",
+    )
+    rows.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    for commits in ([(0, 1), (1, 2)], None):
+        net = net_changes_by_key(log, ["k"], commits)
+        assert scans_of(final_plan(net), tmp_path) == 1
+        by_row = net_changes(log.where("k IS NULL OR k = 0")).unionAll(log.where("k <> 0"))
+        assert bag(net) == bag(by_row.select(*net.columns))
