@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowtide.model import CHANGE_TYPE, DELETE, INSERT, conform, differs, q, quoted, resolve
 from rowtide.operators.rows import BROADCAST_HASHES, cancelled, diff_states, repeat_rows
@@ -51,6 +51,10 @@ def update_rows(
 # At most this many partitions of a dynamic overwrite become literals of the plan.
 LITERAL_PARTITIONS = 500
 
+# At most this many keys of a merge's source become literals of the plan.
+LITERAL_KEYS = 200
+LITERAL_TYPES = (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.BooleanType)
+
 # Places that a record of a merge's source is dealt to.
 MERGE_SALTS = 8
 
@@ -111,16 +115,26 @@ def merge_rows(state: DataFrame, source: DataFrame, keys: Sequence[str], narrow:
 
 
 def rows_with_keys_of(source: DataFrame, keys: Sequence[str]) -> Narrowing:
-    """Cut rows down to those with a key hash of the source; leaves them whole when the source is large.
+    """Cut rows down to those with a key of the source, or its hash; leaves them whole when the source is large.
 
-    It only looks at key columns, so it may be applied to a version's rows or
+    Up to `LITERAL_KEYS` values of a key column are written into the plan, so that they reach the scan: row groups that by
+    their least and greatest key or their bloom filter have none of them aren't read. The hashes of more keys, and of
+    several columns, are joined. It only looks at key columns, so it may be applied to a version's rows or
     to the changes that they are summed from.
     """
     key_hash = f"xxhash64({', '.join(quoted(keys))})"
+    null_key = " OR ".join(f"{k} IS NULL" for k in quoted(keys))
+    inside, plain = F.lit(True), all(isinstance(source.schema[k].dataType, LITERAL_TYPES) for k in keys)
+    known = source.where(f"NOT ({null_key})").select(*quoted(keys)).distinct().limit(LITERAL_KEYS + 1).collect() if plain else []
+    if plain and len(known) <= LITERAL_KEYS:
+        for i, k in enumerate(quoted(keys)):
+            inside = inside & (F.col(k).isin(sorted({row[i] for row in known})) if known else F.lit(False))
+        if len(keys) == 1:
+            return lambda rows: rows.where(inside)
     hashes = source.selectExpr(f"{key_hash} AS _hash")
     if hashes.limit(BROADCAST_HASHES + 1).count() > BROADCAST_HASHES:
         return lambda rows: rows
-    return lambda rows: rows.join(F.broadcast(hashes), F.expr(f"{key_hash} = _hash"), "left_semi")
+    return lambda rows: rows.where(inside).join(F.broadcast(hashes), F.expr(f"{key_hash} = _hash"), "left_semi")
 
 
 def rows_in_partitions_of(source: DataFrame, partition_by: Sequence[str]) -> Narrowing:

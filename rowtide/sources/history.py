@@ -170,7 +170,8 @@ class History:
         if self.partition_by:
             rows = rows.hint("rebalance", *quoted(layout))
         own = f"{SNAPSHOT_ID}={snapshot_id}/{ATTEMPT}={attempt}"
-        rows.write.mode("errorifexists").partitionBy(*layout).parquet(f"{self.path}/changes/{own}")
+        writer = self._by_key(rows, layout).write.mode("errorifexists").options(**self._filters())
+        writer.partitionBy(*layout).parquet(f"{self.path}/changes/{own}")
 
         counts = [F.expr(f"count_if({CHANGE_TYPE} = '{t}') AS {n}") for t, n in ((INSERT, "added"), (DELETE, "deleted"))]
         per_partition = self._read_changes([own]).groupBy(*quoted(self.partition_by)).agg(*counts)
@@ -206,6 +207,18 @@ class History:
         self.commits.append(commit)
         return snapshot_id
 
+    def _by_key(self, rows: DataFrame, layout: Sequence[str]) -> DataFrame:
+        """Sorted by key within each task, so that a row group holds a narrow range of keys and others needn't be read."""
+        keys = [c for c in self.keys if c not in layout]
+        return rows.sortWithinPartitions(*quoted([*layout, *keys])) if keys else rows
+
+    def _filters(self) -> dict[str, str]:
+        """Writer options: bloom filters on the key columns, as small as the distinct keys of a row group allow."""
+        kinds = (T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+        keys = [c for c in self.keys if c not in self.partition_by and "." not in c and isinstance(self.schema[c].dataType, kinds)]
+        own = {f"parquet.bloom.filter.enabled#{c}": "true" for c in keys}
+        return {"parquet.bloom.filter.adaptive.enabled": "true", **own} if own else {}
+
     def _written(self, name: str) -> str:
         """A column as it is stored; as a directory, some strings would come back as null or not at all, so they fail."""
         if name not in self.partition_by or not isinstance(self.schema[name].dataType, T.StringType):
@@ -394,7 +407,7 @@ class History:
         rows = self.state_at(snapshot_id)
         if self.partition_by:
             rows = rows.hint("rebalance", *quoted(self.partition_by))
-        _replace(rows).partitionBy(*self.partition_by).parquet(target)
+        _replace(self._by_key(rows, self.partition_by)).options(**self._filters()).partitionBy(*self.partition_by).parquet(target)
         mark = self.spark.range(1).select(F.lit(snapshot_id).cast("long").alias("snapshot_id"))
         mark.coalesce(1).write.mode("append").parquet(f"{self.path}/states_written")
         return target

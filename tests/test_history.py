@@ -282,7 +282,7 @@ def test_net_with_few_deletes(spark, tmp_path):
 
 
 def test_merge_reads_only_matching_rows(spark, tmp_path):
-    """The key hashes of a small source reach the scan, below the sum of the changes."""
+    """The keys of a small source reach the scan, below the sum of the changes: one column as literals, several as hashes, too."""
     h = seven_commits(spark, tmp_path / "h")
     source = rows(spark, (2, 10, "2025-09-01", 1, "x"))
     state = h.state_at(keep=dml.rows_with_keys_of(source, h.keys))
@@ -291,6 +291,42 @@ def test_merge_reads_only_matching_rows(spark, tmp_path):
     assert bag(state, "id", "payload") == {(2, '{"k":"B2"}'): 1}
 
 
+def scanned_rows(df) -> int:
+    """Rows that the scans of an executed query gave, from Spark's own counters."""
+    df._jdf.queryExecution().toRdd().count()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        else:
+            if name.startswith("Scan parquet"):
+                found += node.metrics().apply("numOutputRows").value()
+            todo.extend(node.children().apply(i) for i in range(node.children().size()))
+    return found
+
+
+def test_small_merges_skip_row_groups(spark, tmp_path):
+    """Files are sorted by key and have bloom filters: few keys of a large table open few of its row groups."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 << 10))
+    try:
+        h = History.create(spark, str(tmp_path / "h"), "k BIGINT, name STRING, v INT", keys=["k"])
+        h.insert(spark.range(0, 400_000, 1, 4).selectExpr("id * 10 AS k", "uuid() AS name", "0 AS v"))
+    finally:
+        hadoop.unset("parquet.block.size")
+    source = spark.createDataFrame([(500_000, "n", 1), (500_010, "n", 1), (500_013, "n", 1)], "k BIGINT, name STRING, v INT")
+    state = h.state_at(keep=dml.rows_with_keys_of(source, ["k"]))
+    assert "In(k, [500000,500010,500013])" in plan_of(state)
+    assert scanned_rows(state) < 40_000
+    assert scanned_rows(h.current().where("k = 500015")) == 0  # within the range of a row group, but in no bloom filter
+    assert h.merge(source) == 2
+    assert bag(h.changelog(1, 2), "k", "_change_type") == {(500_000, "INSERT"): 1, (500_000, "DELETE"): 1, (500_010, "INSERT"): 1, (500_010, "DELETE"): 1, (500_013, "INSERT"): 1}
+
+
 def test_predicates_reach_the_scan(spark, tmp_path):
     h = seven_commits(spark, tmp_path / "h")
     plan = plan_of(h.current().where("company_id = 10 AND id = 1"))
