@@ -18,6 +18,9 @@ CHANGE_ORDINAL = "_change_ordinal"
 SNAPSHOT_ID = "_commit_snapshot_id"
 METADATA = [CHANGE_TYPE, CHANGE_ORDINAL, SNAPSHOT_ID]
 
+# How many equal rows a change row of a log stands for; a log without this column has one record per row.
+COPIES = "_copies"
+
 METADATA_FIELDS = [
     T.StructField(CHANGE_TYPE, T.StringType()),
     T.StructField(CHANGE_ORDINAL, T.IntegerType()),
@@ -45,14 +48,19 @@ def quoted(names: Iterable[str]) -> list[str]:
 
 
 def row_columns(df: DataFrame) -> list[str]:
-    """The table's own columns of a change log (everything but the metadata)."""
-    return [c for c in df.columns if c not in METADATA]
+    """The table's own columns of a change log (everything but the metadata and the number of copies)."""
+    return [c for c in df.columns if c not in METADATA and c != COPIES]
 
 
 # +1 for a row that appears, -1 for a row that disappears.
 SIGN = f"IF({CHANGE_TYPE} IN ('{INSERT}', '{UPDATE_AFTER}'), 1, -1)"
 
 
+def signed(df: DataFrame) -> str:
+    """SQL of what a change row adds to the number of its rows."""
+    return f"{SIGN} * {COPIES}" if COPIES in df.columns else SIGN
+
+
 def change_type_of(signed: str) -> str:
     return f"IF({signed} > 0, '{INSERT}', '{DELETE}')"
 

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from rowtide.model import (
     CHANGE_ORDINAL,
     CHANGE_TYPE,
+    COPIES,
     DELETE,
     INSERT,
-    SIGN,
     SNAPSHOT_ID,
     UPDATE_AFTER,
     UPDATE_BEFORE,
@@ -27,9 +27,9 @@ from rowtide.operators.rows import (
     inlined,
     last_changes_of_counts,
     last_changes_of_sums,
-    sum_names,
     split_untouched,
     splittable_join,
+    sum_names,
 )
 
 
@@ -64,7 +64,7 @@ def net_changes(
         left = last_changes_of_sums(commit_sums(log, commits), commits)
     else:
         left = last_changes_of_counts(commit_counts(log))
-    return as_change_rows(left, log.columns, at_most)
+    return as_change_rows(left, [c for c in log.columns if c != COPIES], at_most)
 
 
 def net_changes_by_key(

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, functions as F
 from rowtide.model import (
     CHANGE_ORDINAL,
     CHANGE_TYPE,
-    SIGN,
     SNAPSHOT_ID,
     change_type_of,
     quoted,
     row_columns,
+    signed,
 )
 
 # One task writes at most this many copies of one row; the rest are spread over other tasks.
@@ -37,7 +37,7 @@ Commits = Sequence[tuple[int, int]]
 def row_balance(log: DataFrame, name: str = "_balance") -> DataFrame:
     """One record per distinct row with the sum of its signed changes, zero sums dropped."""
     rows = quoted(row_columns(log))
-    return log.groupBy(*rows).agg(F.expr(f"sum({SIGN}) AS {name}")).where(f"{name} != 0")
+    return log.groupBy(*rows).agg(F.expr(f"sum({signed(log)}) AS {name}")).where(f"{name} != 0")
 
 
 def repeat_rows(df: DataFrame, copies: str, at_most: int | None = None) -> DataFrame:
@@ -119,7 +119,7 @@ def sum_names(commits: Commits) -> list[str]:
 def commit_sums(log: DataFrame, commits: Commits) -> DataFrame:
     """One record per distinct row, its signed count in each commit as `_n0`, `_n1`, ...: one shuffle."""
     sums = [
-        F.expr(f"coalesce(sum(IF({SNAPSHOT_ID} = {snapshot_id}, {SIGN}, 0)), 0) AS _n{i}")
+        F.expr(f"coalesce(sum(IF({SNAPSHOT_ID} = {snapshot_id}, {signed(log)}, 0)), 0) AS _n{i}")
         for i, (_, snapshot_id) in enumerate(commits)
     ]
     return log.groupBy(*quoted(row_columns(log))).agg(*sums)
@@ -128,7 +128,7 @@ def commit_sums(log: DataFrame, commits: Commits) -> DataFrame:
 def commit_counts(log: DataFrame) -> DataFrame:
     """One record per distinct row and commit with its signed count `_n`: for windows of many commits."""
     keys = [*quoted(row_columns(log)), CHANGE_ORDINAL, SNAPSHOT_ID]
-    return log.groupBy(*keys).agg(F.expr(f"sum({SIGN}) AS _n")).where("_n != 0")
+    return log.groupBy(*keys).agg(F.expr(f"sum({signed(log)}) AS _n")).where("_n != 0")
 
 
 def last_changes_of_sums(

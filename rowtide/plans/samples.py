@@ -30,7 +30,7 @@ def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> History:
     if key not in _built:
         _built[key] = build(spark, sf_dir, work_dir(spark))
     history = _built[key]
-    return History(spark, history.path, history.schema, history.keys, history.partition_by, list(history.commits))
+    return History(spark, history.path, history.schema, history.keys, history.partition_by, list(history.commits), history.buckets)
 
 
 def orders_history(spark: SparkSession, sf_dir: str) -> History:

@@ -7,6 +7,10 @@
     <path>/states/_commit_snapshot_id=K/                  full rows of a version, optional
     <path>/states_written/                                which versions are stored
 
+A history with `buckets` keeps its changes and stored versions in one bucketed Parquet table: a record per distinct row and change
+type of a commit, with the number of its copies, in buckets of a hash of the row. Versions and net changes then add up without a
+shuffle, and versions are stored by themselves when changes pile up. The table is known to the session's catalog by a name of its own.
+
 Snapshot ids are consecutive, so a commit's ordinal is its id minus one. Every try to
 commit writes into directories of its own. The row in `snapshots` is written last, names
 the try, and is what makes a commit visible: readers open only the directories
@@ -17,6 +21,7 @@ writers list the same snapshot id all the same, every later read says so.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping, Sequence
@@ -28,6 +33,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functi
 from rowtide.model import (
     CHANGE_ORDINAL,
     CHANGE_TYPE,
+    COPIES,
     DELETE,
     INSERT,
     METADATA_FIELDS,
@@ -47,14 +53,17 @@ from rowtide.operators.windows import changelog_windows, window_matrix
 PARTITION_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.BooleanType)
 
 
-# The directory level of one try to commit.
+# The directory level of one try to commit; in a bucketed history, the names of those that store a version begin like this.
 ATTEMPT = "_attempt"
+STORED = "stored"
+
+ROW_HASH = "_row_hash"
 
 # Fixed value: the directory name that stands for null. Longer names than that fail in most file systems, escaped or not.
 NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 MOST_VALUE_BYTES = 70
 
-STATES_SCHEMA = T.StructType([T.StructField("snapshot_id", T.LongType())])
+STATES_SCHEMA = T.StructType([T.StructField("snapshot_id", T.LongType()), T.StructField("attempt", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -74,6 +83,7 @@ class History:
     keys: list[str]
     partition_by: list[str]
     commits: list[Commit] = field(default_factory=list)
+    buckets: int = 0
 
     # -- lifecycle ---------------------------------------------------------
 
@@ -84,8 +94,9 @@ class History:
         schema: T.StructType | str,
         keys: Sequence[str] = (),
         partition_by: Sequence[str] = (),
+        buckets: int = 0,
     ) -> History:
-        """Declare a table: column types, key columns, partition columns."""
+        """Declare a table: column types, key columns, partition columns, and buckets, if it is to have any."""
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
@@ -106,11 +117,12 @@ class History:
             F.lit(schema.json()).alias("schema"),
             F.lit(json.dumps(list(keys))).alias("keys"),
             F.lit(json.dumps(list(partition_by))).alias("partition_by"),
+            F.lit(int(buckets)).alias("buckets"),
         )
         table.coalesce(1).write.mode("errorifexists").parquet(f"{path}/table")
         _no_rows(spark, SNAPSHOT_SCHEMA).write.mode("append").parquet(f"{path}/snapshots")
         _no_rows(spark, STATES_SCHEMA).write.mode("append").parquet(f"{path}/states_written")
-        return History(spark, path, schema, list(keys), list(partition_by))
+        return History(spark, path, schema, list(keys), list(partition_by), buckets=buckets)._registered()
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> History:
@@ -121,12 +133,45 @@ class History:
             T.StructType.fromJson(json.loads(table["schema"])),
             json.loads(table["keys"]),
             json.loads(table["partition_by"]),
+            buckets=table.asDict().get("buckets", 0),
         )
-        return history.refresh()
+        return history._registered().refresh()
+
+    def _registered(self) -> History:
+        """Make the bucketed table known to the session's catalog."""
+        if self.buckets:
+            layout = [SNAPSHOT_ID, ATTEMPT, CHANGE_TYPE, *self.partition_by]
+            types = {f.name: f.dataType.simpleString() for f in self.schema} | {SNAPSHOT_ID: "bigint", ATTEMPT: "string", CHANGE_TYPE: "string"}
+            rest = [f"{q(c)} {types[c]}" for c in self.schema.fieldNames() if c not in self.partition_by]
+            columns = [*rest, f"{ROW_HASH} BIGINT", f"{COPIES} BIGINT", *[f"{q(c)} {types[c]}" for c in layout]]
+            where = f"{self.path}/changes".replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self._table()} ({', '.join(columns)}) USING parquet PARTITIONED BY ({', '.join(quoted(layout))}) "
+                f"CLUSTERED BY ({ROW_HASH}) INTO {self.buckets} BUCKETS LOCATION '{where}'"
+            )
+        return self
+
+    def _table(self) -> str:
+        return f"rowtide_{hashlib.md5(self.path.encode()).hexdigest()[:20]}"
+
+    def _store_counted(self, counted: DataFrame, snapshot_id: int, attempt: str) -> None:
+        """Append records (`_change_type`, the columns, `_copies`) to the bucketed table, a file for each bucket and directory."""
+        names = [c for c in self.schema.fieldNames() if c not in self.partition_by]
+        row_hash = f"xxhash64({', '.join(quoted(self.schema.fieldNames()))}) AS {ROW_HASH}"
+        placed = [f"{snapshot_id}L AS {SNAPSHOT_ID}", f"'{attempt}' AS {ATTEMPT}", CHANGE_TYPE, *[self._written(c) for c in self.partition_by]]
+        rows = counted.selectExpr(*quoted(names), row_hash, f"CAST({COPIES} AS BIGINT) AS {COPIES}", *placed)
+        rows.repartition(self.buckets, ROW_HASH).write.insertInto(self._table())
+
+    def _counted(self, attempts: Mapping[int, str]) -> DataFrame:
+        """Records of the bucketed table from some tries to commit; other directories are not opened."""
+        ids, tries = ", ".join(map(str, attempts)) or "NULL", ", ".join(f"'{a}'" for a in dict.fromkeys(attempts.values())) or "NULL"
+        return self.spark.table(self._table()).where(f"{SNAPSHOT_ID} IN ({ids}) AND {ATTEMPT} IN ({tries})")
 
     def refresh(self) -> History:
         """Read the commit list again."""
         self.commits = self._stored_commits()
+        if self.buckets and self.commits:
+            self.spark.sql(f"ALTER TABLE {self._table()} RECOVER PARTITIONS")
         return self
 
     def _stored_commits(self) -> list[Commit]:
@@ -170,11 +215,16 @@ class History:
         if self.partition_by:
             rows = rows.hint("rebalance", *quoted(layout))
         own = f"{SNAPSHOT_ID}={snapshot_id}/{ATTEMPT}={attempt}"
-        writer = self._by_key(rows, layout).write.mode("errorifexists").options(**self._filters())
-        writer.partitionBy(*layout).parquet(f"{self.path}/changes/{own}")
-
-        counts = [F.expr(f"count_if({CHANGE_TYPE} = '{t}') AS {n}") for t, n in ((INSERT, "added"), (DELETE, "deleted"))]
-        per_partition = self._read_changes([own]).groupBy(*quoted(self.partition_by)).agg(*counts)
+        if self.buckets:
+            self._store_counted(changes.groupBy(CHANGE_TYPE, *quoted(self.schema.fieldNames())).agg(F.expr(f"count(*) AS {COPIES}")), snapshot_id, attempt)
+            stored, n = self._counted({snapshot_id: attempt}), COPIES
+        else:
+            writer = self._by_key(rows, layout).write.mode("errorifexists").options(**self._filters())
+            writer.partitionBy(*layout).parquet(f"{self.path}/changes/{own}")
+            stored, n = self._read_changes([own]), "1"
+
+        counts = [F.expr(f"sum(IF({CHANGE_TYPE} = '{t}', {n}, 0L)) AS {name}") for t, name in ((INSERT, "added"), (DELETE, "deleted"))]
+        per_partition = stored.groupBy(*quoted(self.partition_by)).agg(*counts)
         per_partition = per_partition.where("added + deleted > 0")
         per_partition.write.mode("errorifexists").parquet(f"{self.path}/partitions/{own}")
         sums = self._read_partitions([own]).agg(
@@ -205,6 +255,8 @@ class History:
         )
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/snapshots")
         self.commits.append(commit)
+        if self.buckets:
+            self.materialize_if_due()
         return snapshot_id
 
     def _by_key(self, rows: DataFrame, layout: Sequence[str]) -> DataFrame:
@@ -312,15 +364,16 @@ class History:
 
     def log(self, start: int | None = None, end: int | None = None) -> DataFrame:
         """Change rows of the commits after snapshot `start` up to and with `end`; other commits are not opened."""
+        names = [*quoted(self.schema.fieldNames()), CHANGE_TYPE, CHANGE_ORDINAL, SNAPSHOT_ID]
+        if self.buckets:
+            return repeat_rows(self._counted_log(start, end), COPIES, self.rows_changed(start, end)).selectExpr(*names)
         inside = self._window(start, end)
-        rows = self._read_changes(_directories(inside))
-        first = inside[0].snapshot_id if inside else 1
-        return rows.selectExpr(
-            *quoted(self.schema.fieldNames()),
-            CHANGE_TYPE,
-            f"CAST({SNAPSHOT_ID} - {first} AS INT) AS {CHANGE_ORDINAL}",
-            SNAPSHOT_ID,
-        )
+        return _with_ordinals(self._read_changes(_directories(inside)), inside).selectExpr(*names)
+
+    def _counted_log(self, start: int | None, end: int | None) -> DataFrame:
+        """The log of a bucketed history as it is stored, with the row's hash and `_copies`."""
+        inside = self._window(start, end)
+        return _with_ordinals(self._counted({c.snapshot_id: c.attempt for c in inside}), inside).drop(ATTEMPT)
 
     def changelog(
         self,
@@ -350,6 +403,8 @@ class History:
                 return net_changes_by_key(log, keys, pairs, at_most)
             if self.one_sided(start, end):
                 return log
+            if self.buckets:
+                return net_changes(self._counted_log(start, end), pairs, at_most).drop(ROW_HASH).select(*quoted(log.columns))
             return net_changes(log, pairs, at_most, self.rare_change(start, end))
         return self._labelled(log, start, end, keys or self.keys) if updates else log
 
@@ -377,6 +432,9 @@ class History:
         base = max((i for i in self._stored_states() if i <= snapshot_id), default=None)
         todo = [c for c in through if base is None or c.snapshot_id > base]
         names = quoted(self.schema.fieldNames())
+        if self.buckets:
+            n_live = sum(c.added - c.deleted for c in through)
+            return repeat_rows(self._balance(todo, base, keep), "_balance", n_live).select(*names)
         changes = self._read_changes(_directories(todo)).select(CHANGE_TYPE, *names)
         inserts = changes.where(f"{CHANGE_TYPE} = '{INSERT}'")
         deletes = changes.where(f"{CHANGE_TYPE} = '{DELETE}'")
@@ -395,6 +453,14 @@ class History:
             return untouched.select(*names).unionAll(repeat_rows(row_balance(touched), "_balance", n_inserted))
         return repeat_rows(row_balance(inserts.unionAll(deletes)), "_balance", n_inserted)
 
+    def _balance(self, todo: Sequence[Commit], base: int | None, keep: dml.Narrowing | None = None) -> DataFrame:
+        """The rows of a version of a bucketed history, each with its `_balance`: added up bucket by bucket."""
+        attempts = {c.snapshot_id: c.attempt for c in todo}
+        if base is not None:
+            attempts[base] = self._stored_tries()[base]
+        rows = self._counted(attempts).drop(SNAPSHOT_ID, ATTEMPT)
+        return row_balance(keep(rows) if keep else rows)
+
     def current(self) -> DataFrame:
         return self.state_at()
 
@@ -404,11 +470,20 @@ class History:
         target = self._state_path(snapshot_id)
         if snapshot_id in self._stored_states():
             return target
+        if self.buckets:
+            before = max((i for i in self._stored_states() if i < snapshot_id), default=None)
+            todo = [c for c in self._window(None, snapshot_id) if before is None or c.snapshot_id > before]
+            live, attempt = self._balance(todo, before).withColumnRenamed("_balance", COPIES), f"{STORED}-{uuid.uuid4().hex}"
+            self._store_counted(live.withColumn(CHANGE_TYPE, F.lit(INSERT)), snapshot_id, attempt)
+            return self._mark_stored(snapshot_id, target, attempt)
         rows = self.state_at(snapshot_id)
         if self.partition_by:
             rows = rows.hint("rebalance", *quoted(self.partition_by))
         _replace(self._by_key(rows, self.partition_by)).options(**self._filters()).partitionBy(*self.partition_by).parquet(target)
-        mark = self.spark.range(1).select(F.lit(snapshot_id).cast("long").alias("snapshot_id"))
+        return self._mark_stored(snapshot_id, target, None)
+
+    def _mark_stored(self, snapshot_id: int, target: str, attempt: str | None) -> str:
+        mark = self.spark.range(1).select(F.lit(snapshot_id).cast("long").alias("snapshot_id"), F.lit(attempt).cast("string").alias("attempt"))
         mark.coalesce(1).write.mode("append").parquet(f"{self.path}/states_written")
         return target
 
@@ -429,7 +504,12 @@ class History:
         return f"{self.path}/states/{SNAPSHOT_ID}={snapshot_id}"
 
     def _stored_states(self) -> list[int]:
-        return [r[0] for r in self.spark.read.schema(STATES_SCHEMA).parquet(f"{self.path}/states_written").collect()]
+        return list(self._stored_tries())
+
+    def _stored_tries(self) -> dict[int, str | None]:
+        """Stored versions, and for each the try that wrote it into the bucketed table, if there is one."""
+        found = self.spark.read.schema(STATES_SCHEMA).parquet(f"{self.path}/states_written").collect()
+        return {r.snapshot_id: r.attempt for r in found}
 
     def _columns(self, names: Sequence[str]) -> list[str]:
         """The table's columns of these names, by the session's rule on upper and lower case."""
@@ -463,6 +543,11 @@ class History:
         return self.spark.read.option("basePath", root).schema(schema).parquet(*[f"{root}/{d}" for d in directories]).drop(ATTEMPT)
 
 
+def _with_ordinals(rows: DataFrame, inside: Sequence[Commit]) -> DataFrame:
+    first = inside[0].snapshot_id if inside else 1
+    return rows.selectExpr("*", f"CAST({SNAPSHOT_ID} - {first} AS INT) AS {CHANGE_ORDINAL}")
+
+
 def _directories(commits: Sequence[Commit]) -> list[str]:
     return [f"{SNAPSHOT_ID}={c.snapshot_id}/{ATTEMPT}={c.attempt}" for c in commits]
 

@@ -372,3 +372,56 @@ def test_timestamps_and_rows_of_the_script(spark, tmp_path):
     h = new_history(spark, tmp_path / "h")
     h.insert(rows(spark, (1, 10, "2025-08-01T10:00:00", 2, "a")))
     assert h.current().first()["created_at"] == datetime(2025, 8, 1, 10)
+
+
+def bucketed_and_plain(spark, tmp_path):
+    """The same commits twice: copies, null keys, partitions, every kind of write."""
+    many = spark.range(300).selectExpr("nullif(id % 40, 0) AS k", "CAST(id % 3 AS STRING) AS p", "CAST(id % 2 AS INT) AS v")
+    for name, buckets in (("b", 4), ("h", 0)):
+        h = History.create(spark, str(tmp_path / name), SCHEMA, ["k", "p"], ["p"], buckets=buckets)
+        h.insert(many)
+        h.update({"v": "v + 1"}, "k < 10")
+        h.delete("k % 5 = 0")
+        h.insert(many.where("k % 7 = 0"))
+        h.merge(many.where("k BETWEEN 3 AND 9 AND v = 1").distinct())
+        h.overwrite(many.where("p = '1' AND k < 30"), mode="dynamic")
+        h.overwrite(many.where("k <> 11"))
+        yield h
+
+
+def test_bucketed_history_is_the_same(spark, tmp_path):
+    b, h = bucketed_and_plain(spark, tmp_path)
+    assert [(c.added, c.deleted) for c in b.commits] == [(c.added, c.deleted) for c in h.commits]
+    for k in range(1, b.latest() + 1):
+        assert bag(b.state_at(k)) == bag(h.state_at(k))
+    for start, end in ((None, None), (1, 5), (3, None), (None, 4)):
+        for options in ({}, {"net": True}, {"net": True, "keys": ["k", "p"]}, {"updates": True}):
+            assert bag(b.changelog(start, end, **options)) == bag(h.changelog(start, end, **options))
+    windows = all_windows(reports.snapshot_labels(h))
+    assert bag(b.matrix(windows)) == bag(h.matrix(windows))
+    assert bag(reports.entry_counts(b)) == bag(reports.entry_counts(h))
+
+
+def test_bucketed_versions_need_no_exchange(spark, tmp_path):
+    b, h = bucketed_and_plain(spark, tmp_path)
+    assert b._stored_states(), "writes store versions by themselves"
+    for df in (b.current(), b.state_at(3), b.changelog(1, 5, net=True)):
+        plan = plan_of(df)
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    # A session that doesn't know the table yet finds all that is stored.
+    current = bag(b.current())
+    spark.sql(f"DROP TABLE {b._table()}")
+    again = History.open(spark, str(tmp_path / "b"))
+    assert again.buckets == 4 and bag(again.current()) == current
+    assert again.delete("k = 1") == b.latest() + 1
+    assert "k = 1" and (1,) not in {(r.k,) for r in again.current().collect()}
+    with pytest.raises(RuntimeError, match="another writer"):
+        b.delete("k = 2")
+
+
+def test_hot_row_of_a_bucketed_history_is_one_record(spark, tmp_path):
+    h = History.create(spark, str(tmp_path / "h"), SCHEMA, buckets=3)
+    h.insert(spark.range(0, 30_000, 1, 4).selectExpr("7L AS k", "'x' AS p", "1 AS v"))
+    h.insert(put(spark, (7, "x", 1), (8, "y", 2)))
+    assert spark.table(h._table()).count() == 3
+    assert bag(h.current().groupBy("k").count()) == {(7, 30_001): 1, (8, 1): 1}
