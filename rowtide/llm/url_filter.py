@@ -25,6 +25,14 @@ BLOCK_FROM = 0.5
 # Correlation of outcomes within a group: strength of the prior is 1 / rho - 1.
 LEAST_RHO, MOST_RHO = 0.001, 0.5
 
+# Suffixes of two labels under which names are registered; others are one label.
+TWO_LABEL_SUFFIXES = (
+    "ac.jp ac.nz ac.uk ac.za co.id co.il co.in co.jp co.ke co.kr co.nz co.th co.uk co.za com.ar com.au com.bd com.br com.cn com.co com.eg "
+    "com.hk com.mx com.my com.ng com.pe com.ph com.pk com.pl com.sa com.sg com.tr com.tw com.ua com.ve com.vn edu.au edu.cn go.jp gov.au "
+    "gov.br gov.cn gov.in gov.uk govt.nz ltd.uk me.uk ne.jp net.au net.br net.cn net.in net.nz nhs.uk or.jp or.kr org.au org.br org.cn "
+    "org.in org.nz org.uk plc.uk sch.uk"
+).split()
+
 Rule = tuple[str, str, str]
 
 
@@ -77,15 +85,28 @@ def _spread(groups: DataFrame, level: str) -> DataFrame:
     return rho.selectExpr(f"round(1 / {kept} - 1, 6) AS _strength_{level}")
 
 
-def host_reputation(hosts: DataFrame) -> DataFrame:
+def with_domain(hosts: DataFrame, two_label_suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
+    """`hosts` (`host`) with `domain`, the registered one, and `suffix`.
+
+    User, port and a last dot aside, the suffix is the last label, or the last two where these are listed; the domain has one
+    label more. A host that is no more than a suffix is a domain of its own. An address is its own domain and suffix.
+    """
+    bare = "regexp_replace(regexp_replace(host, '^.*@', ''), '(:[0-9]*)?[.]?$', '')"
+    listed = ", ".join(_quoted(x) for x in two_label_suffixes) or "NULL"
+    labels = hosts.selectExpr("*", f"{bare} AS _bare").selectExpr("*", "split(_bare, '[.]') AS _labels")
+    cut = labels.selectExpr(
+        "*", "_bare RLIKE '^[0-9]+([.][0-9]+){3}$' OR startswith(_bare, '[') AS _address", "array_join(slice(_labels, -least(2, size(_labels)), 2), '.') AS _two"
+    ).selectExpr("*", f"IF(coalesce(_two IN ({listed}), FALSE), 2, 1) AS _length")
+    last = "array_join(slice(_labels, -least({n}, size(_labels)), {n}), '.')"
+    return cut.selectExpr(
+        *[f"`{c}`" for c in hosts.columns], f"IF(_address, _bare, {last.format(n='(_length + 1)')}) AS domain",
+        f"IF(_address, _bare, {last.format(n='_length')}) AS suffix",
+    )
+
+
+def host_reputation(hosts: DataFrame, two_label_suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """`host`, `mean`, `lower` from hosts with their labelled pages `_n`, of which `_k` were bad (0 for none)."""
-    named = hosts.selectExpr(
-        "host",
-        "_n",
-        "_k",
-        "array_join(slice(split(host, '[.]'), greatest(size(split(host, '[.]')) - 1, 1), 2), '.') AS domain",
-        "element_at(split(host, '[.]'), -1) AS suffix",
-    )
+    named = with_domain(hosts.select("host", "_n", "_k"), two_label_suffixes)
     domains = named.groupBy("suffix", "domain").agg(F.expr("sum(_n) AS _n"), F.expr("sum(_k) AS _k"))
     suffixes = domains.groupBy("suffix").agg(F.expr("sum(_n) AS _n"), F.expr("sum(_k) AS _k"))
     # One row: the share of all labelled pages, from a flat prior, and the strength of each level's prior.
@@ -98,9 +119,9 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
     mean = "(_k + {s}D * {m}) / (_n + {s}D)"
     by_suffix = suffixes.selectExpr("suffix", f"{mean.format(s=whole._strength_suffix, m=f'{whole._all!r}D')} AS _suffix_mean")
     by_domain = splittable_join(domains, by_suffix, ["suffix"], "inner").selectExpr(
-        "domain", f"{mean.format(s=whole._strength_domain, m='_suffix_mean')} AS _domain_mean"
+        "suffix", "domain", f"{mean.format(s=whole._strength_domain, m='_suffix_mean')} AS _domain_mean"
     )
-    joined = splittable_join(named, by_domain, ["domain"], "inner").selectExpr(
+    joined = splittable_join(named, by_domain, ["suffix", "domain"], "inner").selectExpr(
         "host",
         f"_k + {whole._strength_host}D * _domain_mean AS a",
         f"_n - _k + {whole._strength_host}D * (1D - _domain_mean) AS b",
@@ -110,7 +131,9 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], outcome: str | None = None) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: Sequence[Rule], outcome: str | None = None, two_label_suffixes: Sequence[str] = TWO_LABEL_SUFFIXES
+) -> DataFrame:
     """`pages` with `host`, `path`, `rule`, `verdict`, and the host's `bad_share` and `lower_bound`.
 
     The host is what follows the first `://` up to `/`, `?`, `#` or the end, with A-Z
@@ -119,7 +142,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], outcome: str | None = No
     `with_rules` that is 1 for a bad page, 0 for a good one and null for an unknown
     one; without it, the pages that a rule decides are the known ones. Columns of
     the input with one of the names above are replaced. Repeated rows count each.
-    Without any known outcome every mean is 1/2 and its bound below it: allow.
+    Without any known outcome every mean is 1/2 and its bound below it: allow. `two_label_suffixes` lists the suffixes of two labels under
+    which names are registered. Equal hosts are judged alike; no rows give no rows.
     """
     known = outcome or "CASE _ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END"
     ruled = without(with_rules(pages, rules), "bad_share", "lower_bound", "verdict")
@@ -128,7 +152,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], outcome: str | None = No
         .groupBy("host")
         .agg(F.expr("count(_bad) AS _n"), F.expr("coalesce(sum(_bad), 0) AS _k"))
     )
-    reputation = host_reputation(hosts).selectExpr("host", "mean AS bad_share", "lower AS lower_bound")
+    reputation = host_reputation(hosts, two_label_suffixes).selectExpr("host", "mean AS bad_share", "lower AS lower_bound")
     judged = splittable_join(ruled, reputation, ["host"], "inner")
     verdict = f"coalesce(_ruled, IF(lower_bound >= {BLOCK_FROM}D, 'block', 'allow')) AS verdict"
     return judged.selectExpr("*", verdict).drop("_ruled")

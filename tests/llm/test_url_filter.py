@@ -4,7 +4,7 @@ import re
 from urllib.parse import quote
 
 from rowtide.llm.queries import RULES
-from rowtide.llm.url_filter import judge_urls
+from rowtide.llm.url_filter import judge_urls, with_domain
 
 URLS = [
     None, "", "no scheme", "://", "HTTP://WWW.Example.COM/en/x?y#z", "http://example.com", "http://example.com/en/", "http://EXAMPLE.com/EN/",
@@ -58,3 +58,22 @@ def test_nothing_known_and_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     assert [r.verdict for r in judge_urls(pages, []).collect()] == ["allow"]
     assert judge_urls(pages.limit(0), RULES).collect() == []
+
+
+def test_registered_domains(spark):
+    hosts = {
+        "a.co.uk": ("a.co.uk", "co.uk"), "x.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.com": ("y.com", "com"), "com": ("com", "com"),
+        "10.1.2.3": ("10.1.2.3", "10.1.2.3"), "10.1.2.3:80": ("10.1.2.3", "10.1.2.3"), "host:8080": ("host", "host"), "u:p@w.z.org:1": ("z.org", "org"),
+        "w.z.org.": ("z.org", "org"), "": ("", ""), "[::1]:80": ("[::1]", "[::1]"), "com.au": ("com.au", "com.au"), "1.2.3.4.5": ("4.5", "5"),
+    }
+    got = with_domain(spark.createDataFrame([(h,) for h in hosts], "host string")).collect()
+    assert {r.host: (r.domain, r.suffix) for r in got} == hosts
+    own = with_domain(spark.createDataFrame([("a.b.c.d",)], "host string"), ["c.d"]).first()
+    assert (own.domain, own.suffix) == ("b.c.d", "c.d")
+
+
+def test_neighbours_under_a_suffix_are_strangers(spark):
+    rows = [(f"http://bad{h}.co.uk/{i}", 1) for h in range(5) for i in range(40)] + [(f"http://fine{h}.{s}/{i}", 0) for h in range(40) for s in ("com", "co.uk") for i in range(5)]
+    rows += [("http://good.co.uk/", None), ("http://www.bad1.co.uk/", None), ("http://10.0.0.1/", None)] + [(f"http://10.0.0.2:{p}/", 1) for p in range(30)]
+    got = {r.url: r.verdict for r in judge_urls(spark.createDataFrame(rows, "url string, bad int"), [], outcome="bad").collect()}
+    assert got["http://good.co.uk/"] == "allow" and got["http://www.bad1.co.uk/"] == "block" and got["http://10.0.0.1/"] == "allow"
