@@ -3,7 +3,7 @@
 Every paragraph earns points for its length and its commas and passes them to its ancestors,
 fewer the farther they are; an ancestor's points are discounted by the share of its text
 that is links. The best container is taken, widened to the article it lies in, with
-those of its siblings that score well themselves. Menus, headers, footers, sidebars,
+those of its siblings that score well themselves; without an article, with all siblings that are plain text. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are left out of it.
 """
 
@@ -76,7 +76,7 @@ def _tag_end(page: str, at: int) -> int:
         if m[0] == ">":
             return m.start()
         at = m.end()
-        if page[: m.start()][-40:].rstrip()[-1:] == "=":
+        if page[max(0, m.start() - 40) : m.start()].rstrip()[-1:] == "=":
             at = page.find(m[0], at) + 1
             if not at:
                 return -1
@@ -270,10 +270,12 @@ def main_text(page: str) -> str:
     chosen = {best}
     if best:
         enough = max(3.0, 0.2 * score[best])
+        marked = tags[best] in ("article", "main")
         for i in range(1, n):
             if parents[i] == parents[best] and not dropped[i]:
-                text, dense = own[i], linked[i] / max(total[i], 1)
-                if score[i] >= enough or tags[i] == "p" and text > 80 and dense < 0.25:
+                dense = linked[i] / max(total[i], 1)
+                # Beside a marked article only what reads like one; else all plain text: titles, leads, short sections.
+                if score[i] >= enough or marked and tags[i] == "p" and own[i] > 80 and dense < 0.25 or not marked and total[i] and dense < 0.5:
                     chosen.add(i)
     inside = [False] * n
     for i in range(n):
@@ -288,7 +290,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     White space of any kind inside a block becomes one space, character references are
     decoded; null and empty pages give an empty text. Broken markup is read as far as it
     goes: open elements end with the page, a tag that is cut off is left out. Columns named
-    `text` and `n_chars` are replaced.
+    `text` and `n_chars` are replaced. Repeated rows give repeated rows, no rows none.
     """
 
     def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

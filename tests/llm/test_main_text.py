@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from html.parser import HTMLParser
+
 import pytest
 
 from rowtide.llm.main_text import extract_text, main_text
@@ -27,6 +30,8 @@ CASES = {
     f"<table><tr><td>{LONG}<td>cell<tr><td>below</table>": f"{LONG} cell below",
     f"<ARTICLE><P>{LONG}</P></ARTICLE><ASIDE><P>{MORE}</P></ASIDE>": LONG,
     f"<article><p>{LONG}</p><section><p>{MORE}</p></section><p>end</p></article>": f"{LONG} {MORE} end",
+    f"<body><h1>T</h1><p>Short lead.</p><div>{f'<p>{LONG}</p>' * 5}</div></body>": f"T Short lead. {' '.join([LONG] * 5)}",
+    f"<body><nav><a href=1>x</a></nav><section><h2>One</h2><p>{LONG}</p><p>{MORE}</p></section><section><h2>Two</h2><p>short.</p></section><footer>f</footer></body>": f"One {LONG} {MORE} Two short.",
     f"<div><section><p>{LONG}</p><p>{LONG}</p></section><section><p>{MORE}</p><p>{MORE}</p></section></div>": f"{LONG} {LONG} {MORE} {MORE}",
 }
 
@@ -49,3 +54,51 @@ def test_over_a_table(spark):
     assert len(got) == 6 and all(r.n_chars == len(r.text) for r in got)
     assert sorted(r.text for r in got)[:2] == ["", ""]
     assert extract_text(pages.limit(0)).collect() == []
+
+
+def test_time_is_linear_in_quotes():
+    import time
+
+    page = lambda n: "<article>" + f"<p class='a' title=\"b\">{LONG}</p>" * n + "</article>"
+    begin = time.process_time()
+    assert len(main_text(page(20_000))) > 1_500_000
+    assert time.process_time() - begin < 8
+
+
+class _Slow(HTMLParser):
+    """An extractor of another kind for well-formed pages: the text of `article` without what HTML says is none of it."""
+
+    OUT = {"nav", "header", "footer", "aside", "form", "script", "style", "noscript", "button", "template"}
+    INLINE = {"a", "b", "i", "em", "strong", "span", "code", "small", "sub", "sup", "u", "q", "mark", "abbr", "time", "cite"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.article, self.out, self.parts = 0, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.article += tag == "article"
+        self.out += tag in self.OUT
+        self.parts.append("" if tag in self.INLINE else " ")
+
+    def handle_endtag(self, tag):
+        self.article -= tag == "article"
+        self.out -= tag in self.OUT
+        self.parts.append("" if tag in self.INLINE else " ")
+
+    def handle_data(self, data):
+        if self.article and not self.out:
+            self.parts.append(data)
+
+
+def test_against_another_extractor():
+    """Random well-formed articles, with chrome around and inside them."""
+    draw = random.Random(3)
+    sentence = lambda: " ".join(draw.choice(["word", "and", "more, then", "<b>bo</b>ld", "<a href='x'>link</a>", "a &amp; b", "caf&eacute;", "\n next"]) for _ in range(draw.randrange(8, 30))) + "."
+    block = lambda: draw.choice(["<p>{}</p>", "<h2>{}</h2>", "<blockquote><p>{}</p></blockquote>", "<ul><li>{}</li><li>x</li></ul>", "<section><p>{}</p></section>", "<pre>{}</pre>"]).format(sentence())
+    chrome = ["<nav><a href='/'>home</a></nav>", "<aside><p>buy, now, this, thing, here, it is good</p></aside>", "<script>var x = '<p>';</script>", "<form><p>name, please, here</p></form>", ""]
+    for _ in range(200):
+        inside = "".join(block() + draw.choice(chrome) for _ in range(draw.randrange(2, 12)))
+        page = f"<html><head><title>t</title></head><body><header><p>{sentence()}</p></header>{draw.choice(chrome)}<article>{inside}</article><footer><p>{sentence()}</p></footer></body></html>"
+        slow = _Slow()
+        slow.feed(page)
+        assert main_text(page) == " ".join("".join(slow.parts).split())
