@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from rowtide.operators.rows import splittable_join
 
@@ -20,15 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder name under `spark.checkpoint.dir`, which driver and executors share.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting uses its warehouse.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="rowtide-")
-        context.setCheckpointDir(shared)
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/llm-{context.applicationId}/{uuid.uuid4().hex}"
 
 
@@ -73,3 +71,20 @@ def parts_for(rows: int, each: int) -> int:
     while parts * each < rows:
         parts *= 2
     return parts
+
+
+def labelled_texts(docs: DataFrame, chosen: DataFrame, text_chars: int, all_chars: int, within: str | None = None) -> list[Row]:
+    """`_y`, `_h`, `text` of the chosen rows (`doc_id`, `_y`, `_h`: few), in the order of `_h`, as many as have `all_chars` characters together
+    (for each value of `within`). One row per id; of a longer text, a passage of `text_chars`, at a place by its hash.
+
+    Bounds hold before anything is collected.
+    """
+    begin = f"1 + pmod(xxhash64(text), length(text) - {text_chars})"
+    passage = f"IF(length(text) > {text_chars}, substring(text, CAST({begin} AS INT), {text_chars}), coalesce(text, ''))"
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = keep(met.groupBy("doc_id", "_y", "_h").agg(F.expr(f"min_by({passage}, xxhash64(text)) AS text")))
+    order = "ORDER BY _h, doc_id, _y ROWS UNBOUNDED PRECEDING"
+    sums = one.selectExpr("doc_id", "_y", f"sum(length(text)) OVER ({f'PARTITION BY {within}' if within else ''} {order}) AS _sum")
+    taken = sums.where(f"_sum <= {all_chars}").drop("_sum")
+    rows = one.join(F.broadcast(taken), ["doc_id", "_y"], "left_semi").select("_y", "_h", "text").collect()
+    return sorted(rows, key=lambda r: (r._h, r.text))

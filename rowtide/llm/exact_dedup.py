@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from rowtide.llm.common import fresh, join_small, keep, parts_for
+from rowtide.model import quoted
 from rowtide.operators.rows import splittable_join
 
 # Digests in a part of the index: a part is a row of about 1.5 MB.
@@ -192,6 +193,6 @@ def drop_copies(docs: DataFrame, history: str | None = None) -> DataFrame:
     left = join_small(keyed, marked.where("NOT kept").drop("kept").distinct(), key, "left_anti")
     twins = keep(marked.where("kept").groupBy(*key).agg(F.expr("count(*) AS n")).where("n > 1").drop("n"))
     if twins.isEmpty():
-        return left.select(*docs.columns)
+        return left.select(*quoted(docs.columns))
     once = join_small(left, twins, key, "left_semi").dropDuplicates(key)
-    return join_small(left, twins, key, "left_anti").unionByName(once).select(*docs.columns)
+    return join_small(left, twins, key, "left_anti").unionByName(once).select(*quoted(docs.columns))

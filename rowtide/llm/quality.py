@@ -16,10 +16,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.common import keep, without
+from rowtide.llm.common import keep, labelled_texts, without
 
 # The sample that the model is fitted on: of each label, so many rows, of at most so many characters each and together,
-# half of them for the dictionaries and half for the calibration. Longer texts are scored like any other.
+# half of them for the dictionaries and half for the calibration. Longer texts give a passage; scores are those of whole texts.
 SAMPLE_ROWS = 1500
 TEXT_CHARS = 60_000
 SAMPLE_CHARS = 12_000_000
@@ -86,7 +86,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
     """A model from a bounded sample of the labelled documents for which `learn` (SQL on `doc_id`) holds.
 
     Of each label, the `SAMPLE_ROWS` rows with the smallest hash of the id are
-    taken, as long as they have at most `SAMPLE_CHARS` characters together. Even and odd places go to the
+    taken, as long as they have at most `SAMPLE_CHARS` characters together; a text of over `TEXT_CHARS` gives a passage of that length, and
+    rows that repeat an id count once. Even and odd places go to the
     dictionaries and to the calibration. The prior is the share of label 1 among all
     labelled rows. Without rows of both labels every score is the prior.
     """
@@ -98,13 +99,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         for y in (0, 1)
     ]
     sample = keep(chosen[0].unionByName(chosen[1]))
-    short = docs.select("doc_id", "text").where(f"length(text) <= {TEXT_CHARS}")
-    rows = short.join(F.broadcast(sample), "doc_id").selectExpr("_y", "_h", "coalesce(text, '') AS text").collect()
+    rows = labelled_texts(docs, sample, TEXT_CHARS, SAMPLE_CHARS, "_y")
     texts: dict[int, list[bytes]] = {0: [], 1: []}
-    room = {0: SAMPLE_CHARS, 1: SAMPLE_CHARS}
-    for r in sorted(rows, key=lambda r: (r._y, r._h, r.text)):
-        room[r._y] -= len(r.text)
-        if room[r._y] >= 0 and r.text:
+    for r in rows:
+        if r.text:
             texts[r._y].append(r.text.encode())
     if min(map(len, texts.values())) < 2:
         return Model(b" " * 16, b" " * 16, [0.0] * 4, prior)
@@ -124,7 +122,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with `score` (0 to 1, higher is better) and `raw_score`, over whole texts.
 
-    Null and empty texts have the raw score 0. Columns of these names are replaced.
+    Null and empty texts have the raw score 0. Columns of these names are replaced. Equal texts have equal scores; no rows give no rows.
     """
     data = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -19,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.common import keep, without
+from rowtide.llm.common import fresh, keep, labelled_texts, without
+from rowtide.model import quoted
 
 # The model's alphabet: 0 stands for everything between words, the last one for any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
@@ -45,7 +46,7 @@ WEIGHTS = 1 << 18
 STEPS = 80
 
 # The sample that the model is fitted on: so many rows of each label, by hash of the id, of at most so many characters
-# each and in all. Longer texts are scored like any other.
+# each (a passage of longer texts) and in all. Scores are those of whole texts.
 TOXIC_ROWS, OTHER_ROWS, TEXT_CHARS, SAMPLE_CHARS = 1600, 3200, 60_000, 24_000_000
 
 _DOUBLED = re.compile(r"(.)\1", re.S)
@@ -365,8 +366,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
     """The language model of all documents, and a scorer from a bounded sample of the labelled ones.
 
     `learn` is SQL on `doc_id` for the labels that may be used. Of each label, the rows with the smallest
-    hash of the id are taken, `TOXIC_ROWS` and `OTHER_ROWS` at most, those of over `TEXT_CHARS` left out. Two thirds fit the words' weights, a
-    third the final model. Without rows of both labels every score is the share of label 1.
+    hash of the id are taken, `TOXIC_ROWS` and `OTHER_ROWS` at most; a text of over `TEXT_CHARS` gives a passage of that length. Two thirds
+    fit the words' weights, a third the final model. Of rows that repeat an id, one is taken. Without rows of both labels every score is the
+    share of label 1; empty tables give such a model, too.
     """
     model = language_model(corpus_trigrams(docs))
     known = labels.where(f"({learn}) AND {label} IN (0, 1)").selectExpr("doc_id", f"CAST({label} AS INT) AS _y")
@@ -377,16 +379,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         for y, most in ((0, OTHER_ROWS), (1, TOXIC_ROWS))
     ]
     sample = keep(chosen[0].unionByName(chosen[1]))
-    short = docs.select("doc_id", "text").where(f"length(text) <= {TEXT_CHARS}")
-    rows = short.join(F.broadcast(sample), "doc_id").select("_y", "_h", "text").collect()
-    rows.sort(key=lambda r: (r._h, r.text or ""))
-    restorer, room, taken = Restorer(model), SAMPLE_CHARS, 0
+    rows = labelled_texts(docs, sample, TEXT_CHARS, SAMPLE_CHARS)
+    restorer, taken = Restorer(model), 0
     first: list[tuple[np.ndarray, np.ndarray]] = []
     third: list[_Sampled] = []
     first_y, held_y = [], []
     for r in rows:
-        room -= len(r.text or "")
-        if r.text and room >= 0:
+        if r.text:
             sampled = _Sampled(restorer.read(r.text))
             if taken % 3 != 2:
                 first.append(sampled.densities())
@@ -413,8 +412,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
 def score_toxicity(docs: DataFrame, model: list[float], scorer: Scorer) -> DataFrame:
     """`docs` with `score`, 0 to 1 and higher for label 1, over whole texts; null and empty texts have the prior.
 
-    A column of this name is replaced.
+    A column of this name is replaced. Equal texts have equal scores; no rows give no rows.
     """
+    return _scored(without(docs, "score"), model, scorer, "score")
+
+
+def _scored(docs: DataFrame, model: list[float], scorer: Scorer, name: str) -> DataFrame:
     weights = scorer.weights.astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((model, weights, scorer.levels, scorer.final, scorer.prior))
 
@@ -424,10 +427,11 @@ def score_toxicity(docs: DataFrame, model: list[float], scorer: Scorer) -> DataF
         for batch in texts:
             yield pa.array([of.score(t.as_py(), restorer) if t.is_valid else of.prior for t in batch], pa.float64())
 
-    return without(docs, "score").withColumn("score", F.arrow_udf(score, "double")("text"))
+    return docs.withColumn(name, F.arrow_udf(score, "double")("text"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, from_score: float = 0.5) -> DataFrame:
-    """The rows of `docs` that score less than that; the model is fitted on the labels of `docs`."""
+    """The rows of `docs` that score less than that, whole, with columns of any name; the model is fitted on the labels of `docs`."""
     model, scorer = fit_toxicity(docs, labels)
-    return score_toxicity(docs, model, scorer).where(f"score < {from_score}D").select(*docs.columns)
+    (name,) = fresh(docs, "_score")
+    return _scored(docs, model, scorer, name).where(f"{name} < {from_score}D").select(*quoted(docs.columns))

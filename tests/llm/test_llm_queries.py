@@ -67,6 +67,35 @@ def test_pipeline_runs_over_no_rows(spark):
     assert docs.collect() == []
 
 
+def test_pipeline_keeps_odd_rows_whole(spark, tmp_path):
+    """Null and repeated ids, equal and near texts, null, empty and long texts, columns named like the operators' own and with dots."""
+    plain = spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()
+    rows = [(r.doc_id, r.text, r.source) for r in plain]
+    long = " ".join(f"w{k}" for k in range(30_000))
+    rows += [(None, "no id but a text of its own", "a"), (None, "no id but a text of its own", "a"), (None, None, None), (90_001, None, None)]
+    rows += [(90_002, "", "a"), (90_003, "", None), (90_004, "the same id with one text", "b"), (90_004, "the same id with another", "b")]
+    rows += [(90_005, "repeated row", "b"), (90_005, "repeated row", "b"), (90_006, long, "b"), (90_007, long + " x", "c"), (90_008, long, "c")]
+    extra = ["'mine' AS score", "1 AS _score", "2 AS `a.b`", "3 AS _source", "4 AS key", "5 AS size", "6 AS _row", "7 AS digest", "8 AS component_id", "9 AS n"]
+    docs = documents(spark, rows, *extra)
+    kept = []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        if i < 4:
+            assert out.columns == docs.columns
+        out.write.parquet(path := f"{tmp_path}/{i}")
+        docs = spark.read.parquet(path)
+        kept.append(docs.collect())
+    for stage in kept[:4]:
+        assert {r.score for r in stage} == {"mine"} and {r["a.b"] for r in stage} == {2} and {r.n for r in stage} == {9}
+    ids = [Counter(r.doc_id for r in stage) for stage in kept]
+    assert ids[0][None] == 3 and ids[0][90_005] == 2 and ids[0][90_004] == 2
+    # Of equal texts one row stays; a group with an id never keeps one without.
+    assert ids[1][90_005] == 1 and ids[1][90_004] == 2 and 90_008 not in ids[1] and 90_001 in ids[1] and 90_002 not in ids[1]
+    assert sum(r.text == "no id but a text of its own" for r in kept[1]) >= 1
+    assert 90_006 in ids[2] and 90_007 not in ids[2]
+    assert {r.doc_id for r in kept[4]} == set(ids[3])
+
+
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())

@@ -46,3 +46,32 @@ def test_one_label_or_none(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [r.score for r in score_quality(docs, fit_quality(docs, none)).collect()] == [0.5, 0.5]
     assert score_quality(docs.limit(0), fit_quality(docs.limit(0), none)).collect() == []
+
+
+def test_long_labelled_texts_teach(spark):
+    """Where all labelled texts are long, passages of them fit the model."""
+    rows, _ = corpus(80)
+    rows = [(i, (t + " ") * (1 + 70_000 // len(t)), s) for i, t, s in rows[:40]]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i, _, _ in rows], "doc_id long, quality int")
+    got = score_quality(docs, fit_quality(docs, labels)).collect()
+    assert len({r.score for r in got}) > 2 and all((r.score >= 0.5) == (r.doc_id % 4 != 0) for r in got)
+
+
+def test_differences_by_plain_compression(spark):
+    """The raw score from whole frames made and measured one by one."""
+    import zstandard
+
+    rows, labels = corpus(60)
+    docs = documents(spark, [*rows, (900, None, "s"), (901, "é" * 5000, "s")])
+    model = fit_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+
+    def size(block, dictionary):
+        own = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=own, write_content_size=False, write_dict_id=False).compress(block))
+
+    for r in score_quality(docs, model).collect():
+        data = (r.text or "").encode()
+        blocks = [data[i : i + 2048] for i in range(0, len(data), 2048)]
+        plain = sum(size(b, model.bad) - size(b, model.good) for b in blocks) / max(len(data), 1)
+        assert abs(r.raw_score - plain) < 1e-12

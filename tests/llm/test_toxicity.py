@@ -111,3 +111,59 @@ def test_without_labels_and_without_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in score_toxicity(docs, *fit_toxicity(docs, none)).collect()] == [0.5]
     assert drop_toxic(docs.limit(0), none).collect() == []
+
+
+def test_drop_toxic_leaves_rows_whole(spark):
+    """Columns named like the operator's own, or with dots; null and repeated ids, null, empty and long texts."""
+    rows, labels = corpus(200)
+    odd = [(None, "a plain text", "s"), (None, None, None), (5000, "", "s"), (3, rows[3][1], "s"), (5001, "word " * 30_000, "s")]
+    docs = documents(spark, rows + odd, "'mine' AS score", "1 AS _score", "2 AS `a.b`")
+    kept = drop_toxic(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert {r.score for r in got} == {"mine"} and {r["a.b"] for r in got} == {2}
+    assert sum(r.doc_id is None for r in got) == 2 and {5000, 5001} <= {r.doc_id for r in got}
+    assert drop_toxic(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
+
+
+def test_long_labelled_texts_teach(spark):
+    """Where all labelled texts are long, passages of them fit the model."""
+    draw = random.Random(6)
+    words = ["wa", "ter", "sto", "ne", "lea", "ves", "ri", "ver"]
+    rows = [(i, " ".join(draw.choice(words) + (draw.choice(BAD) if i % 2 and k % 9 == 0 else "") for k in range(17_000)), "s") for i in range(24)]
+    assert min(len(t) for _, t, _ in rows) > 60_000
+    docs = documents(spark, rows)
+    got = score_toxicity(docs, *fit_toxicity(docs, spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int"))).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got)
+
+
+def test_decoding_is_the_likeliest_of_all_readings(fitted):
+    """Viterbi against every reading of short tokens, one after the other."""
+    from itertools import product
+
+    from rowtide.llm import toxicity as t
+
+    restorer = Restorer(fitted[2][0])
+    model, number = restorer.model, restorer.number
+
+    def likeliest(token):
+        runs = [m[0] for m in t._RUNS.finditer(token)]
+        word = [i for i, run in enumerate(runs) if run[0].isalnum()] or [0, -1]
+        options = [
+            restorer._at_ends(run, i < word[0], restorer._options(run)) if i < word[0] or i > word[-1] else restorer._options(run)
+            for i, run in enumerate(runs)
+        ]
+        best = (-1e18, "")
+        for reading in product(*options):
+            text, total, a, b = "".join(x for x, _ in reading), sum(w for _, w in reading), 0, 0
+            for c in [*text, " "]:
+                s = 0 if c == " " else number.get(c, t.OTHER)
+                total, a, b = total + model[(a * t.SYMBOLS + b) * t.SYMBOLS + s], b, s
+            best = max(best, (total, text))
+        return best
+
+    def weight(token, text):
+        return max((x for x in [likeliest(token)] if x[1] == text), default=None)
+
+    for token in ["m0r0n", "1d10t", "5tup1d", "tr@sh", "sccum", "mooron!", "st*p", "(um", "$cum$$$", "tra5h3r", "a11"]:
+        assert weight(token, restorer.decode(token)) is not None, token
