@@ -4,8 +4,8 @@ Every document gets the key E / w, where E is exponential (from a hash of its id
 w its quality weight; the documents with the smallest keys of a source are its
 weighted sample, whatever its length. Running sums of sizes in the order of the keys
 are made in two steps: sums per slice of the keys first, then, only in the one slice
-of a source where the budget ends, over single documents. So a source with a third of
-all rows is never sorted in one task.
+of a source where the budget ends, over single documents. Slices lie between approximate quantiles of a source's keys,
+so they are even for any weights, and a source with a third of all rows is never sorted in one task.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from rowtide.llm.common import join_small, keep
 SLICE_ROWS = 1024
 MOST_SLICES = 1 << 16
 
+# Quantiles of a source's keys; slices between two of them are of equal width.
+CUTS = 64
+
 WORDS = r"regexp_count(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 # Symbols that carry no text: the more of them a document has for each word, the smaller its weight.
@@ -83,30 +86,45 @@ def mix(
     the target. Equal keys (repeated rows) are ordered by id and size. Sources
     without words have the target 0. The result depends on rows and seed only.
     """
-    marks = _marks("doc_id", quality, seed)
+    marks = _marks(quality, seed)
     names = ["_source", "size", "key"]
     thin = keep(docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "source", *(f"{m} AS {n}" for m, n in zip(marks, names))))
-    slices, plan = _plan(thin, weights, total_share, most)
-    each = join_small(thin.selectExpr("*", f"{_slice_of('key', slices)} AS _slice"), plan, ["_source"], "inner")
+    plan = _plan(thin, weights, total_share, most)
+    each = join_small(thin, plan, ["_source"], "inner").selectExpr("*", f"{_SLICE} AS _slice")
     return _chosen(each, ["key", "doc_id", "size"]).selectExpr(
         "doc_id", "size", "source_size", "target", "size * (epochs + IF(_chosen, 1, 0)) AS taken", "epochs + IF(_chosen, 1, 0) AS epochs", "key"
     )
 
 
-def _marks(drawn_by: str, quality: str | None, seed: int) -> tuple[str, str, str]:
+# What a document draws its number by: the id, or else its source and text, so that rows without an id differ.
+_DRAWN_BY = "coalesce(CAST(doc_id AS STRING), concat_ws(':', 'null', md5(coalesce(concat('s', source), 'n')), coalesce(md5(text), 'null')))"
+
+
+def _marks(quality: str | None, seed: int) -> tuple[str, str, str]:
     """SQL of a document's source, size and key."""
     weight = quality or f"(({WORDS} + 1D) / ({WORDS} + {SYMBOLS} + 1D))"
-    return "coalesce(concat('s', source), 'n')", f"CAST({WORDS} AS BIGINT)", f"-ln({uniform(drawn_by, seed)}) / ({weight})"
+    return "coalesce(concat('s', source), 'n')", f"CAST({WORDS} AS BIGINT)", f"-ln({uniform(_DRAWN_BY, seed)}) / ({weight})"
+
+
+# The slice of a key by its source's `_cuts` (ascending) and `_slices`: the cut it lies behind, and its share of the way to the next one.
+_SLICE = (
+    "transform(array(greatest(size(filter(_cuts, c -> c <= key)), 1)), i -> CAST((i - 1) * (_slices DIV " + str(CUTS) + ") + "
+    "least(greatest(coalesce((key - _cuts[i - 1]) / nullif(get(_cuts, i) - _cuts[i - 1], 0D), 0D), 0D), 1D) * (_slices DIV " + str(CUTS) + " - 1) AS INT))[0]"
+)
 
 
-def _slice_of(key: str, slices: int) -> str:
-    return f"CAST((1D - exp(-{key})) * {slices} AS INT)"
+def _cuts(thin: DataFrame) -> DataFrame:
+    """Least, quantile and greatest keys of each source, written: they only say how the work is divided."""
+    slices = max(CUTS, min(MOST_SLICES, thin.count() // SLICE_ROWS // CUTS * CUTS))
+    shares = ", ".join(f"{i / CUTS}D" for i in range(1, CUTS))
+    cuts = f"concat(array(min(key)), percentile_approx(key, array({shares}), 10000), array(max(key))) AS _cuts"
+    return keep(thin.groupBy("_source").agg(F.expr(cuts)).selectExpr("_source", "_cuts", f"{slices} AS _slices"))
 
 
-def _plan(thin: DataFrame, weights: Sequence[int], total_share: float, most: float) -> tuple[int, DataFrame]:
-    """The number of slices, and for each source its epochs and the slice in which its budget ends."""
-    slices = max(16, min(MOST_SLICES, thin.count() // SLICE_ROWS))
-    thin = thin.selectExpr("*", f"{_slice_of('key', slices)} AS _slice")
+def _plan(thin: DataFrame, weights: Sequence[int], total_share: float, most: float) -> DataFrame:
+    """For each source its cuts, its epochs and the slice in which its budget ends."""
+    cuts = _cuts(thin)
+    thin = join_small(thin, cuts, ["_source"], "inner").selectExpr("_source", "source", "size", f"{_SLICE} AS _slice")
     sizes = thin.groupBy("_source").agg(F.expr("any_value(source) AS source"), F.expr("sum(size) AS source_size"))
     shares = targets(sizes, weights, total_share, most).selectExpr(
         "*", "IF(source_size = 0, 0L, CAST(floor(target / source_size) AS BIGINT)) AS epochs"
@@ -121,13 +139,12 @@ def _plan(thin: DataFrame, weights: Sequence[int], total_share: float, most: flo
         .where("_before < _rest AND _rest <= _before + _size")
         .selectExpr("_source", "_slice AS _end", "_before")
     )
-    plan = keep(
-        shares.join(ends, "_source", "left").selectExpr(
+    return keep(
+        shares.join(ends, "_source", "left").join(cuts, "_source").selectExpr(
             # without an end: all slices when something is left to fill, none otherwise
-            "_source", "source_size", "target", "epochs", "_rest", f"coalesce(_end, IF(_rest > 0, {slices + 1}, -1)) AS _end", "_before"
+            "_source", "source_size", "target", "epochs", "_rest", "coalesce(_end, IF(_rest > 0, 2 * _slices, -1)) AS _end", "_before", "_cuts", "_slices"
         )
     )
-    return slices, plan
 
 
 def _chosen(each: DataFrame, order: list[str]) -> DataFrame:
@@ -152,15 +169,14 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of `docs`, each as often as a mix takes it.
 
-    The mix is that of `mix`, but every row is counted and taken by itself, whatever others share its id. Rows without
-    an id draw by source and text, so they don't fall into one slice; equal keys of an id are ordered by text.
+    The mix is that of `mix`, but every row is counted and taken by itself, whatever others share its id; equal keys of an id are
+    ordered by text. No rows give no rows.
     """
-    drawn_by = "coalesce(CAST(doc_id AS STRING), concat_ws(':', 'null', md5(coalesce(concat('s', source), 'n')), coalesce(md5(text), 'null')))"
-    marks = _marks(drawn_by, quality, seed)
+    marks = _marks(quality, seed)
     keyed = docs.selectExpr("struct(*) AS _row", *(f"{m} AS {n}" for m, n in zip(marks, ["_source", "size", "key"])))
     thin = keep(keyed.selectExpr("_row.source AS source", "_source", "size", "key"))
-    slices, plan = _plan(thin, weights, total_share, most)
-    each = join_small(keyed.selectExpr("*", f"{_slice_of('key', slices)} AS _slice", "md5(_row.text) AS _tie"), plan, ["_source"], "inner")
+    plan = _plan(thin, weights, total_share, most)
+    each = join_small(keyed, plan, ["_source"], "inner").selectExpr("*", f"{_SLICE} AS _slice", "md5(_row.text) AS _tie")
     return (
         _chosen(each, ["key", "_row.doc_id", "size", "_tie"])
         .selectExpr("_row", "epochs + IF(_chosen, 1, 0) AS _epochs")

@@ -14,7 +14,7 @@ WITH d AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS s,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
     len(regexp_extract_all(coalesce(text, ''), '[#$%&*|!<>=_~^]'))::BIGINT AS symbols,
-    (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
+    (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce('s' || source, 'n')) || ':' || coalesce(md5(text), 'null'))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u
   FROM documents),
 k AS (SELECT *, -ln(u) / ((size + 1)::DOUBLE / (size + symbols + 1)) AS key FROM d),
 t AS (SELECT s, source, sum(size)::BIGINT AS source_size FROM k GROUP BY ALL),
@@ -37,6 +37,18 @@ SELECT doc_id, size, source_size, target,
 FROM x
 """
 
+# Suffixes of two labels, by country.
+TWO_LABELS = [
+    f"{name}.{country}"
+    for country, names in {
+        "ar": "com", "au": "com edu gov net org", "bd": "com", "br": "com gov net org", "cn": "com edu gov net org", "co": "com", "eg": "com",
+        "hk": "com", "id": "co", "il": "co", "in": "co gov net org", "jp": "ac co go ne or", "ke": "co", "kr": "co or", "mx": "com", "my": "com",
+        "ng": "com", "nz": "ac co govt net org", "pe": "com", "ph": "com", "pk": "com", "pl": "com", "sa": "com", "sg": "com", "th": "co",
+        "tr": "com", "tw": "com", "ua": "com", "uk": "ac co gov ltd me nhs org plc sch", "ve": "com", "vn": "com", "za": "ac co",
+    }.items()
+    for name in names.split()
+]
+
 OP6 = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') = 0 THEN '' ELSE substr(url, instr(url, '://') + 3) END AS rest FROM pages),
@@ -50,9 +62,11 @@ r AS (SELECT *, CASE
   WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM h),
 b AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 0 WHEN rule IS NOT NULL THEN 1 END AS bad FROM r),
 hosts AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM b GROUP BY host),
-nm AS (SELECT host, n, k,
-  CASE WHEN len(string_split(host, '.')) < 2 THEN host ELSE string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] END AS domain,
-  string_split(host, '.')[-1] AS suffix FROM hosts),
+hb AS (SELECT *, rtrim(regexp_extract(host, '([^@]*?)(:[0-9]*)?[.]?$', 1), '') AS bare FROM hosts),
+hl AS (SELECT *, string_split(bare, '.') AS ls, regexp_full_match(bare, '[0-9]+([.][0-9]+){3}') OR starts_with(bare, '[') AS ip FROM hb),
+hs AS (SELECT *, CASE WHEN list_contains([""" + ", ".join(f"'{x}'" for x in TWO_LABELS) + r"""], array_to_string(ls[-2:], '.')) THEN 2 ELSE 1 END AS w FROM hl),
+nm AS (SELECT host, n, k, CASE WHEN ip THEN bare ELSE array_to_string(ls[-(w + 1):], '.') END AS domain,
+  CASE WHEN ip THEN bare ELSE array_to_string(ls[-w:], '.') END AS suffix FROM hs),
 dm AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM nm GROUP BY ALL),
 sf AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM dm GROUP BY ALL),
 lv AS (SELECT 'host' AS lv, n, k FROM nm UNION ALL SELECT 'domain', n, k FROM dm UNION ALL SELECT 'suffix', n, k FROM sf),
@@ -65,8 +79,8 @@ one AS (SELECT (coalesce(sum(k), 0) + 1)::DOUBLE / (coalesce(sum(n), 0) + 2) AS
   coalesce((SELECT strength FROM st WHERE lv = 'suffix'), 1) AS ss, coalesce((SELECT strength FROM st WHERE lv = 'domain'), 1) AS ds,
   coalesce((SELECT strength FROM st WHERE lv = 'host'), 1) AS hs FROM sf),
 ms AS (SELECT suffix, (k + ss * m) / (n + ss) AS sm FROM sf, one),
-md AS (SELECT domain, (k + ds * sm) / (n + ds) AS dmn FROM dm JOIN ms USING (suffix), one),
-ab AS (SELECT host, k + hs * dmn AS a, n - k + hs * (1 - dmn) AS b FROM nm JOIN md USING (domain), one),
+md AS (SELECT suffix, domain, (k + ds * sm) / (n + ds) AS dmn FROM dm JOIN ms USING (suffix), one),
+ab AS (SELECT host, k + hs * dmn AS a, n - k + hs * (1 - dmn) AS b FROM nm JOIN md USING (suffix, domain), one),
 lo AS (SELECT host, a / (a + b) - sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS lower_bound FROM ab)
 SELECT page_id, host, path, rule,
   CASE bad WHEN 1 THEN 'block' WHEN 0 THEN 'allow' ELSE CASE WHEN lower_bound >= 0.5 THEN 'block' ELSE 'allow' END END AS verdict

@@ -5,7 +5,9 @@ import re
 import duckdb
 import pytest
 from helpers import documents
+from pyspark.sql import functions as F
 
+from rowtide.llm import mixing
 from rowtide.llm.mixing import mix, mixed_documents
 from rowtide.llm.oracle import ORACLE
 
@@ -122,3 +124,16 @@ def test_rows_without_or_with_repeated_ids_are_taken_by_themselves(spark):
 def test_empty_table(spark):
     assert mix(documents(spark, [])).collect() == []
     assert mixed_documents(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("quality", [None, "0.001D", "1000D", "IF(coalesce(doc_id, 0) % 2 = 0, 0.001D, 1000D)"])
+def test_slices_are_even(spark, quality):
+    """Also for rows without an id, and for weights of any size."""
+    rows = spark.range(40_000).selectExpr("IF(id % 2 = 0, NULL, id) AS doc_id", "concat('word ', id) AS text", "'s' AS source")
+    names = ["_source", "size", "key"]
+    thin = rows.selectExpr("source", *(f"{m} AS {n}" for m, n in zip(mixing._marks(quality, 0), names)))
+    sliced = thin.join(mixing._cuts(thin), "_source").selectExpr(f"{mixing._SLICE} AS s", "key", "_slices")
+    counts = sliced.groupBy("s").agg(F.expr("count(*) AS n"), F.expr("min(key) AS low"), F.expr("max(key) AS high"), F.expr("any_value(_slices) AS k")).orderBy("s").collect()
+    assert sum(r.n for r in counts) == 40_000 and max(r.n for r in counts) < 1_500
+    assert len(counts) >= 0.9 * counts[0].k
+    assert all(a.high < b.low for a, b in zip(counts, counts[1:]))
