@@ -29,6 +29,9 @@ MOST_PIVOTS = 16384
 # A block of a cell has about so many vectors; two blocks meet in a task.
 BLOCK_VECTORS = 2048
 
+# Numbers in a matrix of vectors and pivots at a time.
+DEALT_CELLS = 1 << 21
+
 # Distances are rounded numbers: bounds are widened by this much.
 SLACK = 1e-6
 
@@ -53,6 +56,21 @@ def _pivots(vectors: DataFrame, cell_vectors: int) -> dict:
     return {key: _unit([e for _, e in sorted(held)]) for key, held in found.items()}
 
 
+def _cells_of(vectors: np.ndarray, held: np.ndarray, radius: float) -> Iterator[list[int]]:
+    """Home cell and cells that each vector is replicated to, from matrices of `DEALT_CELLS` numbers at most."""
+    step = max(1, DEALT_CELLS // len(held))
+    for start in range(0, len(vectors), step):
+        some = vectors[start : start + step]
+        square = 2 - 2 * some @ held.T
+        home = square.argmin(axis=1)
+        least = square[np.arange(len(some)), home][:, None]
+        apart = np.sqrt(np.maximum(2 - 2 * held[home] @ held.T, 0))
+        near = square - least <= 2 * (radius + SLACK) * apart + SLACK
+        near[np.arange(len(some)), home] = True
+        for h, row in zip(home, near):
+            yield [int(h), *(int(c) for c in np.flatnonzero(row) if c != h)]
+
+
 def _deal(pivots, radius: float):
     """For each vector its home cell, and the cells that it is replicated to."""
 
@@ -69,14 +87,8 @@ def _deal(pivots, radius: float):
                 for i in mine:
                     cells[i] = [0]
                 continue
-            square = 2 - 2 * _unit([rows[i] for i in mine]) @ held.T
-            home = square.argmin(axis=1)
-            apart = np.sqrt(np.maximum(2 - 2 * held @ held.T, 0))[home]
-            least = square[np.arange(len(mine)), home][:, None]
-            near = square - least <= 2 * (radius + SLACK) * apart + SLACK
-            near[np.arange(len(mine)), home] = True
-            for i, h, row in zip(mine, home, near):
-                cells[i] = [int(h), *(int(c) for c in np.flatnonzero(row) if c != h)]
+            for i, own in zip(mine, _cells_of(_unit([rows[i] for i in mine]), held, radius)):
+                cells[i] = own
         return pa.array(cells, pa.list_(pa.int32()))
 
     return F.arrow_udf(deal, "array<int>")

@@ -80,3 +80,19 @@ def test_huge_and_tiny_numbers(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert near_vectors(df).collect() == []
+
+
+def test_matrices_of_many_pivots_are_bounded(monkeypatch):
+    """4,000 pivots and 3,000 vectors: 96 MB for one whole matrix, far less in pieces, and the same cells."""
+    import tracemalloc
+
+    draw = np.random.default_rng(1)
+    unit = lambda n: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(draw.normal(size=(n, 16)))
+    vectors, held = unit(3000), unit(4000)
+    monkeypatch.setattr(metric_join, "DEALT_CELLS", 1 << 18)
+    tracemalloc.start()
+    sizes = [len(c) for c in metric_join._cells_of(vectors, held, 0.1)]
+    assert tracemalloc.get_traced_memory()[1] < 30e6
+    tracemalloc.stop()
+    monkeypatch.setattr(metric_join, "DEALT_CELLS", 1 << 24)
+    assert sizes == [len(c) for c in metric_join._cells_of(vectors, held, 0.1)]
