@@ -244,7 +244,7 @@ def _signatures(log: DataFrame) -> DataFrame:
     return per_row.groupBy("_events").agg(F.expr("count(*) AS _rows"))
 
 
-def _swept_counts(alike: DataFrame, windows: DataFrame) -> DataFrame:
+def swept_counts(alike: DataFrame, windows: DataFrame) -> DataFrame:
     """(window, mode, type, n) of many windows from signatures: a sweep over a summed-area table.
 
     An outcome holds for a rectangle of starts and ends. Its count is added at the rectangle's four corners,
@@ -294,7 +294,13 @@ def raw_window_counts(log: DataFrame, windows: DataFrame) -> DataFrame:
             .selectExpr("*", "_window.title AS window")
         )
     else:
-        hit = _prefix_counts(per_commit, windows)
+        return raw_window_counts_of(per_commit, windows)
+    return hit.groupBy("window", F.expr("'RAW' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
+
+
+def raw_window_counts_of(per_commit: DataFrame, windows: DataFrame) -> DataFrame:
+    """(window, mode, type, n) from counts per commit (`_change_ordinal`, `_change_type`, `n`)."""
+    hit = _prefix_counts(per_commit, windows)
     return hit.groupBy("window", F.expr("'RAW' AS mode"), CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
 
 
@@ -328,7 +334,7 @@ def net_window_counts(
         return parts.groupBy("window", "mode", CHANGE_TYPE).agg(F.expr("sum(n) AS n"))
     listed = _listed(windows)
     if not (listed and inlined(commits)):
-        return _swept_counts(_signatures(log), windows)
+        return swept_counts(_signatures(log), windows)
     names = sum_names(commits)
     alike = commit_sums(log, commits).groupBy(*names).agg(F.expr("count(*) AS _rows"))
     inside = [f"IF({o} BETWEEN _window.first AND _window.last, {n}, 0)" for n, (o, _) in zip(names, commits)]

@@ -75,6 +75,14 @@ sums AS (
   SELECT "window", 'NET', coalesce(sum(b) FILTER (b > 0), 0), coalesce(-sum(b) FILTER (b < 0), 0) FROM balances WHERE b <> 0 GROUP BY "window"
 )"""
 
+LONG_MATRIX = (
+    LONG_LOG
+    + LONG_WINDOWS
+    + """
+        SELECT "window", mode, CAST(i AS BIGINT) AS "INSERT", CAST(d AS BIGINT) AS "DELETE",
+               CAST(0 AS BIGINT) AS "UPDATE_BEFORE", CAST(0 AS BIGINT) AS "UPDATE_AFTER" FROM sums"""
+)
+
 # Many rows for each key of `lineitem`, so these go by whole rows; a key of `orders` is inserted, deleted, inserted.
 KEYED_LOG = """
 WITH given AS (
@@ -398,11 +406,8 @@ ORACLE: dict[str, str] = {
     + """
         UNION ALL SELECT o_orderkey + 1000000, 0, 'x', 'INSERT', 2, 3 FROM orders""",
     "long_history_net": LONG_LOG + _net_tail(LONG, 3, 22, "SELECT * FROM net"),
-    "long_history_matrix": LONG_LOG
-    + LONG_WINDOWS
-    + """
-        SELECT "window", mode, CAST(i AS BIGINT) AS "INSERT", CAST(d AS BIGINT) AS "DELETE",
-               CAST(0 AS BIGINT) AS "UPDATE_BEFORE", CAST(0 AS BIGINT) AS "UPDATE_AFTER" FROM sums""",
+    "long_history_matrix": LONG_MATRIX,
+    "long_history_matrix_kept": LONG_MATRIX,
     "long_history_changes": LONG_LOG
     + LONG_WINDOWS[: LONG_WINDOWS.index("),\ncounted") + 1]
     + WINDOWED.replace(ORDER, LONG)

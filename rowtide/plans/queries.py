@@ -15,6 +15,7 @@ from rowtide.operators.rows import diff_states
 from rowtide.plans import reports
 from rowtide.plans.samples import LINEITEM_COLUMNS, lineitem_history, long_history, merge_source, orders_history, table
 from rowtide.sources.history import create_changelog_view
+from rowtide.sources.signatures import kept_matrix, store_signatures
 
 BUCKETS = 512
 
@@ -162,6 +163,14 @@ def long_history_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.matrix(_all_windows(h))
 
 
+def long_history_matrix_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix from signatures that were stored before the last commit and brought up to date after it."""
+    h = long_history(spark, sf_dir)
+    store_signatures(h, through=h.latest() - 1)
+    store_signatures(h)
+    return kept_matrix(h, _all_windows(h))
+
+
 def long_history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = long_history(spark, sf_dir)
     changes = h.window_changes(_all_windows(h))
@@ -370,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         net_by_key_with_duplicates,
         long_history_net,
         long_history_matrix,
+        long_history_matrix_kept,
         long_history_changes,
         long_history_entry_counts,
         months_instants,
