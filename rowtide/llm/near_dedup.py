@@ -2,12 +2,14 @@
 
 One hash of every shingle gives the bin and the value, so a text is hashed once for all
 bins; an empty bin borrows from the first filled bin of its own random order. Bands of
-bins are bucket keys. Of a bucket only hubs are compared with the other
-members: a star. Links are confirmed on the full sets of shingles. As only the components
-of the links matter, members that are already connected aren't compared again; while a
-bucket holds several components, its next hubs, more in each
-round, meet the members of other components. So no link between two components of a
-bucket is missed, and pairs are few where texts are alike.
+bins are bucket keys; buckets that repeat the members of another one are left out. Each bucket is first a star: its smallest
+member, the hub, meets the others. Links are confirmed on the full sets of shingles. As only the components
+of the links matter, a bucket whose members are connected then is done.
+
+The others hold unlike documents as a rule. A bucket of a bounded size is solved by one task: members that an outline of the sets
+doesn't rule out as partners of another component come with their sets, and their pairs are confirmed until those that
+remain are connected; the links that did it are the result. Larger buckets go on in rounds of more
+hubs, which meet the members of other components.
 """
 
 from __future__ import annotations
@@ -22,12 +24,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rowtide.llm.common import join_small, keep
 from rowtide.llm.components import components
+from rowtide.model import quoted
 from rowtide.operators.rows import splittable_join
 
-# Two sets with a similarity of 0.8 share a band with probability 1 - (1 - 0.8 ** 5) ** 50, short of 1 by 2e-9.
-BANDS, BAND_BINS = 50, 5
+# Two sets with a similarity of 0.8 share a band with probability 1 - (1 - 0.8 ** 6) ** 40, short of 1 by 6e-6; two with 0.6, by 0.15.
+BANDS, BAND_BINS = 40, 6
 BINS = BANDS * BAND_BINS
 
+# A bucket of so many members, with so many shingles in all, is solved by one task.
+GROUP_MEMBERS, GROUP_SHINGLES = 4096, 1 << 21
+
+# Keys of shared buckets, of eight bytes, that are broadcast at most.
+BROADCAST_BUCKETS = 2_000_000
+
 # Bits of the outline of a set: what differs in the outlines differs in the sets.
 OUTLINE_WORDS = 16
 
@@ -139,25 +148,115 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links that connect all that is connected within buckets.
+def _possible(c: np.ndarray, n: np.ndarray, bits: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of different components `c` that sizes and outlines (`bits`, as floats) don't rule out."""
+    sizes = bits.sum(axis=1)
+    names, at = np.unique(c, return_inverse=True)
+    minor = np.flatnonzero(at != np.bincount(at).argmax())  # of two components, one isn't the largest
+    for start in range(0, len(minor), 256):
+        some = minor[start : start + 256]
+        differ = sizes[some][:, None] + sizes - 2 * (bits[some] @ bits.T)
+        may = (at[some][:, None] != at) & ((100 + percent) * differ <= (100 - percent) * (n[some][:, None] + n))
+        may &= 100 * np.minimum(n[some][:, None], n) >= percent * np.maximum(n[some][:, None], n)
+        x, y = np.nonzero(may)
+        yield some[x], y
+
+
+def _candidates(percent: int):
+    def candidates(table: pa.Table) -> pa.Table:
+        """The members of a bucket that may be linked with one of another component, by `n` and `outline`."""
+        table = table.combine_chunks()
+        c, n = (table.column(x).to_numpy() for x in ("c", "n"))
+        words = np.stack([x.values.to_numpy() for x in table.column("outline")])
+        bits = np.unpackbits(words.view(np.uint8), axis=1).astype(np.float32)
+        found = [np.concatenate(pair) for pair in _possible(c, n, bits, percent)]
+        return table.select(["bucket", "id", "c"]).take(pa.array(np.unique(np.concatenate(found or [np.zeros(0, dtype=np.int64)])), pa.int64()))
+
+    return candidates
+
+
+def _pairs_within(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links that connect all that is connected in one bucket (`id`, `c`: component so far, `shingles`)."""
+    ids, c = (table.column(x).to_numpy() for x in ("id", "c"))
+    sets = [x.values.to_numpy() for x in table.column("shingles")]
+    n = np.array([len(x) for x in sets])
+    bits = np.zeros((len(sets), 64 * OUTLINE_WORDS), dtype=np.float32)
+    for k, x in enumerate(sets):
+        bits[k, x & (64 * OUTLINE_WORDS - 1)] = 1
+    names, at = np.unique(c, return_inverse=True)
+    top = np.arange(len(names))
+
+    def root(k: int) -> int:
+        while top[k] != k:
+            k = top[k]
+        return k
+
+    links = []
+    for pairs in _possible(c, n, bits, percent):
+        for x, y in zip(*pairs):
+            a, b = root(at[x]), root(at[y])
+            if a != b:
+                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * shared >= percent * (n[x] + n[y] - shared):
+                    top[max(a, b)] = min(a, b)
+                    links.append((int(ids[x]), int(ids[y])))
+    return links
+
+
+def _within(percent: int):
+    def within(table: pa.Table) -> pa.Table:
+        links = _pairs_within(table.combine_chunks(), percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return within
+
+
+def _star(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links of the hubs: a pair is asked for once, however many buckets it shares."""
+    pairs = keep(members.where("id <> hub").selectExpr("hub AS a", "id AS b").distinct())
+    facts = "struct(n, outline)"
+    x = join_small(pairs, sizes.selectExpr("id AS a", f"{facts} AS x"), ["a"], "inner")
+    y = join_small(x, sizes.selectExpr("id AS b", f"{facts} AS y"), ["b"], "inner")
+    return _confirmed(keep(y.where(_may_link(percent)).select("a", "b")), sets, percent).where("linked").select("a", "b")
+
+
+def _all_links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (`a`, `b`) that connect all that is connected within buckets; `members` are `bucket`, `id`, `hub`, `size`, `weight`."""
+    links = keep(_star(members, sizes, sets, percent))
+    groups = keep(components(links))
+    joined = join_small(members, groups, ["id"], "left").selectExpr("bucket", "id", "size", "weight", "coalesce(component, id) AS c")
+    several = keep(joined.groupBy("bucket").agg(F.expr("min(c) <> max(c) AS open")).where("open").select("bucket"))
+    live = keep(join_small(joined, several, ["bucket"], "left_semi"))
+    small = f"size <= {GROUP_MEMBERS} AND weight <= {GROUP_SHINGLES}"
+    thin = join_small(live.where(small).select("bucket", "id", "c"), sizes, ["id"], "inner")
+    asked = keep(thin.groupBy("bucket").applyInArrow(_candidates(percent), "bucket long, id long, c long"))
+    held = splittable_join(asked, join_small(sets, keep(asked.select("id").distinct()), ["id"], "left_semi"), ["id"], "inner")
+    within = keep(held.groupBy("bucket").applyInArrow(_within(percent), "a long, b long"))
+    links = links.unionAll(within)
+    large = keep(live.where(f"NOT ({small})").select("bucket", "id"))
+    if large.isEmpty():
+        return links
+    ids = keep(large.select("id").distinct())
+    return _links(large, keep(join_small(sizes, ids, ["id"], "left_semi")), sets, percent, links)
+
+
+def _links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, known: DataFrame) -> DataFrame:
+    """`known` links and those that connect all that is connected within large buckets.
 
     `members` are `bucket`, `id`; `sizes` give `id`, `n`, `outline`; `sets` the full sets of these ids.
     One less the similarity is a metric: with the distances of two sets to the same pivot, their first hub,
     the triangle inequality rules pairs out, so those around a hub don't all meet.
     """
-    links, tested, groups = None, None, None
+    tested, groups = None, keep(components(known))
+    links = groups.selectExpr("id AS a", "component AS b")
     pivots = sizes.selectExpr("id", "id AS p", "0D AS d")
     hubs_each = 1
     while True:
-        facts = splittable_join(sizes, pivots, ["id"], "inner")
-        if groups is not None:
-            facts = join_small(facts, groups, ["id"], "left")
-        facts = keep(facts.selectExpr("id", "n", "outline", "p", "d", "id AS c" if groups is None else "coalesce(component, id) AS c"))
+        facts = join_small(splittable_join(sizes, pivots, ["id"], "inner"), groups, ["id"], "left")
+        facts = keep(facts.selectExpr("id", "n", "outline", "p", "d", "coalesce(component, id) AS c"))
         live = join_small(members, facts.select("id", "c"), ["id"], "inner")
-        if groups is not None:
-            several = live.groupBy("bucket").agg(F.expr("min(c) AS low"), F.expr("max(c) AS high")).where("low <> high")
-            live = keep(join_small(live, keep(several.select("bucket")), ["bucket"], "left_semi"))
+        several = live.groupBy("bucket").agg(F.expr("min(c) AS low"), F.expr("max(c) AS high")).where("low <> high")
+        live = keep(join_small(live, keep(several.select("bucket")), ["bucket"], "left_semi"))
         if live.isEmpty():
             return links
         by_id = Window.partitionBy("bucket").orderBy("id")
@@ -181,9 +280,7 @@ def _links(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int)
             pivots = keep(pivots.join(near.select("id"), "id", "left_anti").unionByName(near))
         missed = met.where("NOT linked").select("a", "b")
         tested = missed if tested is None else tested.unionAll(missed)
-        new = met.where("linked").select("a", "b")
-        links = new if links is None else links.unionAll(new)
-        groups = keep(components(links))
+        groups = keep(components(links.unionAll(met.where("linked").select("a", "b"))))
         links = groups.selectExpr("id AS a", "component AS b")
         # The hubs have met all they could link with: they leave their buckets.
         last = keep(hubs.groupBy("bucket").agg(F.expr("max(id) AS _last")))
@@ -198,7 +295,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     `percent` is at least 80, which the bands are made for. Equal sets are one node, so copies
     cost nothing. Null and empty texts have no shingles, link with nothing and are kept. Rows
     without an id link with nothing but each other's copies and are kept with a null component, if
-    no row with an id has their set. Rows that share an id are one node with several texts.
+    no row with an id has their set. Rows that share an id are one node with several texts. Ties go to the smallest id; other
+    columns are ignored; no rows give no rows. Sets are compared by 64-bit hashes of their shingles.
     """
     if percent < 80:
         raise ValueError("the bands are made for a similarity of at least 0.8")
@@ -213,24 +311,33 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         .agg(F.expr("min(doc_id) AS id"), *[F.expr(f"any_value({c}) AS {c}") for c in ("n", "bands", "outline")])
     )
     banded = sets.where("id IS NOT NULL").selectExpr("explode(bands) AS bucket", "id")
-    shared = banded.groupBy("bucket").agg(F.expr("count(*) AS _n")).where("_n > 1").select("bucket")
-    members = keep(splittable_join(banded, shared, ["bucket"], "left_semi").select("bucket", "id"))
+    counts = banded.groupBy("bucket").agg(F.expr("count(*) AS _n")).where("_n > 1").select("bucket")
+    held = keep(join_small(banded, keep(counts), ["bucket"], "left_semi", BROADCAST_BUCKETS))
+    prints = [f"bit_xor(xxhash64(id, {k})) AS print{k}" for k in (0, 1)]
+    buckets = join_small(held, sets.select("id", "n"), ["id"], "inner").groupBy("bucket").agg(
+        F.expr("count(*) AS size"), F.expr("min(id) AS hub"), F.expr("sum(n) AS weight"), *map(F.expr, prints)
+    )
+    # Of buckets with the same members (by their number and 128 bits of hashes), one is enough.
+    once = buckets.groupBy("size", "hub", "weight", "print0", "print1").agg(F.expr("min(bucket) AS bucket"))
+    shared = keep(once.select("bucket", "size", "hub", "weight"))
+    members = keep(splittable_join(held, shared, ["bucket"], "inner"))
     asked = keep(members.select("id").distinct())
     texts = join_small(docs.selectExpr("CAST(doc_id AS BIGINT) AS id", "text"), asked, ["id"], "left_semi")
-    full = keep(texts.select("id", _sets(words)("text").alias("shingles")))
+    ids = rows.where("n > 0 AND doc_id IS NOT NULL")
+    repeated = not ids.groupBy("doc_id").agg(F.expr("count(*) AS _n")).where("_n > 1").isEmpty()
+    full = texts.select("id", _sets(words)("text").alias("shingles"))
+    if repeated:  # each text of an id once, however often it's there
+        full = full.groupBy("id", F.expr("xxhash64(shingles) AS _set")).agg(F.expr("any_value(shingles) AS shingles")).drop("_set")
+    full = keep(full)
     sizes = keep(join_small(sets.select("id", "n", "outline"), asked, ["id"], "left_semi"))
-    links = _links(members, sizes, full, percent)
-    several = keep(
-        rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.expr("min(set_key) AS low"), F.expr("max(set_key) AS high"))
-        .where("low <> high").select("doc_id")
-    )
-    if not several.isEmpty():
-        of_one = join_small(rows.where("n > 0").select("doc_id", "set_key"), several, ["doc_id"], "left_semi")
+    links = _all_links(members, sizes, full, percent)
+    if repeated:
+        several = keep(ids.groupBy("doc_id").agg(F.expr("min(set_key) <> max(set_key) AS _more")).where("_more").select("doc_id"))
+        of_one = join_small(ids.select("doc_id", "set_key"), several, ["doc_id"], "left_semi").distinct()
         same = join_small(of_one, sets.select("set_key", "id"), ["set_key"], "inner").selectExpr("doc_id AS a", "id AS b")
-        links = same if links is None else links.unionAll(same)
+        links = links.unionAll(same)
     nodes = sets.select("set_key", "id")
-    if links is not None:
-        nodes = join_small(nodes, keep(components(links)), ["id"], "left").selectExpr("set_key", "coalesce(component, id) AS id")
+    nodes = join_small(nodes, keep(components(links)), ["id"], "left").selectExpr("set_key", "coalesce(component, id) AS id")
     linked = splittable_join(rows.select("doc_id", "n", "set_key"), keep(nodes), ["set_key"], "left")
     component = "IF(n = 0, doc_id, id)"
     return linked.selectExpr(
@@ -239,6 +346,6 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` of which one of each group stays, whole."""
+    """The rows of `docs` of which one of each group stays, whole, with columns of any name. No rows give no rows."""
     gone = keep(near_groups(docs, words, percent).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())
-    return join_small(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    return join_small(docs, gone, ["doc_id"], "left_anti").select(*quoted(docs.columns))

@@ -5,6 +5,7 @@ import random
 import pytest
 from helpers import documents, find_groups
 
+import rowtide.llm.near_dedup as module
 from rowtide.llm.components import components
 from rowtide.llm.near_dedup import drop_near, near_groups, shingle_hashes
 
@@ -53,6 +54,24 @@ def test_against_all_pairs(spark, words):
     assert got == {i: (len(s), top[i], top[i] == i) for i, s in sets}
 
 
+def test_large_buckets_go_by_rounds(spark, monkeypatch):
+    monkeypatch.setattr(module, "GROUP_MEMBERS", 4)
+    rows = table(5)
+    sets, top = expected(rows, 2)
+    got = {r.doc_id: r.component_id for r in near_groups(documents(spark, rows), 2).collect()}
+    assert got == {i: top[i] for i, _ in sets}
+
+
+def test_hot_id_and_hot_text(spark):
+    """A third of the rows bear one id, with one text or one of two; a third are copies with ids of their own."""
+    base = [f"w{k}" for k in range(40)]
+    rows = [(5, " ".join(base), "s")] * 150 + [(5, "another text", "s")] * 50 + [(100 + k, " ".join(base + ["x"]), "s") for k in range(200)]
+    rows += [(1000 + k, f"single {k} " + "y " * k, "s") for k in range(200)] + [(4, "another  text", "s")]
+    got = near_groups(documents(spark, rows), 2).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got if r.doc_id < 400} == {(4, 4), (5, 4)} | {(100 + k, 4) for k in range(200)}
+
+
 def test_edges(spark):
     base = " ".join(f"w{i}" for i in range(50))
     rows = [
