@@ -174,8 +174,9 @@ FROM walk JOIN roots USING (tree), top, steps WHERE walk.h = walk.height + steps
 OP13 = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 n AS (SELECT doc_id, x, len(x) // 2 AS n FROM d),
-s AS (SELECT doc_id, unnest(range(n - 99)) AS i, x FROM n WHERE n >= 100),
-w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS w FROM s),
+p AS (SELECT doc_id, n, x, unnest(range(n // 100)) AS c FROM n WHERE n >= 100),
+s AS (SELECT doc_id, c, substr(x, 200 * c + 1, 400) AS y, unnest(range(least(100, n - 99 - 100 * c))) AS j FROM p),
+w AS MATERIALIZED (SELECT doc_id, 100 * c + j AS i, md5_number(substr(y, 2 * j + 1, 200)) AS w FROM s),
 f AS (SELECT w, min(struct_pack(doc_id := doc_id, i := i)) AS f FROM w GROUP BY w HAVING count(*) > 1),
 r AS (SELECT doc_id, i FROM w JOIN f USING (w) WHERE f <> struct_pack(doc_id := doc_id, i := i)),
 g AS (SELECT *, coalesce(i > lag(i) OVER o + 100, TRUE) AS new FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
