@@ -54,22 +54,24 @@ def skippable(magic: int, data: bytes) -> bytes:
 
 
 def train_dictionary(pages: DataFrame) -> bytes:
-    """From a bounded sample of payloads (`DICTIONARY_PAGES`, by hash of the id); empty when they are too few."""
-    rows = (
-        pages.where("_payload IS NOT NULL AND length(_payload) BETWEEN 1 AND 1000000")
-        .select("_payload", F.expr("xxhash64(page_id, length(_payload)) AS _h"))
-        .orderBy("_h")
-        .limit(DICTIONARY_PAGES)
-        .select(F.expr(f"substring(_payload, 1, {DICTIONARY_SAMPLE_BYTES // DICTIONARY_PAGES}) AS p"))
-        .collect()
-    )
+    """From a bounded sample: of `DICTIONARY_PAGES` payloads, chosen by hash of the id, the first 20,971 bytes each.
+
+    Only hashes are sorted, and payloads are cut before they move. Where the sample is too small to be trained on, or has nothing in
+    common, its own end is the dictionary, as raw content. Without any payload it is empty.
+    """
+    hashed = pages.where("length(_payload) BETWEEN 1 AND 1000000").selectExpr("xxhash64(page_id, length(_payload)) AS _h", "_payload")
+    chosen = keep(hashed.select("_h").distinct().orderBy("_h").limit(DICTIONARY_PAGES))
+    cut = f"substring(_payload, 1, {DICTIONARY_SAMPLE_BYTES // DICTIONARY_PAGES})"
+    rows = hashed.join(F.broadcast(chosen), "_h").groupBy("_h").agg(F.expr(f"min({cut}) AS p")).orderBy("_h").collect()
     samples = [bytes(r.p) for r in rows]
-    if len(samples) < 16 or sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
-        return b""
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # samples that have nothing in common
-        return b""
+        if len(samples) >= 16 and sum(map(len, samples)) >= 8 * DICTIONARY_BYTES:
+            return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    except zstandard.ZstdError:  # nothing in common
+        pass
+    own = b"".join(samples)[-DICTIONARY_BYTES:]
+    # Content that begins like a trained dictionary would be read as one.
+    return own if not own else own.ljust(8, b" ") if own[:4] != struct.pack("<I", 0xEC30A437) else b" " + own
 
 
 def _clean(value: str) -> str:

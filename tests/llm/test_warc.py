@@ -103,3 +103,14 @@ def test_broken_records():
     assert parse_record(revisit, 0)[5] == "<urn:page:1>" and parse_record(revisit, 0)[7] == 9
     with pytest.raises(Corrupt):
         parse_record(revisit.replace(b"WARC-Refers-To", b"X-Refers"), 0)
+
+
+def test_dictionary_of_few_pages(spark):
+    """Too few to be trained on: the sample itself is the dictionary, and archives are read with it."""
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>page {i} of a few</p>" * 3) for i in range(5)], "page_id long, url string, html string")
+    payloads = pages.selectExpr("page_id", "encode(html, 'UTF-8') AS _payload")
+    held = warc.train_dictionary(payloads)
+    assert b"of a few" in held and warc.train_dictionary(payloads.limit(0)) == b""
+    assert len(warc.train_dictionary(payloads.unionAll(payloads))) == len(held)
+    got = page_columns(round_trip(pages)).collect()
+    assert sorted(r.page_id for r in got) == list(range(5))
