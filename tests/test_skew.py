@@ -81,6 +81,15 @@ def test_merge_into_a_table_with_a_hot_key(spark, small_limits, tmp_path, monkey
     assert bag(changes.groupBy("_change_type").count()) == {("DELETE", 60_000): 1, ("INSERT", 60_000 + 61_000 - 40_001): 1}
 
 
+def test_merge_moves_each_row_of_its_source_once(spark, small_limits, monkeypatch):
+    monkeypatch.setattr(dml, "BROADCAST_HASHES", 1)
+    state = spark.range(0, 20_000).selectExpr("id AS k", "'old' AS v")
+    source = spark.range(10_000, 30_000).selectExpr("id AS k", "IF(id % 2 = 0, 'old', 'new') AS v")
+    changes = merge_rows(state, source, ["k"])
+    assert "explode" not in final_plan(changes)
+    assert bag(changes.groupBy("_change_type").count()) == {("DELETE", 5_000): 1, ("INSERT", 15_000): 1}
+
+
 def test_merge_of_a_source_with_a_hot_new_key(spark, small_limits, tmp_path, monkeypatch):
     monkeypatch.setattr(dml, "BROADCAST_HASHES", 1)
     hot(spark).write.parquet(str(tmp_path / "s"))
