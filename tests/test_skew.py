@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide import label_updates, merge_rows, net_changes, net_changes_by_key
-from rowtide.operators import dml
+from rowtide import History, label_updates, merge_rows, net_changes, net_changes_by_key
+from rowtide.operators import dml, rows as row_operators
+from rowtide.sources import history
 from scripts import bag
 
 SETTINGS = {
@@ -124,3 +125,18 @@ def test_net_by_key_reads_the_log_once(spark, small_limits, tmp_path):
         assert scans_of(final_plan(net), tmp_path) == 1
         by_row = net_changes(log.where("k IS NULL OR k = 0")).unionAll(log.where("k <> 0"))
         assert bag(net) == bag(by_row.select(*net.columns))
+
+
+def test_a_hot_partition_of_equal_rows_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """They are a few bytes in a shuffle, but a task sorts no more than its share of them."""
+    monkeypatch.setattr(history, "ROWS_PER_TASK", 10_000, raising=False)
+    monkeypatch.setattr(row_operators, "COPIES_PER_TASK", 10_000)
+    h = History.create(spark, str(tmp_path / "h"), "p STRING, k BIGINT", keys=["p", "k"], partition_by=["p"])
+    rows = spark.range(0, 80_000, 1, 8).selectExpr("IF(id % 8 = 0, 'b', 'a') AS p", "CAST(NULL AS BIGINT) AS k")
+    h.insert(rows)
+    h.overwrite(rows.where("p = 'a'").unionAll(rows))
+    h.materialize()
+    for stored in (h.log(end=1), h.log(start=1), h.spark.read.parquet(h._state_path(2))):
+        held = [r["count"] for r in stored.where("p = 'a'").groupBy("_metadata.file_path").count().collect()]
+        assert sum(held) in (70_000, 140_000) and max(held) < 0.5 * sum(held)
+    assert bag(h.current().groupBy("p", "k").count()) == {("a", None, 140_000): 1, ("b", None, 10_000): 1}
