@@ -12,6 +12,7 @@ ranked within their length, in slices, and look up their places.
 from __future__ import annotations
 
 import base64
+import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
@@ -34,6 +35,7 @@ SLICE_ROWS = 4096
 MOST_SLICES = 1 << 16
 
 PIECES = "array<struct<piece: int, start: long, length: int, ids: binary>>"
+CHECKED_PIECES = "array<struct<piece: int, start: long, length: int, ids_crc32: long>>"
 
 
 # -- tokens -----------------------------------------------------------------------------------------------
@@ -76,39 +78,47 @@ def _encoder(ranks: str, pattern: str, tokenizer: str, special: str):
     return encode
 
 
-def tokenise(docs: DataFrame, codec: Codec, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def tokenise(docs: DataFrame, codec: Codec, capacity: int = 1024, end_id: int = 2, with_ids: bool = True) -> DataFrame:
     """One row per piece: the columns of `docs` but `text`, and `piece`, `start`, `length`, `ids`.
 
     A document's ids are those of its text (null: none) and `end_id`. Only those with more than `capacity` are
     cut: all pieces have `capacity` ids but the first, which may be shorter. `ids` are
-    little-endian unsigned 32-bit numbers. Columns with these names are replaced.
+    little-endian unsigned 32-bit numbers; without `with_ids`, `ids_crc32` takes their place and no ids are held
+    beyond a text's own. Columns with these names are replaced.
     """
     key = codec.key
+    content = "ids" if with_ids else "ids_crc32"
 
     def cut(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _encoder(*key)
         for batch in texts:
-            ids, piece, start, length, ends = [], [], [], [], [0]
+            ids, checks, piece, start, length, ends = [], [], [], [], [], [0]
             for text in batch:
                 one = np.array(encode(text.as_py() or "") + [end_id], dtype="<u4")
                 first = len(one) % capacity or capacity
                 starts = [0, *range(first, len(one), capacity)]
-                ids.append(one)
+                if with_ids:
+                    ids.append(one)
+                else:
+                    checks += [zlib.crc32(one[a:b]) for a, b in zip(starts, [*starts[1:], len(one)])]
                 piece += range(len(starts))
                 start += starts
                 length += [first] + [capacity] * (len(starts) - 1)
                 ends.append(len(piece))
-            flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
-            places = np.concatenate([[0], np.cumsum(length)]).astype(np.int64) * 4
-            if places[-1] >= 1 << 31:
-                raise ValueError("the ids of one Arrow batch exceed 2 GB: lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            binary = pa.Array.from_buffers(pa.binary(), len(piece), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(flat)])
-            columns = [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()), binary]
-            pieces = pa.StructArray.from_arrays(columns, ["piece", "start", "length", "ids"])
+            if with_ids:
+                flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
+                places = np.concatenate([[0], np.cumsum(length)]).astype(np.int64) * 4
+                if places[-1] >= 1 << 31:
+                    raise ValueError("the ids of one Arrow batch exceed 2 GB: lower spark.sql.execution.arrow.maxRecordsPerBatch")
+                own = pa.Array.from_buffers(pa.binary(), len(piece), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(flat)])
+            else:
+                own = pa.array(checks, pa.int64())
+            columns = [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()), own]
+            pieces = pa.StructArray.from_arrays(columns, ["piece", "start", "length", content])
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces)
 
-    pieces = F.arrow_udf(cut, PIECES)
-    own = without(docs, "piece", "start", "length", "ids", "_piece")
+    pieces = F.arrow_udf(cut, PIECES if with_ids else CHECKED_PIECES)
+    own = without(docs, "piece", "start", "length", content, "_piece")
     return own.withColumn("_piece", F.explode(pieces("text"))).select(
         *[F.col(f"`{c}`") for c in own.columns if c != "text"], "_piece.*"
     )
@@ -350,6 +360,7 @@ def pack(docs: DataFrame, codec: Codec, capacity: int = 1024, end_id: int = 2, w
     `sequence_id`, `offset`. Null texts count as empty and are a piece of one id; null and repeated doc_ids are
     packed like any other. Without `with_ids` the ids are left out, and nothing but numbers is moved.
     """
-    pieces = tokenise(docs.select("doc_id", "text"), codec, capacity, end_id)
-    kept = ["doc_id", "piece", "start", "CAST(length AS BIGINT) AS length", "crc32(ids) AS ids_crc32", *["ids"] * with_ids]
+    pieces = tokenise(docs.select("doc_id", "text"), codec, capacity, end_id, with_ids)
+    content = ["crc32(ids) AS ids_crc32", "ids"] if with_ids else ["ids_crc32"]
+    kept = ["doc_id", "piece", "start", "CAST(length AS BIGINT) AS length", *content]
     return place(keep(pieces.selectExpr(*kept)), capacity)

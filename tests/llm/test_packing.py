@@ -49,6 +49,15 @@ def test_pieces_and_layout(spark):
     assert pack(documents(spark, []), public_codec()).collect() == []
 
 
+def test_without_ids_none_leave_the_tasks(spark):
+    """The checksums are those of the ids, and only numbers come back from Python."""
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(TEXTS)])
+    with_ids = {(r.doc_id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in packing.tokenise(docs, public_codec()).collect()}
+    numbers = packing.tokenise(docs, public_codec(), with_ids=False)
+    assert {kind for _, kind in numbers.select("piece", "start", "length", "ids_crc32").dtypes} == {"int", "bigint"} and "ids" not in numbers.columns
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in numbers.collect()} == with_ids
+
+
 def test_few_sequences(spark, monkeypatch):
     monkeypatch.setattr(packing, "SLICE_ROWS", 50)  # several slices of each length
     draw = random.Random(3)
