@@ -9,6 +9,7 @@ import pytest
 from rowtide import History, all_windows, create_changelog_view, label_updates, net_changes, window_matrix
 from rowtide.operators import dml, rows as row_ops
 from rowtide.plans import reports
+from rowtide.plans.samples import build_long_history
 from scripts import bag, new_history, rows, seven_commits
 
 SCHEMA = "k BIGINT, p STRING, v INT"
@@ -425,3 +426,41 @@ def test_hot_row_of_a_bucketed_history_is_one_record(spark, tmp_path):
     h.insert(put(spark, (7, "x", 1), (8, "y", 2)))
     assert spark.table(h._table()).count() == 3
     assert bag(h.current().groupBy("k").count()) == {(7, 30_001): 1, (8, 1): 1}
+
+
+def test_partition_values_that_share_files(spark, tmp_path):
+    values = "IF(id % 40 = 0, NULL, concat('v', id % 40)) AS p"
+    many = spark.range(400).selectExpr("nullif(id % 60, 0) AS k", values, "CAST(id % 2 AS INT) AS v")
+
+    def written(name, **options):
+        h = History.create(spark, str(tmp_path / name), SCHEMA, ["k", "p"], ["p"], **options)
+        h.insert(many)
+        h.update({"v": "v + 1"}, "k < 10")
+        h.delete("k % 5 = 0")
+        h.merge(many.where("k < 30").selectExpr("k", "p", "v + 5 AS v").distinct())
+        h.overwrite(many.where("p IS NULL OR p = 'v7'"), mode="dynamic")
+        return h
+
+    apart, shared, bucketed = written("h"), written("s", directories=False), written("b", directories=False, buckets=3)
+    for h in (shared, bucketed, History.open(spark, shared.path), History.open(spark, bucketed.path)):
+        assert not h.directories and [(c.added, c.deleted) for c in h.commits] == [(c.added, c.deleted) for c in apart.commits]
+        assert bag(h.current()) == bag(apart.current()) and bag(h.state_at(2)) == bag(apart.state_at(2))
+        assert bag(h.changelog(1, 5, net=True)) == bag(apart.changelog(1, 5, net=True))
+        assert bag(reports.partition_entries(h)) == bag(reports.partition_entries(apart))
+    shared.materialize()
+    assert bag(shared.current()) == bag(apart.current())
+    files = [len(list(c.rglob("*.parquet"))) for c in (tmp_path / "s" / "changes").iterdir()]
+    assert max(files) <= 16  # a file for each task and change type at most, not one for each value
+    # Values that cannot be directories can share files.
+    odd = [(1, "", 1), (2, "__HIVE_DEFAULT_PARTITION__", 1), (3, "w" * 300, 1), (4, None, 1), (5, "1.0", 1)]
+    h = History.create(spark, str(tmp_path / "odd"), SCHEMA, ["k"], ["p"], directories=False)
+    h.insert(put(spark, *odd))
+    assert bag(h.current()) == {row: 1 for row in odd}
+
+
+def test_files_of_the_long_history_do_not_grow_with_nations(spark, tmp_path):
+    customers = spark.range(2400).selectExpr("id AS c_custkey", "CAST(id % 300 AS INT) AS c_nationkey", "'A' AS c_mktsegment")
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    h = build_long_history(spark, str(tmp_path), str(tmp_path / "h"))
+    assert h.rows_changed() == 2400 * 2 + 1700 and h.partition_counts().select("c_nationkey").distinct().count() == 300
+    assert max(len(list(c.rglob("*.parquet"))) for c in (tmp_path / "h" / "changes").iterdir()) <= 16
