@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide import History, label_updates, merge_rows, net_changes, net_changes_by_key
 from rowtide.operators import dml, rows as row_operators
+from rowtide.operators.windows import fixed_windows, net_windows
 from rowtide.sources import history
 from scripts import bag
 
@@ -140,3 +141,16 @@ def test_a_hot_partition_of_equal_rows_is_written_by_many_tasks(spark, tmp_path,
         held = [r["count"] for r in stored.where("p = 'a'").groupBy("_metadata.file_path").count().collect()]
         assert sum(held) in (70_000, 140_000) and max(held) < 0.5 * sum(held)
     assert bag(h.current().groupBy("p", "k").count()) == {("a", None, 140_000): 1, ("b", None, 10_000): 1}
+
+
+def test_windows_are_worked_out_again_for_rows_with_many_copies_only(spark, monkeypatch):
+    text = "id % 6 AS k", "CAST(id % 4 AS INT) AS _change_ordinal", "id % 4 + 1 AS _commit_snapshot_id", "IF(id % 12 = 3, 'DELETE', 'INSERT') AS _change_type"
+    log = spark.range(60).selectExpr(*text).unionAll(spark.range(9).selectExpr("0L", "2", "3L", "'INSERT'"))
+    windows = fixed_windows(spark, [(f"{a}..{b}", a, b) for b in range(4) for a in range(b + 1)])
+    for commits, hot in ((None, "exists(_events"), ([(i, i + 1) for i in range(4)], "greatest(abs(")):
+        expected = bag(net_windows(log, windows, commits, at_most=69))
+        monkeypatch.setattr(row_operators, "COPIES_PER_TASK", 5)
+        found = net_windows(log, windows, commits)
+        assert bag(found) == expected and max(expected.values()) > 5
+        assert hot in found._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.undo()
