@@ -17,9 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
-from rowtide.llm.common import fresh, keep, labelled_texts, without
+from rowtide.llm.common import fresh, keep, labelled_sample, without
 from rowtide.model import quoted
 
 # The model's alphabet: 0 stands for everything between words, the last one for any other letter.
@@ -49,6 +49,9 @@ STEPS = 80
 # each (a passage of longer texts) and in all. Scores are those of whole texts.
 TOXIC_ROWS, OTHER_ROWS, TEXT_CHARS, SAMPLE_CHARS = 1600, 3200, 60_000, 24_000_000
 
+# The sample's texts are restored by so many tasks; the driver fits on their words, about so many n-grams at a time.
+SAMPLE_TASKS, BLOCK_GRAMS = 24, 1 << 16
+
 _DOUBLED = re.compile(r"(.)\1", re.S)
 _RUNS = re.compile(r"(.)\1*", re.S)
 # Marks that stand for no letter, and those that may.
@@ -328,33 +331,49 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     return w
 
 
-class _Sampled:
-    """A document of the sample: its n-grams, the word that each is of, and how often the words occur."""
+def _densities(words: list[str], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a document and how dense each is among its words."""
+    ids, owner = gram_ids(words)
+    u, inverse = np.unique(ids.astype(np.int32), return_inverse=True)
+    total = np.bincount(inverse, weights=n[owner], minlength=len(u))
+    return u, np.minimum(total / max(n.sum(), 1) * 20, 1).astype(np.float32)
+
+
+class _Blocks:
+    """N-grams of documents and their densities, in blocks of whole documents: `at`, `value`, and how many each document has."""
 
-    def __init__(self, counts: Counter):
-        ids, owner = gram_ids(list(counts))
-        self.ids, self.owner = ids.astype(np.int32), owner.astype(np.int32)
-        self.n = np.fromiter(counts.values(), dtype=np.float32, count=len(counts))
+    def __init__(self):
+        self.done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.open: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-    def densities(self) -> tuple[np.ndarray, np.ndarray]:
-        u, inverse = np.unique(self.ids, return_inverse=True)
-        total = np.bincount(inverse, weights=self.n[self.owner], minlength=len(u))
-        return u.astype(np.int32), np.minimum(total / max(self.n.sum(), 1) * 20, 1).astype(np.float32)
+    def add(self, at: np.ndarray, value: np.ndarray) -> None:
+        self.open.append((at, value))
+        self.size += len(at)
+        if self.size >= BLOCK_GRAMS:
+            self.close()
 
-    def scores(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights=weights[self.ids], minlength=len(self.n))
+    def close(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if self.open:
+            at, value = zip(*self.open)
+            self.done.append((np.concatenate(at), np.concatenate(value), np.array([len(x) for x in at])))
+            self.open, self.size = [], 0
+        return self.done
 
 
-def _word_weights(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
-    """Logistic regression on the density of n-grams, by adaptive gradient steps."""
-    index, value = zip(*docs)
-    row = np.repeat(np.arange(len(docs), dtype=np.int32), [len(i) for i in index])
-    at, v = np.concatenate(index), np.concatenate(value)
+def _word_weights(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+    """Logistic regression on the density of n-grams, by adaptive gradient steps; besides the blocks it holds what one of them needs."""
     w, b, squares, square = np.zeros(WEIGHTS), 0.0, np.full(WEIGHTS, 1e-8), 1e-8
+    e = np.empty(len(y))
     for _ in range(STEPS):
-        z = np.bincount(row, weights=v * w[at], minlength=len(docs)) + b
-        e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        g = np.bincount(at, weights=v * e[row], minlength=WEIGHTS) + 1e-3 * w
+        g, done = np.zeros(WEIGHTS), 0
+        for at, v, sizes in blocks:
+            own = slice(done, done := done + len(sizes))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            z = np.bincount(row, weights=v * w[at], minlength=len(sizes)) + b
+            e[own] = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[own]
+            np.add.at(g, at, v * e[own][row])
+        g += 1e-3 * w
         squares += g * g
         w -= 0.3 * g / np.sqrt(squares)
         square += e.sum() ** 2
@@ -362,12 +381,34 @@ def _word_weights(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> n
     return w
 
 
+def restored_words(texts: DataFrame, model: list[float]) -> DataFrame:
+    """`texts` with `words`, the restored words of `text` (not null), one a line, and `counts`, how often each occurs
+    (32-bit numbers), in place of `text`."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def read(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        restorer = Restorer(shared.value)
+        for batch in texts:
+            found = [restorer.read(t.as_py()) for t in batch]
+            words = pa.array(["\n".join(f) for f in found], pa.string())
+            counts = pa.array([np.fromiter(f.values(), "<i4", len(f)).tobytes() for f in found], pa.binary())
+            yield pa.StructArray.from_arrays([words, counts], ["words", "counts"])
+
+    read_words = F.arrow_udf(read, "words string, counts binary")
+    others = [F.col(f"`{c}`") for c in texts.columns if c != "text"]
+    return texts.withColumn("_read", read_words("text")).select(*others, "_read.*")
+
+
+def _counted(row: Row) -> tuple[list[str], np.ndarray]:
+    return row.words.split("\n") if row.words else [], np.frombuffer(row.counts, "<i4").astype(np.float32)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label: str = "toxic") -> tuple[list[float], Scorer]:
     """The language model of all documents, and a scorer from a bounded sample of the labelled ones.
 
     `learn` is SQL on `doc_id` for the labels that may be used. Of each label, the rows with the smallest
     hash of the id are taken, `TOXIC_ROWS` and `OTHER_ROWS` at most; a text of over `TEXT_CHARS` gives a passage of that length. Two thirds
-    fit the words' weights, a third the final model. Of rows that repeat an id, one is taken. Without rows of both labels every score is the
+    fit the words' weights, a third the final model. Tasks restore the texts; the driver gets their words with counts. Of rows that repeat an id, one is taken. Without rows of both labels every score is the
     share of label 1; empty tables give such a model, too.
     """
     model = language_model(corpus_trigrams(docs))
@@ -379,27 +420,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         for y, most in ((0, OTHER_ROWS), (1, TOXIC_ROWS))
     ]
     sample = keep(chosen[0].unionByName(chosen[1]))
-    rows = labelled_texts(docs, sample, TEXT_CHARS, SAMPLE_CHARS)
-    restorer, taken = Restorer(model), 0
-    first: list[tuple[np.ndarray, np.ndarray]] = []
-    third: list[_Sampled] = []
+    texts = labelled_sample(docs, sample, TEXT_CHARS, SAMPLE_CHARS).where("text <> ''").repartition(SAMPLE_TASKS, "_h")
+    rows = sorted(restored_words(texts, model).collect(), key=lambda r: (r._h, r._y), reverse=True)
+    first, third = _Blocks(), []
     first_y, held_y = [], []
-    for r in rows:
-        if r.text:
-            sampled = _Sampled(restorer.read(r.text))
-            if taken % 3 != 2:
-                first.append(sampled.densities())
-                first_y.append(float(r._y))
-            else:
-                third.append(sampled)
-                held_y.append(float(r._y))
-            taken += 1
+    for taken in range(len(rows)):
+        r = rows.pop()  # of what is collected, nothing stays beside what is made of it
+        if taken % 3 != 2:
+            first.add(*_densities(*_counted(r)))
+            first_y.append(float(r._y))
+        else:
+            third.append(r)
+            held_y.append(float(r._y))
     if len(set(first_y)) < 2 or len(set(held_y)) < 2:
         return model, Scorer(np.zeros(WEIGHTS), [], [], prior)
     held_y = np.array(held_y)
-    weights = _word_weights(first, np.array(first_y))
+    weights = _word_weights(first.close(), np.array(first_y))
     scorer = Scorer(weights, [], [], prior)
-    held = [(d.scores(weights), d.n) for d in third]
+    held = [(scorer.words(words), n) for words, n in map(_counted, third)]
     seen = np.concatenate([s for s, _ in held])
     scorer.levels = [float(np.quantile(seen, q)) for q in (0.9, 0.97, 0.99, 0.997)]
     final = _logistic(np.array([scorer.features(s, n) for s, n in held]), held_y)

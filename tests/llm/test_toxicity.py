@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from helpers import documents
 
-from rowtide.llm.toxicity import Restorer, corpus_trigrams, drop_toxic, fit_toxicity, language_model, score_toxicity
+from rowtide.llm import toxicity
+from rowtide.llm.toxicity import Restorer, _counted, corpus_trigrams, drop_toxic, fit_toxicity, language_model, restored_words, score_toxicity
 
 BAD = ["moron", "idiot", "scum", "stupid", "trash"]
 
@@ -167,3 +169,54 @@ def test_decoding_is_the_likeliest_of_all_readings(fitted):
 
     for token in ["m0r0n", "1d10t", "5tup1d", "tr@sh", "sccum", "mooron!", "st*p", "(um", "$cum$$$", "tra5h3r", "a11"]:
         assert weight(token, restorer.decode(token)) is not None, token
+
+
+def test_no_text_is_restored_on_the_driver(spark, fitted, monkeypatch):
+    docs, labels, (model, scorer) = fitted
+
+    def read(self, text):
+        raise AssertionError("a text was read on the driver")
+
+    monkeypatch.setattr(Restorer, "read", read)
+    again = fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "doc_id % 5 <> 0")
+    assert again[0] == model and (again[1].weights == scorer.weights).all() and again[1].final == scorer.final
+
+
+def test_restored_words_are_those_of_the_text(spark, fitted):
+    restorer = Restorer(fitted[2][0])
+    rows = [(i, t, "s") for i, t in enumerate(["you m0r0n, you 1d1ot", "!!! -- 123", "the i d i o t the", "the re an\x0bon", ""])]
+    got = restored_words(documents(spark, rows).select("doc_id", "text"), fitted[2][0]).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        read = restorer.read(rows[r.doc_id][1])
+        words, counts = _counted(r)
+        assert words == list(read) and counts.tolist() == list(read.values())
+
+
+def test_weights_hold_little_beside_the_sample(monkeypatch):
+    """Against the same steps over all n-grams at once, to the last bit; memory is that of a block."""
+    draw = np.random.default_rng(3)
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    sizes = draw.integers(0, 4000, 500)
+    docs = [(np.sort(draw.choice(toxicity.WEIGHTS, n, replace=False)).astype(np.int32), draw.random(n, np.float32)) for n in sizes]
+    y = (draw.random(len(docs)) < 0.4).astype(float)
+    blocks = toxicity._Blocks()
+    for d in docs:
+        blocks.add(*d)
+    tracemalloc.start()
+    try:
+        got = toxicity._word_weights(blocks.close(), y)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    at, v, row = np.concatenate([a for a, _ in docs]), np.concatenate([x for _, x in docs]), np.repeat(np.arange(len(docs)), sizes)
+    w, b, squares, square = np.zeros(toxicity.WEIGHTS), 0.0, np.full(toxicity.WEIGHTS, 1e-8), 1e-8
+    for _ in range(3):
+        e = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=v * w[at], minlength=len(docs)) + b, -30, 30))) - y
+        g = np.bincount(at, weights=v * e[row], minlength=toxicity.WEIGHTS) + 1e-3 * w
+        squares += g * g
+        w -= 0.3 * g / np.sqrt(squares)
+        square += e.sum() ** 2
+        b -= 0.3 * e.sum() / np.sqrt(square)
+    assert (got == w).all() and len(blocks.done) > 5
+    assert most < 8 * toxicity.WEIGHTS * 8 + 64 * toxicity.BLOCK_GRAMS < 40 * len(at)
