@@ -17,9 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.common import fresh, keep, labelled_sample, without
+from rowtide.llm.common import fresh, keep, labelled_texts, without
 from rowtide.model import quoted
 
 # The model's alphabet: 0 stands for everything between words, the last one for any other letter.
@@ -49,8 +49,8 @@ STEPS = 80
 # each (a passage of longer texts) and in all. Scores are those of whole texts.
 TOXIC_ROWS, OTHER_ROWS, TEXT_CHARS, SAMPLE_CHARS = 1600, 3200, 60_000, 24_000_000
 
-# The sample's texts are restored by so many tasks; the driver fits on their words, about so many n-grams at a time.
-SAMPLE_TASKS, BLOCK_GRAMS = 24, 1 << 16
+# The driver fits on about so many n-grams at a time.
+BLOCK_GRAMS = 1 << 16
 
 _DOUBLED = re.compile(r"(.)\1", re.S)
 _RUNS = re.compile(r"(.)\1*", re.S)
@@ -381,34 +381,12 @@ def _word_weights(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np
     return w
 
 
-def restored_words(texts: DataFrame, model: list[float]) -> DataFrame:
-    """`texts` with `words`, the restored words of `text` (not null), one a line, and `counts`, how often each occurs
-    (32-bit numbers), in place of `text`."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-
-    def read(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        restorer = Restorer(shared.value)
-        for batch in texts:
-            found = [restorer.read(t.as_py()) for t in batch]
-            words = pa.array(["\n".join(f) for f in found], pa.string())
-            counts = pa.array([np.fromiter(f.values(), "<i4", len(f)).tobytes() for f in found], pa.binary())
-            yield pa.StructArray.from_arrays([words, counts], ["words", "counts"])
-
-    read_words = F.arrow_udf(read, "words string, counts binary")
-    others = [F.col(f"`{c}`") for c in texts.columns if c != "text"]
-    return texts.withColumn("_read", read_words("text")).select(*others, "_read.*")
-
-
-def _counted(row: Row) -> tuple[list[str], np.ndarray]:
-    return row.words.split("\n") if row.words else [], np.frombuffer(row.counts, "<i4").astype(np.float32)
-
-
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label: str = "toxic") -> tuple[list[float], Scorer]:
     """The language model of all documents, and a scorer from a bounded sample of the labelled ones.
 
     `learn` is SQL on `doc_id` for the labels that may be used. Of each label, the rows with the smallest
     hash of the id are taken, `TOXIC_ROWS` and `OTHER_ROWS` at most; a text of over `TEXT_CHARS` gives a passage of that length. Two thirds
-    fit the words' weights, a third the final model. Tasks restore the texts; the driver gets their words with counts. Of rows that repeat an id, one is taken. Without rows of both labels every score is the
+    fit the words' weights, a third the final model. Of a text, only its words or n-grams stay. Of rows that repeat an id, one is taken. Without rows of both labels every score is the
     share of label 1; empty tables give such a model, too.
     """
     model = language_model(corpus_trigrams(docs))
@@ -420,24 +398,29 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: str = "TRUE", label:
         for y, most in ((0, OTHER_ROWS), (1, TOXIC_ROWS))
     ]
     sample = keep(chosen[0].unionByName(chosen[1]))
-    texts = labelled_sample(docs, sample, TEXT_CHARS, SAMPLE_CHARS).where("text <> ''").repartition(SAMPLE_TASKS, "_h")
-    rows = sorted(restored_words(texts, model).collect(), key=lambda r: (r._h, r._y), reverse=True)
+    rows = labelled_texts(docs, sample, TEXT_CHARS, SAMPLE_CHARS)[::-1]
+    restorer, taken = Restorer(model), 0
     first, third = _Blocks(), []
     first_y, held_y = [], []
-    for taken in range(len(rows)):
+    while rows:
         r = rows.pop()  # of what is collected, nothing stays beside what is made of it
-        if taken % 3 != 2:
-            first.add(*_densities(*_counted(r)))
-            first_y.append(float(r._y))
-        else:
-            third.append(r)
-            held_y.append(float(r._y))
+        if r.text:
+            counts = restorer.read(r.text)
+            words, n = list(counts), np.fromiter(counts.values(), dtype=np.float32, count=len(counts))
+            if taken % 3 != 2:
+                first.add(*_densities(words, n))
+                first_y.append(float(r._y))
+            else:
+                third.append(("\n".join(words), n))
+                held_y.append(float(r._y))
+            taken += 1
+    del restorer
     if len(set(first_y)) < 2 or len(set(held_y)) < 2:
         return model, Scorer(np.zeros(WEIGHTS), [], [], prior)
     held_y = np.array(held_y)
     weights = _word_weights(first.close(), np.array(first_y))
     scorer = Scorer(weights, [], [], prior)
-    held = [(scorer.words(words), n) for words, n in map(_counted, third)]
+    held = [(scorer.words(words.split("\n") if words else []), n) for words, n in third]
     seen = np.concatenate([s for s, _ in held])
     scorer.levels = [float(np.quantile(seen, q)) for q in (0.9, 0.97, 0.99, 0.997)]
     final = _logistic(np.array([scorer.features(s, n) for s, n in held]), held_y)
